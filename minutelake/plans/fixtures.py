@@ -122,3 +122,150 @@ class Scenario:
     def destinations(self) -> DataFrame:
         return self.spark.createDataFrame(
             DESTINATIONS, "stream string, cluster string, is_primary boolean, retention_hours int")
+
+    # ---- ingest scenario --------------------------------------------------------------------
+    @cached_property
+    def dirty_files(self) -> DataFrame:
+        """collector_files with in-flight names, stats files and empty files mixed in:
+        minute-of-hour % 10 = 1 -> ``<stream>_current``; = 2 -> ``scribe_stats`` (upper case on
+        odd hours); = 3 -> length 0."""
+        m = F.minute("minute") % 10
+        odd = F.hour("minute") % 2 == 1
+        name = (F.when(m == 1, F.concat(F.col("stream"), F.lit("_current")))
+                .when((m == 2) & odd, F.lit("SCRIBE_STATS"))
+                .when(m == 2, F.lit("scribe_stats"))
+                .otherwise(F.col("file_name")))
+        df = self.cat.select("cluster", "stream", "collector", name.alias("file_name"), "mtime",
+                             F.when(m == 3, F.lit(0).cast("long")).otherwise(F.col("length")).alias("length"))
+        return catalog.collector_files_from_listing(df.select(
+            "cluster", L.collector_path(root_of(), "stream", "collector", "file_name").alias("path"),
+            "mtime", "length"))
+
+    @cached_property
+    def checkpoints(self) -> DataFrame:
+        """Checkpoint = greatest file name of each collector before CHECKPOINT_BEFORE."""
+        return (self.cat.filter(F.col("minute") < F.lit(CHECKPOINT_BEFORE).cast("timestamp_ntz"))
+                .groupBy("cluster", "stream", "collector").agg(F.max("file_name").alias("file_name")))
+
+    @cached_property
+    def records(self) -> DataFrame:
+        """Record grain: one line per event (value = props) in its collector file."""
+        return self.keyed_events.select(
+            "cluster", "stream", "collector",
+            L.collector_file_name("stream", "minute").alias("src_file"), "minute",
+            F.col("props").alias("value"), F.col("event_id").alias("record_no"))
+
+    # ---- merged stream ledger and mirror copy -----------------------------------------------
+    @cached_property
+    def merged_minutes(self) -> DataFrame:
+        from ..operators import audit
+        return audit.minute_dirs(self.merged_files)
+
+    @cached_property
+    def merged_ledger(self) -> DataFrame:
+        """Data minutes plus every gap minute marked empty (as the minute cadence leaves it)."""
+        from ..operators import audit
+        gaps = audit.missing_minutes(self.merged_minutes).select(
+            "cluster", "base", "stream", "minute", F.lit("empty").alias("state"),
+            L.plus_minutes("minute", 1).alias("created_at"))
+        return self.merged_minutes.select("cluster", "base", "stream", "minute", "state", "created_at") \
+            .unionByName(gaps)
+
+    @cached_property
+    def merged_entries(self) -> DataFrame:
+        from ..operators import audit
+        return audit.stream_entries(self.merged_files, self.merged_ledger)
+
+    @cached_property
+    def mirror_entries(self) -> DataFrame:
+        """The mirror on MIRROR_CLUSTER: merged entries minus files at hhmm % 19 = 0 and empty
+        minutes at hhmm % 97 = 0, plus a second copy one minute later of files at hhmm % 31 = 0."""
+        hhmm = F.date_format("minute", "HHmm").cast("int")
+        e = self.merged_entries.withColumn("cluster", F.lit(MIRROR_CLUSTER))
+        kept = e.filter(~(((F.col("entry") == "file") & (hhmm % 19 == 0)) |
+                          ((F.col("entry") == "dir") & (hhmm % 97 == 0))))
+        nxt = L.plus_minutes("minute", 1)
+        fname = F.element_at(F.split("relpath", "/"), -1)
+        replay = (e.filter((F.col("entry") == "file") & (hhmm % 31 == 0))
+                  .select("cluster", "base", "stream", nxt.alias("minute"),
+                          F.concat(F.date_format(nxt, L.MINUTE_DIR_FORMAT), F.lit("/"), fname).alias("relpath"),
+                          "entry", "path"))
+        return kept.unionByName(replay)
+
+    # ---- local audit: data dir keeps the last 6 files, the rest went to trash ----------------
+    @cached_property
+    def trashed(self) -> DataFrame:
+        from ..operators import ingest
+        return ingest.trash_select(self.collector_files)
+
+    @cached_property
+    def trash(self) -> DataFrame:
+        """Trash entries, trashed by the run one minute after the file's mtime."""
+        t = self.trashed.withColumn("__ts", L.plus_minutes("mtime", 1))
+        name = L.trash_name("collector", "file_name")
+        return t.select("cluster", L.hour_of("__ts").alias("trash_hour"), "stream", "collector",
+                        name.alias("file_name"),
+                        F.concat_ws("/", root_of(), F.lit("system/trash"), L.trash_dir("__ts"), name).alias("path"))
+
+    @cached_property
+    def data_dir_files(self) -> DataFrame:
+        return self.collector_files.join(self.trashed.select("path"), "path", "left_anti")
+
+    @cached_property
+    def local_audit_dest(self) -> DataFrame:
+        """streams_local minus files at hhmm % 17 = 0, plus cluster1's files at hhmm % 37 = 0
+        replayed into cluster2."""
+        base = self.local_files_where(F.col("hhmm") % 17 != 0)
+        rep = self.local_files_where((F.col("hhmm") % 37 == 0) & (F.col("cluster") == "cluster1")) \
+            .withColumn("cluster", F.lit("cluster2"))
+        return base.unionByName(rep)
+
+    @cached_property
+    def trash_dirs(self) -> DataFrame:
+        """Trash hour directories; hour 13 directories carry an unparseable name."""
+        t = self.trash.select("cluster", "trash_hour").distinct()
+        hour = L.trash_hour_string("trash_hour")
+        return t.select("cluster", L.trash_day("trash_hour").alias("day_dir"),
+                        F.when(F.hour("trash_hour") == 13, F.concat(hour, F.lit("x"))).otherwise(hour)
+                        .alias("hour_dir"))
+
+    # ---- manifests --------------------------------------------------------------------------
+    @cached_property
+    def manifests(self) -> DataFrame:
+        """Merge manifests of the local files, batch = hhmm % 3, rows at hhmm % 5 = 0 listed
+        again in batch 2, rows at hhmm % 7 = 0 with a trailing blank."""
+        from ..operators import route
+        edges = route.merge_edges(self.sources, self.destinations)
+        lf = self.local_files.withColumn("hhmm", F.date_format(L.plus_minutes("minute", -1), "HHmm").cast("int"))
+        m = route.route_merge(lf, edges, batch_id=(F.col("hhmm") % 3).cast("long")).withColumn(
+            "hhmm", F.date_format(L.plus_minutes("minute", -1), "HHmm").cast("int"))
+        again = m.filter(F.col("hhmm") % 5 == 0).withColumn("batch_id", F.lit(2).cast("long"))
+        out = m.unionByName(again).withColumn(
+            "path", F.when(F.col("hhmm") % 7 == 0, F.concat("path", F.lit(" "))).otherwise(F.col("path")))
+        return out.drop("hhmm")
+
+    @cached_property
+    def manifest_acks(self) -> DataFrame:
+        return self.manifests.select("kind", "dest_cluster").distinct().withColumn("batch_id", F.lit(0).cast("long"))
+
+    @cached_property
+    def committed_local(self) -> DataFrame:
+        """Local files that exist: commits at hhmm % 23 = 0 failed, so their manifest paths dangle."""
+        return self.local_files_where(F.col("hhmm") % 23 != 0)
+
+    # ---- directory levels for the empty-level purge rule ---------------------------------------
+    @cached_property
+    def level_dirs(self) -> DataFrame:
+        """year/month/day/hour directories of streams_local, plus an empty month ``2024/02``
+        and an empty-or-not day ``2024/01/31`` in every stream."""
+        lf = self.local_files
+        prefix = F.concat(F.lit("/"), F.col("cluster"), F.lit("/"), F.col("base"), F.lit("/"), F.col("stream"),
+                          F.lit("/"))
+        parts = [("year", F.date_format("minute", "yyyy")), ("month", F.date_format("minute", "yyyy/MM")),
+                 ("day", F.date_format("minute", "yyyy/MM/dd")), ("hour", F.date_format("minute", "yyyy/MM/dd/HH")),
+                 ("month", F.lit("2024/02")), ("day", F.lit("2024/01/31"))]
+        out = None
+        for level, p in parts:
+            d = lf.select("cluster", "base", "stream", F.lit(level).alias("level"), F.concat(prefix, p).alias("path"))
+            out = d if out is None else out.unionByName(d)
+        return out.distinct()
