@@ -18,9 +18,9 @@ _CLUSTER_XML = T.StructType([
     T.StructField("_jturl", T.StringType()), T.StructField("_jobqueuename", T.StringType()),
     T.StructField("rootdir", T.StringType()),
 ])
-_SRC = T.StructType([T.StructField("_name", T.StringType()), T.StructField("retentioninhours", T.StringType())])
-_DST = T.StructType([T.StructField("_name", T.StringType()), T.StructField("retentioninhours", T.StringType()),
-                     T.StructField("_primary", T.StringType())])
+_SRC = T.StructType([T.StructField("name", T.StringType()), T.StructField("retentioninhours", T.StringType())])
+_DST = T.StructType([T.StructField("name", T.StringType()), T.StructField("retentioninhours", T.StringType()),
+                     T.StructField("primary", T.StringType())])
 _STREAM_XML = T.StructType([
     T.StructField("_name", T.StringType()),
     T.StructField("sources", T.StructType([T.StructField("source", T.ArrayType(_SRC))])),
@@ -55,11 +55,11 @@ def load(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     def_root = F.lit(row["rootdir"] if row else None).cast("string")
     streams = spark.read.format("xml").option("rowTag", "stream").schema(_STREAM_XML).load(path)
     sources = (streams.select(F.col("_name").alias("stream"), F.explode("sources.source").alias("s"))
-               .select("stream", F.col("s._name").alias("cluster"),
+               .select("stream", F.trim("s.name").alias("cluster"),
                        _hours("s.retentioninhours", def_hours).alias("retention_hours")))
     dests = (streams.select(F.col("_name").alias("stream"), F.explode("destinations.destination").alias("d"))
-             .select("stream", F.col("d._name").alias("cluster"),
-                     F.coalesce(F.lower(F.trim("d._primary")) == "true", F.lit(False)).alias("is_primary"),
+             .select("stream", F.trim("d.name").alias("cluster"),
+                     F.coalesce(F.lower(F.trim("d.primary")) == "true", F.lit(False)).alias("is_primary"),
                      _hours("d.retentioninhours", def_hours).alias("retention_hours")))
     clusters = (spark.read.format("xml").option("rowTag", "cluster").schema(_CLUSTER_XML).load(path)
                 .select(F.col("_name").alias("name"), F.col("_hdfsurl").alias("hdfsurl"),

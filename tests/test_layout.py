@@ -1,0 +1,39 @@
+"""Path layout, names and formats."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from minutelake.functions import layout as L
+
+
+def _one(spark, expr, value, typ="string"):
+    return spark.createDataFrame([(value,)], f"x {typ}").select(expr.alias("y")).first().y
+
+
+def test_minute_paths(spark):
+    ts = dt.datetime(2012, 1, 13, 15, 4)
+    assert _one(spark, L.minute_path("x"), ts, "timestamp_ntz") == "2012/01/13/15/04/"
+    assert _one(spark, L.hour_path("x"), ts, "timestamp_ntz") == "2012/01/13/15/"
+    assert _one(spark, L.dest_dir(F.lit("hdfs://nn/databus"), "streams", F.lit("s1"), "x"), ts,
+                "timestamp_ntz") == "hdfs://nn/databus/streams/s1/2012/01/13/15/04/"
+    assert _one(spark, L.trash_dir("x"), dt.datetime(2012, 1, 9, 5, 30), "timestamp_ntz") == "2012-1-9/5"
+
+
+def test_parse_minute(spark):
+    assert _one(spark, L.parse_minute("x"), "/r/streams/s/2012/01/13/15/04/c-f.gz") == dt.datetime(2012, 1, 13, 15, 4)
+    assert _one(spark, L.parse_minute("x"), "/r/streams/s/2012/01/13/15/04") == dt.datetime(2012, 1, 13, 15, 4)
+    assert _one(spark, L.parse_minute("x"), "/r/data/s/c/f") is None
+    assert _one(spark, L.parse_minute("x"), "/r/streams/s/2012/13/40/15/04") is None
+
+
+def test_names(spark):
+    assert _one(spark, L.published_name(F.lit("c1"), "x"), "s-2012-08-29-07-09_00000") == "c1-s-2012-08-29-07-09_00000.gz"
+    assert _one(spark, L.stream_from_name("x"), "collector1-test1-2012-08-29-07-09_00000.gz") == "test1"
+    assert _one(spark, L.stream_from_name("x"), "collector1--test1-x") == "test1"
+    assert _one(spark, L.stream_from_name("x"), "nodash") is None
+    assert _one(spark, L.stream_from_name("x"), "a-") is None
+    assert _one(spark, L.stream_from_collector_path("x"), "/r/data/stream1/collector1/f") == "stream1"
+    assert _one(spark, L.event_minute("x"), "test1-2012-08-29-07-09_00000") == dt.datetime(2012, 8, 29, 7, 9)
+    assert _one(spark, L.event_minute("x"), "datafile1") is None
+    assert _one(spark, L.parse_trash_hour(F.lit("2012-1-9"), "x"), "5") == dt.datetime(2012, 1, 9, 5)
