@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..functions.skew import group_max, join_group_values, next_in_order
-from ..schemas import DATA_BASE, LOCAL_BASE
+from ..functions.skew import join_group_values, next_in_order
 
 KINDS = ("missing", "replay", "to_be_sent", "extra")
 
@@ -37,10 +36,17 @@ def classify(src: DataFrame, dst: DataFrame, group: list[str], key: str = "key",
     """
     s = src.groupBy(*group, key).agg(F.max(path).alias("src_path"), F.count(F.lit(1)).alias("src_copies"))
     d = dst.groupBy(*group, key).agg(F.max(path).alias("dst_path"), F.count(F.lit(1)).alias("dst_copies"))
-    diff = (s.join(d, group + [key], "full_outer")
-            .filter(F.col("src_copies").isNull() | F.col("dst_copies").isNull()))
-    diff = join_group_values(diff, group_max(s, group, key, "src_max"), group)
-    diff = join_group_values(diff, group_max(d, group, key, "dst_max"), group)
+    both = s.join(d, group + [key], "full_outer")
+    # Per-group upper bounds of each side, from the same join output.  Presence is tested on
+    # both the count and the path so that this branch reads exactly the columns the diff
+    # branch reads: the two sides' aggregates are then identical subplans and Spark reuses
+    # their exchanges instead of scanning and aggregating the catalog again.
+    src_in = F.col("src_copies").isNotNull() & F.col("src_path").isNotNull()
+    dst_in = F.col("dst_copies").isNotNull() & F.col("dst_path").isNotNull()
+    bounds = both.groupBy(*group).agg(F.max(F.when(src_in, F.col(key))).alias("src_max"),
+                                      F.max(F.when(dst_in, F.col(key))).alias("dst_max"))
+    diff = both.filter(F.col("src_copies").isNull() | F.col("dst_copies").isNull())
+    diff = join_group_values(diff, bounds, group)
     k = F.col(key)
     kind = (F.when(F.col("dst_copies").isNull(),
                    F.when(F.col("dst_max").isNull() | (k > F.col("dst_max")), F.lit("to_be_sent"))

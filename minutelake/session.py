@@ -46,8 +46,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the operator of the cluster names a shared folder; we only set
     our own (a fresh scratch folder) when the setting is absent, as in tests.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="minutelake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
