@@ -86,11 +86,16 @@ def audit_local(collector_files: DataFrame, trash: DataFrame, local_files: DataF
     return classify(data.unionByName(tr), dst, ["cluster"])
 
 
-def audit_merge(local_files: DataFrame, merged_files: DataFrame, streams=None) -> DataFrame:
-    """∪ clusters' local streams vs the merged stream, per stream, key = file name."""
+def audit_merge(local_files: DataFrame, merged_files: DataFrame, streams=None,
+                with_copies: bool = False) -> DataFrame:
+    """∪ clusters' local streams vs the merged stream, per stream, key = file name.
+
+    ``with_copies`` adds ``n_copies``: how many files share the differing name on
+    its side (the reference's map silently keeps one of them, C8).
+    """
     src = _scope(local_files, streams).select("stream", F.col("file_name").alias("key"), "path")
     dst = _scope(merged_files, streams).select("stream", F.col("file_name").alias("key"), "path")
-    return classify(src, dst, ["stream"])
+    return classify(src, dst, ["stream"], with_copies=with_copies)
 
 
 def stream_entries(files: DataFrame, minutes: DataFrame) -> DataFrame:

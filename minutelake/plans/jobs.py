@@ -27,13 +27,22 @@ class IngestPlan:
 
 
 def plan_ingest(files: DataFrame, checkpoints: DataFrame, now, timeout_ms: int = LAST_FILE_TIMEOUT_MS,
-                keep: int = FILES_TO_KEEP, published: DataFrame | None = None) -> IngestPlan:
-    """T1 analysis stage: ``collector_files -> closed -> above checkpoint``, new checkpoint, trash."""
+                keep: int = FILES_TO_KEEP, published: DataFrame | None = None, on_late: str = "drop") -> IngestPlan:
+    """T1 analysis stage: ``collector_files -> closed -> above checkpoint``, new checkpoint, trash.
+
+    ``on_late``: files at or below the checkpoint that were never published (T6) are
+    reported in ``late`` (``"drop"``, the reference's behaviour) or also delivered
+    (``"deliver"``); both need the local stream catalog ``published``.
+    """
+    if on_late not in ("drop", "deliver"):
+        raise ValueError("on_late must be 'drop' or 'deliver'")
     closed = ingest.closed_files(files, now, timeout_ms)
     new = ingest.above_checkpoint(closed, checkpoints)
     ck = ingest.advance_checkpoint(closed, checkpoints)
     trash = ingest.trash_rows(ingest.trash_select(closed, keep), now)
     late = ingest.late_files(closed, checkpoints, published) if published is not None else None
+    if on_late == "deliver" and late is not None:
+        new = new.unionByName(late)
     return IngestPlan(closed, new, ck, trash, late)
 
 

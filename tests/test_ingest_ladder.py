@@ -91,3 +91,35 @@ def test_trash_keep_last_six_large_collector(spark):
     assert len(got) == 5000 - 6
     assert ("hot", "f04993") in got and ("hot", "f04994") not in got
     assert not any(c == "small" for c, _ in got)
+
+
+def test_on_late_deliver(spark):
+    from minutelake.plans import jobs
+    cols = "cluster string, stream string, collector string, file_name string, path string, mtime timestamp_ntz, length bigint"
+    t = dt.datetime(2024, 1, 1)
+    files = spark.createDataFrame([("c", "s", "k", f"f{i}", f"/p/f{i}", t, 1) for i in range(1, 4)], cols)
+    ck = spark.createDataFrame([("c", "s", "k", "f2")], "cluster string, stream string, collector string, file_name string")
+    pub = spark.createDataFrame([("c", "s", "k-f1.gz")], "cluster string, stream string, file_name string")
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    drop = jobs.plan_ingest(files, ck, now, published=pub)
+    assert sorted(r.file_name for r in drop.new_files.collect()) == ["f3"]
+    assert sorted(r.file_name for r in drop.late.collect()) == ["f2"]
+    deliver = jobs.plan_ingest(files, ck, now, published=pub, on_late="deliver")
+    assert sorted(r.file_name for r in deliver.new_files.collect()) == ["f2", "f3"]
+
+
+def test_text_manifests_and_trash_listing(spark, tmp_path):
+    from minutelake.sources import manifests
+    d = tmp_path / "consumers" / "c2"
+    d.mkdir(parents=True)
+    (d / "1000").write_text("/r/streams_local/s/2024/01/01/00/01/k-a.gz \n\n/r/x\n")
+    (d / "1060").write_text("/r/x\n")
+    m = manifests.read_text_manifests(spark, str(d), "merge", "c2")
+    got = sorted((r.batch_id, r.path) for r in m.collect())
+    assert got == [(1000, "/r/streams_local/s/2024/01/01/00/01/k-a.gz"), (1000, "/r/x"), (1060, "/r/x")]
+    t = tmp_path / "root" / "system" / "trash"
+    for day, hour in (("2024-1-5", "7"), ("2024-1-5", "8"), ("junk", "x")):
+        (t / day / hour).mkdir(parents=True)
+        (t / day / hour / "k-f").write_text("x")
+    dirs = sorted(tuple(r)[1:] for r in manifests.trash_dirs(spark, str(tmp_path / "root"), "c").collect())
+    assert dirs == [("2024-1-5", "7"), ("2024-1-5", "8"), ("junk", "x")]
