@@ -8,6 +8,8 @@ run again with the same ``batch_id`` and ``now`` (at-least-once, T7).
 
 from __future__ import annotations
 
+import logging
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +21,27 @@ from ..schemas import FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS, LOCAL_BASE, MERGED_BA
 from ..sinks import files as fsops
 from ..sinks import writers as W
 from ..sources import catalog
-from ..sources.records import read_published, read_records
+from ..sources.records import read_published, read_selected
 from . import jobs
 
 
+log = logging.getLogger("minutelake.run")
+
+
+class _Steps:
+    """Wall-clock of each step of a run, returned in the run's summary."""
+
+    def __init__(self):
+        self.t = time.perf_counter()
+        self.times: dict[str, float] = {}
+
+    def __call__(self, name: str) -> None:
+        now = time.perf_counter()
+        self.times[name] = round(now - self.t, 3)
+        self.t = now
+        log.info("%s %.3fs", name, self.times[name])
+
+
 @dataclass(frozen=True)
 class Site:
     """Directory layout of one cluster root."""
@@ -100,34 +119,44 @@ def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources:
               destinations: DataFrame, timeout_ms: int = LAST_FILE_TIMEOUT_MS, keep: int = FILES_TO_KEEP,
               move_to_trash: bool = True) -> dict:
     """One local-stream run of ``site`` committed at ``now``."""
-    files = catalog.collector_files(spark, site.root, site.name)
-    ckpt = W.read_checkpoints(spark, site.checkpoints())
+    step = _Steps()
+    # One listing snapshot per run, written to the shared checkpoint folder: every later step
+    # (delivery, checkpoint, trash) sees the same files even after they were moved, and a lost
+    # executor recomputes nothing from a directory that has changed under it.
+    files = catalog.collector_files(spark, site.root, site.name).checkpoint(eager=True)
+    ckpt = W.read_checkpoints(spark, site.checkpoints()).checkpoint(eager=True)
     plan = jobs.plan_ingest(files, ckpt, _ts(now), timeout_ms, keep)
-    new_paths = [r[0] for r in plan.new_files.select("path").toLocalIterator()]
-    if not new_paths:  # C4: nothing delivered -> nothing checkpointed or trashed
+    new_files = plan.new_files.checkpoint(eager=True)
+    n_new = new_files.count()
+    step("select")
+    if n_new == 0:  # C4: nothing delivered -> nothing checkpointed or trashed
         _ledger_update(spark, site, LOCAL_BASE, spark.createDataFrame([], "stream string, minute timestamp_ntz"), now)
-        return {"new_files": 0}
-    records = read_records(spark, new_paths, site.name)
+        return {"new_files": 0, "steps": step.times}
+    records = read_selected(spark, f"{site.root}/data", new_files, site.name)
     planned = publish.plan_local(records, _ts(now)).withColumn("committed_at", _ts(now))
     W.write_published(planned, site.base(LOCAL_BASE), batch_id)
+    step("publish")
     _ledger_update(spark, site, LOCAL_BASE, planned.select("stream", "minute").distinct(), now)
+    step("ledger")
     pub = (published_catalog(spark, site, LOCAL_BASE)
-           .join(planned.select("stream", "minute", "file_name").distinct(), ["stream", "minute", "file_name"],
-                 "left_semi"))
+           .filter(F.col("minute") == _ts(now))
+           .join(new_files.select("stream", L.published_name("collector", "file_name").alias("file_name"))
+                 .distinct(), ["stream", "file_name"], "left_semi"))
     edges = route.merge_edges(sources, destinations)
     W.append_manifests(route.route_merge(pub, edges, batch_id=F.lit(batch_id).cast("long")), site.manifests())
+    step("manifests")
     W.write_checkpoints(plan.checkpoints, site.checkpoints(), batch_id)
-    trash = plan.trash.withColumn("path", F.concat_ws("/", F.lit(site.system), F.lit("trash"),
-                                                      L.trash_dir(_ts(now)), F.col("file_name")))
+    step("checkpoint")
+    trash_dir = F.concat_ws("/", F.lit(site.system), F.lit("trash"), L.trash_dir(_ts(now)))
+    selected = jobs.ingest.trash_select(plan.closed, keep).checkpoint(eager=True)
     moved = 0
     if move_to_trash:
-        src = (jobs.ingest.trash_select(plan.closed, keep)
-               .select(F.col("path").alias("src"),
-                       F.concat_ws("/", F.lit(site.system), F.lit("trash"), L.trash_dir(_ts(now)),
-                                   L.trash_name("collector", "file_name")).alias("dst")))
-        moved = fsops.move_files(spark, src)
-    W.append_trash(trash, site.trash_catalog())
-    return {"new_files": len(new_paths), "trashed": moved}
+        dst = F.concat_ws("/", trash_dir, L.trash_name("collector", "file_name"))
+        moved = fsops.move_files(spark, selected.select(F.col("path").alias("src"), dst.alias("dst")))
+    rows = jobs.ingest.trash_rows(selected, _ts(now))
+    W.append_trash(rows.withColumn("path", F.concat_ws("/", trash_dir, F.col("file_name"))), site.trash_catalog())
+    step("trash")
+    return {"new_files": n_new, "trashed": moved, "steps": step.times}
 
 
 def _pending(spark: SparkSession, src_sites: list[Site], kind: str, dest: str) -> DataFrame:
@@ -144,7 +173,7 @@ def _pending(spark: SparkSession, src_sites: list[Site], kind: str, dest: str) -
 def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str, batch_id: int,
               sources: DataFrame, destinations: DataFrame) -> dict:
     """Pull pending merge manifests of every source site into ``dest``'s merged stream."""
-    pending = _pending(spark, src_sites, "merge", dest.name).cache()
+    pending = _pending(spark, src_sites, "merge", dest.name).checkpoint(eager=True)
     valid = None
     recs = None
     for s in src_sites:
@@ -157,7 +186,6 @@ def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str,
         valid = v if valid is None else valid.unionByName(v)
         recs = r if recs is None else recs.unionByName(r, allowMissingColumns=True)
     if valid is None or valid.isEmpty():  # C14: all paths dangling -> leave the manifests pending
-        pending.unpersist()
         return {"merged_files": 0}
     planned = publish.plan_merge(recs, F.lit(dest.name), _ts(now)).withColumn("committed_at", _ts(now))
     W.write_published(planned, dest.base(MERGED_BASE), batch_id)
@@ -175,15 +203,13 @@ def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str,
     for s in src_sites:  # K8: acknowledge what was consumed
         acks = pending.filter(F.col("src_site") == s.name).select("kind", "dest_cluster", "batch_id")
         W.append_acks(acks, s.acks())
-    pending.unpersist()
     return {"merged": True}
 
 
 def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id: int) -> dict:
     """Copy pending mirror manifests of ``src`` into ``mirror``, minutes preserved."""
-    pending = _pending(spark, [src], "mirror", mirror.name).cache()
+    pending = _pending(spark, [src], "mirror", mirror.name).checkpoint(eager=True)
     if pending.isEmpty():
-        pending.unpersist()
         return {"mirrored": 0}
     cat_m = published_catalog(spark, src, MERGED_BASE)
     keys = route.valid_paths(pending, cat_m).drop("minute").join(cat_m.select("path", "stream", "minute", "file_name"),
@@ -205,7 +231,6 @@ def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id:
             .withColumn("created_at", _ts(now)))
     W.append_ledger(data.unionByName(empty), mirror.ledger())
     W.append_acks(pending.select("kind", "dest_cluster", "batch_id"), src.acks())
-    pending.unpersist()
     return {"mirrored": True}
 
 

@@ -17,16 +17,66 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _local(p: str) -> str | None:
+    """Local path of a ``file:`` URI or an absolute path; None for any other scheme."""
+    if p.startswith("file:"):
+        p = p[5:]
+        while p.startswith("//"):
+            p = p[1:]
+        return p
+    return p if p.startswith("/") else None
+
+
 def move_files(spark: SparkSession, moves: DataFrame, src_col: str = "src", dst_col: str = "dst") -> int:
-    """Rename every ``src`` to ``dst`` (creating parents); missing sources are skipped."""
+    """Rename every ``src`` to ``dst`` (creating parents); missing sources are skipped.
+
+    On a local or mounted file system the renames run inside the tasks that hold the rows
+    (``mapInPandas``), so they scale with the executors; for other schemes they go through
+    the session's Hadoop ``FileSystem`` from the driver, one ``mkdirs`` per directory.
+    """
+    from pyspark.sql import functions as F
+    m = moves.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
+    remote = m.filter(~((F.col("src").startswith("file:") | F.col("src").startswith("/")) &
+                        (F.col("dst").startswith("file:") | F.col("dst").startswith("/"))))
+    if remote.isEmpty():
+        def move_local(batches):  # self-contained: shipped to the executors by value
+            import os
+
+            import pandas as pd
+
+            def local(p):
+                if p.startswith("file:"):
+                    p = p[5:]
+                    while p.startswith("//"):
+                        p = p[1:]
+                return p
+
+            for pdf in batches:
+                n, made = 0, set()
+                for s, d in zip(pdf["src"], pdf["dst"]):
+                    s, d = local(s), local(d)
+                    parent = os.path.dirname(d)
+                    if parent not in made:
+                        os.makedirs(parent, exist_ok=True)
+                        made.add(parent)
+                    try:
+                        os.rename(s, d)
+                        n += 1
+                    except FileNotFoundError:
+                        pass
+                yield pd.DataFrame({"moved": [n]})
+
+        return int(m.mapInPandas(move_local, "moved long").agg(F.sum("moved")).first()[0] or 0)
     n = 0
     jvm = spark.sparkContext._jvm
-    for row in moves.select(src_col, dst_col).toLocalIterator():
+    made = set()
+    for row in m.toLocalIterator():
         fs, src = _fs(spark, row[0])
         dst = jvm.org.apache.hadoop.fs.Path(row[1])
-        if not fs.exists(src):
-            continue
-        fs.mkdirs(dst.getParent())
+        parent = dst.getParent().toString()
+        if parent not in made:
+            fs.mkdirs(dst.getParent())
+            made.add(parent)
         if fs.rename(src, dst):
             n += 1
     return n

@@ -40,3 +40,21 @@ def read_published(spark: SparkSession, table_dir: str, streams=None, minutes=No
     if minutes is not None:
         df = df.filter(F.col("minute_key").isin(list(minutes)))
     return df.withColumn("minute", L.ntz(F.try_to_timestamp(F.col("minute_key"), F.lit(L.FILE_TIME_FORMAT))))
+
+
+def read_selected(spark: SparkSession, data_dir: str, selected: DataFrame, cluster: str) -> DataFrame:
+    """S2 without a driver-side path list: scan the collector folder, keep the selected files' lines.
+
+    The folder holds only the files of the current run plus the few the reference keeps per
+    collector (``FILES_TO_KEEP``), so the scan is bounded by the run; the selection (one row per
+    file) is joined on ``_metadata.file_path`` -- broadcast when its row count is under the bound,
+    a shuffle join otherwise.  Files removed between listing and reading are skipped.
+    Lineage (stream, collector, file name) comes from the listing rows.
+    """
+    from ..functions.skew import bounded_broadcast
+    lines = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
+             .option("ignoreMissingFiles", "true").text(data_dir)
+             .select(F.col("_metadata.file_path").alias("__path"), "value"))
+    sel = selected.select(F.col("path").alias("__path"), "stream", "collector", F.col("file_name").alias("src_file"))
+    return (lines.join(bounded_broadcast(sel), "__path")
+            .select(F.lit(cluster).alias("cluster"), "stream", "collector", "src_file", "value"))
