@@ -258,14 +258,12 @@ class Scenario:
     def level_dirs(self) -> DataFrame:
         """year/month/day/hour directories of streams_local, plus an empty month ``2024/02``
         and an empty-or-not day ``2024/01/31`` in every stream."""
-        lf = self.local_files
         prefix = F.concat(F.lit("/"), F.col("cluster"), F.lit("/"), F.col("base"), F.lit("/"), F.col("stream"),
                           F.lit("/"))
         parts = [("year", F.date_format("minute", "yyyy")), ("month", F.date_format("minute", "yyyy/MM")),
                  ("day", F.date_format("minute", "yyyy/MM/dd")), ("hour", F.date_format("minute", "yyyy/MM/dd/HH")),
                  ("month", F.lit("2024/02")), ("day", F.lit("2024/01/31"))]
-        out = None
-        for level, p in parts:
-            d = lf.select("cluster", "base", "stream", F.lit(level).alias("level"), F.concat(prefix, p).alias("path"))
-            out = d if out is None else out.unionByName(d)
-        return out.distinct()
+        # one pass over the catalog: every file row yields its ancestor directories
+        levels = F.array(*[F.struct(F.lit(lv).alias("level"), F.concat(prefix, p).alias("path")) for lv, p in parts])
+        return (self.local_files.select("cluster", "base", "stream", F.explode(levels).alias("d"))
+                .select("cluster", "base", "stream", "d.level", "d.path").distinct())
