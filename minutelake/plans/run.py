@@ -21,6 +21,7 @@ from ..schemas import FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS, LOCAL_BASE, MERGED_BA
 from ..sinks import files as fsops
 from ..sinks import writers as W
 from ..sources import catalog
+from ..sources.manifests import trash_dirs
 from ..sources.records import read_published, read_selected
 from . import jobs
 
@@ -250,4 +251,11 @@ def run_purge(spark: SparkSession, site: Site, now: str, retention_table: DataFr
         ps = ps.join(hours.select("stream", "hour", "hour_key"), ["stream", "hour"])
         dropped += fsops.delete_paths(spark, ps.select(
             F.concat(F.lit(d + "/stream="), F.col("stream"), F.lit("/hour="), F.col("hour_key")).alias("path")))
-    return {"dropped_hours": dropped}
+    # R2: trash hour directories past the trash retention (unparseable names are purged too)
+    trash_root = f"{site.system}/trash"
+    dropped_trash = 0
+    if fsops.exists(spark, trash_root):
+        tp = retention.trash_purge_set(trash_dirs(spark, site.root, site.name), _ts(now), trash_hours)
+        dropped_trash = fsops.delete_paths(spark, tp.select(
+            F.concat_ws("/", F.lit(trash_root), "day_dir", "hour_dir").alias("path")))
+    return {"dropped_hours": dropped, "dropped_trash_hours": dropped_trash}

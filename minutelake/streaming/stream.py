@@ -50,8 +50,14 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, name: str |
 def ingest(spark: SparkSession, landing_dir: str, cluster: str, out_table: str, ledger_dir: str,
            checkpoint: str, archive_dir: str | None = None, trigger: dict | None = None,
            clock: Callable[[], str] = utc_minute, max_files_per_trigger: int | None = None,
-           on_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Landing dir ``<stream>/<collector>/<file>`` -> local stream table."""
+           on_batch: Callable[[DataFrame, int], None] | None = None,
+           manifest_dir: str | None = None, sources: DataFrame | None = None,
+           destinations: DataFrame | None = None, root: str | None = None) -> StreamingQuery:
+    """Landing dir ``<stream>/<collector>/<file>`` -> local stream table.
+
+    With ``manifest_dir`` and the topology, each batch also appends the merge manifests
+    of the files it published (K4), keyed by the batch id.
+    """
     reader = (spark.readStream.format("text").option("lineSep", "\n").option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -70,6 +76,14 @@ def ingest(spark: SparkSession, landing_dir: str, cluster: str, out_table: str,
         minutes = (planned.select("cluster", "base", "stream", "minute").distinct()
                    .withColumn("state", F.lit("data")).withColumn("created_at", now))
         W.append_ledger(minutes, ledger_dir)
+        if manifest_dir is not None and sources is not None and destinations is not None:
+            from ..operators import route
+            files = planned.select("cluster", "stream", "minute", "file_name").distinct().withColumn(
+                "path", F.concat_ws("/", F.lit(root or ""), F.lit("streams_local"), F.col("stream"),
+                                    F.date_format("minute", L.MINUTE_DIR_FORMAT), F.col("file_name")))
+            m = route.route_merge(files, route.merge_edges(sources, destinations),
+                                  batch_id=F.lit(batch_id).cast("long"))
+            W.append_manifests(m, manifest_dir)
         if on_batch:
             on_batch(planned, batch_id)
 

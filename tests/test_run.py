@@ -94,6 +94,7 @@ def test_services_end_to_end(spark, tmp_path):
     ret = spark.createDataFrame([("c1", "s1", 1)], "cluster string, stream string, retention_hours int")
     out = R.run_purge(spark, sites["c1"], "2024-01-02 10:00:00", ret)
     assert out["dropped_hours"] == 2
+    assert out["dropped_trash_hours"] == 0  # nothing was trashed: at most 6 files per collector
     assert not os.path.exists(os.path.join(sites["c1"].base(LOCAL_BASE), "stream=s1", "hour=2024-01-01-10"))
 
 
@@ -109,3 +110,19 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     df = read_published(spark, out)
     assert df.filter("batch_id = 7").count() == 1
     assert df.count() == 2
+
+
+def test_trash_then_purge(spark, tmp_path):
+    site = R.Site("c1", str(tmp_path / "c1"))
+    src, dst = _topology(spark)
+    for i in range(8):
+        m = T0 + dt.timedelta(minutes=i)
+        _write(site.root, "s1", "k1", _fname("s1", m), [f"r{i}"], m)
+    out = R.run_local(spark, site, "2024-01-01 11:00:00", 1, src, dst)
+    assert out["new_files"] == 8 and out["trashed"] == 2
+    trash = tmp_path / "c1" / "system" / "trash" / "2024-1-1" / "11"
+    assert sorted(p.name for p in trash.iterdir()) == [f"k1-{_fname('s1', T0)}", f"k1-{_fname('s1', T0 + dt.timedelta(minutes=1))}"]
+    assert len(os.listdir(tmp_path / "c1" / "data" / "s1" / "k1")) == 6
+    ret = spark.createDataFrame([], "cluster string, stream string, retention_hours int")
+    out = R.run_purge(spark, site, "2024-01-02 12:00:00", ret)
+    assert out["dropped_trash_hours"] == 1 and not trash.exists()

@@ -38,6 +38,21 @@ def test_ingest_stream_restart(spark, tmp_path):
     assert spark.read.parquet(led).count() == 3
 
 
+def test_ingest_stream_writes_manifests(spark, tmp_path):
+    land, out, led, ck, man = (str(tmp_path / x) for x in ("land", "out", "ledger", "ck", "man"))
+    os.makedirs(land)
+    _landing(land, "s1", "k1", "s1-2024-01-01-00-00_00000", ["a"])
+    _landing(land, "s2", "k1", "s2-2024-01-01-00-00_00000", ["b"])
+    src = spark.createDataFrame([("s1", "c1", 1)], "stream string, cluster string, retention_hours int")
+    dst = spark.createDataFrame([("s1", "c9", True, 1)], "stream string, cluster string, is_primary boolean, "
+                                                        "retention_hours int")
+    stream.ingest(spark, land, "c1", out, led, ck, trigger={"availableNow": True}, clock=lambda: "2024-01-01 00:01:00",
+                  manifest_dir=man, sources=src, destinations=dst, root="/c1").awaitTermination(120)
+    m = spark.read.parquet(man).collect()
+    assert [(r.dest_cluster, r.stream, r.path) for r in m] == [
+        ("c9", "s1", "/c1/streams_local/s1/2024/01/01/00/01/k1-s1-2024-01-01-00-00_00000.gz")]
+
+
 def test_merge_and_mirror_streams(spark, tmp_path):
     land, local, led, merged, mirror = (str(tmp_path / x) for x in ("land", "local", "led", "merged", "mirror"))
     os.makedirs(land)
