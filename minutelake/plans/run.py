@@ -88,21 +88,38 @@ _MANIFEST_SCHEMA = ("kind string, src_cluster string, via_cluster string, dest_c
 _ACK_SCHEMA = "kind string, dest_cluster string, batch_id bigint"
 
 
-def published_catalog(spark: SparkSession, site: Site, base: str) -> DataFrame:
-    """S3 for our own output: one row per published file, keyed by its logical path."""
+def minute_key(now: str) -> str:
+    """``yyyy-MM-dd-HH-mm`` partition value of the minute of ``now``."""
+    import datetime as _dt
+    return _dt.datetime.fromisoformat(now).strftime("%Y-%m-%d-%H-%M")
+
+
+def published_catalog(spark: SparkSession, site: Site, base: str, minute_keys: list[str] | None = None,
+                      with_length: bool = False) -> DataFrame:
+    """S3 for our own output: one row per published file, keyed by its logical path.
+
+    ``minute_keys`` restricts the read to those minute partitions (pruned at listing time);
+    without ``with_length`` only partition columns and ``file_name`` are read, never the records.
+    """
     d = site.base(base)
-    if not fsops.exists(spark, d):
+    if not fsops.exists(spark, d) or minute_keys == []:
         return spark.createDataFrame([], "cluster string, base string, stream string, minute timestamp_ntz, "
                                          "file_name string, path string, mtime timestamp_ntz, length bigint")
-    rec = read_published(spark, d)
-    g = rec.groupBy("stream", "minute", "file_name").agg(
-        F.max("committed_at").alias("mtime"), F.sum(F.length("value")).cast("long").alias("length"))
+    rec = read_published(spark, d, minutes=minute_keys)
+    length = F.sum(F.length("value")).cast("long") if with_length else F.lit(None).cast("long")
+    g = rec.groupBy("stream", "minute", "file_name").agg(F.max("committed_at").alias("mtime"), length.alias("length"))
     return g.select(F.lit(site.name).alias("cluster"), F.lit(base).alias("base"), "stream", "minute", "file_name",
                     F.concat_ws("/", F.lit(site.root), F.lit(base), F.col("stream"),
                                 F.date_format("minute", L.MINUTE_DIR_FORMAT), F.col("file_name")).alias("path"),
                     "mtime", "length")
 
 
+def _minute_keys(pending: DataFrame) -> list[str]:
+    """Distinct minute partitions a backlog of manifests points to (bounded by the backlog's minutes)."""
+    return [r[0] for r in pending.select(F.date_format("minute", L.FILE_TIME_FORMAT)).distinct().collect()
+            if r[0] is not None]
+
+
 def _ledger_update(spark: SparkSession, site: Site, base: str, published: DataFrame, now: str) -> None:
     """T5: data minute rows of this batch plus the gap minutes before ``now``."""
     ledger = _read_or_empty(spark, site.ledger(), _LEDGER_SCHEMA)
@@ -139,8 +156,7 @@ def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources:
     step("publish")
     _ledger_update(spark, site, LOCAL_BASE, planned.select("stream", "minute").distinct(), now)
     step("ledger")
-    pub = (published_catalog(spark, site, LOCAL_BASE)
-           .filter(F.col("minute") == _ts(now))
+    pub = (published_catalog(spark, site, LOCAL_BASE, [minute_key(now)])
            .join(new_files.select("stream", L.published_name("collector", "file_name").alias("file_name"))
                  .distinct(), ["stream", "file_name"], "left_semi"))
     edges = route.merge_edges(sources, destinations)
@@ -178,10 +194,14 @@ def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str,
     valid = None
     recs = None
     for s in src_sites:
-        cat_s = published_catalog(spark, s, LOCAL_BASE)
-        v = route.valid_paths(pending.filter(F.col("src_site") == s.name), cat_s)
+        mine = pending.filter(F.col("src_site") == s.name)
+        mkeys = _minute_keys(mine)
+        cat_s = published_catalog(spark, s, LOCAL_BASE, mkeys)
+        v = route.valid_paths(mine, cat_s)
         keys = v.drop("minute").join(cat_s.select("path", "stream", "minute", "file_name"), ["path", "stream"])
-        r = (read_published(spark, s.base(LOCAL_BASE))
+        if not mkeys:
+            continue
+        r = (read_published(spark, s.base(LOCAL_BASE), minutes=mkeys)
              .join(keys.select("stream", "minute", "file_name").distinct(), ["stream", "minute", "file_name"],
                    "left_semi"))
         valid = v if valid is None else valid.unionByName(v)
@@ -192,7 +212,7 @@ def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str,
     W.write_published(planned, dest.base(MERGED_BASE), batch_id)
     _ledger_update(spark, dest, MERGED_BASE, planned.select("stream", "minute").distinct(), now)
     # K5/U4: committed files and gap minutes go to the mirrors
-    committed = (published_catalog(spark, dest, MERGED_BASE)
+    committed = (published_catalog(spark, dest, MERGED_BASE, [minute_key(now)])
                  .join(planned.select("stream", "minute", "file_name").distinct(),
                        ["stream", "minute", "file_name"], "left_semi"))
     led = _read_or_empty(spark, dest.ledger(), _LEDGER_SCHEMA).filter(
@@ -212,10 +232,11 @@ def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id:
     pending = _pending(spark, [src], "mirror", mirror.name).checkpoint(eager=True)
     if pending.isEmpty():
         return {"mirrored": 0}
-    cat_m = published_catalog(spark, src, MERGED_BASE)
+    mkeys = _minute_keys(pending)
+    cat_m = published_catalog(spark, src, MERGED_BASE, mkeys)
     keys = route.valid_paths(pending, cat_m).drop("minute").join(cat_m.select("path", "stream", "minute", "file_name"),
-                                                  ["path", "stream"])
-    recs = (read_published(spark, src.base(MERGED_BASE))
+                                                                 ["path", "stream"])
+    recs = (read_published(spark, src.base(MERGED_BASE), minutes=mkeys)
             .join(keys.select("stream", "minute", "file_name").distinct(), ["stream", "minute", "file_name"],
                   "left_semi"))
     planned = publish.plan_mirror(recs.withColumn("base", F.lit(MERGED_BASE)), F.lit(mirror.name))

@@ -61,3 +61,26 @@ def apply_session_settings(spark: SparkSession) -> None:
     """Set the correctness-critical settings on a session someone else built."""
     for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, BASE_CONF[k])
+
+
+def cluster_settings(total_cores: int, advisory_mb: int = 128) -> dict:
+    """Settings for a large cluster, to pass to ``spark-submit --conf`` or ``build_session(extra=...)``.
+
+    * shuffles start wide (``initialPartitionNum`` = 4 x cores) and AQE coalesces them to
+      ``advisory_mb`` partitions, so one setting serves a small audit and a 100 TB publish;
+    * a skewed shuffle partition (hot stream/collector) is split once it exceeds 4x the median
+      and 256 MB (AQE skew join), and ``REBALANCE`` writes split hot output partitions;
+    * scan splits stay at 256 MB; small collector files are packed with a 1 MB open cost
+      (gzip files are unsplittable: one file, one task).
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(4 * total_cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.files.openCostInBytes": "1m",
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+    }
