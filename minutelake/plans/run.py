@@ -199,7 +199,7 @@ def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str,
         cat_s = published_catalog(spark, s, LOCAL_BASE, mkeys)
         v = route.valid_paths(mine, cat_s)
         keys = v.drop("minute").join(cat_s.select("path", "stream", "minute", "file_name"), ["path", "stream"])
-        if not mkeys:
+        if not mkeys or not fsops.exists(spark, s.base(LOCAL_BASE)):
             continue
         r = (read_published(spark, s.base(LOCAL_BASE), minutes=mkeys)
              .join(keys.select("stream", "minute", "file_name").distinct(), ["stream", "minute", "file_name"],
@@ -233,6 +233,8 @@ def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id:
     if pending.isEmpty():
         return {"mirrored": 0}
     mkeys = _minute_keys(pending)
+    if not fsops.exists(spark, src.base(MERGED_BASE)):
+        return {"mirrored": 0}
     cat_m = published_catalog(spark, src, MERGED_BASE, mkeys)
     keys = route.valid_paths(pending, cat_m).drop("minute").join(cat_m.select("path", "stream", "minute", "file_name"),
                                                                  ["path", "stream"])

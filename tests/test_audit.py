@@ -99,3 +99,16 @@ def test_summary_has_consistent_groups(spark):
     groups = spark.createDataFrame([("s1",), ("s2",)], "stream string")
     got = {r.stream: (r.n_missing, r.verdict) for r in audit.summary(diffs, groups, ["stream"]).collect()}
     assert got == {"s1": (1, "inconsistent"), "s2": (0, "consistent")}
+
+
+def test_local_audit_data_and_trash(spark):
+    cf = "cluster string, stream string, collector string, file_name string, path string"
+    data = spark.createDataFrame([("r1", "s", "k", "f3", "/r1/data/s/k/f3"), ("r1", "s", "k", "f4", "/r1/data/s/k/f4")], cf)
+    trash = spark.createDataFrame([("r1", "s", "k", "k-f1", "/r1/system/trash/k-f1"),
+                                   ("r1", "s", "k", "k-f2", "/r1/system/trash/k-f2")], cf)
+    loc = spark.createDataFrame([("r1", "s", "k-f1.gz", "/l/k-f1.gz"), ("r1", "s", "k-f3.gz", "/l/k-f3.gz"),
+                                 ("r1", "s", "k-f9.gz", "/l/k-f9.gz"), ("r2", "s", "k-f1.gz", "/l2/k-f1.gz")],
+                                "cluster string, stream string, file_name string, path string")
+    got = sorted((r.cluster, r.key, r.kind) for r in audit.audit_local(data, trash, loc).collect())
+    assert got == [("r1", "k-f2.gz", "missing"), ("r1", "k-f4.gz", "missing"), ("r1", "k-f9.gz", "extra"),
+                   ("r2", "k-f1.gz", "extra")]

@@ -126,3 +126,19 @@ def test_trash_then_purge(spark, tmp_path):
     ret = spark.createDataFrame([], "cluster string, stream string, retention_hours int")
     out = R.run_purge(spark, site, "2024-01-02 12:00:00", ret)
     assert out["dropped_trash_hours"] == 1 and not trash.exists()
+
+
+def test_all_dangling_manifests_stay_pending(spark, tmp_path):
+    """C14: a merge whose manifest paths all point to absent files commits nothing and acks nothing."""
+    src, dst = _topology(spark)
+    c2 = R.Site("c2", str(tmp_path / "c2"))
+    c1 = R.Site("c1", str(tmp_path / "c1"))
+    man = spark.createDataFrame(
+        [("merge", "c2", "c2", "c1", "s1", f"{c2.root}/streams_local/s1/2024/01/01/00/01/k-gone.gz",
+          dt.datetime(2024, 1, 1, 0, 1), 5)],
+        "kind string, src_cluster string, via_cluster string, dest_cluster string, stream string, path string, "
+        "minute timestamp_ntz, batch_id bigint")
+    W.append_manifests(man, c2.manifests())
+    assert R.run_merge(spark, [c2], c1, "2024-01-01 00:05:00", 1, src, dst) == {"merged_files": 0}
+    assert not os.path.exists(c2.acks())
+    assert R.run_merge(spark, [c2], c1, "2024-01-01 00:06:00", 2, src, dst) == {"merged_files": 0}
