@@ -21,6 +21,19 @@ def effective_retention(sources: DataFrame, destinations: DataFrame,
             .groupBy("cluster", "stream").agg(F.max("retention_hours").alias("retention_hours")))
 
 
+def resolve_retention(present: DataFrame, retention: DataFrame,
+                      default_hours: int = DEFAULT_RETENTION_HOURS) -> DataFrame:
+    """Retention of every (cluster, stream) found on disk; unknown streams take the default.
+
+    ``present``: ``cluster, stream`` rows (e.g. distinct over a catalog); returns
+    ``cluster, stream, retention_hours, origin`` (``config`` or ``default``).
+    """
+    r = bounded_broadcast(retention.select("cluster", "stream", F.col("retention_hours").alias("__r")))
+    j = present.select("cluster", "stream").distinct().join(r, ["cluster", "stream"], "left")
+    return j.select("cluster", "stream", F.coalesce("__r", F.lit(default_hours)).alias("retention_hours"),
+                    F.when(F.col("__r").isNull(), F.lit("default")).otherwise(F.lit("config")).alias("origin"))
+
+
 def is_purge(ts, now, retention_hours) -> F.Column:
     """``age_hours(ts, now) >= retention`` (absolute age, so far future purges too)."""
     return L.age_hours(ts, now) >= L.c(retention_hours)

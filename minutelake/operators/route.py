@@ -40,6 +40,14 @@ def flow_edges(sources: DataFrame, destinations: DataFrame) -> DataFrame:
     return local.unionByName(merge).unionByName(mirror).distinct()
 
 
+def edge_load(edges: DataFrame, files: DataFrame) -> DataFrame:
+    """Flow edges with the number of files each one carries (files at the edge's source cluster)."""
+    n = files.groupBy(F.col("cluster").alias("src_cluster"), "stream").agg(F.count(F.lit(1)).alias("n_files"))
+    return (edges.join(n, ["src_cluster", "stream"], "left")
+            .select("kind", "stream", "src_cluster", "dest_cluster",
+                    F.coalesce("n_files", F.lit(0).cast("long")).alias("n_files")))
+
+
 def merge_edges(sources: DataFrame, destinations: DataFrame, include_mirrors: bool = False) -> DataFrame:
     """Consumers of a source cluster's local stream: ``stream, src_cluster, dest_cluster``.
 

@@ -379,11 +379,14 @@ def q_audit_summary(s: Scenario) -> DataFrame:
 
 # ---------------------------------------------------------------- topology and routing
 @register("flow_edges", sql("""
-SELECT 'local' AS kind, stream, cluster AS src_cluster, cluster AS dest_cluster FROM sources
-UNION SELECT 'merge' AS kind, stream, src_cluster, dest_cluster FROM medges
-UNION SELECT 'mirror' AS kind, stream, src_cluster, dest_cluster FROM redges""", "sources", "medges", "redges"))
+SELECT e.kind, e.stream, e.src_cluster, e.dest_cluster, coalesce(n.n, 0) AS n_files
+FROM (SELECT 'local' AS kind, stream, cluster AS src_cluster, cluster AS dest_cluster FROM sources
+      UNION SELECT 'merge' AS kind, stream, src_cluster, dest_cluster FROM medges
+      UNION SELECT 'mirror' AS kind, stream, src_cluster, dest_cluster FROM redges) e
+LEFT JOIN (SELECT cluster, stream, count(*) AS n FROM cat GROUP BY 1, 2) n
+  ON e.src_cluster = n.cluster AND e.stream = n.stream""", "sources", "medges", "redges", "cat"))
 def q_flow_edges(s: Scenario) -> DataFrame:
-    return route.flow_edges(s.sources, s.destinations)
+    return route.edge_load(route.flow_edges(s.sources, s.destinations), s.collector_files)
 
 
 @register("topology_sources", sql("""
@@ -430,9 +433,14 @@ def q_collapse_manifests(s: Scenario) -> DataFrame:
 
 
 # ---------------------------------------------------------------- retention
-@register("effective_retention", sql("SELECT * FROM eff", "eff"))
+@register("effective_retention", sql("""
+SELECT p.cluster, p.stream, coalesce(e.retention_hours, 48) AS retention_hours,
+       CASE WHEN e.retention_hours IS NULL THEN 'default' ELSE 'config' END AS origin
+FROM (SELECT DISTINCT cluster, stream FROM allf) p LEFT JOIN eff e ON p.cluster = e.cluster AND p.stream = e.stream""",
+    "allf", "eff"))
 def q_effective_retention(s: Scenario) -> DataFrame:
-    return retention.effective_retention(s.sources, s.destinations)
+    present = s.local_files.unionByName(s.merged_files)
+    return retention.resolve_retention(present, retention.effective_retention(s.sources, s.destinations))
 
 
 def _purge(s: Scenario) -> DataFrame:
