@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..functions.skew import join_group_values, next_in_order
+from ..functions.skew import bounded_broadcast, join_group_values, next_in_order
 
 KINDS = ("missing", "replay", "to_be_sent", "extra")
 
@@ -46,6 +46,8 @@ def classify(src: DataFrame, dst: DataFrame, group: list[str], key: str = "key",
     bounds = both.groupBy(*group).agg(F.max(F.when(src_in, F.col(key))).alias("src_max"),
                                       F.max(F.when(dst_in, F.col(key))).alias("dst_max"))
     diff = both.filter(F.col("src_copies").isNull() | F.col("dst_copies").isNull())
+    # ``bounds`` has one row per group, but counting it up front would recompute the join;
+    # AQE sees its materialised size and broadcasts it (no shuffle keyed by a hot group).
     diff = join_group_values(diff, bounds, group)
     k = F.col(key)
     kind = (F.when(F.col("dst_copies").isNull(),
@@ -127,7 +129,9 @@ def audit_mirror(merged_entries: DataFrame, mirror_entries: DataFrame, mirrors:
                                                 F.col("relpath").alias("key"), "path")
     if mirrors is None:
         mirrors = r.select("mirror", "stream").distinct()
-    src = m.join(mirrors.select("stream", "mirror"), "stream")
+    # The fan-out join is keyed by stream alone (low cardinality, possibly one hot stream), so
+    # the mirror list -- one row per (mirror, stream) -- is broadcast behind its row check.
+    src = m.join(bounded_broadcast(mirrors.select("stream", "mirror")), "stream")
     return classify(src, r, ["mirror", "stream"])
 
 

@@ -3,8 +3,9 @@
 All functions are pure DataFrame transforms over ``collector_files`` rows
 (``cluster, stream, collector, file_name, path, mtime, length``).  A collector
 is identified by ``(cluster, stream, collector)``; per-collector results
-(newest file, checkpoint, keep-last-k threshold) are partial aggregates joined
-back, so a collector holding a third of all files never lands in one task.
+(newest file, checkpoint, keep-last-k threshold) are partial aggregates with one
+row per collector, joined back with a size-checked broadcast, so a collector
+holding a third of all files is neither one aggregation task nor one join task.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..functions.skew import join_group_values, kth_largest, latest_per_group
+from ..functions.skew import bounded_broadcast, kth_largest, latest_per_group
 from ..schemas import FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS
 
 COLLECTOR = ["cluster", "stream", "collector"]
@@ -62,7 +63,7 @@ def closed_files(files: DataFrame, now, timeout_ms: int = LAST_FILE_TIMEOUT_MS,
     """
     named = collector_filter(files, predicate)
     cur = current_files(named, now, timeout_ms).select(*COLLECTOR, F.lower("current_file").alias("__cur"))
-    kept = (join_group_values(named, cur, COLLECTOR)
+    kept = (named.join(bounded_broadcast(cur), COLLECTOR, "left")
             .filter(F.col("__cur").isNull() | (F.lower("file_name") != F.col("__cur")))
             .drop("__cur"))
     return nonempty(kept)
@@ -70,8 +71,8 @@ def closed_files(files: DataFrame, now, timeout_ms: int = LAST_FILE_TIMEOUT_MS,
 
 def above_checkpoint(files: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Files whose name sorts above their collector's checkpoint (none -> all)."""
-    ck = checkpoints.select(*COLLECTOR, F.col("file_name").alias("__ckpt"))
-    j = join_group_values(files, ck, COLLECTOR)
+    ck = bounded_broadcast(checkpoints.select(*COLLECTOR, F.col("file_name").alias("__ckpt")))
+    j = files.join(ck, COLLECTOR, "left")
     return j.filter(F.coalesce(F.col("file_name") > F.col("__ckpt"), F.lit(True))).drop("__ckpt")
 
 
@@ -94,7 +95,7 @@ def trash_select(closed: DataFrame, keep: int = FILES_TO_KEEP) -> DataFrame:
     Collectors with at most ``keep`` files have no threshold and keep everything.
     """
     th = kth_largest(closed.select(*COLLECTOR, "file_name"), COLLECTOR, "file_name", keep, "__kth")
-    return (closed.join(th, COLLECTOR, "inner")
+    return (closed.join(bounded_broadcast(th), COLLECTOR, "inner")
             .filter(F.col("file_name") < F.col("__kth")).drop("__kth"))
 
 
@@ -115,7 +116,7 @@ def late_files(closed: DataFrame, checkpoints: DataFrame, published: DataFrame)
     them.  ``published`` is the local stream catalog (``cluster, stream,
     file_name`` = ``<collector>-<file>.gz``).
     """
-    ck = checkpoints.select(*COLLECTOR, F.col("file_name").alias("__ckpt"))
+    ck = bounded_broadcast(checkpoints.select(*COLLECTOR, F.col("file_name").alias("__ckpt")))
     low = closed.join(ck, COLLECTOR, "inner").filter(F.col("file_name") <= F.col("__ckpt")).drop("__ckpt")
     pub = published.select("cluster", "stream", F.col("file_name").alias("__pub"))
     return (low.withColumn("__pub", L.published_name("collector", "file_name"))

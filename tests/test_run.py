@@ -142,3 +142,16 @@ def test_all_dangling_manifests_stay_pending(spark, tmp_path):
     assert R.run_merge(spark, [c2], c1, "2024-01-01 00:05:00", 1, src, dst) == {"merged_files": 0}
     assert not os.path.exists(c2.acks())
     assert R.run_merge(spark, [c2], c1, "2024-01-01 00:06:00", 2, src, dst) == {"merged_files": 0}
+
+
+def test_gzip_text_publish(spark, tmp_path):
+    recs = spark.createDataFrame(
+        [("s", dt.datetime(2024, 1, 1, 0, 1), "k-f.gz", "line\r1"), ("s", dt.datetime(2024, 1, 1, 0, 1), "k-f.gz", "l2"),
+         ("t", dt.datetime(2024, 1, 1, 0, 1), "k-g.gz", "x")],
+        "stream string, minute timestamp_ntz, file_name string, value string")
+    out = str(tmp_path / "txt")
+    W.write_published_text(recs, out)
+    parts = list((tmp_path / "txt" / "stream=s" / "minute_key=2024-01-01-00-01" / "file_name=k-f.gz").iterdir())
+    assert any(p.name.endswith(".gz") for p in parts)
+    back = spark.read.option("lineSep", "\n").text(out)
+    assert sorted(r.value for r in back.collect()) == ["l2", "line\r1", "x"]
