@@ -33,10 +33,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 def join_group_values(df: DataFrame, groups: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join per-group aggregates back onto ``df`` on ``keys``.
 
-    No static hint: the aggregate's size is only known at runtime, so the join is
-    left to AQE, which turns it into a broadcast hash join when the materialised
-    aggregate is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and keeps
-    the shuffle join otherwise.
+    No static hint: the aggregate's size is only known at runtime, and counting it
+    first would compute its whole input twice.  AQE materialises the aggregate as
+    a shuffle stage, checks its actual size and turns the join into a broadcast
+    hash join under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the
+    shuffle join stays and AQE's skew handling splits a hot key's partition.
     """
     return df.join(groups, keys, how)
 

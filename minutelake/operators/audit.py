@@ -127,11 +127,14 @@ def audit_mirror(merged_entries: DataFrame, mirror_entries: DataFrame, mirrors:
     m = _scope(merged_entries, streams).select("stream", F.col("relpath").alias("key"), "path")
     r = _scope(mirror_entries, streams).select(F.col("cluster").alias("mirror"), "stream",
                                                 F.col("relpath").alias("key"), "path")
-    if mirrors is None:
+    derived = mirrors is None
+    if derived:
         mirrors = r.select("mirror", "stream").distinct()
-    # The fan-out join is keyed by stream alone (low cardinality, possibly one hot stream), so
-    # the mirror list -- one row per (mirror, stream) -- is broadcast behind its row check.
-    src = m.join(bounded_broadcast(mirrors.select("stream", "mirror")), "stream")
+    # The fan-out join is keyed by stream alone (low cardinality, possibly one hot stream); the
+    # mirror list has one row per (mirror, stream) and is broadcast: behind a row check when it
+    # is given (topology), by AQE's runtime size check when it is derived from the listing.
+    ml = mirrors.select("stream", "mirror")
+    src = m.join(ml, "stream") if derived else m.join(bounded_broadcast(ml), "stream")
     return classify(src, r, ["mirror", "stream"])
 
 

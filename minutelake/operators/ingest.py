@@ -3,9 +3,12 @@
 All functions are pure DataFrame transforms over ``collector_files`` rows
 (``cluster, stream, collector, file_name, path, mtime, length``).  A collector
 is identified by ``(cluster, stream, collector)``; per-collector results
-(newest file, checkpoint, keep-last-k threshold) are partial aggregates with one
-row per collector, joined back with a size-checked broadcast, so a collector
-holding a third of all files is neither one aggregation task nor one join task.
+(newest file, keep-last-k threshold) are partial aggregates with one row per
+collector, joined back through AQE's runtime broadcast (the materialised
+aggregate's size is checked before broadcasting, a shuffle join with skew
+splitting is the fallback); the stored checkpoint table is broadcast behind an
+explicit row check.  A collector holding a third of all files is neither one
+aggregation task nor one join task.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..functions.skew import bounded_broadcast, kth_largest, latest_per_group
+from ..functions.skew import bounded_broadcast, join_group_values, kth_largest, latest_per_group
 from ..schemas import FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS
 
 COLLECTOR = ["cluster", "stream", "collector"]
@@ -63,7 +66,7 @@ def closed_files(files: DataFrame, now, timeout_ms: int = LAST_FILE_TIMEOUT_MS,
     """
     named = collector_filter(files, predicate)
     cur = current_files(named, now, timeout_ms).select(*COLLECTOR, F.lower("current_file").alias("__cur"))
-    kept = (named.join(bounded_broadcast(cur), COLLECTOR, "left")
+    kept = (join_group_values(named, cur, COLLECTOR)
             .filter(F.col("__cur").isNull() | (F.lower("file_name") != F.col("__cur")))
             .drop("__cur"))
     return nonempty(kept)
@@ -95,7 +98,7 @@ def trash_select(closed: DataFrame, keep: int = FILES_TO_KEEP) -> DataFrame:
     Collectors with at most ``keep`` files have no threshold and keep everything.
     """
     th = kth_largest(closed.select(*COLLECTOR, "file_name"), COLLECTOR, "file_name", keep, "__kth")
-    return (closed.join(bounded_broadcast(th), COLLECTOR, "inner")
+    return (join_group_values(closed, th, COLLECTOR, "inner")
             .filter(F.col("file_name") < F.col("__kth")).drop("__kth"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..functions.skew import bounded_broadcast
+from ..functions.skew import bounded_broadcast, join_group_values
 
 MANIFEST_COLS = ["kind", "src_cluster", "via_cluster", "dest_cluster", "stream", "path", "minute", "batch_id"]
 
@@ -130,6 +130,6 @@ def collapse(manifests: DataFrame) -> DataFrame:
     m = manifests.withColumn("path", F.trim("path"))
     per = m.groupBy("kind", "dest_cluster").agg(F.countDistinct("batch_id").alias("__n"),
                                                F.max("batch_id").alias("__last"))
-    j = m.join(bounded_broadcast(per), ["kind", "dest_cluster"])  # one row per consumer
+    j = join_group_values(m, per, ["kind", "dest_cluster"], "inner")  # one row per consumer
     j = j.withColumn("batch_id", F.when(F.col("__n") > 1, F.col("__last")).otherwise(F.col("batch_id")))
     return j.select("kind", "dest_cluster", "batch_id", "path").distinct()
