@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
+from ..functions.skew import bounded_broadcast
 from ..operators import ingest, publish, route
 from ..schemas import FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS
 
@@ -55,7 +56,7 @@ def merge_records(local_records: DataFrame, sources: DataFrame, destinations: Da
                   commit_minute, include_mirrors: bool = False) -> DataFrame:
     """Local records of every source cluster routed to the stream's primary."""
     e = route.merge_edges(sources, destinations, include_mirrors)
-    j = local_records.join(route.bounded_broadcast(
+    j = local_records.join(bounded_broadcast(
         e.select("stream", F.col("src_cluster").alias("cluster"), "dest_cluster")), ["stream", "cluster"])
     return publish.plan_merge(j, F.col("dest_cluster"), commit_minute)
 
@@ -63,7 +64,7 @@ def merge_records(local_records: DataFrame, sources: DataFrame, destinations: Da
 def mirror_records(merged_records: DataFrame, sources: DataFrame, destinations: DataFrame) -> DataFrame:
     """Merged records copied to every mirror cluster of their stream, minute kept."""
     e = route.flow_edges(sources, destinations).filter(F.col("kind") == "mirror")
-    j = merged_records.join(route.bounded_broadcast(
+    j = merged_records.join(bounded_broadcast(
         e.select("stream", F.col("src_cluster").alias("cluster"), "dest_cluster")), ["stream", "cluster"])
     return publish.plan_mirror(j.drop("cluster"), F.col("dest_cluster")).drop("dest_cluster") \
         .select("cluster", "base", "stream", "minute", "file_name", "collector", "src_file", "value")

@@ -16,9 +16,9 @@ from ..functions import layout as L
 from ..operators import audit, ingest, publish, retention, route
 from ..sources import catalog, topology
 from . import jobs
-from .fixtures import NOW, Scenario, now_col, root_of
+from .fixtures import Scenario, now_col, root_of
 from .oracle import NOW as SQL_NOW
-from .oracle import classify_sql, minute_dir, sql
+from .oracle import classify_sql, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..operators import publish, retention, route
+from ..operators import audit, ingest, publish, retention, route
 from ..schemas import FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS, LOCAL_BASE, MERGED_BASE
 from ..sinks import files as fsops
 from ..sinks import writers as W
@@ -165,12 +165,12 @@ def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources:
     W.write_checkpoints(plan.checkpoints, site.checkpoints(), batch_id)
     step("checkpoint")
     trash_dir = F.concat_ws("/", F.lit(site.system), F.lit("trash"), L.trash_dir(_ts(now)))
-    selected = jobs.ingest.trash_select(plan.closed, keep).checkpoint(eager=True)
+    selected = ingest.trash_select(plan.closed, keep).checkpoint(eager=True)
     moved = 0
     if move_to_trash:
         dst = F.concat_ws("/", trash_dir, L.trash_name("collector", "file_name"))
         moved = fsops.move_files(spark, selected.select(F.col("path").alias("src"), dst.alias("dst")))
-    rows = jobs.ingest.trash_rows(selected, _ts(now))
+    rows = ingest.trash_rows(selected, _ts(now))
     W.append_trash(rows.withColumn("path", F.concat_ws("/", trash_dir, F.col("file_name"))), site.trash_catalog())
     step("trash")
     return {"new_files": n_new, "trashed": moved, "steps": step.times}
@@ -217,7 +217,6 @@ def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str,
                        ["stream", "minute", "file_name"], "left_semi"))
     led = _read_or_empty(spark, dest.ledger(), _LEDGER_SCHEMA).filter(
         (F.col("base") == MERGED_BASE) & (F.col("created_at") == _ts(now)))
-    from ..operators import audit
     entries = audit.stream_entries(committed, led)
     edges = route.flow_edges(sources, destinations)
     W.append_manifests(route.route_mirror(entries, edges, batch_id=F.lit(batch_id).cast("long")), dest.manifests())
