@@ -89,7 +89,7 @@ class Scenario:
         cat = self.cat if where is None else self.cat.filter(where)
         m = L.plus_minutes("minute", shift_minutes)
         return cat.select(
-            cluster_col.alias("cluster"),
+            cluster_col.alias("cluster"), "stream",
             F.concat(F.lit("/"), cluster_col, F.lit(f"/{base}/"), F.col("stream"), F.lit("/"),
                      F.date_format(m, L.MINUTE_DIR_FORMAT), F.lit("/"),
                      L.published_name("collector", "file_name")).alias("path"),

@@ -15,8 +15,12 @@ from ..functions import layout as L
 from ..schemas import DATA_BASE
 
 
-def list_files(spark: SparkSession, directory: str, cluster: str, glob: str | None = None) -> DataFrame:
-    """Distributed recursive listing: ``cluster, path, mtime, length`` (no file content read)."""
+def list_files(spark: SparkSession, directory: str | list[str], cluster: str, glob: str | None = None) -> DataFrame:
+    """Distributed recursive listing: ``cluster, path, mtime, length`` (no file content read).
+
+    ``directory`` may be a list (e.g. only the stream folders an audit is scoped to), so
+    scoping prunes at listing time instead of filtering listed rows.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -36,9 +40,14 @@ def collector_files_from_listing(listing: DataFrame) -> DataFrame:
         "path", "mtime", "length")
 
 
-def collector_files(spark: SparkSession, root: str, cluster: str) -> DataFrame:
-    """List ``<root>/data`` of one cluster."""
-    return collector_files_from_listing(list_files(spark, f"{root.rstrip('/')}/{DATA_BASE}", cluster))
+def _dirs(root: str, base: str, streams) -> str | list[str]:
+    top = f"{root.rstrip('/')}/{base}"
+    return top if streams is None else [f"{top}/{s}" for s in streams]
+
+
+def collector_files(spark: SparkSession, root: str, cluster: str, streams=None) -> DataFrame:
+    """List ``<root>/data`` of one cluster (only the given streams' folders if ``streams``)."""
+    return collector_files_from_listing(list_files(spark, _dirs(root, DATA_BASE, streams), cluster))
 
 
 _PUBLISHED = r"/([^/]+)/([^/]+)/(\d{4}/\d\d/\d\d/\d\d/\d\d)/([^/]+)$"
@@ -47,22 +56,25 @@ _PUBLISHED = r"/([^/]+)/([^/]+)/(\d{4}/\d\d/\d\d/\d\d/\d\d)/([^/]+)$"
 def stream_files_from_listing(listing: DataFrame) -> DataFrame:
     """S3: ``.../<base>/<stream>/yyyy/MM/dd/HH/mm/<file>`` -> stream_files rows."""
     p = F.col("path")
+    # a listing taken per stream folder already knows its stream; keeping that column lets
+    # filters on ``stream`` reach the source instead of stopping at the path parse
+    stream = F.col("stream") if "stream" in listing.columns else F.regexp_extract(p, _PUBLISHED, 2)
     return listing.select(
         "cluster",
         F.regexp_extract(p, _PUBLISHED, 1).alias("base"),
-        F.regexp_extract(p, _PUBLISHED, 2).alias("stream"),
+        stream.alias("stream"),
         L.parse_minute(p).alias("minute"),
         F.regexp_extract(p, _PUBLISHED, 4).alias("file_name"),
         "path", "mtime", "length")
 
 
-def stream_files(spark: SparkSession, root: str, cluster: str, base: str) -> DataFrame:
+def stream_files(spark: SparkSession, root: str, cluster: str, base: str, streams=None) -> DataFrame:
     """S3: list a published base (``streams_local`` or ``streams``) of one cluster.
 
     gzip part files are read back transparently by ``spark.read.text``; here only
-    the listing is taken.
+    the listing is taken (only the given streams' folders if ``streams``).
     """
-    return stream_files_from_listing(list_files(spark, f"{root.rstrip('/')}/{base}", cluster))
+    return stream_files_from_listing(list_files(spark, _dirs(root, base, streams), cluster))
 
 
 def streams(files: DataFrame) -> DataFrame:

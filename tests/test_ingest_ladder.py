@@ -123,3 +123,13 @@ def test_text_manifests_and_trash_listing(spark, tmp_path):
         (t / day / hour / "k-f").write_text("x")
     dirs = sorted(tuple(r)[1:] for r in manifests.trash_dirs(spark, str(tmp_path / "root"), "c").collect())
     assert dirs == [("2024-1-5", "7"), ("2024-1-5", "8"), ("junk", "x")]
+
+
+def test_listing_scoped_to_streams(spark, tmp_path):
+    root = str(tmp_path)
+    for s in ("s1", "s2"):
+        d = os.path.join(root, "data", s, "k")
+        os.makedirs(d)
+        _touch(d, f"{s}-f", "x", T0)
+    got = {r.stream for r in catalog.collector_files(spark, root, "c", streams=["s2"]).collect()}
+    assert got == {"s2"}
