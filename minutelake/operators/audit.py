@@ -195,9 +195,9 @@ def summary(diffs: DataFrame, groups: DataFrame, group: list[str]) -> DataFrame:
     ``groups`` lists every audited group so that consistent groups get a row
     (the reference prints "there are no missing files" for them).
     """
-    counts = diffs.groupBy(*group).agg(
+    # one aggregate over (groups ∪ differences): no join, every group gets its row
+    rows = groups.select(*group, F.lit(None).cast("string").alias("kind")).unionByName(diffs.select(*group, "kind"))
+    out = rows.groupBy(*group).agg(
         *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in KINDS])
-    out = groups.select(*group).distinct().join(counts, group, "left")
-    out = out.select(*group, *[F.coalesce(F.col(f"n_{k}"), F.lit(0).cast("long")).alias(f"n_{k}") for k in KINDS])
     total = sum(F.col(f"n_{k}") for k in KINDS)
     return out.withColumn("verdict", F.when(total == 0, F.lit("consistent")).otherwise(F.lit("inconsistent")))

@@ -16,9 +16,13 @@ MANIFEST_COLS = ["kind", "src_cluster", "via_cluster", "dest_cluster", "stream",
 
 
 def primaries(destinations: DataFrame) -> DataFrame:
-    """``stream -> primary cluster`` (streams without a primary have no row)."""
-    return (destinations.filter(F.coalesce(F.col("is_primary"), F.lit(False)))
-            .select("stream", F.col("cluster").alias("primary")).distinct())
+    """``stream -> primary cluster`` (streams without a primary have no row).
+
+    Configuration-sized (one row per stream), so it is broadcast behind a row check: every
+    topology join below is keyed by ``stream`` alone and must never shuffle on it.
+    """
+    return bounded_broadcast(destinations.filter(F.coalesce(F.col("is_primary"), F.lit(False)))
+                             .select("stream", F.col("cluster").alias("primary")).distinct())
 
 
 def flow_edges(sources: DataFrame, destinations: DataFrame) -> DataFrame:
@@ -59,11 +63,13 @@ def merge_edges(sources: DataFrame, destinations: DataFrame, include_mirrors: bo
     if not include_mirrors:
         return sources.join(p, "stream").select("stream", F.col("cluster").alias("src_cluster"),
                                                 F.col("primary").alias("dest_cluster"))
-    consumers = (sources.join(p, "stream")
-                 .select(F.col("cluster").alias("src_cluster"), F.col("primary").alias("dest_cluster")).distinct())
+    consumers = bounded_broadcast(
+        sources.join(p, "stream")
+        .select(F.col("cluster").alias("src_cluster"), F.col("primary").alias("dest_cluster")).distinct())
+    dests = bounded_broadcast(destinations.select("stream", F.col("cluster").alias("dest_cluster")))
     return (sources.select("stream", F.col("cluster").alias("src_cluster"))
             .join(consumers, "src_cluster")
-            .join(destinations.select("stream", F.col("cluster").alias("dest_cluster")), ["stream", "dest_cluster"])
+            .join(dests, ["stream", "dest_cluster"])
             .select("stream", "src_cluster", "dest_cluster").distinct())
 
 
