@@ -77,8 +77,9 @@ def _ts(now: str):
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A system table read with its declared schema (no inference; empty when absent)."""
     if fsops.exists(spark, path):
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
@@ -206,8 +207,12 @@ def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str,
                    "left_semi"))
         valid = v if valid is None else valid.unionByName(v)
         recs = r if recs is None else recs.unionByName(r, allowMissingColumns=True)
-    if valid is None or valid.isEmpty():  # C14: all paths dangling -> leave the manifests pending
-        return {"merged_files": 0}
+    if valid is None or valid.isEmpty():
+        # C14: nothing valid to pull -> the manifests stay pending; the merged stream is still
+        # gap-filled up to ``now`` and the new empty minutes go to the mirrors (U4)
+        _ledger_update(spark, dest, MERGED_BASE, spark.createDataFrame([], "stream string, minute timestamp_ntz"), now)
+        gaps = _mirror_manifests(spark, dest, None, now, batch_id, sources, destinations)
+        return {"merged_files": 0, "gap_minutes": gaps}
     planned = publish.plan_merge(recs, F.lit(dest.name), _ts(now)).withColumn("committed_at", _ts(now))
     W.write_published(planned, dest.base(MERGED_BASE), batch_id)
     _ledger_update(spark, dest, MERGED_BASE, planned.select("stream", "minute").distinct(), now)
@@ -215,17 +220,33 @@ def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str,
     committed = (published_catalog(spark, dest, MERGED_BASE, [minute_key(now)])
                  .join(planned.select("stream", "minute", "file_name").distinct(),
                        ["stream", "minute", "file_name"], "left_semi"))
-    led = _read_or_empty(spark, dest.ledger(), _LEDGER_SCHEMA).filter(
-        (F.col("base") == MERGED_BASE) & (F.col("created_at") == _ts(now)))
-    entries = audit.stream_entries(committed, led)
-    edges = route.flow_edges(sources, destinations)
-    W.append_manifests(route.route_mirror(entries, edges, batch_id=F.lit(batch_id).cast("long")), dest.manifests())
+    _mirror_manifests(spark, dest, committed, now, batch_id, sources, destinations)
     for s in src_sites:  # K8: acknowledge what was consumed
         acks = pending.filter(F.col("src_site") == s.name).select("kind", "dest_cluster", "batch_id")
         W.append_acks(acks, s.acks())
     return {"merged": True}
 
 
+def _mirror_manifests(spark: SparkSession, dest: Site, committed: DataFrame | None, now: str, batch_id: int,
+                      sources: DataFrame, destinations: DataFrame) -> int:
+    """Append mirror manifests: committed merged files plus the empty minutes created at ``now``."""
+    led = _read_or_empty(spark, dest.ledger(), _LEDGER_SCHEMA).filter(
+        (F.col("base") == MERGED_BASE) & (F.col("created_at") == _ts(now)) & (F.col("state") == "empty"))
+    if committed is None:
+        committed = spark.createDataFrame([], "cluster string, base string, stream string, minute timestamp_ntz, "
+                                              "file_name string, path string, mtime timestamp_ntz, length bigint")
+    entries = audit.stream_entries(committed, led.withColumn("cluster", F.lit(dest.name))).withColumn(
+        "path", F.when(F.col("entry") == "dir",
+                       F.concat_ws("/", F.lit(dest.root), F.col("base"), F.col("stream"),
+                                   F.date_format("minute", L.MINUTE_DIR_FORMAT))).otherwise(F.col("path")))
+    m = route.route_mirror(entries, route.flow_edges(sources, destinations), batch_id=F.lit(batch_id).cast("long"))
+    m = m.checkpoint(eager=True)
+    if m.isEmpty():
+        return 0
+    W.append_manifests(m, dest.manifests())
+    return led.count()
+
+
 def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id: int) -> dict:
     """Copy pending mirror manifests of ``src`` into ``mirror``, minutes preserved."""
     pending = _pending(spark, [src], "mirror", mirror.name).checkpoint(eager=True)

@@ -70,10 +70,13 @@ def test_services_end_to_end(spark, tmp_path):
     R.run_merge(spark, [sites["c1"], sites["c2"]], sites["c1"], "2024-01-01 10:10:00", 10, src, dst)
     merged = read_published(spark, sites["c1"].base(MERGED_BASE))
     assert merged.count() == 14 + 12
-    # merging again finds every manifest acknowledged -> nothing new
-    assert R.run_merge(spark, [sites["c1"], sites["c2"]], sites["c1"], "2024-01-01 10:11:00", 11, src, dst) \
-        == {"merged_files": 0}
-    R.run_mirror(spark, sites["c1"], sites["c3"], "2024-01-01 10:12:00", 12)
+    # merging again finds every manifest acknowledged -> no data, but 10:11..10:14 become empty
+    # minutes of the merged stream and are sent to the mirror (U4)
+    assert R.run_merge(spark, [sites["c1"], sites["c2"]], sites["c1"], "2024-01-01 10:15:00", 11, src, dst) \
+        == {"merged_files": 0, "gap_minutes": 4}
+    R.run_mirror(spark, sites["c1"], sites["c3"], "2024-01-01 10:16:00", 12)
+    mled = spark.read.parquet(sites["c3"].ledger())
+    assert sorted(r.minute.minute for r in mled.filter("state = 'empty'").collect()) == [11, 12, 13, 14]
     mirrored = read_published(spark, sites["c3"].base(MERGED_BASE))
     assert mirrored.count() == merged.count()
     assert {r.minute for r in mirrored.select("minute").distinct().collect()} == \
@@ -139,9 +142,9 @@ def test_all_dangling_manifests_stay_pending(spark, tmp_path):
         "kind string, src_cluster string, via_cluster string, dest_cluster string, stream string, path string, "
         "minute timestamp_ntz, batch_id bigint")
     W.append_manifests(man, c2.manifests())
-    assert R.run_merge(spark, [c2], c1, "2024-01-01 00:05:00", 1, src, dst) == {"merged_files": 0}
+    assert R.run_merge(spark, [c2], c1, "2024-01-01 00:05:00", 1, src, dst)["merged_files"] == 0
     assert not os.path.exists(c2.acks())
-    assert R.run_merge(spark, [c2], c1, "2024-01-01 00:06:00", 2, src, dst) == {"merged_files": 0}
+    assert R.run_merge(spark, [c2], c1, "2024-01-01 00:06:00", 2, src, dst)["merged_files"] == 0
 
 
 def test_gzip_text_publish(spark, tmp_path):
