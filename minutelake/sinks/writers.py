@@ -8,7 +8,7 @@ reads prune by stream / hour / minute and a purge drops whole hour directories.
 * manifests          ``<root>/system/manifests/kind=<k>/dest_cluster=<c>/batch_id=<n>``
 * acks               ``<root>/system/acks``
 * checkpoints        ``<root>/system/checkpoint/batch_id=<n>`` (versioned; readers take the latest)
-* trash catalog      ``<root>/system/trash_catalog/trash_hour_key=<y-M-d-H>``
+* trash catalog      ``<root>/system/trash_catalog/trash_hour_key=<y-M-d-H>/batch_id=<n>``
 
 Writes use dynamic partition overwrite, so re-running a batch rewrites exactly
 the partitions it owns (idempotent replay, T7).  Output is rebalanced with the
@@ -89,7 +89,8 @@ def read_checkpoints(spark: SparkSession, ckpt_dir: str) -> DataFrame:
     return df.filter(F.col("batch_id") == latest).drop("batch_id")
 
 
-def append_trash(trash: DataFrame, trash_dir: str) -> None:
-    """K7: trash catalog rows, partitioned by trash hour."""
-    out = trash.withColumn("trash_hour_key", F.date_format("trash_hour", "y-M-d-H"))
-    _append(out, trash_dir, ["trash_hour_key"])
+def append_trash(trash: DataFrame, trash_dir: str, batch_id: int) -> None:
+    """K7: trash catalog rows of one batch (a replayed batch rewrites its own partition)."""
+    out = (trash.withColumn("trash_hour_key", F.date_format("trash_hour", "y-M-d-H"))
+           .withColumn("batch_id", F.lit(batch_id).cast("long")))
+    _overwrite(out, trash_dir, ["trash_hour_key", "batch_id"])
