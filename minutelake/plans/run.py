@@ -134,12 +134,6 @@ def _ledger_update(spark: SparkSession, site: Site, base: str, published: DataFr
     W.append_ledger(new, site.ledger())
 
 
-def _append_new_ledger_rows(spark: SparkSession, site: Site, rows: DataFrame) -> None:
-    """Ledger rows not yet present (a replayed batch adds nothing twice)."""
-    old = _read_or_empty(spark, site.ledger(), _LEDGER_SCHEMA).select("cluster", "base", "stream", "minute")
-    W.append_ledger(rows.join(old, ["cluster", "base", "stream", "minute"], "left_anti"), site.ledger())
-
-
 def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources: DataFrame,
               destinations: DataFrame, timeout_ms: int = LAST_FILE_TIMEOUT_MS, keep: int = FILES_TO_KEEP,
               move_to_trash: bool = True) -> dict:
@@ -280,7 +274,7 @@ def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id:
     data = (planned.select(F.lit(mirror.name).alias("cluster"), F.lit(MERGED_BASE).alias("base"), "stream",
                            "minute").distinct().withColumn("state", F.lit("data"))
             .withColumn("created_at", _ts(now)))
-    _append_new_ledger_rows(spark, mirror, data.unionByName(empty))
+    W.append_new_ledger_rows(spark, data.unionByName(empty), mirror.ledger())
     W.append_acks(pending.select("kind", "dest_cluster", "batch_id"), src.acks())
     return {"mirrored": True}
 

@@ -64,6 +64,24 @@ def append_ledger(minutes: DataFrame, ledger_dir: str) -> None:
             ["base", "stream"])
 
 
+LEDGER_SCHEMA = ("cluster string, base string, stream string, minute timestamp_ntz, state string, "
+                 "created_at timestamp_ntz")
+
+
+def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
+    """The minute ledger with its declared schema (empty when not written yet)."""
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_dir)
+    except Exception:  # folder absent
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+
+
+def append_new_ledger_rows(spark: SparkSession, rows: DataFrame, ledger_dir: str) -> None:
+    """Ledger rows whose minute is not recorded yet: a replayed batch adds nothing twice."""
+    old = read_ledger(spark, ledger_dir).select("cluster", "base", "stream", "minute")
+    append_ledger(rows.join(old, ["cluster", "base", "stream", "minute"], "left_anti"), ledger_dir)
+
+
 def append_manifests(manifests: DataFrame, manifest_dir: str) -> None:
     """K4/K5: consumer manifests of one batch."""
     _overwrite(manifests, manifest_dir, ["kind", "dest_cluster", "batch_id"], "zstd")
