@@ -9,14 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed formats of the on-disk layout (must equal the reference's).
-MINUTE_DIR_FORMAT = "yyyy/MM/dd/HH/mm"     # streams*/<stream>/yyyy/MM/dd/HH/mm/<file>
-HOUR_DIR_FORMAT = "yyyy/MM/dd/HH"
-FILE_TIME_FORMAT = "yyyy-MM-dd-HH-mm"      # <stream>-yyyy-MM-dd-HH-mm_NNNNN
-TRASH_DAY_FORMAT = "y-M-d"                 # system/trash/y-M-d/H/<collector>-<file>
-TRASH_HOUR_FORMAT = "H"
-COLLECTOR_FILE_SUFFIX = "_00000"
-PUBLISHED_SUFFIX = ".gz"
+from ..constants import (  # noqa: E402
+    COLLECTOR_FILE_SUFFIX, FILE_TIME_FORMAT, HOUR_DIR_FORMAT, MINUTE_DIR_FORMAT, PUBLISHED_SUFFIX, TRASH_DAY_FORMAT,
+    TRASH_HOUR_FORMAT,
+)
 
 _MINUTE_IN_PATH = r"/(\d{4}/\d\d/\d\d/\d\d/\d\d)(/.*)?$"
 _TIME_IN_FILE_NAME = r"-(\d{4}-\d\d-\d\d-\d\d-\d\d)_\d+$"

@@ -18,17 +18,15 @@ from pyspark.sql import functions as F
 
 from ..functions import layout as L
 from ..functions.skew import bounded_broadcast, join_group_values, kth_largest, latest_per_group
-from ..schemas import FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS
+from ..constants import FILES_TO_KEEP, IN_FLIGHT_SUFFIX, LAST_FILE_TIMEOUT_MS, STATS_FILE_NAME
 
 COLLECTOR = ["cluster", "stream", "collector"]
-EXCLUDED_STATS_NAME = "scribe_stats"   # fixed value: rejected in any letter case
-IN_FLIGHT_SUFFIX = "current"           # fixed value: rejected, case-sensitive suffix
 
 
 def accept_name(name="file_name") -> Column:
     """not ending in ``current`` (case-sensitive) and not ``scribe_stats`` (any case)."""
     n = L.c(name)
-    return ~n.endswith(IN_FLIGHT_SUFFIX) & (F.lower(n) != F.lit(EXCLUDED_STATS_NAME))
+    return ~n.endswith(IN_FLIGHT_SUFFIX) & (F.lower(n) != F.lit(STATS_FILE_NAME))
 
 
 def collector_filter(files: DataFrame, predicate: Column | None = None) -> DataFrame:

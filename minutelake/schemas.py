@@ -28,13 +28,7 @@ SOURCES = _struct(("stream", S), ("cluster", S), ("retention_hours", I))
 DESTINATIONS = _struct(("stream", S), ("cluster", S), ("is_primary", B), ("retention_hours", I))
 DEFAULTS = _struct(("rootdir", S), ("retention_hours", I), ("trash_retention_hours", I))
 
-# Base directories of a cluster root.
-LOCAL_BASE = "streams_local"
-MERGED_BASE = "streams"
-DATA_BASE = "data"
-
-# Fixed values that must equal the reference's defaults.
-DEFAULT_RETENTION_HOURS = 48
-DEFAULT_TRASH_RETENTION_HOURS = 24
-LAST_FILE_TIMEOUT_MS = 300_000
-FILES_TO_KEEP = 6
+from .constants import (  # noqa: E402,F401  re-exported for callers
+    DATA_BASE, DEFAULT_RETENTION_HOURS, DEFAULT_TRASH_RETENTION_HOURS, FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS,
+    LOCAL_BASE, MERGED_BASE,
+)

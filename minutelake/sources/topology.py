@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import DEFAULT_RETENTION_HOURS, DEFAULT_TRASH_RETENTION_HOURS
+from ..constants import DEFAULT_RETENTION_HOURS, DEFAULT_TRASH_RETENTION_HOURS
 
 _CLUSTER_XML = T.StructType([
     T.StructField("_name", T.StringType()), T.StructField("_hdfsurl", T.StringType()),
@@ -26,11 +26,10 @@ _STREAM_XML = T.StructType([
     T.StructField("sources", T.StructType([T.StructField("source", T.ArrayType(_SRC))])),
     T.StructField("destinations", T.StructType([T.StructField("destination", T.ArrayType(_DST))])),
 ])
-_ROOT_XML = T.StructType([
-    T.StructField("defaults", T.StructType([
-        T.StructField("rootdir", T.StringType()),
-        T.StructField("retentioninhours", T.StringType()),
-        T.StructField("trashretentioninhours", T.StringType())])),
+_DEFAULTS_XML = T.StructType([
+    T.StructField("rootdir", T.StringType()),
+    T.StructField("retentioninhours", T.StringType()),
+    T.StructField("trashretentioninhours", T.StringType()),
 ])
 
 
@@ -45,10 +44,10 @@ def load(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     ``primary`` is true only for a case-insensitive ``true``; a cluster's own
     ``rootdir`` overrides the default one.
     """
-    defaults = (spark.read.format("xml").option("rowTag", "databus").schema(_ROOT_XML).load(path)
-                .select(F.col("defaults.rootdir").alias("rootdir"),
-                        _hours("defaults.retentioninhours", F.lit(DEFAULT_RETENTION_HOURS)).alias("retention_hours"),
-                        _hours("defaults.trashretentioninhours", F.lit(DEFAULT_TRASH_RETENTION_HOURS))
+    defaults = (spark.read.format("xml").option("rowTag", "defaults").schema(_DEFAULTS_XML).load(path)
+                .select(F.trim("rootdir").alias("rootdir"),
+                        _hours("retentioninhours", F.lit(DEFAULT_RETENTION_HOURS)).alias("retention_hours"),
+                        _hours("trashretentioninhours", F.lit(DEFAULT_TRASH_RETENTION_HOURS))
                         .alias("trash_retention_hours")))
     row = defaults.first()  # one configuration row
     def_hours = F.lit(row["retention_hours"] if row else DEFAULT_RETENTION_HOURS)

@@ -15,8 +15,8 @@ def test_minute_paths(spark):
     ts = dt.datetime(2012, 1, 13, 15, 4)
     assert _one(spark, L.minute_path("x"), ts, "timestamp_ntz") == "2012/01/13/15/04/"
     assert _one(spark, L.hour_path("x"), ts, "timestamp_ntz") == "2012/01/13/15/"
-    assert _one(spark, L.dest_dir(F.lit("hdfs://nn/databus"), "streams", F.lit("s1"), "x"), ts,
-                "timestamp_ntz") == "hdfs://nn/databus/streams/s1/2012/01/13/15/04/"
+    assert _one(spark, L.dest_dir(F.lit("hdfs://nn/root"), "streams", F.lit("s1"), "x"), ts,
+                "timestamp_ntz") == "hdfs://nn/root/streams/s1/2012/01/13/15/04/"
     assert _one(spark, L.trash_dir("x"), dt.datetime(2012, 1, 9, 5, 30), "timestamp_ntz") == "2012-1-9/5"
 
 
