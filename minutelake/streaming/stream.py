@@ -75,7 +75,11 @@ def ingest(spark: SparkSession, landing_dir: str, cluster: str, out_table: str,
         W.write_published(planned, out_table, batch_id)
         minutes = (planned.select("cluster", "base", "stream", "minute").distinct()
                    .withColumn("state", F.lit("data")).withColumn("created_at", now))
-        W.append_new_ledger_rows(df.sparkSession, minutes, ledger_dir)
+        # T5: idle minutes since the previous batch (no trigger fires without new files)
+        known = W.read_ledger(df.sparkSession, ledger_dir).filter(F.col("base") == "streams_local")
+        gaps = publish.gap_minutes(known.select("cluster", "base", "stream", "minute"), now).select(
+            "cluster", "base", "stream", "minute", "state", "created_at")
+        W.append_new_ledger_rows(df.sparkSession, minutes.unionByName(gaps), ledger_dir)
         if manifest_dir is not None and sources is not None and destinations is not None:
             from ..operators import route
             files = planned.select("cluster", "stream", "minute", "file_name").distinct().withColumn(
