@@ -43,17 +43,26 @@ def read_published(spark: SparkSession, table_dir: str, streams=None, minutes=No
 
 
 def read_selected(spark: SparkSession, data_dir: str, selected: DataFrame, cluster: str) -> DataFrame:
-    """S2 without a driver-side path list: scan the collector folder, keep the selected files' lines.
+    """Lines of the selected collector files, with their lineage.
 
-    The folder holds only the files of the current run plus the few the reference keeps per
-    collector (``FILES_TO_KEEP``), so the scan is bounded by the run; the selection (one row per
-    file) is joined on ``_metadata.file_path`` -- broadcast when its row count is under the bound,
-    a shuffle join otherwise.  Files removed between listing and reading are skipped.
-    Lineage (stream, collector, file name) comes from the listing rows.
+    No path list goes through the driver.  The collector folder is scanned with a
+    file-metadata pre-filter -- the modification-time range of the selection, two scalars
+    from one small aggregate -- which Spark's file index applies before opening any file,
+    so files kept from earlier runs (older than everything new) are skipped; the exact
+    selection is then a join on ``_metadata.file_path`` (broadcast when the selection's
+    row count is under the bound, a shuffle join otherwise).  Files removed between
+    listing and reading are skipped.  Lineage (stream, collector, file name) comes from
+    the listing rows.
     """
     from ..functions.skew import bounded_broadcast
+    lo, hi = selected.agg(F.min("mtime"), F.max("mtime")).first()
+    if lo is None:
+        return spark.createDataFrame([], "cluster string, stream string, collector string, src_file string, "
+                                         "value string")
+    mt = F.col("_metadata.file_modification_time")
     lines = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
              .option("ignoreMissingFiles", "true").text(data_dir)
+             .filter((mt >= F.lit(lo).cast("timestamp")) & (mt <= F.lit(hi).cast("timestamp")))
              .select(F.col("_metadata.file_path").alias("__path"), "value"))
     sel = selected.select(F.col("path").alias("__path"), "stream", "collector", F.col("file_name").alias("src_file"))
     return (lines.join(bounded_broadcast(sel), "__path")

@@ -177,3 +177,21 @@ def test_rerun_after_crash_is_idempotent(spark, tmp_path):
     out = R.run_local(spark, site, "2024-01-01 11:00:00", 1, src, dst)
     assert out["new_files"] == 3
     assert counts() == before
+
+
+def test_read_selected_pruned_and_joined(spark, tmp_path):
+    from minutelake.sources import catalog
+    from minutelake.sources.records import read_selected
+    root = str(tmp_path / "c1")
+    for i, name in enumerate(("s1-a", "s1-b", "s1-it's", "s1-z")):
+        _write(root, "s1", "k1", name, [f"{name}-1", f"{name}-2"], T0 + dt.timedelta(minutes=i))
+    files = catalog.collector_files(spark, root, "c1")
+    # the selection's mtime range covers s1-b..s1-it's; s1-a (older) is pruned, s1-z (newer) too
+    sel = files.filter("file_name IN ('s1-b', 's1-it''s')")
+    got = read_selected(spark, f"{root}/data", sel, "c1")
+    assert sorted(r.value for r in got.collect()) == sorted(["s1-b-1", "s1-b-2", "s1-it's-1", "s1-it's-2"])
+    assert {(r.stream, r.collector) for r in got.collect()} == {("s1", "k1")}
+    # a late file with an old mtime is still read (the range only widens)
+    late = files.filter("file_name IN ('s1-a', 's1-z')")
+    got = read_selected(spark, f"{root}/data", late, "c1")
+    assert sorted(r.value for r in got.collect()) == ["s1-a-1", "s1-a-2", "s1-z-1", "s1-z-2"]
