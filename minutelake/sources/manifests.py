@@ -36,3 +36,18 @@ def trash_entries(spark: SparkSession, root: str, cluster: str) -> DataFrame:
     parts = F.split("path", "/")
     return files.select("cluster", L.parse_trash_hour(F.element_at(parts, -3), F.element_at(parts, -2))
                         .alias("trash_hour"), F.element_at(parts, -1).alias("file_name"), "path")
+
+
+def collapse_text_manifests(spark: SparkSession, directory: str, out_dir: str) -> int:
+    """K10 on text manifests: the distinct trimmed paths of a backlog folder as one manifest.
+
+    The collapsed manifest is a folder of part files (readers take a folder), so the
+    backlog is never funnelled through one task.  A folder holding at most one manifest
+    is left alone (returns 0, nothing written); otherwise returns the number of paths.
+    """
+    files = spark.read.format("binaryFile").load(directory).select("path")
+    if files.limit(2).count() <= 1:
+        return 0
+    paths = read_text_manifests(spark, directory, "", "").select("path").distinct()
+    paths.write.mode("errorifexists").option("lineSep", "\n").text(out_dir)
+    return spark.read.text(out_dir).count()

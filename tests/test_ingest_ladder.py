@@ -133,3 +133,18 @@ def test_listing_scoped_to_streams(spark, tmp_path):
         _touch(d, f"{s}-f", "x", T0)
     got = {r.stream for r in catalog.collector_files(spark, root, "c", streams=["s2"]).collect()}
     assert got == {"s2"}
+
+
+def test_collapse_text_manifests(spark, tmp_path):
+    from minutelake.sources import manifests
+    d = tmp_path / "backlog"
+    d.mkdir()
+    (d / "1000").write_text("/a \n/b\n")
+    (d / "1060").write_text("/b\n/c\n\n")
+    assert manifests.collapse_text_manifests(spark, str(d), str(tmp_path / "one")) == 3
+    got = sorted(r.value for r in spark.read.text(str(tmp_path / "one")).collect())
+    assert got == ["/a", "/b", "/c"]
+    single = tmp_path / "single"
+    single.mkdir()
+    (single / "1").write_text("/x\n")
+    assert manifests.collapse_text_manifests(spark, str(single), str(tmp_path / "two")) == 0
