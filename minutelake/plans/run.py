@@ -136,9 +136,13 @@ def _ledger_update(spark: SparkSession, site: Site, base: str, published: DataFr
 
 def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources: DataFrame,
               destinations: DataFrame, timeout_ms: int = LAST_FILE_TIMEOUT_MS, keep: int = FILES_TO_KEEP,
-              move_to_trash: bool = True) -> dict:
+              move_to_trash: bool = True, delete_empty: bool = True) -> dict:
     """One local-stream run of ``site`` committed at ``now``."""
     step = _Steps()
+    if delete_empty:  # empty files idle past the timeout (never the in-flight one)
+        import datetime as _dt
+        now_ms = int(_dt.datetime.fromisoformat(now).replace(tzinfo=_dt.timezone.utc).timestamp() * 1000)
+        fsops.delete_idle_empty_files(spark, f"{site.root}/data", now_ms, timeout_ms)
     # One listing snapshot per run, written to the shared checkpoint folder: every later step
     # (delivery, checkpoint, trash) sees the same files even after they were moved, and a lost
     # executor recomputes nothing from a directory that has changed under it.

@@ -95,3 +95,23 @@ def delete_paths(spark: SparkSession, paths: DataFrame, col: str = "path") -> in
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
+
+
+def delete_idle_empty_files(spark: SparkSession, data_dir: str, now_ms: int, timeout_ms: int) -> int:
+    """delete 0-byte collector files idle for at least ``timeout_ms``.
+
+    Spark's file sources do not list 0-byte files, so this walks the folder with the
+    Hadoop ``listFiles`` iterator (streamed, never materialised) -- the same listing a
+    file scan of the folder performs.  A fresh empty file may be in flight and is kept.
+    """
+    fs, p = _fs(spark, data_dir)
+    if not fs.exists(p):
+        return 0
+    n = 0
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        if st.getLen() == 0 and now_ms - st.getModificationTime() >= timeout_ms:
+            if fs.delete(st.getPath(), False):
+                n += 1
+    return n

@@ -195,3 +195,14 @@ def test_read_selected_pruned_and_joined(spark, tmp_path):
     late = files.filter("file_name IN ('s1-a', 's1-z')")
     got = read_selected(spark, f"{root}/data", late, "c1")
     assert sorted(r.value for r in got.collect()) == ["s1-a-1", "s1-a-2", "s1-z-1", "s1-z-2"]
+
+
+def test_idle_empty_files_deleted(spark, tmp_path):
+    site = R.Site("c1", str(tmp_path / "c1"))
+    src, dst = _topology(spark)
+    _write(site.root, "s1", "k1", _fname("s1", T0), ["r"], T0)
+    _write(site.root, "s1", "k1", "old-empty", [], T0)
+    _write(site.root, "s1", "k1", "fresh-empty", [], T0 + dt.timedelta(minutes=59))
+    R.run_local(spark, site, "2024-01-01 11:00:00", 1, src, dst)
+    left = sorted(os.listdir(tmp_path / "c1" / "data" / "s1" / "k1"))
+    assert left == ["fresh-empty", _fname("s1", T0)]
