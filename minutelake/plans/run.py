@@ -136,8 +136,12 @@ def _ledger_update(spark: SparkSession, site: Site, base: str, published: DataFr
 
 def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources: DataFrame,
               destinations: DataFrame, timeout_ms: int = LAST_FILE_TIMEOUT_MS, keep: int = FILES_TO_KEEP,
-              move_to_trash: bool = True, delete_empty: bool = True) -> dict:
-    """One local-stream run of ``site`` committed at ``now``."""
+              move_to_trash: bool = True, delete_empty: bool = True, include_mirrors: bool = False) -> dict:
+    """One local-stream run of ``site`` committed at ``now``.
+
+    ``include_mirrors=True`` routes manifests as the reference does (C5): a consumer that is
+    primary for any stream of this site also receives its non-primary streams.
+    """
     step = _Steps()
     if delete_empty:  # empty files idle past the timeout (never the in-flight one)
         import datetime as _dt
@@ -164,7 +168,7 @@ def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources:
     pub = (published_catalog(spark, site, LOCAL_BASE, [minute_key(now)])
            .join(new_files.select("stream", L.published_name("collector", "file_name").alias("file_name"))
                  .distinct(), ["stream", "file_name"], "left_semi"))
-    edges = route.merge_edges(sources, destinations)
+    edges = route.merge_edges(sources, destinations, include_mirrors)
     W.append_manifests(route.route_merge(pub, edges, batch_id=F.lit(batch_id).cast("long")), site.manifests())
     step("manifests")
     W.write_checkpoints(plan.checkpoints, site.checkpoints(), batch_id)

@@ -52,7 +52,8 @@ def ingest(spark: SparkSession, landing_dir: str, cluster: str, out_table: str,
            clock: Callable[[], str] = utc_minute, max_files_per_trigger: int | None = None,
            on_batch: Callable[[DataFrame, int], None] | None = None,
            manifest_dir: str | None = None, sources: DataFrame | None = None,
-           destinations: DataFrame | None = None, root: str | None = None) -> StreamingQuery:
+           destinations: DataFrame | None = None, root: str | None = None,
+           include_mirrors: bool = False) -> StreamingQuery:
     """Landing dir ``<stream>/<collector>/<file>`` -> local stream table.
 
     With ``manifest_dir`` and the topology, each batch also appends the merge manifests
@@ -85,7 +86,7 @@ def ingest(spark: SparkSession, landing_dir: str, cluster: str, out_table: str,
             files = planned.select("cluster", "stream", "minute", "file_name").distinct().withColumn(
                 "path", F.concat_ws("/", F.lit(root or ""), F.lit("streams_local"), F.col("stream"),
                                     F.date_format("minute", L.MINUTE_DIR_FORMAT), F.col("file_name")))
-            m = route.route_merge(files, route.merge_edges(sources, destinations),
+            m = route.route_merge(files, route.merge_edges(sources, destinations, include_mirrors),
                                   batch_id=F.lit(batch_id).cast("long"))
             W.append_manifests(m, manifest_dir)
         if on_batch:
