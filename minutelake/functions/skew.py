@@ -90,17 +90,21 @@ def next_in_order(df: DataFrame, keys: list[str], order_col: str, carry: list[st
     b = df.withColumn("__b", bucket)
     w = Window.partitionBy(*keys, "__b").orderBy(order_col)
     names = [order_col] + carry
+    b = b.withColumn("__rn", F.row_number().over(w))
     for n in names:
         b = b.withColumn(f"{prefix}{n}", F.lead(n).over(w))
-    # first row of every bucket: min over the order column with its carried values
-    st = F.struct(F.col(order_col).alias("__o"), *[F.col(n).alias(f"__c_{n}") for n in carry])
-    summary = b.groupBy(*keys, "__b").agg(F.min(st).alias("__first"))
+    # first row of every bucket, straight from the same window (no extra aggregate), then the
+    # successor bucket's first row along the per-group sequence of buckets (one row per bucket)
+    firsts = b.filter(F.col("__rn") == 1).select(
+        *keys, "__b", F.struct(F.col(order_col).alias("__o"), *[F.col(n).alias(f"__c_{n}") for n in carry])
+        .alias("__first"))
     ws = Window.partitionBy(*keys).orderBy("__b")
-    summary = summary.withColumn("__succ", F.lead("__first").over(ws)).select(*keys, "__b", "__succ")
+    summary = firsts.select(*keys, "__b", F.lead("__first").over(ws).alias("__succ"))
     b = join_group_values(b, summary, keys + ["__b"])
     fill = [F.coalesce(F.col(f"{prefix}{order_col}"), F.col("__succ.__o")).alias(f"{prefix}{order_col}")]
     for n in carry:
         fill.append(F.when(F.col(f"{prefix}{order_col}").isNotNull(), F.col(f"{prefix}{n}"))
                     .otherwise(F.col(f"__succ.__c_{n}")).alias(f"{prefix}{n}"))
-    others = [x for x in b.columns if x not in {"__b", "__succ"} and x not in {f"{prefix}{n}" for n in names}]
+    others = [x for x in b.columns
+              if x not in {"__b", "__succ", "__rn"} and x not in {f"{prefix}{n}" for n in names}]
     return b.select(*others, *fill)
