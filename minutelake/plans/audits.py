@@ -77,13 +77,12 @@ def minute_dirs_on_disk(spark: SparkSession, root: str, base: str, cluster: str,
                        L.parse_minute("dir").alias("minute"),
                        L.ntz(F.timestamp_millis("dir_mtime")).alias("dir_mtime"))
     files = published_files(spark, root, base, cluster, names)
-    data = files.groupBy("cluster", "base", "stream", "minute").agg(F.max("mtime").alias("created_at"))
-    empty = (dirs.join(data.select("cluster", "base", "stream", "minute"), ["cluster", "base", "stream", "minute"],
-                       "left_anti")
-             .select("cluster", "base", "stream", "minute", F.lit("empty").alias("state"),
-                     F.col("dir_mtime").alias("created_at")))
-    return data.withColumn("state", F.lit("data")).select(
-        "cluster", "base", "stream", "minute", "state", "created_at").unionByName(empty)
+    data = files.select("cluster", "base", "stream", "minute").distinct().withColumn("state", F.lit("data"))
+    # creation time of a minute = its directory's modification time (when its last entry arrived)
+    out = dirs.join(data, ["cluster", "base", "stream", "minute"], "left")
+    return out.select("cluster", "base", "stream", "minute",
+                      F.coalesce(F.col("state"), F.lit("empty")).alias("state"),
+                      F.col("dir_mtime").alias("created_at"))
 
 
 def local_stream_consistency(spark: SparkSession, roots: list[str]) -> DataFrame:

@@ -17,6 +17,7 @@ def _file(path, mtime=T):
     with open(path, "w") as f:
         f.write("x\n")
     os.utime(path, (_ts(mtime), _ts(mtime)))
+    os.utime(os.path.dirname(path), (_ts(mtime), _ts(mtime)))  # the minute directory changed then
 
 
 def _dir(path, mtime=T):
