@@ -147,6 +147,7 @@ def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources:
         import datetime as _dt
         now_ms = int(_dt.datetime.fromisoformat(now).replace(tzinfo=_dt.timezone.utc).timestamp() * 1000)
         fsops.delete_idle_empty_files(spark, f"{site.root}/data", now_ms, timeout_ms)
+        step("cleanup")
     # One listing snapshot per run, written to the shared checkpoint folder: every later step
     # (delivery, checkpoint, trash) sees the same files even after they were moved, and a lost
     # executor recomputes nothing from a directory that has changed under it.

@@ -100,10 +100,34 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete_idle_empty_files(spark: SparkSession, data_dir: str, now_ms: int, timeout_ms: int) -> int:
     """delete 0-byte collector files idle for at least ``timeout_ms``.
 
-    Spark's file sources do not list 0-byte files, so this walks the folder with the
-    Hadoop ``listFiles`` iterator (streamed, never materialised) -- the same listing a
-    file scan of the folder performs.  A fresh empty file may be in flight and is kept.
+    Spark's file sources do not list 0-byte files, so this walks the folder itself -- the
+    same listing a file scan of the folder performs: with ``os.scandir`` on a local or
+    mounted file system, with the Hadoop ``listFiles`` iterator (streamed, never
+    materialised) otherwise.  A fresh empty file may be in flight and is kept.
     """
+    import os
+    local = _local(data_dir)
+    if local is not None:
+        n = 0
+        stack = [local]
+        while stack:
+            d = stack.pop()
+            try:
+                entries = list(os.scandir(d))
+            except FileNotFoundError:
+                continue
+            for e in entries:
+                if e.is_dir(follow_symlinks=False):
+                    stack.append(e.path)
+                    continue
+                st = e.stat(follow_symlinks=False)
+                if st.st_size == 0 and now_ms - int(st.st_mtime * 1000) >= timeout_ms:
+                    try:
+                        os.remove(e.path)
+                        n += 1
+                    except FileNotFoundError:
+                        pass
+        return n
     fs, p = _fs(spark, data_dir)
     if not fs.exists(p):
         return 0
