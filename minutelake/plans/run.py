@@ -263,23 +263,28 @@ def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id:
     if pending.isEmpty():
         return {"mirrored": 0}
     mkeys = _minute_keys(pending)
-    if not fsops.exists(spark, src.base(MERGED_BASE)):
-        return {"mirrored": 0}
     cat_m = published_catalog(spark, src, MERGED_BASE, mkeys)
-    keys = route.valid_paths(pending, cat_m).drop("minute").join(cat_m.select("path", "stream", "minute", "file_name"),
-                                                                 ["path", "stream"])
-    recs = (read_published(spark, src.base(MERGED_BASE), minutes=mkeys)
-            .join(keys.select("stream", "minute", "file_name").distinct(), ["stream", "minute", "file_name"],
-                  "left_semi"))
-    planned = publish.plan_mirror(recs.withColumn("base", F.lit(MERGED_BASE)), F.lit(mirror.name))
-    W.write_published(planned.drop("committed_at").withColumn("committed_at", _ts(now)),
-                      mirror.base(MERGED_BASE), batch_id)
-    # empty minutes listed in the manifests become ledger rows of the mirror
-    empty = (pending.join(cat_m.select("path"), "path", "left_anti")
+    planned = None
+    if fsops.exists(spark, src.base(MERGED_BASE)):
+        keys = route.valid_paths(pending, cat_m).drop("minute").join(
+            cat_m.select("path", "stream", "minute", "file_name"), ["path", "stream"])
+        recs = (read_published(spark, src.base(MERGED_BASE), minutes=mkeys)
+                .join(keys.select("stream", "minute", "file_name").distinct(), ["stream", "minute", "file_name"],
+                      "left_semi"))
+        planned = publish.plan_mirror(recs.withColumn("base", F.lit(MERGED_BASE)), F.lit(mirror.name))
+        W.write_published(planned.drop("committed_at").withColumn("committed_at", _ts(now)),
+                          mirror.base(MERGED_BASE), batch_id)
+    # empty minutes listed in the manifests (directory paths, not dangling file paths) become
+    # ledger rows of the mirror
+    empty = (pending.filter(F.col("path").rlike(r"/\d{4}/\d\d/\d\d/\d\d/\d\d/?$"))
              .select(F.lit(mirror.name).alias("cluster"), F.lit(MERGED_BASE).alias("base"), "stream",
                      L.parse_minute("path").alias("minute"), F.lit("empty").alias("state"),
                      _ts(now).alias("created_at"))
              .filter(F.col("minute").isNotNull()))
+    if planned is None:
+        W.append_new_ledger_rows(spark, empty, mirror.ledger())
+        W.append_acks(pending.select("kind", "dest_cluster", "batch_id"), src.acks())
+        return {"mirrored": True}
     data = (planned.select(F.lit(mirror.name).alias("cluster"), F.lit(MERGED_BASE).alias("base"), "stream",
                            "minute").distinct().withColumn("state", F.lit("data"))
             .withColumn("created_at", _ts(now)))

@@ -206,3 +206,16 @@ def test_idle_empty_files_deleted(spark, tmp_path):
     R.run_local(spark, site, "2024-01-01 11:00:00", 1, src, dst)
     left = sorted(os.listdir(tmp_path / "c1" / "data" / "s1" / "k1"))
     assert left == ["fresh-empty", _fname("s1", T0)]
+
+
+def test_mirror_gaps_only_and_dangling_file(spark, tmp_path):
+    """Gap minutes reach the mirror before any data; a dangling file path is not an empty minute."""
+    m, r = R.Site("c1", str(tmp_path / "c1")), R.Site("c3", str(tmp_path / "c3"))
+    rows = [("mirror", "c1", "c1", "c3", "s1", f"{m.root}/streams/s1/2024/01/01/00/05", dt.datetime(2024, 1, 1, 0, 5), 1),
+            ("mirror", "c1", "c1", "c3", "s1", f"{m.root}/streams/s1/2024/01/01/00/06/k-gone.gz",
+             dt.datetime(2024, 1, 1, 0, 6), 1)]
+    W.append_manifests(spark.createDataFrame(rows, R._MANIFEST_SCHEMA), m.manifests())
+    R.run_mirror(spark, m, r, "2024-01-01 00:10:00", 1)
+    led = spark.read.parquet(r.ledger()).collect()
+    assert [(x.state, x.minute.minute) for x in led] == [("empty", 5)]
+    assert R.run_mirror(spark, m, r, "2024-01-01 00:11:00", 2) == {"mirrored": 0}  # acknowledged
