@@ -72,6 +72,9 @@ def ingest(spark: SparkSession, landing_dir: str, cluster: str, out_table: str,
 
     def batch(df: DataFrame, batch_id: int) -> None:
         now = F.lit(clock()).cast("timestamp_ntz")
+        # the batch feeds three writes; keep it for the duration of this function (the
+        # foreachBatch idiom) -- a lost block is recomputed from the batch's fixed file list
+        df = df.persist()
         planned = publish.plan_local(df, now).withColumn("committed_at", now)
         W.write_published(planned, out_table, batch_id)
         minutes = (planned.select("cluster", "base", "stream", "minute").distinct()
@@ -91,6 +94,7 @@ def ingest(spark: SparkSession, landing_dir: str, cluster: str, out_table: str,
             W.append_manifests(m, manifest_dir)
         if on_batch:
             on_batch(planned, batch_id)
+        df.unpersist()
 
     return _start(recs, batch, checkpoint, trigger, None)
 
