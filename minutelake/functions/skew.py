@@ -63,18 +63,18 @@ def kth_largest(df: DataFrame, keys: list[str], col: str, k: int, alias: str,
     """The k-th largest distinct-or-not value of ``col`` per group (null if < k rows).
 
     Two stages: rank inside ``(keys, salt)`` buckets and keep the top ``k`` of each
-    bucket (bounded: ``k * salts`` candidates per group), then rank the candidates
-    per group.  Exact, because the global top ``k`` is contained in the union of the
-    per-bucket top ``k``.  Ties between equal values rank consecutively, matching a
-    ``row_number`` over the group.
+    bucket, then take the k-th of the per-group candidate list, which holds at most
+    ``k * salts`` values.  Exact, because the global top ``k`` is contained in the
+    union of the per-bucket top ``k``.  Ties between equal values count separately,
+    matching a ``row_number`` over the group.
     """
     salt = F.abs(F.xxhash64(*[F.col(x) for x in df.columns])) % salts
     staged = df.select(*keys, col).withColumn("__salt", salt)
     w1 = Window.partitionBy(*keys, "__salt").orderBy(F.col(col).desc())
     cand = staged.withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k).drop("__r", "__salt")
-    w2 = Window.partitionBy(*keys).orderBy(F.col(col).desc())
-    ranked = cand.withColumn("__r", F.row_number().over(w2))
-    return ranked.filter(F.col("__r") == k).select(*keys, F.col(col).alias(alias))
+    # second stage: at most k * salts candidates per group, so their sorted list is bounded
+    top = cand.groupBy(*keys).agg(F.sort_array(F.collect_list(col), asc=False).alias("__c"))
+    return top.filter(F.size("__c") >= k).select(*keys, F.element_at("__c", k).alias(alias))
 
 
 def next_in_order(df: DataFrame, keys: list[str], order_col: str, carry: list[str],
