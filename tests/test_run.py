@@ -219,3 +219,14 @@ def test_mirror_gaps_only_and_dangling_file(spark, tmp_path):
     led = spark.read.parquet(r.ledger()).collect()
     assert [(x.state, x.minute.minute) for x in led] == [("empty", 5)]
     assert R.run_mirror(spark, m, r, "2024-01-01 00:11:00", 2) == {"mirrored": 0}  # acknowledged
+
+
+def test_read_records_path_list(spark, tmp_path):
+    from minutelake.sources.records import read_records
+    root = str(tmp_path / "c1")
+    _write(root, "s1", "k1", "s1-f", ["a\rx", "b"], T0)
+    _write(root, "s2", "k2", "s2-f", ["c"], T0)
+    paths = [f"file:{root}/data/s1/k1/s1-f", f"file:{root}/data/s2/k2/s2-f"]
+    got = sorted(tuple(r) for r in read_records(spark, paths, "c1").collect())
+    assert got == [("c1", "s1", "k1", "s1-f", "a\rx"), ("c1", "s1", "k1", "s1-f", "b"), ("c1", "s2", "k2", "s2-f", "c")]
+    assert read_records(spark, [], "c1").count() == 0
