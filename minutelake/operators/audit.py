@@ -163,25 +163,28 @@ def _with_next(minutes: DataFrame) -> DataFrame:
                          bucket=L.ntz(F.date_trunc("day", "minute")))
 
 
-def out_of_order(minutes: DataFrame) -> DataFrame:
+def out_of_order(minutes: DataFrame, streams=None, clusters=None, bases=None) -> DataFrame:
     """A minute created later than the next present minute of its stream.
 
     Returns the earlier minute of the inverted pair, with the later one as
-    ``next_minute``.  Strict ``>``: equal creation times are in order.
+    ``next_minute``.  Strict ``>``: equal creation times are in order.  ``streams``,
+    ``clusters`` and ``bases`` scope the check (F14) before any shuffle.
     """
-    n = _with_next(minutes)
+    n = _with_next(_scope(minutes, streams, clusters, bases))
     return (n.filter(F.col("created_at") > F.col("next_created_at"))
             .select(*_GROUP, "minute", "created_at", "next_minute", "next_created_at"))
 
 
-def missing_minutes(minutes: DataFrame, max_gap_minutes: int | None = None) -> DataFrame:
+def missing_minutes(minutes: DataFrame, max_gap_minutes: int | None = None, streams=None, clusters=None,
+                    bases=None) -> DataFrame:
     """Minutes strictly between consecutive present minutes of a stream.
 
     ``max_gap_minutes`` is an optional guard for pathological gaps; by default the
     whole gap is produced.  Each gap row expands independently (``explode`` of a
     ``sequence``), so output streams out of the task without buffering.
     """
-    n = _with_next(minutes).filter(F.col("next_minute") > L.plus_minutes("minute", 1))
+    n = _with_next(_scope(minutes, streams, clusters, bases)).filter(
+        F.col("next_minute") > L.plus_minutes("minute", 1))
     if max_gap_minutes is not None:
         n = n.filter(F.col("next_minute") <= L.plus_minutes("minute", max_gap_minutes + 1))
     seq = F.sequence(L.plus_minutes("minute", 1), L.plus_minutes("next_minute", -1),

@@ -103,3 +103,13 @@ def test_holes_and_gaps_match_brute_force(spark):
     got = sorted((r.stream, r.minute) for r in
                  publish.gap_minutes(df, F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")).collect())
     assert got == sorted(want_gaps)
+
+
+def test_scoped_minute_checks(spark):
+    rows = [("c", "b", "s", _m(1, 0), _m(1, 0)), ("c", "b", "s", _m(1, 3), _m(1, 3)),
+            ("c", "b", "t", _m(1, 0), _m(1, 5)), ("c", "b", "t", _m(1, 2), _m(1, 2))]
+    m = spark.createDataFrame(rows, SCHEMA)
+    assert {r.stream for r in audit.missing_minutes(m).collect()} == {"s", "t"}
+    assert {r.stream for r in audit.missing_minutes(m, streams=["t"]).collect()} == {"t"}
+    assert audit.out_of_order(m, streams=["s"]).count() == 0
+    assert audit.out_of_order(m, bases=["b"]).count() == 1
