@@ -29,6 +29,7 @@ from ..operators import audit
 from ..schemas import LOCAL_BASE, MERGED_BASE
 from ..sinks import files as fsops
 from ..sources import catalog
+from ..session import apply_session_settings
 from ..sources.manifests import trash_entries
 
 _STREAM_FILES = ("cluster string, base string, stream string, minute timestamp_ntz, file_name string, "
@@ -87,6 +88,7 @@ def minute_dirs_on_disk(spark: SparkSession, root: str, base: str, cluster: str,
 
 def local_stream_consistency(spark: SparkSession, roots: list[str]) -> DataFrame:
     """``localstreamdataconsistency``: (data ∪ trash) vs streams_local, each root on its own."""
+    apply_session_settings(spark)
     data, trash, local = [], [], []
     for r in roots:
         if fsops.exists(spark, f"{r}/data"):
@@ -105,6 +107,7 @@ def local_stream_consistency(spark: SparkSession, roots: list[str]) -> DataFrame
 def merge_stream_consistency(spark: SparkSession, local_roots: list[str], merged_root: str,
                              streams=None) -> DataFrame:
     """``mergestreamdataconsistency``: ∪ local streams vs the merged stream (default: the merged root's streams)."""
+    apply_session_settings(spark)
     names = streams if streams is not None else _stream_names(spark, f"{merged_root}/{MERGED_BASE}")
     local = _union([published_files(spark, r, LOCAL_BASE, r, names) for r in local_roots], spark, _STREAM_FILES)
     merged = published_files(spark, merged_root, MERGED_BASE, merged_root, names)
@@ -114,6 +117,7 @@ def merge_stream_consistency(spark: SparkSession, local_roots: list[str], merged
 def mirror_stream_consistency(spark: SparkSession, merged_root: str, mirror_roots: list[str],
                               streams=None) -> DataFrame:
     """``mirrorstreamdataconsistency``: merged stream vs each mirror, empty minute directories included."""
+    apply_session_settings(spark)
     names = streams if streams is not None else _stream_names(spark, f"{merged_root}/{MERGED_BASE}")
 
     def entries(root: str) -> DataFrame:
@@ -130,6 +134,7 @@ def mirror_stream_consistency(spark: SparkSession, merged_root: str, mirror_root
 
 def orderly_created(spark: SparkSession, roots: list[str], bases=None, streams=None) -> tuple[DataFrame, DataFrame]:
     """``orderlycreated``: (out-of-order minutes, missing minutes) per root, base and stream."""
+    apply_session_settings(spark)
     bases = bases or [LOCAL_BASE, MERGED_BASE]
     m = _union([minute_dirs_on_disk(spark, r, b, r, streams) for r in roots for b in bases
                 if fsops.exists(spark, f"{r}/{b}")], spark,

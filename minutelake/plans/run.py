@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from ..functions import layout as L
 from ..operators import audit, ingest, publish, retention, route
-from ..schemas import FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS, LOCAL_BASE, MERGED_BASE
+from ..schemas import (DEFAULT_RETENTION_HOURS, DEFAULT_TRASH_RETENTION_HOURS, FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS,
+                       LOCAL_BASE, MERGED_BASE)
 from ..sinks import files as fsops
 from ..sinks import writers as W
 from ..sources import catalog
 from ..sources.manifests import trash_dirs
 from ..sources.records import read_published, read_selected
+from ..session import apply_session_settings
 from . import jobs
 
 
@@ -142,6 +144,7 @@ def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources:
     ``include_mirrors=True`` routes manifests as the reference does (C5): a consumer that is
     primary for any stream of this site also receives its non-primary streams.
     """
+    apply_session_settings(spark)
     step = _Steps()
     if delete_empty:  # empty files idle past the timeout (never the in-flight one)
         import datetime as _dt
@@ -201,6 +204,7 @@ def _pending(spark: SparkSession, src_sites: list[Site], kind: str, dest: str) -
 def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str, batch_id: int,
               sources: DataFrame, destinations: DataFrame) -> dict:
     """Pull pending merge manifests of every source site into ``dest``'s merged stream."""
+    apply_session_settings(spark)
     pending = _pending(spark, src_sites, "merge", dest.name).checkpoint(eager=True)
     valid = None
     recs = None
@@ -259,6 +263,7 @@ def _mirror_manifests(spark: SparkSession, dest: Site, committed: DataFrame | No
 
 def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id: int) -> dict:
     """Copy pending mirror manifests of ``src`` into ``mirror``, minutes preserved."""
+    apply_session_settings(spark)
     pending = _pending(spark, [src], "mirror", mirror.name).checkpoint(eager=True)
     if pending.isEmpty():
         return {"mirrored": 0}
@@ -294,8 +299,10 @@ def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id:
 
 
 def run_purge(spark: SparkSession, site: Site, now: str, retention_table: DataFrame,
-              default_hours: int = 48, trash_hours: int = 24) -> dict:
+              default_hours: int = DEFAULT_RETENTION_HOURS,
+              trash_hours: int = DEFAULT_TRASH_RETENTION_HOURS) -> dict:
     """Drop hour partitions past retention in both published bases."""
+    apply_session_settings(spark)
     dropped = 0
     for base in (LOCAL_BASE, MERGED_BASE):
         d = site.base(base)
