@@ -304,6 +304,7 @@ def run_purge(spark: SparkSession, site: Site, now: str, retention_table: DataFr
     """Drop hour partitions past retention in both published bases."""
     apply_session_settings(spark)
     dropped = 0
+    purged_hours = []
     for base in (LOCAL_BASE, MERGED_BASE):
         d = site.base(base)
         if not fsops.exists(spark, d):
@@ -313,9 +314,19 @@ def run_purge(spark: SparkSession, site: Site, now: str, retention_table: DataFr
                          L.ntz(F.try_to_timestamp("hour", F.lit("yyyy-MM-dd-HH"))).alias("hour"),
                          F.col("hour").alias("hour_key")))
         ps = retention.purge_set(hours, retention_table, _ts(now), default_hours)
-        ps = ps.join(hours.select("stream", "hour", "hour_key"), ["stream", "hour"])
+        ps = ps.join(hours.select("stream", "hour", "hour_key"), ["stream", "hour"]).checkpoint(eager=True)
+        purged_hours.append(ps.select("base", "stream", "hour"))
         dropped += fsops.delete_paths(spark, ps.select(
             F.concat(F.lit(d + "/stream="), F.col("stream"), F.lit("/hour="), F.col("hour_key")).alias("path")))
+    # the ledger's minutes of purged hours go with them (the reference deletes the empty minute
+    # directories together with their hour); survivors are materialised before the rewrite
+    if purged_hours and fsops.exists(spark, site.ledger()):
+        gone = purged_hours[0]
+        for g in purged_hours[1:]:
+            gone = gone.unionByName(g)
+        keep = (W.read_ledger(spark, site.ledger()).withColumn("hour", L.hour_of("minute"))
+                .join(gone, ["base", "stream", "hour"], "left_anti").drop("hour").checkpoint(eager=True))
+        W.rewrite_ledger(keep, site.ledger())
     # R2: trash hour directories past the trash retention (unparseable names are purged too)
     trash_root = f"{site.system}/trash"
     dropped_trash = 0

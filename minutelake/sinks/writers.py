@@ -82,6 +82,13 @@ def append_new_ledger_rows(spark: SparkSession, rows: DataFrame, ledger_dir: str
     append_ledger(rows.join(old, ["cluster", "base", "stream", "minute"], "left_anti"), ledger_dir)
 
 
+def rewrite_ledger(rows: DataFrame, ledger_dir: str) -> None:
+    """Replace the whole ledger (after a purge).  ``rows`` must not be a plan over ``ledger_dir``
+    itself: callers checkpoint the survivors first."""
+    (rows.select("cluster", "base", "stream", "minute", "state", "created_at").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("base", "stream").parquet(ledger_dir))
+
+
 def append_manifests(manifests: DataFrame, manifest_dir: str) -> None:
     """K4/K5: consumer manifests of one batch."""
     _overwrite(manifests, manifest_dir, ["kind", "dest_cluster", "batch_id"], "zstd")

@@ -95,8 +95,10 @@ def test_services_end_to_end(spark, tmp_path):
     assert ck == {("k1", _fname("s1", T0 + dt.timedelta(minutes=2))), ("k2", _fname("s1", T0))}
     # purge everything older than 1 hour a day later
     ret = spark.createDataFrame([("c1", "s1", 1)], "cluster string, stream string, retention_hours int")
+    assert spark.read.parquet(sites["c1"].ledger()).count() > 0
     out = R.run_purge(spark, sites["c1"], "2024-01-02 10:00:00", ret)
     assert out["dropped_hours"] == 2
+    assert W.read_ledger(spark, sites["c1"].ledger()).count() == 0   # its minutes went with the hours
     assert out["dropped_trash_hours"] == 0  # nothing was trashed: at most 6 files per collector
     assert not os.path.exists(os.path.join(sites["c1"].base(LOCAL_BASE), "stream=s1", "hour=2024-01-01-10"))
 
