@@ -112,3 +112,12 @@ def test_local_audit_data_and_trash(spark):
     got = sorted((r.cluster, r.key, r.kind) for r in audit.audit_local(data, trash, loc).collect())
     assert got == [("r1", "k-f2.gz", "missing"), ("r1", "k-f4.gz", "missing"), ("r1", "k-f9.gz", "extra"),
                    ("r2", "k-f1.gz", "extra")]
+
+
+def test_duplicate_copies_reported(spark):
+    cols = "cluster string, base string, stream string, file_name string, path string"
+    loc = spark.createDataFrame([("c1", "l", "s", "x", "/1/x"), ("c2", "l", "s", "x", "/2/x"),
+                                 ("c1", "l", "s", "y", "/1/y")], cols)
+    mer = spark.createDataFrame([("c1", "m", "s", "y", "/m/y")], cols)
+    got = [(r.key, r.kind, r.n_copies) for r in audit.audit_merge(loc, mer, with_copies=True).collect()]
+    assert got == [("x", "missing", 2)]
