@@ -18,14 +18,22 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+BROADCAST_MAX_ROWS_CONF = "minutelake.broadcast.maxRows"
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
 
+    ``max_rows`` defaults to the session setting ``minutelake.broadcast.maxRows``
+    (``BROADCAST_MAX_ROWS`` when unset).
+
     The check runs ``limit(max_rows + 1).count()``, which stops reading once the
     bound is exceeded, so it costs at most ``max_rows`` rows.  Above the bound the
     frame is returned unhinted and the join falls back to a shuffle join (AQE can
     still convert it at runtime).
     """
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

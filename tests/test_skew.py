@@ -59,3 +59,14 @@ def test_bounded_broadcast_checks_size(spark, capsys):
     big.explain(True)
     assert "broadcast" not in capsys.readouterr().out.lower()
     assert spark.range(100).join(big, "id").count() == 100
+
+
+def test_bounded_broadcast_bound_from_session(spark, capsys):
+    spark.conf.set(skew.BROADCAST_MAX_ROWS_CONF, "5")
+    try:
+        skew.bounded_broadcast(spark.range(10)).explain(True)
+        assert "broadcast" not in capsys.readouterr().out.lower()
+    finally:
+        spark.conf.unset(skew.BROADCAST_MAX_ROWS_CONF)
+    skew.bounded_broadcast(spark.range(10)).explain(True)
+    assert "broadcast" in capsys.readouterr().out.lower()
