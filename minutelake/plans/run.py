@@ -24,6 +24,7 @@ from ..sinks import writers as W
 from ..sources import catalog
 from ..sources.manifests import trash_dirs
 from ..sources.records import read_published, read_selected
+from ..schemas import COLLECTOR_FILES
 from ..session import apply_session_settings
 from . import jobs
 
@@ -154,7 +155,10 @@ def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources:
     # One listing snapshot per run, written to the shared checkpoint folder: every later step
     # (delivery, checkpoint, trash) sees the same files even after they were moved, and a lost
     # executor recomputes nothing from a directory that has changed under it.
-    files = catalog.collector_files(spark, site.root, site.name).checkpoint(eager=True)
+    if fsops.exists(spark, f"{site.root}/data"):
+        files = catalog.collector_files(spark, site.root, site.name).checkpoint(eager=True)
+    else:  # a site that has received nothing yet
+        files = spark.createDataFrame([], COLLECTOR_FILES)
     ckpt = W.read_checkpoints(spark, site.checkpoints()).checkpoint(eager=True)
     plan = jobs.plan_ingest(files, ckpt, _ts(now), timeout_ms, keep)
     new_files = plan.new_files.checkpoint(eager=True)

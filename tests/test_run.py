@@ -232,3 +232,9 @@ def test_read_records_path_list(spark, tmp_path):
     got = sorted(tuple(r) for r in read_records(spark, paths, "c1").collect())
     assert got == [("c1", "s1", "k1", "s1-f", "a\rx"), ("c1", "s1", "k1", "s1-f", "b"), ("c1", "s2", "k2", "s2-f", "c")]
     assert read_records(spark, [], "c1").count() == 0
+
+
+def test_site_without_data_folder(spark, tmp_path):
+    src, dst = _topology(spark)
+    out = R.run_local(spark, R.Site("c9", str(tmp_path / "c9")), "2024-01-01 00:00:00", 1, src, dst)
+    assert out["new_files"] == 0
