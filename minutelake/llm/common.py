@@ -7,8 +7,13 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+from minutelake.llm.words import slices
 
 #: characters that separate words: blank and 0x09 to 0x0D
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,3 +96,23 @@ def by_group(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.Dat
 def count_up_to(df: DataFrame, most: int) -> int:
     """Rows of ``df``, counted no further than ``most`` + 1: the size check before a broadcast."""
     return df.limit(most + 1).count()
+
+
+def with_text_columns(df: DataFrame, text_col: str, fn: Callable[[list[bytes | None]], dict], schema: str, keep_text: bool = True) -> DataFrame:
+    """``df`` with the columns of ``schema`` that ``fn`` makes from slices of texts; its other columns pass unchanged."""
+    small_batches(df.sparkSession)
+    made = T.StructType.fromDDL(schema)
+    kinds = {f.name: to_arrow_type(f.dataType) for f in made}
+    kept = [f for f in df.schema if keep_text or f.name != text_col]
+    place = df.columns.index(text_col)
+    places = [i for i, f in enumerate(df.schema) if keep_text or f.name != text_col]
+    names = [f.name for f in kept] + list(kinds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).cast(pa.binary()).to_pylist()
+            for a, b in slices(texts):
+                part, out = batch.slice(a, b - a), fn(texts[a:b])
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in places] + [pa.array(out[k], kind) for k, kind in kinds.items()], names=names)
+
+    return df.mapInArrow(run, T.StructType([*kept, *made]))

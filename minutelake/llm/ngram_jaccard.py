@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
 from fractions import Fraction
 from itertools import combinations
 
@@ -31,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutelake.llm.common import ascii_lower, by_group, count_up_to, small_batches, stage, table
+from minutelake.llm.common import ascii_lower, by_group, count_up_to, small_batches, stage, table, with_text_columns
 from minutelake.llm.words import U, Words, mix, slices
 
 #: sets of this many shingles or more are never small: their subsets are too many
@@ -115,20 +114,16 @@ class Signatures:
 
 
 def read_sets(n: int, theta: Fraction, below: int):
-    """Rows (rid, doc_id, tkey, text) to (rid, doc_id, tkey, n_shingles, d1, d2, signatures)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lists = Signatures(theta, below)
-        for batch in batches:
-            texts = [None if x is None else x.encode() for x in batch["text"]]
-            for a, b in slices(texts):
-                sizes, digests, signs = [], [], []
-                for found in Words(texts[a:b]).shingles(n):
-                    sizes.append(len(found))
-                    digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                    signs.append(lists.of(found) if len(found) else np.empty(0, np.int64))
-                pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                yield batch.iloc[a:b].drop(columns="text").assign(n_shingles=sizes, d1=pair[:, 0], d2=pair[:, 1], signatures=signs)
+    """Size, digest and signatures of the set of each text."""
+
+    def run(texts: list[bytes | None]) -> dict:
+        lists, sizes, digests, signs = Signatures(theta, below), [], [], []
+        for found in Words(texts).shingles(n):
+            sizes.append(len(found))
+            digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+            signs.append(lists.of(found) if len(found) else [])
+        pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        return {"n_shingles": sizes, "d1": pair[:, 0], "d2": pair[:, 1], "signatures": signs}
 
     return run
 
@@ -235,9 +230,9 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, words: int = 5, the
     sizes = rows.where(F.octet_length("text") <= 1024).groupBy(guess.alias("s")).count().where(F.col("s") < 2 * SMALL_BELOW)
     below = boundary({r["s"]: r["count"] for r in sizes.collect()}, theta)
 
-    kinds = "rid long, doc_id long, tkey long, n_shingles long, d1 long, d2 long, signatures array<long>"
     read = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "tkey", "text")
-    sets = stage(spark, read.mapInPandas(read_sets(words, theta, below), kinds), "sets")
+    sets = with_text_columns(read, "text", read_sets(words, theta, below), "n_shingles long, d1 long, d2 long, signatures array<long>", keep_text=False)
+    sets = stage(spark, sets, "sets")
     filled = sets.where("n_shingles > 0")
 
     # a node for each distinct set; nodes with more copies come first
