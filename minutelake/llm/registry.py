@@ -1,9 +1,14 @@
 """The queries of this subpackage and their SQL."""
 
-from minutelake.llm import ngram_jaccard
+from minutelake.llm import language_id, mixing, ngram_jaccard, packing, quality_rules
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard.op1_ngram_jaccard_join,
+    "op4_language_id": language_id.op4_language_id,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op7_mixing": mixing.op7_mixing,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
+    "language_id_pages": language_id.pages_language_id,
 }
 
 ORACLE = {
