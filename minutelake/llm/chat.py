@@ -61,7 +61,7 @@ class Layout:
         return F.array(*[said(F.lit(role), F.array_join(F.filter(F.array(*[field(x) for x in fields]), lambda x: F.length(x) > 0), "\n\n")) for role, fields in self.parts])
 
 
-ROWS = Layout("rows", parts=(("", ("conv_id", "role", "text", "turn")),))
+ROWS = Layout("rows", parts=(("", ("role", "text", "turn")),))
 LAYOUTS = (
     ROWS,
     Layout("messages", listed=("messages", "role", "content")),
@@ -73,7 +73,8 @@ LAYOUTS = (
     Layout("system_prompt_response", parts=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",)))),
     Layout("question_answer", parts=(("user", ("question",)), ("assistant", ("answer",)))),
 )
-KNOWN = sorted({p for layout in LAYOUTS for p in layout.paths()})
+#: the layout with most fields is asked first
+BY_SIZE = sorted(LAYOUTS, key=lambda x: -len(x.paths()))
 
 
 def said(role: Column, text: Column) -> Column:
@@ -87,9 +88,9 @@ def role_of(role: Column) -> Column:
     return out
 
 
-def fingerprint(paths: Iterable[str]) -> str:
-    """Hash of the field paths that any layout knows."""
-    return hashlib.md5(",".join(sorted(set(paths) & set(KNOWN))).encode()).hexdigest()
+def fingerprint(paths: Iterable[str], layout: Layout) -> str:
+    """Hash of the field paths, without those that the layout doesn't have."""
+    return hashlib.md5(",".join(sorted(set(paths) & set(layout.paths()))).encode()).hexdigest()
 
 
 def field_paths(kind: T.DataType, at: str = "") -> list[str]:
@@ -101,7 +102,7 @@ def field_paths(kind: T.DataType, at: str = "") -> list[str]:
 
 def layout_of(df: DataFrame) -> Layout:
     paths = field_paths(df.schema)
-    found = {fingerprint(x.paths()): x for x in LAYOUTS}.get(fingerprint(paths))
+    found = next((x for x in BY_SIZE if fingerprint(paths, x) == fingerprint(x.paths(), x)), None)
     if found is None:
         raise ValueError(f"no layout has these fields: {sorted(paths)}")
     return found
@@ -135,12 +136,18 @@ def record_turns(record: Column) -> Column:
         return F.coalesce(F.transform(keys, lambda k: F.concat(F.lit(f"{name}[]."), k)), none)
 
     nested = [element_paths(x.listed[0]) for x in LAYOUTS if x.listed]
-    paths = F.filter(F.concat(top, *nested), lambda p: p.isin(KNOWN))
-    mark = F.md5(F.array_join(F.array_sort(F.array_distinct(paths)), ",").cast("binary"))
-    out = F.lit(None).cast("array<struct<role:string,text:string>>")
-    for layout in LAYOUTS[1:]:
+    paths = F.array_sort(F.array_distinct(F.concat(top, *nested)))
+
+    def mark(layout: Layout) -> Column:
+        return F.md5(F.array_join(F.filter(paths, lambda p: p.isin(layout.paths())), ",").cast("binary"))
+
+    def turns(layout: Layout) -> Column:
         parsed = F.from_json(record, layout.schema())
-        out = F.when(mark == fingerprint(layout.paths()), layout.turns(lambda x, parsed=parsed: parsed[x])).otherwise(out)
+        return layout.turns(lambda x: parsed[x])
+
+    out = F.lit(None).cast("array<struct<role:string,text:string>>")
+    for layout in reversed([x for x in BY_SIZE if x is not ROWS]):
+        out = F.when(mark(layout) == fingerprint(layout.paths(), layout), turns(layout)).otherwise(out)
     return out
 
 
