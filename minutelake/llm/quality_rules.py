@@ -210,7 +210,7 @@ def verdicts(rules: list[Rule]) -> dict[str, Column]:
     chosen = F.lit(None).cast("int")
     for number, rule in reversed(list(enumerate(rules, 1))):
         chosen = F.when(rule.column(), number).otherwise(chosen)
-    return {"base_failed": failed, "rule": chosen, "kept": ~failed & chosen.isNull()}
+    return {"base_failed": failed, "kept": ~failed & chosen.isNull(), "rule": chosen}
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
