@@ -5,37 +5,53 @@ a collector, a file name) holding a third of all rows.  The helpers below
 express per-group results as *partial aggregates* (map-side combine, one small
 row per group and task) that are joined back, never as a window or
 ``collect_list`` over a whole group, and they only broadcast a side after its
-row count has been checked against a bound.
+size has been checked against a bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Row bound under which a side may be broadcast.  Dimension tables (topology,
-# per-stream or per-collector aggregates) sit far below it.
-BROADCAST_MAX_ROWS = 200_000
+# Size (bytes, Catalyst's own estimate) up to which a side is broadcast.  Topology, checkpoints and
+# per-stream tables sit far below it.
+BROADCAST_MAX_BYTES = 64 << 20
 
+BROADCAST_MAX_BYTES_CONF = "minutelake.broadcast.maxBytes"
 
-BROADCAST_MAX_ROWS_CONF = "minutelake.broadcast.maxRows"
 
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only if its estimated size is at most ``max_bytes``; runs no job.
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
+    ``max_bytes`` defaults to the session setting ``minutelake.broadcast.maxBytes``
+    (``BROADCAST_MAX_BYTES`` when unset).  The estimate is the optimized plan's: exact for
+    inline tables, file sizes for tables on disk, and an upper bound (products of sizes for
+    joins, "unknown" = huge for frames built from RDDs) for anything derived.  Above the
+    bound the frame is returned unhinted: the join is a shuffle join that AQE turns into a
+    broadcast when the materialised side is small.
+    """
+    if max_bytes is None:
+        max_bytes = int(df.sparkSession.conf.get(BROADCAST_MAX_BYTES_CONF, str(BROADCAST_MAX_BYTES)))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df
 
-    ``max_rows`` defaults to the session setting ``minutelake.broadcast.maxRows``
-    (``BROADCAST_MAX_ROWS`` when unset).
 
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once the
-    bound is exceeded, so it costs at most ``max_rows`` rows.  Above the bound the
-    frame is returned unhinted and the join falls back to a shuffle join (AQE can
-    still convert it at runtime).
-    """
-    if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A configuration table as an inline relation, whose size Catalyst knows."""
+    names = [x.strip().split(" ")[0] for x in schema.split(",")]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    casts = [F.expr(f"cast({n} AS {k})") for n, k in (x.strip().split(" ") for x in schema.split(","))]
+    values = ", ".join("(" + ", ".join(_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})").select(*casts)
+
+
+def _literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return str(v).lower()
+    return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def join_group_values(df: DataFrame, groups: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -50,11 +66,6 @@ def join_group_values(df: DataFrame, groups: DataFrame, keys: list[str], how: st
     return df.join(groups, keys, how)
 
 
-def group_max(df: DataFrame, keys: list[str], col: str, alias: str) -> DataFrame:
-    """Per-group maximum as a hash aggregate (partial + final, no whole-group task)."""
-    return df.groupBy(*keys).agg(F.max(col).alias(alias))
-
-
 def latest_per_group(df: DataFrame, keys: list[str], order: list[str], take: list[str]) -> DataFrame:
     """Row with the greatest ``order`` tuple per group, via ``max(struct)``.
 
@@ -95,24 +106,21 @@ def next_in_order(df: DataFrame, keys: list[str], order_col: str, carry: list[st
     found on the per-bucket summary (one row per group and bucket, small).
     ``order_col`` must be unique within a group.
     """
-    b = df.withColumn("__b", bucket)
-    w = Window.partitionBy(*keys, "__b").orderBy(order_col)
     names = [order_col] + carry
-    b = b.withColumn("__rn", F.row_number().over(w))
+    # one exchange by (group, bucket) feeds the window, the bucket summary and the join back
+    b = df.withColumn("__b", bucket).repartition(*keys, "__b")
+    w = Window.partitionBy(*keys, "__b").orderBy(order_col)
+    rows = b
     for n in names:
-        b = b.withColumn(f"{prefix}{n}", F.lead(n).over(w))
-    # first row of every bucket, straight from the same window (no extra aggregate), then the
-    # successor bucket's first row along the per-group sequence of buckets (one row per bucket)
-    firsts = b.filter(F.col("__rn") == 1).select(
-        *keys, "__b", F.struct(F.col(order_col).alias("__o"), *[F.col(n).alias(f"__c_{n}") for n in carry])
-        .alias("__first"))
+        rows = rows.withColumn(f"{prefix}{n}", F.lead(n).over(w))
+    first = F.min(F.struct(F.col(order_col).alias("__o"), *[F.col(n).alias(f"__c_{n}") for n in carry]))
+    firsts = b.groupBy(*keys, "__b").agg(first.alias("__first"))
     ws = Window.partitionBy(*keys).orderBy("__b")
     summary = firsts.select(*keys, "__b", F.lead("__first").over(ws).alias("__succ"))
-    b = join_group_values(b, summary, keys + ["__b"])
+    rows = join_group_values(rows, summary, keys + ["__b"])
     fill = [F.coalesce(F.col(f"{prefix}{order_col}"), F.col("__succ.__o")).alias(f"{prefix}{order_col}")]
     for n in carry:
         fill.append(F.when(F.col(f"{prefix}{order_col}").isNotNull(), F.col(f"{prefix}{n}"))
                     .otherwise(F.col(f"__succ.__c_{n}")).alias(f"{prefix}{n}"))
-    others = [x for x in b.columns
-              if x not in {"__b", "__succ", "__rn"} and x not in {f"{prefix}{n}" for n in names}]
-    return b.select(*others, *fill)
+    others = [x for x in rows.columns if x not in {"__b", "__succ"} and x not in {f"{prefix}{n}" for n in names}]
+    return rows.select(*others, *fill)

@@ -1,18 +1,17 @@
 """Audits: local, merge and mirror consistency, out-of-order minutes and holes.
 
 The reference walks two sorted key lists per group on one machine.  Here each
-audit is one full outer join on ``(group, key)`` plus two per-group maxima:
+audit is one aggregate of both sides on ``(group, key)`` plus two per-group maxima:
 
 C9 (the merge walk, restated): a key only on the source side is ``to_be_sent``
 when the destination group is empty or the key sorts above every destination
 key, else ``missing``; a key only on the destination side is ``extra`` when the
 source group is empty or the key sorts above every source key, else ``replay``.
 
-Scale notes: both sides are first reduced to distinct ``(group, key)`` rows
-(partial aggregation, so many copies of one name never meet in one task), the
-join is hash-partitioned on ``(group, key)`` (a hot stream spreads over all
-reducers because the key varies), and the per-group maxima are small partial
-aggregates joined back; no window spans a whole group.
+Scale notes: both sides go through one shuffle on ``(group, key)`` (combined
+map-side, so many copies of one name never meet in one task; a hot stream spreads
+over all reducers because the key varies), and the per-group maxima are small
+partial aggregates joined back; no window spans a whole group.
 """
 
 from __future__ import annotations
@@ -34,30 +33,32 @@ def classify(src: DataFrame, dst: DataFrame, group: list[str], key: str = "key",
     ``group..., key, kind, path`` (the path on the side that has the key; with
     duplicates the greatest path, as the last write into the reference's map).
     """
-    s = src.groupBy(*group, key).agg(F.max(path).alias("src_path"), F.count(F.lit(1)).alias("src_copies"))
-    d = dst.groupBy(*group, key).agg(F.max(path).alias("dst_path"), F.count(F.lit(1)).alias("dst_copies"))
-    both = s.join(d, group + [key], "full_outer")
-    # Per-group upper bounds of each side, from the same join output.  Presence is tested on
-    # both the count and the path so that this branch reads exactly the columns the diff
-    # branch reads: the two sides' aggregates are then identical subplans and Spark reuses
-    # their exchanges instead of scanning and aggregating the catalog again.
-    src_in = F.col("src_copies").isNotNull() & F.col("src_path").isNotNull()
-    dst_in = F.col("dst_copies").isNotNull() & F.col("dst_path").isNotNull()
+    sides = (src.select(*group, key, F.col(path).alias("src_path"), F.lit(None).cast("string").alias("dst_path"),
+                        F.lit(1).alias("__s"), F.lit(0).alias("__d"))
+             .unionByName(dst.select(*group, key, F.lit(None).cast("string").alias("src_path"),
+                                     F.col(path).alias("dst_path"), F.lit(0).alias("__s"), F.lit(1).alias("__d"))))
+    # one shuffle of both sides, combined map-side: a key's copies never meet in one task
+    both = sides.groupBy(*group, key).agg(F.max("src_path").alias("src_path"), F.max("dst_path").alias("dst_path"),
+                                          F.sum("__s").alias("src_copies"), F.sum("__d").alias("dst_copies"))
+    # Per-group upper bounds of each side.  Both branches read the same columns of ``both``, so
+    # Spark runs the union and its exchange once and reuses it.
+    src_in = (F.col("src_copies") > 0) & F.col("src_path").isNotNull()
+    dst_in = (F.col("dst_copies") > 0) & F.col("dst_path").isNotNull()
     bounds = both.groupBy(*group).agg(F.max(F.when(src_in, F.col(key))).alias("src_max"),
                                       F.max(F.when(dst_in, F.col(key))).alias("dst_max"))
-    diff = both.filter(F.col("src_copies").isNull() | F.col("dst_copies").isNull())
-    # ``bounds`` has one row per group, but counting it up front would recompute the join;
-    # AQE sees its materialised size and broadcasts it (no shuffle keyed by a hot group).
+    diff = both.filter((F.col("src_copies") == 0) | (F.col("dst_copies") == 0))
+    # ``bounds`` has one row per group; AQE sees its materialised size and broadcasts it (no
+    # shuffle keyed by a hot group).
     diff = join_group_values(diff, bounds, group)
     k = F.col(key)
-    kind = (F.when(F.col("dst_copies").isNull(),
+    kind = (F.when(F.col("dst_copies") == 0,
                    F.when(F.col("dst_max").isNull() | (k > F.col("dst_max")), F.lit("to_be_sent"))
                    .otherwise(F.lit("missing")))
             .otherwise(F.when(F.col("src_max").isNull() | (k > F.col("src_max")), F.lit("extra"))
                        .otherwise(F.lit("replay"))))
     cols = [*group, key, kind.alias("kind"), F.coalesce("src_path", "dst_path").alias("path")]
     if with_copies:
-        cols.append(F.coalesce("src_copies", "dst_copies").alias("n_copies"))
+        cols.append(F.greatest("src_copies", "dst_copies").alias("n_copies"))
     return diff.select(*cols)
 
 
@@ -175,21 +176,25 @@ def out_of_order(minutes: DataFrame, streams=None, clusters=None, bases=None) ->
             .select(*_GROUP, "minute", "created_at", "next_minute", "next_created_at"))
 
 
-def missing_minutes(minutes: DataFrame, max_gap_minutes: int | None = None, streams=None, clusters=None,
-                    bases=None) -> DataFrame:
-    """Minutes strictly between consecutive present minutes of a stream.
-
-    ``max_gap_minutes`` is an optional guard for pathological gaps; by default the
-    whole gap is produced.  Each gap row expands independently (``explode`` of a
-    ``sequence``), so output streams out of the task without buffering.
-    """
+def missing_ranges(minutes: DataFrame, streams=None, clusters=None, bases=None) -> DataFrame:
+    """W4 as ranges: one row per gap (first and last missing minute, number of minutes)."""
     n = _with_next(_scope(minutes, streams, clusters, bases)).filter(
         F.col("next_minute") > L.plus_minutes("minute", 1))
-    if max_gap_minutes is not None:
-        n = n.filter(F.col("next_minute") <= L.plus_minutes("minute", max_gap_minutes + 1))
-    seq = F.sequence(L.plus_minutes("minute", 1), L.plus_minutes("next_minute", -1),
-                     F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1)))
-    return n.select(*_GROUP, F.explode(seq).alias("minute"))
+    span = F.unix_micros(F.col("next_minute").cast("timestamp")) - F.unix_micros(F.col("minute").cast("timestamp"))
+    return n.select(*_GROUP, L.plus_minutes("minute", 1).alias("gap_start"),
+                    L.plus_minutes("next_minute", -1).alias("gap_end"),
+                    (F.floor(span / F.lit(60_000_000)) - 1).cast("long").alias("n_minutes"))
+
+
+def missing_minutes(minutes: DataFrame, streams=None, clusters=None, bases=None) -> DataFrame:
+    """Every minute strictly between consecutive present minutes of a stream.
+
+    Each gap row expands on its own (``explode`` of a ``sequence``), so output streams out of
+    the task without buffering; :func:`missing_ranges` is the compact form for huge gaps.
+    """
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1))
+    return missing_ranges(minutes, streams, clusters, bases).select(
+        *_GROUP, F.explode(F.sequence("gap_start", "gap_end", step)).alias("minute"))
 
 
 def summary(diffs: DataFrame, groups: DataFrame, group: list[str]) -> DataFrame:

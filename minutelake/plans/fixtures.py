@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
+from ..functions.skew import small_table
 from ..schemas import LOCAL_BASE, MERGED_BASE
 from ..sources import catalog
 
@@ -116,12 +117,12 @@ class Scenario:
     # ---- topology -------------------------------------------------------------------------
     @cached_property
     def sources(self) -> DataFrame:
-        return self.spark.createDataFrame(SOURCES, "stream string, cluster string, retention_hours int")
+        return small_table(self.spark, SOURCES, "stream string, cluster string, retention_hours int")
 
     @cached_property
     def destinations(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            DESTINATIONS, "stream string, cluster string, is_primary boolean, retention_hours int")
+        return small_table(
+            self.spark, DESTINATIONS, "stream string, cluster string, is_primary boolean, retention_hours int")
 
     # ---- ingest scenario --------------------------------------------------------------------
     @cached_property

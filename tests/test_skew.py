@@ -52,8 +52,8 @@ def test_next_in_order_matches_lead(spark):
 
 
 def test_bounded_broadcast_checks_size(spark, capsys):
-    small = skew.bounded_broadcast(spark.range(10), max_rows=100)
-    big = skew.bounded_broadcast(spark.range(1000), max_rows=100)
+    small = skew.bounded_broadcast(spark.range(10), max_bytes=800)
+    big = skew.bounded_broadcast(spark.range(1000), max_bytes=800)
     small.explain(True)
     assert "broadcast" in capsys.readouterr().out.lower()
     big.explain(True)
@@ -62,11 +62,11 @@ def test_bounded_broadcast_checks_size(spark, capsys):
 
 
 def test_bounded_broadcast_bound_from_session(spark, capsys):
-    spark.conf.set(skew.BROADCAST_MAX_ROWS_CONF, "5")
+    spark.conf.set(skew.BROADCAST_MAX_BYTES_CONF, "5")
     try:
         skew.bounded_broadcast(spark.range(10)).explain(True)
         assert "broadcast" not in capsys.readouterr().out.lower()
     finally:
-        spark.conf.unset(skew.BROADCAST_MAX_ROWS_CONF)
+        spark.conf.unset(skew.BROADCAST_MAX_BYTES_CONF)
     skew.bounded_broadcast(spark.range(10)).explain(True)
     assert "broadcast" in capsys.readouterr().out.lower()
