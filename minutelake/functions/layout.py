@@ -139,3 +139,43 @@ def age_hours(ts, now) -> Column:
     """
     diff_us = F.unix_micros(ntz(now).cast("timestamp")) - F.unix_micros(ntz(ts).cast("timestamp"))
     return F.floor(F.abs(diff_us) / F.lit(3_600_000_000)).cast("long")
+
+
+def make_time(year, month, day, hour=0, minute=0) -> Column:
+    """Year, month, day[, hour[, minute]] (columns of numbers or strings, or numbers) -> timestamp.
+
+    Impossible parts give null (the reference's lenient calendar would roll them over).
+    """
+    parts = [F.lit(x) if isinstance(x, int) else c(x).try_cast("int") for x in (year, month, day, hour, minute)]
+    return ntz(F.try_make_timestamp_ntz(*parts, F.lit(0)))
+
+
+def day_hour_string(ts) -> Column:
+    """Unpadded ``y-M-d-H``."""
+    return F.date_format(c(ts), "y-M-d-H")
+
+
+def plain_path(path) -> Column:
+    """A file path in one form: percent escapes undone (``_metadata.file_path`` has them) and ``file:/x``.
+
+    Only for escaped paths; listings carry plain ones (see :func:`one_slash`).
+    """
+    return one_slash(F.url_decode(F.replace(c(path), F.lit("+"), F.lit("%2B"))))
+
+
+def one_slash(path) -> Column:
+    """``scheme:///x`` as ``scheme:/x``; hosts (``scheme://host/x``) stay."""
+    return F.regexp_replace(c(path), r"^([A-Za-z][A-Za-z0-9+.-]*):/{2,3}(?=/|$)", "$1:")
+
+
+# characters that Spark escapes in the folder name of a partition value (fixed by its file layout)
+_ESCAPED = '"#%\'*/:=?\\{[]^' + "\x7f" + "".join(chr(i) for i in range(1, 32))
+
+
+def partition_folder(name: str, value) -> Column:
+    """``name=value`` as Spark writes it for a partition column (special characters percent-escaped)."""
+    v = F.replace(c(value), F.lit("%"), F.lit("%25"))
+    for ch in _ESCAPED:
+        if ch != "%":
+            v = F.replace(v, F.lit(ch), F.lit(f"%{ord(ch):02X}"))
+    return F.concat(F.lit(f"{name}="), v)

@@ -104,7 +104,8 @@ def audit_merge(local_files: DataFrame, merged_files: DataFrame, streams=None,
 def stream_entries(files: DataFrame, minutes: DataFrame) -> DataFrame:
     """Files plus empty minute directories, keyed by their path below the stream dir.
 
-    A file is ``yyyy/MM/dd/HH/mm/<file>``, an empty minute ``yyyy/MM/dd/HH/mm``.
+    A file is ``yyyy/MM/dd/HH/mm/<file>``, an empty minute ``yyyy/MM/dd/HH/mm``.  A cluster is a
+    name (its root is ``/<name>``) or a root path.
     """
     f = files.select("cluster", "base", "stream", "minute",
                      F.concat(F.date_format("minute", L.MINUTE_DIR_FORMAT), F.lit("/"), F.col("file_name"))
@@ -112,7 +113,8 @@ def stream_entries(files: DataFrame, minutes: DataFrame) -> DataFrame:
     e = (minutes.filter(F.col("state") == "empty")
          .select("cluster", "base", "stream", "minute",
                  F.date_format("minute", L.MINUTE_DIR_FORMAT).alias("relpath"), F.lit("dir").alias("entry"),
-                 F.concat_ws("/", F.concat(F.lit("/"), F.col("cluster")), "base", "stream",
+                 F.concat_ws("/", F.when(F.col("cluster").contains("/"), F.rtrim(F.col("cluster"), F.lit("/")))
+                             .otherwise(F.concat(F.lit("/"), F.col("cluster"))), "base", "stream",
                              F.date_format("minute", L.MINUTE_DIR_FORMAT)).alias("path")))
     return f.unionByName(e)
 

@@ -5,11 +5,18 @@ Pure transforms; the writers in ``sinks.writers`` persist their output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
 
+# a line's place in its source file, carried along where the reader gives it
+PLACE = ("block_start", "line_pos", "record_no")
+
+
+def _place(records: DataFrame) -> list[str]:
+    return [c for c in PLACE if c in records.columns]
+
 STREAM_KEY = ["cluster", "base", "stream"]
 
 
@@ -20,7 +27,7 @@ def plan_local(records: DataFrame, commit_minute) -> DataFrame:
         "cluster", F.lit("streams_local").alias("base"), "stream",
         L.minute_of(commit_minute).alias("minute"),
         L.published_name("collector", "src_file").alias("file_name"),
-        "collector", "src_file", "value")
+        "collector", "src_file", "value", *_place(records))
 
 
 def plan_merge(local_records: DataFrame, dest_cluster, commit_minute) -> DataFrame:
@@ -28,7 +35,7 @@ def plan_merge(local_records: DataFrame, dest_cluster, commit_minute) -> DataFra
     published file names are kept."""
     return local_records.select(
         L.c(dest_cluster).alias("cluster"), F.lit("streams").alias("base"), "stream",
-        L.minute_of(commit_minute).alias("minute"), "file_name", "collector", "src_file", "value")
+        L.minute_of(commit_minute).alias("minute"), "file_name", "collector", "src_file", "value", *_place(local_records))
 
 
 def plan_mirror(merged_records: DataFrame, mirror_cluster) -> DataFrame:
@@ -63,10 +70,11 @@ def gap_minutes(minutes: DataFrame, now, keys=STREAM_KEY) -> DataFrame:
             .select(*keys, "minute", F.lit("empty").alias("state"), L.minute_of(now).alias("created_at")))
 
 
-def mirror_order(entries: DataFrame) -> DataFrame:
-    """O1: entries of a stream in minute order (order across streams is free).
+def mirror_positions(entries: DataFrame) -> DataFrame:
+    """O1: ``position`` of an entry (file or empty minute) in its stream's hour folder, by minute and path.
 
-    For writes use ``repartition('stream')`` + ``sortWithinPartitions('minute')``
-    instead of a global sort.
+    Hours of a stream follow each other by name and the order between streams is free, so
+    this is the whole order; a window holds one hour of one stream.
     """
-    return entries.orderBy("stream", "minute", "relpath")
+    w = Window.partitionBy("stream", L.hour_of("minute")).orderBy("minute", "relpath")
+    return entries.withColumn("position", F.row_number().over(w).cast("long"))

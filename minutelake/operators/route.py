@@ -117,6 +117,15 @@ def pending_manifests(manifests: DataFrame, acks: DataFrame) -> DataFrame:
             .agg(F.max("batch_id").alias("batch_id"), F.min("minute").alias("minute")))
 
 
+def pending_batches(manifests: DataFrame, acks: DataFrame) -> DataFrame:
+    """K8: every unacknowledged batch of the backlog -- what a run acknowledges when it has handled the backlog.
+
+    All of them, not only the latest batch that lists a path: a path may be listed by several.
+    """
+    return (manifests.select("kind", "dest_cluster", "batch_id").distinct()
+            .join(acks.select("kind", "dest_cluster", "batch_id"), ["kind", "dest_cluster", "batch_id"], "left_anti"))
+
+
 def valid_paths(pending: DataFrame, existing: DataFrame) -> DataFrame:
     """Keep manifest paths that exist (semi join on path)."""
     return pending.join(existing.select("path"), "path", "left_semi")
@@ -130,12 +139,14 @@ def invalid_paths(pending: DataFrame, existing: DataFrame) -> DataFrame:
 def collapse(manifests: DataFrame) -> DataFrame:
     """Collapse each consumer's backlog into one distinct manifest.
 
-    Consumers with a single batch are left as they are; otherwise all trimmed
-    distinct paths move into the latest batch id.
+    Consumers with a single batch are left as they are; otherwise all trimmed distinct paths
+    move into the latest batch id.  The other manifest columns are kept (of a path listed
+    several times, those of its latest row), so the result can be written back and consumed.
     """
     m = manifests.withColumn("path", F.trim("path"))
-    per = m.groupBy("kind", "dest_cluster").agg(F.countDistinct("batch_id").alias("__n"),
-                                               F.max("batch_id").alias("__last"))
+    per = m.groupBy("kind", "dest_cluster").agg(F.min("batch_id").alias("__first"), F.max("batch_id").alias("__last"))
     j = join_group_values(m, per, ["kind", "dest_cluster"], "inner")  # one row per consumer
-    j = j.withColumn("batch_id", F.when(F.col("__n") > 1, F.col("__last")).otherwise(F.col("batch_id")))
-    return j.select("kind", "dest_cluster", "batch_id", "path").distinct()
+    j = j.withColumn("batch_id", F.when(F.col("__first") < F.col("__last"), F.col("__last")).otherwise(F.col("batch_id")))
+    rest = [c for c in MANIFEST_COLS if c in m.columns and c not in ("kind", "dest_cluster", "batch_id", "path")]
+    out = j.groupBy("kind", "dest_cluster", "batch_id", "path").agg(F.max(F.struct(*rest)).alias("__m"))
+    return out.select("kind", "dest_cluster", "batch_id", "path", *[F.col(f"__m.{c}").alias(c) for c in rest])

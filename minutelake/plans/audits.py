@@ -1,15 +1,18 @@
-"""The four audit commands on directory trees in the reference layout.
+"""The four audit commands, on our own sites and on directory trees in the reference layout.
 
-``<root>/data/<stream>/<collector>/<file>``, ``<root>/system/trash/<y-M-d>/<H>/<file>``,
+A site of ours (one with a commit catalog) is audited from its catalog and minute ledger; no
+folder is listed.  Other roots are trees ``<root>/data/<stream>/<collector>/<file>``,
+``<root>/system/trash/<y-M-d>/<H>/<file>``,
 ``<root>/streams_local|streams/<stream>/yyyy/MM/dd/HH/mm/<file>``.
 
-Files are listed with the distributed ``binaryFile`` listing.  Spark file sources
-cannot see empty directories, so minute directories come from one ``globStatus``
-per stream on the driver -- a list bounded by the number of minutes (retention x
-60 per hour), not by files -- and empty minutes are the set difference with the
-file listing, computed on Spark.
+Their files are listed with the distributed ``binaryFile`` listing; a file that is in none of
+these places is an error, never a silent match.  Spark file sources cannot see empty
+directories, so minute directories come from ``globStatus`` on the driver, many streams at a
+time -- a list bounded by the number of minutes (retention x 60 per hour), not by files -- and
+empty minutes are the set difference with the file listing, computed on Spark.
 
-CLI (same arguments as the reference's launcher)::
+CLI (same arguments as the reference's launcher; ``--output <dir>`` keeps every difference,
+the summary with the verdict is printed)::
 
     python -m minutelake.plans.audits localstreamdataconsistency <root,...>
     python -m minutelake.plans.audits mergestreamdataconsistency <local root,...> <merged root> [<stream,...>]
@@ -20,6 +23,7 @@ CLI (same arguments as the reference's launcher)::
 from __future__ import annotations
 
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +32,7 @@ from ..functions import layout as L
 from ..operators import audit
 from ..schemas import LOCAL_BASE, MERGED_BASE
 from ..sinks import files as fsops
+from ..sinks import writers as W
 from ..sources import catalog
 from ..session import apply_session_settings
 from ..sources.manifests import trash_entries
@@ -52,27 +57,59 @@ def _stream_names(spark: SparkSession, base_dir: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
+class UnknownLayout(ValueError):
+    """Files that are in no place of the layout."""
+
+
+def is_site(spark: SparkSession, root: str) -> bool:
+    """Whether the root is one of ours: it has a commit catalog or a minute ledger."""
+    return any(fsops.exists(spark, f"{root.rstrip('/')}/system/{x}") for x in ("catalog", "minutes"))
+
+
+def stream_names(spark: SparkSession, root: str, base: str) -> list[str]:
+    """Streams of a root: those of its catalog and ledger, or its folders."""
+    root = root.rstrip("/")
+    if not is_site(spark, root):
+        return _stream_names(spark, f"{root}/{base}")
+    names = W.read_table(spark, f"{root}/system/catalog", W.CATALOG_SCHEMA).select("base", "stream").unionByName(
+        W.read_ledger(spark, f"{root}/system/minutes").select("base", "stream"))
+    return sorted(r[0] for r in names.filter(F.col("base") == base).select("stream").distinct().collect())
+
+
 def published_files(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> DataFrame:
-    """S3 over a reference-layout base directory (only the given streams' folders)."""
+    """S3 over a base of a root (only the given streams)."""
+    if is_site(spark, root):
+        rows = W.read_table(spark, f"{root.rstrip('/')}/system/catalog", W.CATALOG_SCHEMA).filter(F.col("base") == base)
+        rows = rows if streams is None else rows.filter(F.col("stream").isin(list(streams)))
+        return rows.select(F.lit(cluster).alias("cluster"), *[c for c in W.CATALOG_COLS if c != "cluster"])
     d = f"{root.rstrip('/')}/{base}"
     names = _stream_names(spark, d) if streams is None else [s for s in streams if fsops.exists(spark, f"{d}/{s}")]
     if not names:
         return spark.createDataFrame([], _STREAM_FILES)
-    return catalog.stream_files(spark, root, cluster, base, streams=names)
+    found = catalog.stream_files(spark, root, cluster, base, streams=names)
+    odd = found.filter((F.col("stream") == "") | (F.col("file_name") == "") | F.col("minute").isNull()).select("path").limit(5).collect()
+    if odd:
+        raise UnknownLayout(f"{d}: not <stream>/yyyy/MM/dd/HH/mm/<file>: {[r[0] for r in odd]}")
+    return found
 
 
 def minute_dirs_on_disk(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> DataFrame:
     """``cluster, base, stream, minute, state, created_at`` for every minute directory, empty ones included."""
+    if is_site(spark, root):
+        led = W.read_ledger(spark, f"{root.rstrip('/')}/system/minutes").filter(F.col("base") == base)
+        led = led if streams is None else led.filter(F.col("stream").isin(list(streams)))
+        return led.select(F.lit(cluster).alias("cluster"), "base", "stream", "minute", "state", "created_at")
     d = f"{root.rstrip('/')}/{base}"
     names = _stream_names(spark, d) if streams is None else list(streams)
     jvm = spark.sparkContext._jvm
-    rows = []
-    for s in names:
-        pat = jvm.org.apache.hadoop.fs.Path(f"{d}/{s}/[0-9]*/[0-9]*/[0-9]*/[0-9]*/[0-9]*")
+
+    def minutes_of(s: str) -> list[tuple[str, str, int]]:
+        pat = jvm.org.apache.hadoop.fs.Path(jvm.org.apache.hadoop.fs.Path(d, s), "[0-9]*/[0-9]*/[0-9]*/[0-9]*/[0-9]*")
         fs = pat.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for st in fs.globStatus(pat) or []:
-            if st.isDirectory():
-                rows.append((s, st.getPath().toString(), st.getModificationTime()))
+        return [(s, st.getPath().toString(), st.getModificationTime()) for st in fs.globStatus(pat) or [] if st.isDirectory()]
+
+    with ThreadPoolExecutor(16) as pool:
+        rows = [x for part in pool.map(minutes_of, names) for x in part]
     dirs = spark.createDataFrame(rows, "stream string, dir string, dir_mtime long")
     dirs = dirs.select(F.lit(cluster).alias("cluster"), F.lit(base).alias("base"), "stream",
                        L.parse_minute("dir").alias("minute"),
@@ -108,7 +145,7 @@ def merge_stream_consistency(spark: SparkSession, local_roots: list[str], merged
                              streams=None) -> DataFrame:
     """``mergestreamdataconsistency``: ∪ local streams vs the merged stream (default: the merged root's streams)."""
     apply_session_settings(spark)
-    names = streams if streams is not None else _stream_names(spark, f"{merged_root}/{MERGED_BASE}")
+    names = streams if streams is not None else stream_names(spark, merged_root, MERGED_BASE)
     local = _union([published_files(spark, r, LOCAL_BASE, r, names) for r in local_roots], spark, _STREAM_FILES)
     merged = published_files(spark, merged_root, MERGED_BASE, merged_root, names)
     return audit.audit_merge(local, merged)
@@ -116,9 +153,13 @@ def merge_stream_consistency(spark: SparkSession, local_roots: list[str], merged
 
 def mirror_stream_consistency(spark: SparkSession, merged_root: str, mirror_roots: list[str],
                               streams=None) -> DataFrame:
-    """``mirrorstreamdataconsistency``: merged stream vs each mirror, empty minute directories included."""
+    """``mirrorstreamdataconsistency``: merged stream vs each mirror, empty minute directories included.
+
+    Default: every stream that the merged root or a mirror has, so one that only a mirror has is reported.
+    """
     apply_session_settings(spark)
-    names = streams if streams is not None else _stream_names(spark, f"{merged_root}/{MERGED_BASE}")
+    names = streams if streams is not None else sorted(
+        {s for r in (merged_root, *mirror_roots) for s in stream_names(spark, r, MERGED_BASE)})
 
     def entries(root: str) -> DataFrame:
         files = published_files(spark, root, MERGED_BASE, root, names)
@@ -137,35 +178,58 @@ def orderly_created(spark: SparkSession, roots: list[str], bases=None, streams=N
     apply_session_settings(spark)
     bases = bases or [LOCAL_BASE, MERGED_BASE]
     m = _union([minute_dirs_on_disk(spark, r, b, r, streams) for r in roots for b in bases
-                if fsops.exists(spark, f"{r}/{b}")], spark,
+                if is_site(spark, r) or fsops.exists(spark, f"{r}/{b}")], spark,
                "cluster string, base string, stream string, minute timestamp_ntz, state string, "
                "created_at timestamp_ntz")
     return audit.out_of_order(m), audit.missing_minutes(m)
 
 
+def verdict(diffs: DataFrame, group: list[str]) -> DataFrame:
+    """One row per group with differences: how many of each kind, and the verdict."""
+    return audit.summary(diffs, diffs.select(*group), group)
+
+
+def _report(name: str, df: DataFrame, group: list[str] | None, output: str | None) -> bool:
+    """Print the summary and the verdict of one check; keep all its rows in ``output``."""
+    if output is not None:
+        df.write.mode("overwrite").parquet(f"{output}/{name}")
+        df = df.sparkSession.read.schema(df.schema).parquet(f"{output}/{name}")
+    counts = verdict(df, group) if group else df.groupBy("cluster", "base", "stream").agg(F.count(F.lit(1)).alias("n"))
+    bad = 0
+    for row in counts.toLocalIterator():
+        bad += 1
+        print(f"{name}: " + ", ".join(f"{k}={v}" for k, v in row.asDict().items()))
+    print(f"{name}: " + ("no inconsistency" if not bad else "inconsistent" + (f"; all rows in {output}/{name}" if output else "")))
+    return not bad
+
+
 def main(argv: list[str]) -> int:
+    """0: consistent; 2: differences; 1: wrong call."""
     from ..session import build_session
+    output = None
+    if "--output" in argv:
+        at = argv.index("--output")
+        output, argv = argv[at + 1], argv[:at] + argv[at + 2:]
     if not argv:
         print(__doc__)
         return 1
     cmd, args = argv[0], argv[1:]
     split = lambda x: [v for v in x.split(",") if v]
+    streams = lambda i: split(args[i]) if len(args) > i else None
     spark = build_session()
     if cmd == "localstreamdataconsistency":
-        out = [local_stream_consistency(spark, split(args[0]))]
+        out = [(cmd, local_stream_consistency(spark, split(args[0])), ["cluster"])]
     elif cmd == "mergestreamdataconsistency":
-        out = [merge_stream_consistency(spark, split(args[0]), args[1], split(args[2]) if len(args) > 2 else None)]
+        out = [(cmd, merge_stream_consistency(spark, split(args[0]), args[1], streams(2)), ["stream"])]
     elif cmd == "mirrorstreamdataconsistency":
-        out = [mirror_stream_consistency(spark, args[0], split(args[1]), split(args[2]) if len(args) > 2 else None)]
+        out = [(cmd, mirror_stream_consistency(spark, args[0], split(args[1]), streams(2)), ["mirror", "stream"])]
     elif cmd == "orderlycreated":
-        out = list(orderly_created(spark, split(args[0]), split(args[1]) if len(args) > 1 else None,
-                                   split(args[2]) if len(args) > 2 else None))
+        disorder, missing = orderly_created(spark, split(args[0]), streams(1), streams(2))
+        out = [("out_of_order", disorder, None), ("missing_minutes", missing, None)]
     else:
         print(__doc__)
         return 1
-    for df in out:
-        df.show(1000, truncate=False)
-    return 0
+    return 0 if all([_report(name, df, group, output) for name, df, group in out]) else 2
 
 
 if __name__ == "__main__":

@@ -10,6 +10,7 @@ destination side, ``% 23`` makes manifest paths dangle, ``% 29`` makes files lat
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,6 +125,24 @@ class Scenario:
         return small_table(
             self.spark, DESTINATIONS, "stream string, cluster string, is_primary boolean, retention_hours int")
 
+    @cached_property
+    def topology_file(self) -> str:
+        """A topology file derived from ``events``: every stream with the clusters that produced it as sources,
+        kept 12 hours for each letter of the stream's name (the second cluster: the file's default, 30)."""
+        from ..session import ensure_checkpoint_dir
+        source = F.concat(F.lit("<source><name>"), F.col("cluster"), F.lit("</name>"), F.when(
+            F.col("cluster") == "cluster1", F.concat(F.lit("<retentioninhours>"), (12 * F.length("stream")).cast("string"),
+                                                     F.lit("</retentioninhours>"))).otherwise(""), F.lit("</source>"))
+        streams = self.cat.select("stream", "cluster").distinct().groupBy("stream").agg(
+            F.array_join(F.sort_array(F.collect_list(source)), "").alias("sources"))  # a few clusters each
+        each = F.concat(F.lit('<stream name="'), "stream", F.lit('"><sources>'), "sources", F.lit("</sources></stream>"))
+        streams = streams.agg(F.array_join(F.sort_array(F.collect_list(each)), "").alias("streams"))  # a configuration file
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/topology-{uuid.uuid4().hex}"
+        streams.select(F.concat(
+            F.lit("<topology><defaults><retentioninhours>30</retentioninhours></defaults><streams>"), "streams",
+            F.lit("</streams></topology>")).alias("value")).write.text(path)
+        return path
+
     # ---- ingest scenario --------------------------------------------------------------------
     @cached_property
     def dirty_files(self) -> DataFrame:

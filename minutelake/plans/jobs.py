@@ -37,12 +37,14 @@ def plan_ingest(files: DataFrame, checkpoints: DataFrame, now, timeout_ms: int =
     """
     if on_late not in ("drop", "deliver"):
         raise ValueError("on_late must be 'drop' or 'deliver'")
+    if on_late == "deliver" and published is None:
+        raise ValueError("on_late='deliver' needs the local stream catalog (published=)")
     closed = ingest.closed_files(files, now, timeout_ms)
     new = ingest.above_checkpoint(closed, checkpoints)
     ck = ingest.advance_checkpoint(closed, checkpoints)
     trash = ingest.trash_rows(ingest.trash_select(closed, keep), now)
     late = ingest.late_files(closed, checkpoints, published) if published is not None else None
-    if on_late == "deliver" and late is not None:
+    if on_late == "deliver":
         new = new.unionByName(late)
     return IngestPlan(closed, new, ck, trash, late)
 
@@ -67,7 +69,8 @@ def mirror_records(merged_records: DataFrame, sources: DataFrame, destinations:
     j = merged_records.join(bounded_broadcast(
         e.select("stream", F.col("src_cluster").alias("cluster"), "dest_cluster")), ["stream", "cluster"])
     return publish.plan_mirror(j.drop("cluster"), F.col("dest_cluster")).drop("dest_cluster") \
-        .select("cluster", "base", "stream", "minute", "file_name", "collector", "src_file", "value")
+        .select("cluster", "base", "stream", "minute", "file_name", "collector", "src_file", "value",
+                *[c for c in publish.PLACE if c in merged_records.columns])
 
 
 def commit_minute_after(minute, n: int = 1):

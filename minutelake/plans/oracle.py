@@ -144,7 +144,7 @@ SELECT r.* FROM rec r WHERE EXISTS (SELECT 1 FROM above a WHERE a.cluster = r.cl
   AND a.collector = r.collector AND a.file_name = r.src_file)""", "rec", "above")
 cte("pub_local", """
 SELECT cluster, 'streams_local' AS base, stream, minute + INTERVAL 1 MINUTE AS minute,
-       concat(collector, '-', src_file, '.gz') AS file_name, collector, src_file, value FROM new_rec""", "new_rec")
+       concat(collector, '-', src_file, '.gz') AS file_name, collector, src_file, value, record_no FROM new_rec""", "new_rec")
 cte("prim", "SELECT DISTINCT stream, cluster AS primary_cluster FROM destinations WHERE coalesce(is_primary, false)",
     "destinations")
 cte("medges", """
@@ -155,7 +155,7 @@ SELECT d.stream, p.primary_cluster AS src_cluster, d.cluster AS dest_cluster FRO
 JOIN prim p ON d.stream = p.stream WHERE NOT coalesce(d.is_primary, false)""", "destinations", "prim")
 cte("pub_merge", """
 SELECT e.dest_cluster AS cluster, 'streams' AS base, l.stream, l.minute + INTERVAL 1 MINUTE AS minute, l.file_name,
-       l.collector, l.src_file, l.value
+       l.collector, l.src_file, l.value, l.record_no
 FROM pub_local l JOIN medges e ON l.stream = e.stream AND l.cluster = e.src_cluster""", "pub_local", "medges")
 
 # ---- minute directories ----------------------------------------------------------------------
@@ -225,6 +225,10 @@ FROM (SELECT * FROM man0 UNION ALL
       SELECT kind, src_cluster, via_cluster, dest_cluster, stream, path, minute, CAST(2 AS BIGINT), hhmm
       FROM man0 WHERE hhmm % 5 = 0)""", "man0")
 cte("acks", "SELECT DISTINCT kind, dest_cluster, CAST(0 AS BIGINT) AS batch_id FROM man", "man")
+cte("acked", """
+SELECT DISTINCT kind, dest_cluster, batch_id FROM man m
+WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.kind = m.kind AND a.dest_cluster = m.dest_cluster AND a.batch_id = m.batch_id)
+  AND dest_cluster = 'cluster1'""", "man", "acks")
 cte("pend", """
 SELECT kind, dest_cluster, stream, trim(path) AS path, max(batch_id) AS batch_id, min(minute) AS minute
 FROM man m WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.kind = m.kind AND a.dest_cluster = m.dest_cluster

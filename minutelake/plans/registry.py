@@ -118,26 +118,32 @@ SELECT file_name,
          AS event_minute,
        strftime(try_strptime(regexp_extract(file_name, '-(\d{4}-\d\d-\d\d-\d\d-\d\d)_\d+$', 1),
                              '%Y-%m-%d-%H-%M'), '%Y-%m-%d-%H-%M') AS event_minute_str,
-       date_trunc('minute', mtime) AS mtime_minute
+       date_trunc('minute', mtime) AS mtime_minute,
+       make_timestamp(year(mtime), month(mtime), 1 + (minute(mtime) + day(mtime)) % 28, hour(mtime), minute(mtime), 0) AS made_time
 FROM dirty""", "dirty"))
 def q_event_minute(s: Scenario) -> DataFrame:
     em = L.event_minute("file_name")
     return s.dirty_files.select("file_name", em.alias("event_minute"),
                                 L.file_time_string(em).alias("event_minute_str"),
-                                L.minute_of("mtime").alias("mtime_minute"))
+                                L.minute_of("mtime").alias("mtime_minute"),
+                                L.make_time(F.date_format("mtime", "y"), F.date_format("mtime", "M"),
+                                            1 + (F.minute("mtime") + F.dayofmonth("mtime")) % 28, F.hour("mtime"),
+                                            F.minute("mtime")).alias("made_time"))
 
 
 @register("trash_bucket", sql("""
 SELECT cluster, stream, collector, file_name, strftime(mtime, '%Y-%-m-%-d') AS trash_day,
        strftime(mtime, '%-H') AS trash_hour, strftime(mtime, '%Y-%-m-%-d/%-H') AS trash_dir,
-       date_trunc('hour', mtime) AS trash_hour_ts, concat(collector, '-', file_name) AS trash_name
+       date_trunc('hour', mtime) AS trash_hour_ts, concat(collector, '-', file_name) AS trash_name,
+       strftime(mtime, '%Y-%-m-%-d-%-H') AS trash_day_hour
 FROM closed_5m""", "closed_5m"))
 def q_trash_bucket(s: Scenario) -> DataFrame:
     closed = ingest.closed_files(s.dirty_files, now_col())
     return closed.select("cluster", "stream", "collector", "file_name",
                          L.trash_day("mtime").alias("trash_day"), L.trash_hour_string("mtime").alias("trash_hour"),
                          L.trash_dir("mtime").alias("trash_dir"), L.hour_of("mtime").alias("trash_hour_ts"),
-                         L.trash_name("collector", "file_name").alias("trash_name"))
+                         L.trash_name("collector", "file_name").alias("trash_name"),
+                         L.day_hour_string("mtime").alias("trash_day_hour"))
 
 
 @register("discover_streams", sql(
@@ -207,7 +213,7 @@ def _published_local(s: Scenario) -> DataFrame:
     return publish.plan_local(_new_records(s), jobs.commit_minute_after(F.col("minute")))
 
 
-_PUB_COLS = "cluster, base, stream, minute, file_name, collector, src_file, value"
+_PUB_COLS = "cluster, base, stream, minute, file_name, collector, src_file, value, record_no"
 
 
 @register("read_records", sql("SELECT * FROM new_rec", "new_rec"))
@@ -244,7 +250,7 @@ def q_merge_publish(s: Scenario) -> DataFrame:
 
 
 @register("mirror_publish", sql(f"""
-SELECT e.dest_cluster AS cluster, m.base, m.stream, m.minute, m.file_name, m.collector, m.src_file, m.value
+SELECT e.dest_cluster AS cluster, m.base, m.stream, m.minute, m.file_name, m.collector, m.src_file, m.value, m.record_no
 FROM pub_merge m JOIN redges e ON m.stream = e.stream AND m.cluster = e.src_cluster""", "pub_merge", "redges"))
 def q_mirror_publish(s: Scenario) -> DataFrame:
     merged = jobs.merge_records(_published_local(s), s.sources, s.destinations,
@@ -294,6 +300,15 @@ def q_publish_missing(s: Scenario) -> DataFrame:
     return publish.gap_minutes(audit.minute_dirs(s.local_files), now_col())
 
 
+@register("missing_ranges", sql("""
+SELECT cluster, base, stream, minute + INTERVAL 1 MINUTE AS gap_start, nm - INTERVAL 1 MINUTE AS gap_end,
+       date_diff('minute', minute, nm) - 1 AS n_minutes
+FROM (SELECT *, lead(minute) OVER (PARTITION BY cluster, base, stream ORDER BY minute) AS nm FROM ldm)
+WHERE nm > minute + INTERVAL 1 MINUTE""", "ldm"))
+def q_missing_ranges(s: Scenario) -> DataFrame:
+    return audit.missing_ranges(audit.minute_dirs(s.local_files))
+
+
 @register("missing_minutes", sql("""
 SELECT cluster, base, stream,
        unnest(generate_series(minute + INTERVAL 1 MINUTE, nm - INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS minute
@@ -327,9 +342,12 @@ def q_stream_entries(s: Scenario) -> DataFrame:
     return s.merged_entries
 
 
-@register("mirror_order", sql("SELECT stream, minute, relpath FROM ment", "ment"))
+@register("mirror_order", sql("""
+SELECT stream, minute, relpath, row_number() OVER (PARTITION BY stream, date_trunc('hour', minute) ORDER BY minute, relpath) AS position
+FROM ment""", "ment"))
 def q_mirror_order(s: Scenario) -> DataFrame:
-    return publish.mirror_order(s.merged_entries).select("stream", "minute", "relpath")
+    """O1: the place of each entry in its stream's hour folder, as a mirror commits it."""
+    return publish.mirror_positions(s.merged_entries).select("stream", "minute", "relpath", "position")
 
 
 # ---------------------------------------------------------------- audits
@@ -360,6 +378,19 @@ def q_audit_scoped(s: Scenario) -> DataFrame:
                              s.merged_files_where(F.col("hhmm") % 19 != 0), streams=["click", "view"])
 
 
+@register("order_scoped", sql("""
+SELECT cluster, base, stream, minute, created_at, next_minute, next_created_at FROM (
+  SELECT *, lead(minute) OVER w AS next_minute, lead(created_at) OVER w AS next_created_at
+  FROM (SELECT cluster, base, stream, minute,
+               CASE WHEN minute(minute) % 10 = 0 THEN created_at + INTERVAL 2 HOUR ELSE created_at END AS created_at
+        FROM ldm WHERE cluster = 'cluster2' AND base = 'streams_local')
+  WINDOW w AS (PARTITION BY cluster, base, stream ORDER BY minute))
+WHERE created_at > next_created_at""", "ldm"))
+def q_order_scoped(s: Scenario) -> DataFrame:
+    """the order check scoped to one cluster and base."""
+    return audit.out_of_order(_skewed_minutes(s), clusters=["cluster2"], bases=["streams_local"])
+
+
 @register("audit_summary", sql("""
 SELECT g.stream,
        count(CASE WHEN a.kind = 'missing' THEN 1 END) AS n_missing,
@@ -390,11 +421,12 @@ def q_flow_edges(s: Scenario) -> DataFrame:
 
 
 @register("topology_sources", sql("""
-SELECT s.stream, s.cluster, s.retention_hours, coalesce(c.n, 0) AS n_files
-FROM sources s LEFT JOIN (SELECT cluster, stream, count(*) AS n FROM cat GROUP BY 1, 2) c
-  ON s.cluster = c.cluster AND s.stream = c.stream""", "sources", "cat"))
+SELECT stream, cluster, CASE WHEN cluster = 'cluster1' THEN 12 * length(stream) ELSE 30 END AS retention_hours, count(*) AS n_files
+FROM cat GROUP BY 1, 2""", "cat"))
 def q_topology_sources(s: Scenario) -> DataFrame:
-    return topology.sources_with_files(s.sources, s.collector_files)
+    """A topology file, derived from ``events``, parsed, with the files seen of each source."""
+    found = topology.load(s.spark, s.topology_file)["sources"]
+    return topology.sources_with_files(found, s.collector_files)
 
 
 @register("route_merge", sql("""
@@ -418,6 +450,17 @@ def q_pending_manifests(s: Scenario) -> DataFrame:
     return route.pending_manifests(s.manifests, s.manifest_acks)
 
 
+@register("pending_after_ack", sql("""
+SELECT kind, dest_cluster, stream, trim(path) AS path, max(batch_id) AS batch_id, min(minute) AS minute
+FROM man m WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM acks UNION SELECT * FROM acked) a WHERE a.kind = m.kind
+  AND a.dest_cluster = m.dest_cluster AND a.batch_id = m.batch_id)
+GROUP BY 1, 2, 3, 4""", "man", "acks", "acked"))
+def q_pending_after_ack(s: Scenario) -> DataFrame:
+    """K8: one consumer acknowledges every batch it read, also those that list a path again; the others' stay."""
+    read = route.pending_batches(s.manifests, s.manifest_acks).filter(F.col("dest_cluster") == "cluster1")
+    return route.pending_manifests(s.manifests, s.manifest_acks.unionByName(read))
+
+
 @register("manifest_valid", sql("""
 SELECT p.* FROM pend p WHERE EXISTS (SELECT 1 FROM lf WHERE lf.hhmm % 23 <> 0 AND lf.path = p.path)""", "pend", "lf"))
 def q_manifest_valid(s: Scenario) -> DataFrame:
@@ -425,9 +468,10 @@ def q_manifest_valid(s: Scenario) -> DataFrame:
 
 
 @register("collapse_manifests", sql("""
-SELECT DISTINCT m.kind, m.dest_cluster, CASE WHEN g.n > 1 THEN g.last ELSE m.batch_id END AS batch_id, trim(m.path) AS path
+SELECT m.kind, m.dest_cluster, CASE WHEN g.n > 1 THEN g.last ELSE m.batch_id END AS batch_id, trim(m.path) AS path,
+       max(m.src_cluster) AS src_cluster, max(m.via_cluster) AS via_cluster, max(m.stream) AS stream, max(m.minute) AS minute
 FROM man m JOIN (SELECT kind, dest_cluster, count(DISTINCT batch_id) AS n, max(batch_id) AS last FROM man GROUP BY 1, 2) g
-  ON m.kind = g.kind AND m.dest_cluster = g.dest_cluster""", "man"))
+  ON m.kind = g.kind AND m.dest_cluster = g.dest_cluster GROUP BY 1, 2, 3, 4""", "man"))
 def q_collapse_manifests(s: Scenario) -> DataFrame:
     return route.collapse(s.manifests)
 

@@ -1,13 +1,15 @@
-"""One run of each service against real directories (the batch twins of ``streaming``).
+"""One run of each service against real directories (``streaming`` runs them as minute services).
 
-Commit order of every run: data -> ledger -> manifests -> checkpoint -> trash /
-acknowledgement.  Each step is idempotent for a given ``batch_id`` (dynamic
-partition overwrite keyed by the batch), so a run that dies half way is simply
-run again with the same ``batch_id`` and ``now`` (at-least-once, T7).
+Commit order of every run: commit record -> data -> catalog -> ledger -> manifests ->
+checkpoint -> trash / acknowledgement.  The commit record holds the batch's commit time and
+its selection, so a run that dies half way is simply run again with the same ``batch_id``, at
+whatever time (at-least-once delivery, T7): it rewrites the same partitions with the same
+rows, and a batch whose catalog is written is not published again.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import logging
 import time
 from dataclasses import dataclass
@@ -17,21 +19,23 @@ from pyspark.sql import functions as F
 
 from ..functions import layout as L
 from ..operators import audit, ingest, publish, retention, route
-from ..schemas import (DEFAULT_RETENTION_HOURS, DEFAULT_TRASH_RETENTION_HOURS, FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS,
-                       LOCAL_BASE, MERGED_BASE)
+from ..schemas import (COLLECTOR_FILES, DATA_BASE, DEFAULT_RETENTION_HOURS, DEFAULT_TRASH_RETENTION_HOURS,
+                       FILES_TO_KEEP, IN_FLIGHT_SUFFIX, LAST_FILE_TIMEOUT_MS, LOCAL_BASE, MERGED_BASE, STATS_FILE_NAME)
+from ..session import apply_session_settings
 from ..sinks import files as fsops
 from ..sinks import writers as W
 from ..sources import catalog
 from ..sources.manifests import trash_dirs
 from ..sources.records import read_published, read_selected
-from ..schemas import COLLECTOR_FILES
-from ..session import apply_session_settings
 from . import jobs
 
-
 log = logging.getLogger("minutelake.run")
 
 
+class IncompletePublish(RuntimeError):
+    """Fewer files were published than selected: nothing after it was committed."""
+
+
 class _Steps:
     """Wall-clock of each step of a run, returned in the run's summary."""
 
@@ -74,48 +78,46 @@ class Site:
     def trash_catalog(self) -> str:
         return f"{self.system}/trash_catalog"
 
+    def catalog(self) -> str:
+        return f"{self.system}/catalog"
 
-def _ts(now: str):
-    return F.lit(now).cast("timestamp_ntz")
+    def commits(self, service: str) -> str:
+        return f"{self.system}/commits/{service}"
 
+    def handed_over(self) -> str:
+        return f"{self.system}/handed_over"
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A system table read with its declared schema (no inference; empty when absent)."""
-    if fsops.exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+
+def _ts(now: str):
+    return F.lit(now).cast("timestamp_ntz")
 
 
 _LEDGER_SCHEMA = "cluster string, base string, stream string, minute timestamp_ntz, state string, created_at timestamp_ntz"
 _MANIFEST_SCHEMA = ("kind string, src_cluster string, via_cluster string, dest_cluster string, stream string, "
                     "path string, minute timestamp_ntz, batch_id bigint")
-_ACK_SCHEMA = "kind string, dest_cluster string, batch_id bigint"
 
 
 def minute_key(now: str) -> str:
     """``yyyy-MM-dd-HH-mm`` partition value of the minute of ``now``."""
-    import datetime as _dt
     return _dt.datetime.fromisoformat(now).strftime("%Y-%m-%d-%H-%M")
 
 
-def published_catalog(spark: SparkSession, site: Site, base: str, minute_keys: list[str] | None = None,
-                      with_length: bool = False) -> DataFrame:
-    """S3 for our own output: one row per published file, keyed by its logical path.
+def published_catalog(spark: SparkSession, site: Site, base: str, minute_keys: list[str] | None = None) -> DataFrame:
+    """S3 for our own output: one row per published file (``W.CATALOG_COLS``), from the commit catalog.
 
-    ``minute_keys`` restricts the read to those minute partitions (pruned at listing time);
-    without ``with_length`` only partition columns and ``file_name`` are read, never the records.
+    ``minute_keys`` restricts the read to their hour partitions; records are never read.
     """
-    d = site.base(base)
-    if not fsops.exists(spark, d) or minute_keys == []:
-        return spark.createDataFrame([], "cluster string, base string, stream string, minute timestamp_ntz, "
-                                         "file_name string, path string, mtime timestamp_ntz, length bigint")
-    rec = read_published(spark, d, minutes=minute_keys)
-    length = F.sum(F.length("value")).cast("long") if with_length else F.lit(None).cast("long")
-    g = rec.groupBy("stream", "minute", "file_name").agg(F.max("committed_at").alias("mtime"), length.alias("length"))
-    return g.select(F.lit(site.name).alias("cluster"), F.lit(base).alias("base"), "stream", "minute", "file_name",
-                    F.concat_ws("/", F.lit(site.root), F.lit(base), F.col("stream"),
-                                F.date_format("minute", L.MINUTE_DIR_FORMAT), F.col("file_name")).alias("path"),
-                    "mtime", "length")
+    rows = W.read_table(spark, site.catalog(), W.CATALOG_SCHEMA).filter(F.col("base") == base)
+    if minute_keys is not None:
+        rows = rows.filter(F.col("hour").isin(sorted({k[:13] for k in minute_keys})) &
+                           F.date_format("minute", L.FILE_TIME_FORMAT).isin(list(minute_keys)))
+    return rows.select(*W.CATALOG_COLS)
+
+
+def file_path(site: Site, base: str, stream="stream", minute="minute", file_name="file_name"):
+    """Logical path of a published file: ``<root>/<base>/<stream>/yyyy/MM/dd/HH/mm/<file>``."""
+    return F.concat_ws("/", F.lit(site.root), F.lit(base), L.c(stream), F.date_format(L.c(minute), L.MINUTE_DIR_FORMAT),
+                       L.c(file_name))
 
 
 def _minute_keys(pending: DataFrame) -> list[str]:
@@ -124,218 +126,312 @@ def _minute_keys(pending: DataFrame) -> list[str]:
             if r[0] is not None]
 
 
-def _ledger_update(spark: SparkSession, site: Site, base: str, published: DataFrame, now: str) -> None:
-    """T5: data minute rows of this batch plus the gap minutes before ``now``."""
-    ledger = _read_or_empty(spark, site.ledger(), _LEDGER_SCHEMA)
-    ledger = ledger.filter(F.col("base") == base).select("cluster", "base", "stream", "minute", "state", "created_at")
-    data = (published.select(F.lit(site.name).alias("cluster"), F.lit(base).alias("base"), "stream", "minute")
-            .distinct().withColumn("state", F.lit("data")).withColumn("created_at", _ts(now)))
-    gaps = publish.gap_minutes(ledger.select("cluster", "base", "stream", "minute"), _ts(now)) \
-        .select("cluster", "base", "stream", "minute", "state", "created_at")
-    new = data.unionByName(gaps).join(ledger.select("cluster", "base", "stream", "minute"),
-                                      ["cluster", "base", "stream", "minute"], "left_anti")
-    W.append_ledger(new, site.ledger())
+def _ledger_update(spark: SparkSession, site: Site, base: str, published: DataFrame | None, now: str) -> None:
+    """T5: data minute rows of this batch (``stream, minute``) plus the gap minutes before ``now``."""
+    ledger = W.read_ledger(spark, site.ledger()).filter(F.col("base") == base)
+    rows = publish.gap_minutes(ledger.select("cluster", "base", "stream", "minute"), _ts(now)).select(*W.LEDGER_COLS)
+    if published is not None:
+        data = published.select("stream", "minute").distinct().select(
+            F.lit(site.name).alias("cluster"), F.lit(base).alias("base"), "stream", "minute",
+            F.lit("data").alias("state"), _ts(now).alias("created_at"))
+        # a minute that has data is no gap
+        rows = data.unionByName(rows.join(data.select("stream", "minute"), ["stream", "minute"], "left_anti").select(*W.LEDGER_COLS))
+    W.write_ledger_rows(spark, rows, site.ledger())
+
+
+def _is_published(spark: SparkSession, site: Site, base: str, batch_id: int, files: DataFrame) -> bool:
+    """Whether the catalog has all files of a batch: it is written after its records are checked."""
+    have = W.read_table(spark, site.catalog(), W.CATALOG_SCHEMA).filter((F.col("base") == base) & (F.col("batch_id") == batch_id))
+    return files.select("stream", "file_name").join(have.select("stream", "file_name"), ["stream", "file_name"], "left_anti").isEmpty()
+
+
+def _publish(spark: SparkSession, site: Site, base: str, batch_id: int, planned: DataFrame, files: DataFrame) -> None:
+    """Write a batch's records, check that every file of ``files`` (``W.CATALOG_COLS``) arrived, then its catalog."""
+    if _is_published(spark, site, base, batch_id, files):
+        return
+    W.write_published(planned, site.base(base), batch_id)
+    written = (spark.read.schema("file_name string, stream string, batch_id bigint").parquet(site.base(base))
+               .filter(F.col("batch_id") == batch_id).select("stream", "file_name"))
+    lost = files.select("stream", "file_name").distinct().join(written, ["stream", "file_name"], "left_anti")
+    some = lost.limit(5).collect()
+    if some:
+        raise IncompletePublish(f"{site.name}, batch {batch_id}: files without records, among them {[tuple(r) for r in some]}")
+    W.write_catalog(files, site.catalog(), batch_id)
+
+
+def _accepts(name: str) -> bool:
+    """F1 for one name (the empty files of a run)."""
+    return not name.endswith(IN_FLIGHT_SUFFIX) and name.lower() != STATS_FILE_NAME
 
 
 def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources: DataFrame,
               destinations: DataFrame, timeout_ms: int = LAST_FILE_TIMEOUT_MS, keep: int = FILES_TO_KEEP,
-              move_to_trash: bool = True, delete_empty: bool = True, include_mirrors: bool = False) -> dict:
+              move_to_trash: bool = True, delete_empty: bool = True, include_mirrors: bool = False,
+              on_late: str = "drop") -> dict:
     """One local-stream run of ``site`` committed at ``now``.
 
     ``include_mirrors=True`` routes manifests as the reference does (C5): a consumer that is
-    primary for any stream of this site also receives its non-primary streams.
+    primary for any stream of this site also receives its non-primary streams.  Files that
+    came late (T6) are counted in the result and, with ``on_late="deliver"``, delivered too.
     """
     apply_session_settings(spark)
     step = _Steps()
+    data_dir = site.base(DATA_BASE)
+    hidden, empty = fsops.unlisted_files(spark, data_dir)
     if delete_empty:  # empty files idle past the timeout (never the in-flight one)
-        import datetime as _dt
         now_ms = int(_dt.datetime.fromisoformat(now).replace(tzinfo=_dt.timezone.utc).timestamp() * 1000)
-        fsops.delete_idle_empty_files(spark, f"{site.root}/data", now_ms, timeout_ms)
-        step("cleanup")
+        fsops.delete_idle_empty_files(spark, empty, _accepts, now_ms, timeout_ms)
+    step("cleanup")
     # One listing snapshot per run, written to the shared checkpoint folder: every later step
     # (delivery, checkpoint, trash) sees the same files even after they were moved, and a lost
     # executor recomputes nothing from a directory that has changed under it.
-    if fsops.exists(spark, f"{site.root}/data"):
-        files = catalog.collector_files(spark, site.root, site.name).checkpoint(eager=True)
+    if fsops.exists(spark, data_dir):
+        files = catalog.collector_files(spark, site.root, site.name, hidden=hidden).checkpoint(eager=True)
     else:  # a site that has received nothing yet
         files = spark.createDataFrame([], COLLECTOR_FILES)
     ckpt = W.read_checkpoints(spark, site.checkpoints()).checkpoint(eager=True)
-    plan = jobs.plan_ingest(files, ckpt, _ts(now), timeout_ms, keep)
-    new_files = plan.new_files.checkpoint(eager=True)
-    n_new = new_files.count()
+    published = published_catalog(spark, site, LOCAL_BASE)
+    plan = jobs.plan_ingest(files, ckpt, _ts(now), timeout_ms, keep, published, on_late)
+    late = plan.late.count()
+    trash = ingest.trash_select(plan.closed, keep)
+    # a replay checkpoints what this selection covers, not what has come since
+    marks = plan.checkpoints.withColumn("kind", F.lit("checkpoint"))
+    selected = plan.new_files.withColumn("kind", F.lit("new")).unionByName(
+        trash.withColumn("kind", F.lit("trash"))).unionByName(marks, allowMissingColumns=True)
     step("select")
-    if n_new == 0:  # C4: nothing delivered -> nothing checkpointed or trashed
-        _ledger_update(spark, site, LOCAL_BASE, spark.createDataFrame([], "stream string, minute timestamp_ntz"), now)
-        return {"new_files": 0, "steps": step.times}
-    records = read_selected(spark, f"{site.root}/data", new_files, site.name)
-    planned = publish.plan_local(records, _ts(now)).withColumn("committed_at", _ts(now))
-    W.write_published(planned, site.base(LOCAL_BASE), batch_id)
+    commits = site.commits("local")
+    if not fsops.exists(spark, f"{commits}/batch_id={batch_id}") and plan.new_files.isEmpty():
+        # C4: nothing delivered -> nothing checkpointed or trashed
+        _ledger_update(spark, site, LOCAL_BASE, None, now)
+        return {"new_files": 0, "late_files": late, "steps": step.times}
+    now, selected = W.commit_of(spark, commits, batch_id, now, selected)
+    new_files = selected.filter(F.col("kind") == "new").drop("kind")
+    n_new = new_files.count()
+    minute = L.minute_of(_ts(now))
+    name = L.published_name("collector", "file_name")
+    committed = new_files.select("stream", name.alias("file_name"), "length").withColumn("minute", minute)
+    committed = committed.select(F.lit(site.name).alias("cluster"), F.lit(LOCAL_BASE).alias("base"), "stream", "minute",
+                                 "file_name", file_path(site, LOCAL_BASE).alias("path"), _ts(now).alias("mtime"), "length")
+    if n_new and not _is_published(spark, site, LOCAL_BASE, batch_id, committed):
+        staging = f"{site.system}/tmp/batch_id={batch_id}"
+        records = read_selected(spark, data_dir, new_files, site.name, staging)
+        planned = publish.plan_local(records, _ts(now)).withColumn("committed_at", _ts(now))
+        _publish(spark, site, LOCAL_BASE, batch_id, planned, committed)
+        fsops.delete_path(spark, staging)
     step("publish")
-    _ledger_update(spark, site, LOCAL_BASE, planned.select("stream", "minute").distinct(), now)
+    _ledger_update(spark, site, LOCAL_BASE, committed, now)
     step("ledger")
-    pub = (published_catalog(spark, site, LOCAL_BASE, [minute_key(now)])
-           .join(new_files.select("stream", L.published_name("collector", "file_name").alias("file_name"))
-                 .distinct(), ["stream", "file_name"], "left_semi"))
     edges = route.merge_edges(sources, destinations, include_mirrors)
-    W.append_manifests(route.route_merge(pub, edges, batch_id=F.lit(batch_id).cast("long")), site.manifests())
+    W.append_manifests(route.route_merge(committed, edges, batch_id=F.lit(batch_id).cast("long")), site.manifests())
     step("manifests")
-    W.write_checkpoints(plan.checkpoints, site.checkpoints(), batch_id)
+    marks = selected.filter(F.col("kind") == "checkpoint").select(*ingest.COLLECTOR, "file_name")
+    W.write_checkpoints(ingest.advance_checkpoint(marks, ckpt), site.checkpoints(), batch_id)
     step("checkpoint")
+    trashed = selected.filter(F.col("kind") == "trash").drop("kind")
     trash_dir = F.concat_ws("/", F.lit(site.system), F.lit("trash"), L.trash_dir(_ts(now)))
-    selected = ingest.trash_select(plan.closed, keep).checkpoint(eager=True)
     moved = 0
     if move_to_trash:
         dst = F.concat_ws("/", trash_dir, L.trash_name("collector", "file_name"))
-        moved = fsops.move_files(spark, selected.select(F.col("path").alias("src"), dst.alias("dst")))
-    rows = ingest.trash_rows(selected, _ts(now))
+        moved = fsops.move_files(spark, trashed.select(F.col("path").alias("src"), dst.alias("dst")), site.root)
+    rows = ingest.trash_rows(trashed, _ts(now))
     W.append_trash(rows.withColumn("path", F.concat_ws("/", trash_dir, F.col("file_name"))), site.trash_catalog(),
                    batch_id)
     step("trash")
-    return {"new_files": n_new, "trashed": moved, "steps": step.times}
+    return {"new_files": n_new, "trashed": moved, "late_files": late, "steps": step.times}
 
 
-def _pending(spark: SparkSession, src_sites: list[Site], kind: str, dest: str) -> DataFrame:
-    out = None
+def _pending(spark: SparkSession, src_sites: list[Site], kind: str, dest: str) -> tuple[DataFrame, DataFrame]:
+    """The backlog (paths, de-duplicated) and all its batches, with ``src_site``; settled manifests are removed first."""
+    paths, batches = None, None
     for s in src_sites:
-        m = _read_or_empty(spark, s.manifests(), _MANIFEST_SCHEMA).filter(
+        W.settle_acks(spark, s.manifests(), s.acks())
+        m = W.read_table(spark, s.manifests(), W.MANIFEST_SCHEMA).filter(
             (F.col("kind") == kind) & (F.col("dest_cluster") == dest))
-        a = _read_or_empty(spark, s.acks(), _ACK_SCHEMA)
+        a = W.read_table(spark, s.acks(), W.ACK_SCHEMA)
         p = route.pending_manifests(m, a).withColumn("src_site", F.lit(s.name))
-        out = p if out is None else out.unionByName(p)
-    return out
+        b = route.pending_batches(m, a).withColumn("src_site", F.lit(s.name))
+        paths = p if paths is None else paths.unionByName(p)
+        batches = b if batches is None else batches.unionByName(b)
+    return paths.checkpoint(eager=True), batches.checkpoint(eager=True)
+
+
+def _acknowledge(spark: SparkSession, src_sites: list[Site], batches: DataFrame) -> None:
+    """K8: acknowledge every batch that was read; its manifests then go."""
+    for s in src_sites:
+        W.append_acks(batches.filter(F.col("src_site") == s.name), s.acks())
+        W.settle_acks(spark, s.manifests(), s.acks())
+
+
+def _with_records(spark: SparkSession, site: Site, base: str, files: DataFrame, minute_keys: list[str]) -> DataFrame | None:
+    """Records of the published files ``files`` (``stream, minute, file_name``)."""
+    if not minute_keys or not fsops.exists(spark, site.base(base)):
+        return None
+    keys = files.select("stream", "minute", "file_name").distinct()
+    return read_published(spark, site.base(base), minutes=minute_keys).join(keys, ["stream", "minute", "file_name"], "left_semi")
 
 
 def run_merge(spark: SparkSession, src_sites: list[Site], dest: Site, now: str, batch_id: int,
               sources: DataFrame, destinations: DataFrame) -> dict:
     """Pull pending merge manifests of every source site into ``dest``'s merged stream."""
     apply_session_settings(spark)
-    pending = _pending(spark, src_sites, "merge", dest.name).checkpoint(eager=True)
+    pending, batches = _pending(spark, src_sites, "merge", dest.name)
     valid = None
-    recs = None
     for s in src_sites:
         mine = pending.filter(F.col("src_site") == s.name)
-        mkeys = _minute_keys(mine)
-        cat_s = published_catalog(spark, s, LOCAL_BASE, mkeys)
-        v = route.valid_paths(mine, cat_s)
-        keys = v.drop("minute").join(cat_s.select("path", "stream", "minute", "file_name"), ["path", "stream"])
-        if not mkeys or not fsops.exists(spark, s.base(LOCAL_BASE)):
-            continue
-        r = (read_published(spark, s.base(LOCAL_BASE), minutes=mkeys)
-             .join(keys.select("stream", "minute", "file_name").distinct(), ["stream", "minute", "file_name"],
-                   "left_semi"))
+        files = published_catalog(spark, s, LOCAL_BASE, _minute_keys(mine))
+        v = files.join(mine.select("path", "stream"), ["path", "stream"], "left_semi").withColumn("src_site", F.lit(s.name))
         valid = v if valid is None else valid.unionByName(v)
-        recs = r if recs is None else recs.unionByName(r, allowMissingColumns=True)
-    if valid is None or valid.isEmpty():
+    commits = dest.commits("merge")
+    valid = valid.checkpoint(eager=True)
+    if not fsops.exists(spark, f"{commits}/batch_id={batch_id}") and valid.isEmpty():
         # C14: nothing valid to pull -> the manifests stay pending; the merged stream is still
         # gap-filled up to ``now`` and the new empty minutes go to the mirrors (U4)
-        _ledger_update(spark, dest, MERGED_BASE, spark.createDataFrame([], "stream string, minute timestamp_ntz"), now)
+        _ledger_update(spark, dest, MERGED_BASE, None, now)
         gaps = _mirror_manifests(spark, dest, None, now, batch_id, sources, destinations)
         return {"merged_files": 0, "gap_minutes": gaps}
-    planned = publish.plan_merge(recs, F.lit(dest.name), _ts(now)).withColumn("committed_at", _ts(now))
-    W.write_published(planned, dest.base(MERGED_BASE), batch_id)
-    _ledger_update(spark, dest, MERGED_BASE, planned.select("stream", "minute").distinct(), now)
+    now, valid = W.commit_of(spark, commits, batch_id, now, valid)
+    minute = L.minute_of(_ts(now))
+    committed = valid.groupBy("stream", "file_name").agg(F.sum("length").alias("length")).withColumn("minute", minute)
+    committed = committed.select(F.lit(dest.name).alias("cluster"), F.lit(MERGED_BASE).alias("base"), "stream", "minute",
+                                 "file_name", file_path(dest, MERGED_BASE).alias("path"), _ts(now).alias("mtime"), "length")
+    committed = committed.checkpoint(eager=True)
+    records = None
+    for s in src_sites:
+        mine = valid.filter(F.col("src_site") == s.name)
+        r = _with_records(spark, s, LOCAL_BASE, mine, _minute_keys(mine))
+        if r is not None:
+            records = r if records is None else records.unionByName(r)
+    planned = publish.plan_merge(records, F.lit(dest.name), _ts(now)).withColumn("committed_at", _ts(now))
+    _publish(spark, dest, MERGED_BASE, batch_id, planned, committed)
+    _ledger_update(spark, dest, MERGED_BASE, committed, now)
     # K5/U4: committed files and gap minutes go to the mirrors
-    committed = (published_catalog(spark, dest, MERGED_BASE, [minute_key(now)])
-                 .join(planned.select("stream", "minute", "file_name").distinct(),
-                       ["stream", "minute", "file_name"], "left_semi"))
-    _mirror_manifests(spark, dest, committed, now, batch_id, sources, destinations)
-    for s in src_sites:  # K8: acknowledge what was consumed
-        acks = pending.filter(F.col("src_site") == s.name).select("kind", "dest_cluster", "batch_id")
-        W.append_acks(acks, s.acks())
-    return {"merged": True}
+    gaps = _mirror_manifests(spark, dest, committed, now, batch_id, sources, destinations)
+    _acknowledge(spark, src_sites, batches)
+    return {"merged": True, "merged_files": committed.count(), "gap_minutes": gaps}
 
 
 def _mirror_manifests(spark: SparkSession, dest: Site, committed: DataFrame | None, now: str, batch_id: int,
                       sources: DataFrame, destinations: DataFrame) -> int:
-    """Append mirror manifests: committed merged files plus the empty minutes created at ``now``."""
-    led = _read_or_empty(spark, dest.ledger(), _LEDGER_SCHEMA).filter(
-        (F.col("base") == MERGED_BASE) & (F.col("created_at") == _ts(now)) & (F.col("state") == "empty"))
+    """Append mirror manifests: committed merged files plus all empty minutes not handed over before (A5).
+
+    The time up to which gaps were handed over is kept; it moves on after the manifests are
+    written, so a crash in between hands them over again (the mirrors' ledgers add nothing twice).
+    """
+    handed = W.read_table(spark, dest.handed_over(), "created_at timestamp_ntz").agg(F.max("created_at")).first()[0]
+    gaps = W.read_ledger(spark, dest.ledger()).filter(
+        (F.col("base") == MERGED_BASE) & (F.col("state") == "empty") & (F.col("created_at") <= _ts(now)))
+    if handed is not None:
+        gaps = gaps.filter(F.col("created_at") > F.lit(handed))
+    gaps = gaps.checkpoint(eager=True)
     if committed is None:
-        committed = spark.createDataFrame([], "cluster string, base string, stream string, minute timestamp_ntz, "
-                                              "file_name string, path string, mtime timestamp_ntz, length bigint")
-    entries = audit.stream_entries(committed, led.withColumn("cluster", F.lit(dest.name))).withColumn(
+        committed = spark.createDataFrame([], W.CATALOG_SCHEMA).select(*W.CATALOG_COLS)
+    entries = audit.stream_entries(committed, gaps.withColumn("cluster", F.lit(dest.name))).withColumn(
         "path", F.when(F.col("entry") == "dir",
                        F.concat_ws("/", F.lit(dest.root), F.col("base"), F.col("stream"),
                                    F.date_format("minute", L.MINUTE_DIR_FORMAT))).otherwise(F.col("path")))
     m = route.route_mirror(entries, route.flow_edges(sources, destinations), batch_id=F.lit(batch_id).cast("long"))
-    m = m.checkpoint(eager=True)
-    if m.isEmpty():
-        return 0
     W.append_manifests(m, dest.manifests())
-    return led.count()
+    spark.range(1).select(_ts(now).alias("created_at")).coalesce(1).write.mode("append").parquet(dest.handed_over())
+    return gaps.count()
 
 
 def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id: int) -> dict:
-    """Copy pending mirror manifests of ``src`` into ``mirror``, minutes preserved."""
+    """Copy pending mirror manifests of ``src`` into ``mirror``, minutes preserved, a stream's minutes in order.
+
+    A run in which no path of the backlog is there copies and acknowledges nothing (C14).
+    """
     apply_session_settings(spark)
-    pending = _pending(spark, [src], "mirror", mirror.name).checkpoint(eager=True)
-    if pending.isEmpty():
-        return {"mirrored": 0}
-    mkeys = _minute_keys(pending)
-    cat_m = published_catalog(spark, src, MERGED_BASE, mkeys)
-    planned = None
-    if fsops.exists(spark, src.base(MERGED_BASE)):
-        keys = route.valid_paths(pending, cat_m).drop("minute").join(
-            cat_m.select("path", "stream", "minute", "file_name"), ["path", "stream"])
-        recs = (read_published(spark, src.base(MERGED_BASE), minutes=mkeys)
-                .join(keys.select("stream", "minute", "file_name").distinct(), ["stream", "minute", "file_name"],
-                      "left_semi"))
-        planned = publish.plan_mirror(recs.withColumn("base", F.lit(MERGED_BASE)), F.lit(mirror.name))
-        W.write_published(planned.drop("committed_at").withColumn("committed_at", _ts(now)),
-                          mirror.base(MERGED_BASE), batch_id)
+    pending, batches = _pending(spark, [src], "mirror", mirror.name)
+    files = published_catalog(spark, src, MERGED_BASE, _minute_keys(pending))
+    valid = files.join(pending.select("path", "stream"), ["path", "stream"], "left_semi").withColumn("entry", F.lit("file"))
     # empty minutes listed in the manifests (directory paths, not dangling file paths) become
     # ledger rows of the mirror
     empty = (pending.filter(F.col("path").rlike(r"/\d{4}/\d\d/\d\d/\d\d/\d\d/?$"))
-             .select(F.lit(mirror.name).alias("cluster"), F.lit(MERGED_BASE).alias("base"), "stream",
-                     L.parse_minute("path").alias("minute"), F.lit("empty").alias("state"),
-                     _ts(now).alias("created_at"))
+             .select(F.lit(src.name).alias("cluster"), F.lit(MERGED_BASE).alias("base"), "stream",
+                     L.parse_minute("path").alias("minute"), F.lit(None).cast("string").alias("file_name"), "path",
+                     F.lit(None).cast("timestamp_ntz").alias("mtime"), F.lit(None).cast("long").alias("length"),
+                     F.lit("dir").alias("entry"))
              .filter(F.col("minute").isNotNull()))
-    if planned is None:
-        W.append_new_ledger_rows(spark, empty, mirror.ledger())
-        W.append_acks(pending.select("kind", "dest_cluster", "batch_id"), src.acks())
-        return {"mirrored": True}
-    data = (planned.select(F.lit(mirror.name).alias("cluster"), F.lit(MERGED_BASE).alias("base"), "stream",
-                           "minute").distinct().withColumn("state", F.lit("data"))
-            .withColumn("created_at", _ts(now)))
-    W.append_new_ledger_rows(spark, data.unionByName(empty), mirror.ledger())
-    W.append_acks(pending.select("kind", "dest_cluster", "batch_id"), src.acks())
-    return {"mirrored": True}
+    entries = valid.unionByName(empty).checkpoint(eager=True)
+    commits = mirror.commits(f"mirror_of_{src.name}")
+    if not fsops.exists(spark, f"{commits}/batch_id={batch_id}") and entries.isEmpty():
+        return {"mirrored": 0}
+    now, entries = W.commit_of(spark, commits, batch_id, now, entries)
+    valid = entries.filter(F.col("entry") == "file")
+    committed = valid.select(F.lit(mirror.name).alias("cluster"), "base", "stream", "minute", "file_name",
+                             file_path(mirror, MERGED_BASE).alias("path"), _ts(now).alias("mtime"), "length")
+    committed = committed.checkpoint(eager=True)
+    n = committed.count()
+    if n:
+        records = _with_records(spark, src, MERGED_BASE, valid, _minute_keys(valid))
+        planned = publish.plan_mirror(records.withColumn("base", F.lit(MERGED_BASE)), F.lit(mirror.name))
+        _publish(spark, mirror, MERGED_BASE, batch_id,
+                 planned.drop("hour", "minute_key", "batch_id").withColumn("committed_at", _ts(now)), committed)
+    state = F.when(F.col("entry") == "dir", "empty").otherwise("data")
+    rows = entries.select(F.lit(mirror.name).alias("cluster"), "base", "stream", "minute", state.alias("state"),
+                          _ts(now).alias("created_at")).groupBy("cluster", "base", "stream", "minute")
+    rows = rows.agg(F.min("state").alias("state"), F.min("created_at").alias("created_at"))  # data before empty
+    W.write_ledger_rows(spark, rows, mirror.ledger())
+    _acknowledge(spark, [src], batches)
+    return {"mirrored": True, "mirrored_files": n}
+
+
+def _hours_of(spark: SparkSession, site: Site) -> DataFrame:
+    """``base, stream, hour_key`` of every hour that any table of the site has: records, catalog, ledger."""
+    out = spark.createDataFrame([], "base string, stream string, hour_key string")
+    for base in (LOCAL_BASE, MERGED_BASE):
+        d = site.base(base)
+        if fsops.exists(spark, d):
+            out = out.unionByName(spark.read.schema("stream string, hour string").parquet(d).select(
+                F.lit(base).alias("base"), "stream", F.col("hour").alias("hour_key")))
+    for d in (site.catalog(), site.ledger()):
+        out = out.unionByName(W.read_table(spark, d, "base string, stream string, hour string").select(
+            "base", "stream", F.col("hour").alias("hour_key")))
+    return out.distinct()
 
 
 def run_purge(spark: SparkSession, site: Site, now: str, retention_table: DataFrame,
               default_hours: int = DEFAULT_RETENTION_HOURS,
               trash_hours: int = DEFAULT_TRASH_RETENTION_HOURS) -> dict:
-    """Drop hour partitions past retention in both published bases."""
+    """Drop hour partitions past retention from records, catalog and ledger, then what is left empty."""
     apply_session_settings(spark)
+    hours = _hours_of(spark, site).select(
+        F.lit(site.name).alias("cluster"), "base", "stream",
+        L.ntz(F.try_to_timestamp("hour_key", F.lit("yyyy-MM-dd-HH"))).alias("hour"), "hour_key")
+    purge = retention.purge_set(hours, retention_table, _ts(now), default_hours)
+    purge = purge.join(hours.select("base", "stream", "hour", "hour_key"), ["base", "stream", "hour"]).checkpoint(eager=True)
+    below = F.concat_ws("/", L.partition_folder("stream", "stream"), L.partition_folder("hour", "hour_key"))
     dropped = 0
-    purged_hours = []
     for base in (LOCAL_BASE, MERGED_BASE):
-        d = site.base(base)
-        if not fsops.exists(spark, d):
+        mine = purge.filter(F.col("base") == base)
+        dropped += fsops.delete_paths(spark, mine.select(F.concat_ws("/", F.lit(site.base(base)), below).alias("path")))
+        for table in (site.catalog(), site.ledger()):
+            fsops.delete_paths(spark, mine.select(F.concat_ws("/", F.lit(f"{table}/base={base}"), below).alias("path")))
+        for top in (site.base(base), f"{site.catalog()}/base={base}", f"{site.ledger()}/base={base}"):  # A7
+            streams = mine.select(F.concat_ws("/", F.lit(top), L.partition_folder("stream", "stream")).alias("path")).distinct()
+            for row in streams.toLocalIterator():
+                fsops.delete_if_empty(spark, row["path"])
+    # commit records of batches whose data is past the default retention
+    oldest = _dt.datetime.fromisoformat(now) - _dt.timedelta(hours=default_hours)
+    for service in fsops.subfolders(spark, f"{site.system}/commits"):
+        d = site.commits(service)
+        made = spark.read.schema("now string, batch_id bigint").option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.parquet").parquet(*[f"{d}/{b}/now" for b in fsops.subfolders(spark, d)]) \
+            if fsops.subfolders(spark, d) else None
+        if made is None:
             continue
-        hours = (spark.read.parquet(d).select("stream", "hour").distinct()
-                 .select(F.lit(site.name).alias("cluster"), F.lit(base).alias("base"), "stream",
-                         L.ntz(F.try_to_timestamp("hour", F.lit("yyyy-MM-dd-HH"))).alias("hour"),
-                         F.col("hour").alias("hour_key")))
-        ps = retention.purge_set(hours, retention_table, _ts(now), default_hours)
-        ps = ps.join(hours.select("stream", "hour", "hour_key"), ["stream", "hour"]).checkpoint(eager=True)
-        purged_hours.append(ps.select("base", "stream", "hour"))
-        dropped += fsops.delete_paths(spark, ps.select(
-            F.concat(F.lit(d + "/stream="), F.col("stream"), F.lit("/hour="), F.col("hour_key")).alias("path")))
-    # the ledger's minutes of purged hours go with them (the reference deletes the empty minute
-    # directories together with their hour); survivors are materialised before the rewrite
-    if purged_hours and fsops.exists(spark, site.ledger()):
-        gone = purged_hours[0]
-        for g in purged_hours[1:]:
-            gone = gone.unionByName(g)
-        keep = (W.read_ledger(spark, site.ledger()).withColumn("hour", L.hour_of("minute"))
-                .join(gone, ["base", "stream", "hour"], "left_anti").drop("hour").checkpoint(eager=True))
-        W.rewrite_ledger(keep, site.ledger())
-    # R2: trash hour directories past the trash retention (unparseable names are purged too)
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(batch_id=-?\d+)/now/", 1)
+        old = made.filter(F.col("now").cast("timestamp_ntz") < F.lit(oldest).cast("timestamp_ntz"))
+        fsops.delete_paths(spark, old.select(F.concat_ws("/", F.lit(d), folder).alias("path")))
+    # R2: trash hour directories past the trash retention (unparseable names are purged too), with their catalog
     trash_root = f"{site.system}/trash"
     dropped_trash = 0
     if fsops.exists(spark, trash_root):
-        tp = retention.trash_purge_set(trash_dirs(spark, site.root, site.name), _ts(now), trash_hours)
+        tp = retention.trash_purge_set(trash_dirs(spark, site.root, site.name), _ts(now), trash_hours).checkpoint(eager=True)
         dropped_trash = fsops.delete_paths(spark, tp.select(
             F.concat_ws("/", F.lit(trash_root), "day_dir", "hour_dir").alias("path")))
+        fsops.delete_paths(spark, tp.select(F.concat_ws("/", F.lit(site.trash_catalog()), L.partition_folder(
+            "trash_hour_key", F.concat_ws("-", "day_dir", "hour_dir"))).alias("path")))
+        for row in tp.select(F.concat_ws("/", F.lit(trash_root), "day_dir").alias("path")).distinct().toLocalIterator():
+            fsops.delete_if_empty(spark, row["path"])
     return {"dropped_hours": dropped, "dropped_trash_hours": dropped_trash}

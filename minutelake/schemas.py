@@ -29,6 +29,6 @@ DESTINATIONS = _struct(("stream", S), ("cluster", S), ("is_primary", B), ("reten
 DEFAULTS = _struct(("rootdir", S), ("retention_hours", I), ("trash_retention_hours", I))
 
 from .constants import (  # noqa: E402,F401  re-exported for callers
-    DATA_BASE, DEFAULT_RETENTION_HOURS, DEFAULT_TRASH_RETENTION_HOURS, FILES_TO_KEEP, LAST_FILE_TIMEOUT_MS,
-    LOCAL_BASE, MERGED_BASE,
+    DATA_BASE, DEFAULT_RETENTION_HOURS, DEFAULT_TRASH_RETENTION_HOURS, FILES_TO_KEEP, IN_FLIGHT_SUFFIX,
+    LAST_FILE_TIMEOUT_MS, LOCAL_BASE, MERGED_BASE, STATS_FILE_NAME,
 )

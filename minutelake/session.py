@@ -19,6 +19,10 @@ BASE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.speculation": "false",
+    # partition values are strings as written: a stream named 007 stays 007
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # checkpoint files go with the frames that they belong to
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -59,7 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def apply_session_settings(spark: SparkSession) -> None:
     """Set the correctness-critical settings on a session someone else built."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
+    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
+              "spark.sql.sources.partitionColumnTypeInference.enabled"):
         spark.conf.set(k, BASE_CONF[k])
 
 

@@ -1,14 +1,23 @@
 """File-system side effects: moving consumed collector files to trash, dropping purged directories.
 
-The lists handled here are bounded by one run (the files of one minute, the hour
-directories of a purge); they are streamed with ``toLocalIterator`` so the
-driver never holds more than one partition of them.  Operations go through the
-Hadoop ``FileSystem`` of the session, so any URI scheme Spark can read works.
+Every path is resolved by Hadoop (``Path.getFileSystem``), so a root without a
+scheme means the session's default file system, everywhere.  Renames on a local
+or mounted file system run inside the tasks that hold the rows; for other
+schemes they go through the driver's Hadoop client, a bounded list per run
+(the files of one minute, the hour directories of a purge), streamed with
+``toLocalIterator``.
 """
 
 from __future__ import annotations
 
+import os
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# parallel metadata requests of the driver's client
+_THREADS = 16
 
 
 def _fs(spark: SparkSession, path: str):
@@ -17,48 +26,46 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _local(p: str) -> str | None:
-    """Local path of a ``file:`` URI or an absolute path; None for any other scheme."""
-    if p.startswith("file:"):
-        p = p[5:]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    return p if p.startswith("/") else None
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system it is on (``file:/x``, ``hdfs://host/x``)."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
 
 
-def move_files(spark: SparkSession, moves: DataFrame, src_col: str = "src", dst_col: str = "dst") -> int:
-    """Rename every ``src`` to ``dst`` (creating parents); missing sources are skipped.
+def _local(spark: SparkSession, path: str) -> str | None:
+    """The plain path if it is on a local or mounted file system, else None."""
+    q = qualified(spark, path)
+    return q[5:] if q.startswith("file:") else None
 
-    On a local or mounted file system the renames run inside the tasks that hold the rows
-    (``mapInPandas``), so they scale with the executors; for other schemes they go through
-    the session's Hadoop ``FileSystem`` from the driver, one ``mkdirs`` per directory.
-    """
-    from pyspark.sql import functions as F
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (none if it is absent)."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def move_files(spark: SparkSession, moves: DataFrame, root: str, src_col: str = "src", dst_col: str = "dst") -> int:
+    """Rename every ``src`` to ``dst`` (creating parents), both below ``root``; missing sources are skipped."""
     m = moves.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
-    remote = m.filter(~((F.col("src").startswith("file:") | F.col("src").startswith("/")) &
-                        (F.col("dst").startswith("file:") | F.col("dst").startswith("/"))))
-    if remote.isEmpty():
-        def move_local(batches):  # self-contained: shipped to the executors by value
+    if _local(spark, root) is not None:
+        def move(batches):  # shipped to the executors by value
             import os
 
             import pandas as pd
 
-            def local(p):
-                if p.startswith("file:"):
-                    p = p[5:]
-                    while p.startswith("//"):
-                        p = p[1:]
-                return p
+            def plain(p):
+                return "/" + p[5:].lstrip("/") if p.startswith("file:") else p
 
             for pdf in batches:
-                n, made = 0, set()
+                n = 0
                 for s, d in zip(pdf["src"], pdf["dst"]):
-                    s, d = local(s), local(d)
-                    parent = os.path.dirname(d)
-                    if parent not in made:
-                        os.makedirs(parent, exist_ok=True)
-                        made.add(parent)
+                    s, d = plain(s), plain(d)
+                    os.makedirs(os.path.dirname(d), exist_ok=True)
                     try:
                         os.rename(s, d)
                         n += 1
@@ -66,76 +73,79 @@ def move_files(spark: SparkSession, moves: DataFrame, src_col: str = "src", dst_
                         pass
                 yield pd.DataFrame({"moved": [n]})
 
-        return int(m.mapInPandas(move_local, "moved long").agg(F.sum("moved")).first()[0] or 0)
-    n = 0
-    jvm = spark.sparkContext._jvm
-    made = set()
-    for row in m.toLocalIterator():
+        return int(m.mapInPandas(move, "moved long").agg(F.sum("moved")).first()[0] or 0)
+
+    def one(row) -> int:
         fs, src = _fs(spark, row[0])
-        dst = jvm.org.apache.hadoop.fs.Path(row[1])
-        parent = dst.getParent().toString()
-        if parent not in made:
-            fs.mkdirs(dst.getParent())
-            made.add(parent)
-        if fs.rename(src, dst):
-            n += 1
-    return n
+        _, dst = _fs(spark, row[1])
+        fs.mkdirs(dst.getParent())
+        return int(bool(fs.exists(src) and fs.rename(src, dst)))
+
+    with ThreadPoolExecutor(_THREADS) as pool:
+        return sum(pool.map(one, m.toLocalIterator()))
 
 
 def delete_paths(spark: SparkSession, paths: DataFrame, col: str = "path") -> int:
     """Recursively delete each listed path (K9); absent paths are ignored."""
-    n = 0
-    for row in paths.select(col).toLocalIterator():
-        fs, p = _fs(spark, row[0])
-        if fs.exists(p) and fs.delete(p, True):
-            n += 1
-    return n
+    return sum(delete_path(spark, row[0]) for row in paths.select(col).toLocalIterator())
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def delete_path(spark: SparkSession, path: str) -> int:
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    return int(bool(fs.exists(p) and fs.delete(p, True)))
 
 
-def delete_idle_empty_files(spark: SparkSession, data_dir: str, now_ms: int, timeout_ms: int) -> int:
-    """delete 0-byte collector files idle for at least ``timeout_ms``.
+def delete_if_empty(spark: SparkSession, path: str) -> int:
+    """A folder without entries goes, whatever its age."""
+    fs, p = _fs(spark, path)
+    return int(bool(fs.exists(p) and not list(fs.listStatus(p)) and fs.delete(p, False)))
+
+
+def unlisted_files(spark: SparkSession, data_dir: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int]]]:
+    """Collector files that Spark's file sources don't list: hidden ones (a level of their path
+    begins with ``_`` or ``.``) as (path, mtime ms, length), and empty ones as (path, mtime ms).
 
-    Spark's file sources do not list 0-byte files, so this walks the folder itself -- the
-    same listing a file scan of the folder performs: with ``os.scandir`` on a local or
-    mounted file system, with the Hadoop ``listFiles`` iterator (streamed, never
-    materialised) otherwise.  A fresh empty file may be in flight and is kept.
+    One listing request per collector folder, many at a time: bounded by the number of
+    collectors.  Only the odd files are kept.
     """
-    import os
-    local = _local(data_dir)
-    if local is not None:
-        n = 0
-        stack = [local]
-        while stack:
-            d = stack.pop()
-            try:
-                entries = list(os.scandir(d))
-            except FileNotFoundError:
+    fs, top = _fs(spark, data_dir)
+    if not fs.exists(top):
+        return [], []
+    jvm = spark.sparkContext._jvm
+    collectors = [s.getPath().toString() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(top, "*/*")) or [] if s.isDirectory()]
+
+    def odd(folder: str) -> tuple[list, list]:
+        hidden, empty = [], []
+        levels = folder.rsplit("/", 2)[1:]
+        for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)):
+            if s.isDirectory():
                 continue
-            for e in entries:
-                if e.is_dir(follow_symlinks=False):
-                    stack.append(e.path)
-                    continue
-                st = e.stat(follow_symlinks=False)
-                if st.st_size == 0 and now_ms - int(st.st_mtime * 1000) >= timeout_ms:
-                    try:
-                        os.remove(e.path)
-                        n += 1
-                    except FileNotFoundError:
-                        pass
-        return n
-    fs, p = _fs(spark, data_dir)
-    if not fs.exists(p):
-        return 0
-    n = 0
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        if st.getLen() == 0 and now_ms - st.getModificationTime() >= timeout_ms:
-            if fs.delete(st.getPath(), False):
-                n += 1
-    return n
+            path, name = s.getPath().toString(), s.getPath().getName()
+            if s.getLen() == 0:
+                empty.append((path, s.getModificationTime()))
+            elif any(x[0] in "_." for x in (*levels, name)):
+                hidden.append((path, s.getModificationTime(), s.getLen()))
+        return hidden, empty
+
+    with ThreadPoolExecutor(_THREADS) as pool:
+        found = list(pool.map(odd, collectors))
+    return [x for h, _ in found for x in h], [x for _, e in found for x in e]
+
+
+def delete_idle_empty_files(spark: SparkSession, empty: list[tuple[str, int]], accept, now_ms: int, timeout_ms: int) -> int:
+    """delete empty files whose name ``accept`` takes and that are idle for ``timeout_ms`` or more.
+
+    A fresh empty file may be in flight and is kept, and so are names that the collector
+    filter leaves alone.
+    """
+    return sum(delete_path(spark, path) for path, mtime in empty
+               if accept(os.path.basename(path)) and now_ms - mtime >= timeout_ms)
+
+
+def copy_file(spark: SparkSession, src: str, dst: str) -> None:
+    fs, s = _fs(spark, src)
+    to, d = _fs(spark, dst)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, s, to, d, False, True, conf)
+
+

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import layout as L
 from ..schemas import DATA_BASE
+from ..sinks import files as fsops
 
 
 def list_files(spark: SparkSession, directory: str | list[str], cluster: str, glob: str | None = None) -> DataFrame:
@@ -25,7 +26,7 @@ def list_files(spark: SparkSession, directory: str | list[str], cluster: str, gl
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(directory)
-    return df.select(F.lit(cluster).alias("cluster"), F.col("path"),
+    return df.select(F.lit(cluster).alias("cluster"), L.one_slash("path").alias("path"),
                      L.ntz(F.col("modificationTime")).alias("mtime"), F.col("length").cast("long").alias("length"))
 
 
@@ -45,9 +46,24 @@ def _dirs(root: str, base: str, streams) -> str | list[str]:
     return top if streams is None else [f"{top}/{s}" for s in streams]
 
 
-def collector_files(spark: SparkSession, root: str, cluster: str, streams=None) -> DataFrame:
-    """List ``<root>/data`` of one cluster (only the given streams' folders if ``streams``)."""
-    return collector_files_from_listing(list_files(spark, _dirs(root, DATA_BASE, streams), cluster))
+def collector_files(spark: SparkSession, root: str, cluster: str, streams=None,
+                    hidden: list[tuple[str, int, int]] | None = None) -> DataFrame:
+    """List ``<root>/data`` of one cluster (only the given streams' folders if ``streams``).
+
+    ``hidden`` are the files that Spark's sources skip (``sinks.files.unlisted_files``; found
+    here when not given): names and folders beginning with ``_`` or ``.`` are ordinary ones.
+    """
+    if hidden is None:
+        hidden, _ = fsops.unlisted_files(spark, f"{root.rstrip('/')}/{DATA_BASE}")
+    found = list_files(spark, _dirs(root, DATA_BASE, streams), cluster)
+    if hidden:
+        odd = spark.createDataFrame(hidden, "path string, ms long, length long").select(
+            F.lit(cluster).alias("cluster"), L.one_slash("path").alias("path"),
+            L.ntz(F.timestamp_millis("ms")).alias("mtime"), "length")
+        if streams is not None:
+            odd = odd.filter(L.stream_from_collector_path("path").isin(list(streams)))
+        found = found.unionByName(odd)
+    return collector_files_from_listing(found)
 
 
 _PUBLISHED = r"/([^/]+)/([^/]+)/(\d{4}/\d\d/\d\d/\d\d/\d\d)/([^/]+)$"
@@ -77,11 +93,6 @@ def stream_files(spark: SparkSession, root: str, cluster: str, base: str, stream
     return stream_files_from_listing(list_files(spark, _dirs(root, base, streams), cluster))
 
 
-def streams(files: DataFrame) -> DataFrame:
-    """Stream names present per cluster."""
-    return files.select("cluster", "stream").distinct()
-
-
 def collectors(files: DataFrame) -> DataFrame:
     """(stream, collector) pairs present per cluster, with their file counts."""
     return files.groupBy("cluster", "stream", "collector").agg(F.count(F.lit(1)).alias("n_files"))

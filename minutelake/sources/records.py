@@ -1,31 +1,51 @@
-"""Records of selected collector files, and records of published tables."""
+"""Records of selected collector files, and records of published tables.
+
+Every line carries its place in its file: ``block_start`` (where its input split
+begins) and ``line_pos`` (a number that grows along the split).  Together they order
+the lines of a file, and ``numbered`` turns them into a key that is the same whenever
+the file is read with the same splits.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
+from ..functions.skew import bounded_broadcast
+from ..sinks import files as fsops
 
+RECORDS_SCHEMA = ("cluster string, stream string, collector string, src_file string, value string, "
+                  "block_start bigint, line_pos bigint")
+PUBLISHED_SCHEMA = ("cluster string, file_name string, collector string, src_file string, value string, "
+                    "block_start bigint, line_pos bigint, committed_at timestamp_ntz, "
+                    "stream string, hour string, minute_key string, batch_id bigint")
 
-def read_records(spark: SparkSession, paths: list[str], cluster: str) -> DataFrame:
-    """Lines of the given collector files with their lineage.
 
-    ``lineSep='\\n'`` keeps ``\\r`` and every other byte of a line as written.
-    Stream, collector and file name come from the file path itself
-    (``.../data/<stream>/<collector>/<file>``), so no join with the listing is
-    needed.  The path list is the files of one run (bounded by the collectors'
-    output of one minute); the reading itself is distributed by Spark.
+def _lines(spark: SparkSession, paths, files=None) -> DataFrame:
+    """``path, value, block_start, line_pos``; ``lineSep='\\n'`` keeps ``\\r`` and every other byte of a line.
+
+    ``files`` is a condition on ``_metadata``: it prunes files before they are opened, so it
+    has to stand below the numbering.
     """
+    df = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths)
+    if files is not None:
+        df = df.filter(files)
+    return df.select(L.plain_path(F.col("_metadata.file_path")).alias("__path"), "value",
+                     F.col("_metadata.file_block_start").alias("block_start"),
+                     F.monotonically_increasing_id().alias("line_pos"))
+
+
+def read_records(spark: SparkSession, paths: list[str], cluster: str) -> DataFrame:
+    """Lines of the given collector files with their lineage, from the file path itself
+    (``.../data/<stream>/<collector>/<file>``).  The path list is the files of one run."""
     if not paths:
-        return spark.createDataFrame([], "cluster string, stream string, collector string, src_file string, "
-                                         "value string")
-    df = spark.read.option("lineSep", "\n").text(paths)
-    p = F.col("_metadata.file_path")
-    parts = F.split(p, "/")
-    return df.select(F.lit(cluster).alias("cluster"), L.stream_from_collector_path(p).alias("stream"),
-                     F.element_at(parts, -2).alias("collector"), F.element_at(parts, -1).alias("src_file"),
-                     "value")
+        return spark.createDataFrame([], RECORDS_SCHEMA)
+    parts = F.split("__path", "/")
+    return _lines(spark, paths).select(
+        F.lit(cluster).alias("cluster"), L.stream_from_collector_path("__path").alias("stream"),
+        F.element_at(parts, -2).alias("collector"), F.element_at(parts, -1).alias("src_file"), "value",
+        "block_start", "line_pos")
 
 
 def read_published(spark: SparkSession, table_dir: str, streams=None, minutes=None) -> DataFrame:
@@ -34,7 +54,7 @@ def read_published(spark: SparkSession, table_dir: str, streams=None, minutes=No
     ``streams`` and ``minutes`` (``yyyy-MM-dd-HH-mm`` strings) become filters on
     partition columns, so only matching directories are listed and read.
     """
-    df = spark.read.parquet(table_dir)
+    df = spark.read.schema(PUBLISHED_SCHEMA).parquet(table_dir)
     if streams is not None:
         df = df.filter(F.col("stream").isin(list(streams)))
     if minutes is not None:
@@ -42,28 +62,42 @@ def read_published(spark: SparkSession, table_dir: str, streams=None, minutes=No
     return df.withColumn("minute", L.ntz(F.try_to_timestamp(F.col("minute_key"), F.lit(L.FILE_TIME_FORMAT))))
 
 
-def read_selected(spark: SparkSession, data_dir: str, selected: DataFrame, cluster: str) -> DataFrame:
+def read_selected(spark: SparkSession, data_dir: str, selected: DataFrame, cluster: str,
+                  staging: str | None = None) -> DataFrame:
     """Lines of the selected collector files, with their lineage.
 
     No path list goes through the driver.  The collector folder is scanned with a
     file-metadata pre-filter -- the modification-time range of the selection, two scalars
     from one small aggregate -- which Spark's file index applies before opening any file,
     so files kept from earlier runs (older than everything new) are skipped; the exact
-    selection is then a join on ``_metadata.file_path`` (broadcast when the selection's
-    row count is under the bound, a shuffle join otherwise).  Files removed between
-    listing and reading are skipped.  Lineage (stream, collector, file name) comes from
-    the listing rows.
+    selection is then a join on the file's path.  A selected file that is gone is an error
+    (the run aborts before its checkpoint).  Hidden files, which Spark's sources skip, are
+    first copied under visible names into ``staging``; they are few.
     """
-    from ..functions.skew import bounded_broadcast
+    sel = selected.select(L.one_slash("path").alias("__path"), "stream", "collector", F.col("file_name").alias("src_file"))
+    hidden = sel.filter(F.col("src_file").rlike("^[_.]") | F.col("stream").rlike("^[_.]") | F.col("collector").rlike("^[_.]"))
+    moved = []
+    if staging is not None:
+        for i, row in enumerate(hidden.toLocalIterator()):
+            copy = f"{staging}/f{i}"
+            fsops.copy_file(spark, row["__path"], copy)
+            moved.append((fsops.qualified(spark, copy), row["stream"], row["collector"], row["src_file"]))
+    cols = [F.lit(cluster).alias("cluster"), "stream", "collector", "src_file", "value", "block_start", "line_pos"]
+    out = spark.createDataFrame([], RECORDS_SCHEMA)
     lo, hi = selected.agg(F.min("mtime"), F.max("mtime")).first()
-    if lo is None:
-        return spark.createDataFrame([], "cluster string, stream string, collector string, src_file string, "
-                                         "value string")
-    mt = F.col("_metadata.file_modification_time")
-    lines = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
-             .option("ignoreMissingFiles", "true").text(data_dir)
-             .filter((mt >= F.lit(lo).cast("timestamp")) & (mt <= F.lit(hi).cast("timestamp")))
-             .select(F.col("_metadata.file_path").alias("__path"), "value"))
-    sel = selected.select(F.col("path").alias("__path"), "stream", "collector", F.col("file_name").alias("src_file"))
-    return (lines.join(bounded_broadcast(sel), "__path")
-            .select(F.lit(cluster).alias("cluster"), "stream", "collector", "src_file", "value"))
+    if lo is not None:
+        mtime = F.col("_metadata.file_modification_time")
+        lines = _lines(spark, data_dir, mtime.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")))
+        out = lines.join(bounded_broadcast(sel), "__path").select(*cols)
+    if moved:
+        kinds = "__path string, stream string, collector string, src_file string"
+        copies = spark.createDataFrame(moved, kinds).withColumn("__path", L.one_slash("__path"))
+        out = out.unionByName(_lines(spark, staging).join(copies, "__path").select(*cols))
+    return out
+
+
+def numbered(records: DataFrame) -> DataFrame:
+    """``record_no``, the number of a line within its split, so ``(src_file, block_start, record_no)`` is a
+    key of a source line.  A window over one split of one file, which is bounded by the split size."""
+    key = [c for c in ("cluster", "stream", "collector", "src_file", "minute_key", "batch_id", "block_start") if c in records.columns]
+    return records.withColumn("record_no", F.row_number().over(Window.partitionBy(*key).orderBy("line_pos")))

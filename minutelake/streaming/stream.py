@@ -2,19 +2,19 @@
 
 * ``ingest``: a landing directory that receives *closed* collector files by
   atomic rename (C16: the file source never re-reads a grown file) ->
-  ``foreachBatch`` publishes each micro-batch into the commit minute of its
-  trigger, appends ledger rows and manifests; the offset log in
-  ``checkpointLocation`` plays the reference's checkpoint, ``cleanSource=archive``
-  its trash.
-* ``merge`` / ``mirror``: streaming reads of a published table (new part files
-  are the manifests) -> ``foreachBatch`` re-bucketing (merge) or path-preserving
-  copy (mirror).
+  ``foreachBatch`` publishes each micro-batch into its commit minute, appends
+  ledger rows and manifests; the offset log in ``checkpointLocation`` plays the
+  reference's checkpoint, ``cleanSource=archive`` its trash.
+* ``local`` / ``merge`` / ``mirror``: the minute services.  A clock source
+  triggers one ``plans.run`` per interval, with or without new data, so routing,
+  ledger, idle minutes, manifests and order are those of the batch runs.
 * ``minute_rollup``: event-time twin of the minute bucket with a watermark.
 * ``dedupe``: replay removal within the watermark.
 
-Every ``foreachBatch`` writes with ``batch_id`` as a partition value and
-dynamic overwrite, so a batch replayed after a failure rewrites the same
-partitions (exactly-once output on top of at-least-once delivery).
+A batch's commit minute (and, for the services, its selection) is recorded before
+anything of it is written, so a batch replayed after a failure, at whatever time,
+rewrites the same partitions with the same rows (exactly-once output on top of
+at-least-once delivery).
 """
 
 from __future__ import annotations
@@ -28,11 +28,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import layout as L
 from ..operators import publish
+from ..plans import run as R
+from ..schemas import LOCAL_BASE, MERGED_BASE
+from ..session import apply_session_settings
+from ..sinks import files as fsops
 from ..sinks import writers as W
 
-_PUBLISHED_SCHEMA = ("cluster string, collector string, src_file string, value string, file_name string, "
-                     "committed_at timestamp_ntz, stream string, hour string, minute_key string, batch_id bigint")
-
 
 def utc_minute() -> str:
     """Commit time of a trigger: the processing-time minute."""
@@ -53,81 +54,112 @@ def ingest(spark: SparkSession, landing_dir: str, cluster: str, out_table: str,
            on_batch: Callable[[DataFrame, int], None] | None = None,
            manifest_dir: str | None = None, sources: DataFrame | None = None,
            destinations: DataFrame | None = None, root: str | None = None,
-           include_mirrors: bool = False) -> StreamingQuery:
+           include_mirrors: bool = False, commits_dir: str | None = None,
+           catalog_dir: str | None = None) -> StreamingQuery:
     """Landing dir ``<stream>/<collector>/<file>`` -> local stream table.
 
     With ``manifest_dir`` and the topology, each batch also appends the merge manifests
-    of the files it published (K4), keyed by the batch id.
+    of the files it published (K4), keyed by the batch id; with ``catalog_dir`` the commit
+    catalog that merges and audits read.  ``commits_dir`` (default: in the checkpoint) keeps
+    the commit minute of each batch.
     """
+    apply_session_settings(spark)
     reader = (spark.readStream.format("text").option("lineSep", "\n").option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     src = reader.load(landing_dir)
-    p = F.col("_metadata.file_path")
+    p = L.plain_path(F.col("_metadata.file_path"))
     parts = F.split(p, "/")
     recs = src.select(F.lit(cluster).alias("cluster"), L.stream_from_collector_path(p).alias("stream"),
-                      F.element_at(parts, -2).alias("collector"), F.element_at(parts, -1).alias("src_file"), "value")
+                      F.element_at(parts, -2).alias("collector"), F.element_at(parts, -1).alias("src_file"), "value",
+                      F.col("_metadata.file_block_start").alias("block_start"))
+    commits = commits_dir or f"{checkpoint}/commit_minutes"
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        now = F.lit(clock()).cast("timestamp_ntz")
-        # the batch feeds three writes; keep it for the duration of this function (the
-        # foreachBatch idiom) -- a lost block is recomputed from the batch's fixed file list
-        df = df.persist()
-        planned = publish.plan_local(df, now).withColumn("committed_at", now)
+        spark = df.sparkSession
+        minute, _ = W.commit_of(spark, commits, batch_id, clock())
+        now = F.lit(minute).cast("timestamp_ntz")
+        numbered = df.withColumn("line_pos", F.monotonically_increasing_id())
+        planned = publish.plan_local(numbered, now).withColumn("committed_at", now)
         W.write_published(planned, out_table, batch_id)
-        minutes = (planned.select("cluster", "base", "stream", "minute").distinct()
-                   .withColumn("state", F.lit("data")).withColumn("created_at", now))
+        # everything after it needs the batch's files only: two columns of what was written, not the input again
+        names = (spark.read.schema("file_name string, stream string, batch_id bigint").parquet(out_table)
+                 .filter(F.col("batch_id") == batch_id).select("stream", "file_name").distinct())
+        files = names.select(F.lit(cluster).alias("cluster"), F.lit(LOCAL_BASE).alias("base"), "stream",
+                             L.minute_of(now).alias("minute"), "file_name", now.alias("mtime"), F.lit(None).cast("long").alias("length"))
+        files = files.withColumn("path", F.concat_ws("/", F.lit(root or ""), "base", "stream", F.date_format(
+            "minute", L.MINUTE_DIR_FORMAT), "file_name"))
+        files = files.checkpoint(eager=True)
+        if catalog_dir is not None:
+            W.write_catalog(files, catalog_dir, batch_id)
+        minutes = files.select("cluster", "base", "stream", "minute").distinct().withColumn(
+            "state", F.lit("data")).withColumn("created_at", now)
         # T5: idle minutes since the previous batch (no trigger fires without new files)
-        known = W.read_ledger(df.sparkSession, ledger_dir).filter(F.col("base") == "streams_local")
-        gaps = publish.gap_minutes(known.select("cluster", "base", "stream", "minute"), now).select(
-            "cluster", "base", "stream", "minute", "state", "created_at")
-        W.append_new_ledger_rows(df.sparkSession, minutes.unionByName(gaps), ledger_dir)
+        known = W.read_ledger(spark, ledger_dir).filter(F.col("base") == LOCAL_BASE)
+        gaps = publish.gap_minutes(known.select("cluster", "base", "stream", "minute"), now).select(*W.LEDGER_COLS)
+        W.write_ledger_rows(spark, minutes.unionByName(gaps), ledger_dir)
         if manifest_dir is not None and sources is not None and destinations is not None:
             from ..operators import route
-            files = planned.select("cluster", "stream", "minute", "file_name").distinct().withColumn(
-                "path", F.concat_ws("/", F.lit(root or ""), F.lit("streams_local"), F.col("stream"),
-                                    F.date_format("minute", L.MINUTE_DIR_FORMAT), F.col("file_name")))
             m = route.route_merge(files, route.merge_edges(sources, destinations, include_mirrors),
                                   batch_id=F.lit(batch_id).cast("long"))
             W.append_manifests(m, manifest_dir)
         if on_batch:
             on_batch(planned, batch_id)
-        df.unpersist()
 
     return _start(recs, batch, checkpoint, trigger, None)
 
 
-def merge(spark: SparkSession, local_table: str, dest_cluster: str, out_table: str, checkpoint: str,
-          trigger: dict | None = None, clock: Callable[[], str] = utc_minute,
-          max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """New local-stream part files re-bucketed into the merged stream's commit minute."""
-    reader = spark.readStream.schema(_PUBLISHED_SCHEMA).format("parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = reader.load(local_table)
+def _first_batch(spark: SparkSession, site: R.Site, service: str, base: str, checkpoint: str) -> int:
+    """Offset of a service's batch ids, kept with its checkpoint: above every batch the site has.
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        now = F.lit(clock()).cast("timestamp_ntz")
-        planned = publish.plan_merge(df, F.lit(dest_cluster), now).withColumn("committed_at", now)
-        W.write_published(planned, out_table, batch_id)
+    A service started with a new checkpoint so never takes an old batch for its own.
+    """
+    path = f"{checkpoint}/first_batch"
+    if not fsops.exists(spark, f"{path}/_SUCCESS"):
+        made = [int(x.removeprefix("batch_id=")) for x in fsops.subfolders(spark, site.commits(service))]
+        last = W.read_table(spark, site.catalog(), W.CATALOG_SCHEMA).filter(F.col("base") == base).agg(F.max("batch_id")).first()[0]
+        first = max([-1, *made, -1 if last is None else last]) + 1
+        spark.createDataFrame([(first,)], "first bigint").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema("first bigint").parquet(path).first()[0]
 
-    return _start(src, batch, checkpoint, trigger, None)
 
+def _service(spark: SparkSession, run: Callable[[str, int], dict], site: R.Site, service: str, base: str, checkpoint: str,
+             trigger: dict | None, clock: Callable[[], str], on_run: Callable[[dict], None] | None) -> StreamingQuery:
+    apply_session_settings(spark)
+    first = _first_batch(spark, site, service, base, checkpoint)
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
 
-def mirror(spark: SparkSession, merged_table: str, mirror_cluster: str, out_table: str, checkpoint: str,
-           trigger: dict | None = None) -> StreamingQuery:
-    """Path-preserving copy: the minute of every record is kept."""
-    src = spark.readStream.schema(_PUBLISHED_SCHEMA).format("parquet").load(merged_table)
+    def batch(_: DataFrame, batch_id: int) -> None:
+        out = run(clock(), first + batch_id)
+        if on_run:
+            on_run(out)
+
+    return _start(ticks, batch, f"{checkpoint}/ticks", trigger, None)
+
+
+def local(spark: SparkSession, site: R.Site, sources: DataFrame, destinations: DataFrame, checkpoint: str,
+          trigger: dict | None = None, clock: Callable[[], str] = utc_minute,
+          on_run: Callable[[dict], None] | None = None, **options) -> StreamingQuery:
+    """T1 as a minute service over the collector folders (:func:`plans.run.run_local`)."""
+    return _service(spark, lambda now, n: R.run_local(spark, site, now, n, sources, destinations, **options), site,
+                    "local", LOCAL_BASE, checkpoint, trigger, clock, on_run)
+
+
+def merge(spark: SparkSession, src_sites: list[R.Site], dest: R.Site, sources: DataFrame, destinations: DataFrame,
+          checkpoint: str, trigger: dict | None = None, clock: Callable[[], str] = utc_minute,
+          on_run: Callable[[dict], None] | None = None) -> StreamingQuery:
+    """T2 as a minute service: routed manifests, ledger, gaps and mirror manifests (:func:`plans.run.run_merge`)."""
+    return _service(spark, lambda now, n: R.run_merge(spark, src_sites, dest, now, n, sources, destinations), dest,
+                    "merge", MERGED_BASE, checkpoint, trigger, clock, on_run)
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        recs = df.withColumn("minute", L.ntz(F.try_to_timestamp("minute_key", F.lit(L.FILE_TIME_FORMAT))))
-        planned = publish.plan_mirror(recs.withColumn("base", F.lit("streams")), F.lit(mirror_cluster))
-        W.write_published(planned.select("cluster", "base", "stream", "minute", "file_name", "collector",
-                                         "src_file", "value", "committed_at"), out_table, batch_id)
 
-    return _start(src, batch, checkpoint, trigger, None)
+def mirror(spark: SparkSession, src: R.Site, mirror_site: R.Site, checkpoint: str, trigger: dict | None = None,
+           clock: Callable[[], str] = utc_minute, on_run: Callable[[dict], None] | None = None) -> StreamingQuery:
+    """T3 as a minute service: minutes preserved, empty ones included (:func:`plans.run.run_mirror`)."""
+    return _service(spark, lambda now, n: R.run_mirror(spark, src, mirror_site, now, n), mirror_site,
+                    f"mirror_of_{src.name}", MERGED_BASE, checkpoint, trigger, clock, on_run)
 
 
 def minute_rollup(events: DataFrame, watermark: str = "2 minutes") -> DataFrame:

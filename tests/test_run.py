@@ -229,7 +229,7 @@ def test_read_records_path_list(spark, tmp_path):
     _write(root, "s1", "k1", "s1-f", ["a\rx", "b"], T0)
     _write(root, "s2", "k2", "s2-f", ["c"], T0)
     paths = [f"file:{root}/data/s1/k1/s1-f", f"file:{root}/data/s2/k2/s2-f"]
-    got = sorted(tuple(r) for r in read_records(spark, paths, "c1").collect())
+    got = sorted(tuple(r)[:5] for r in read_records(spark, paths, "c1").collect())
     assert got == [("c1", "s1", "k1", "s1-f", "a\rx"), ("c1", "s1", "k1", "s1-f", "b"), ("c1", "s2", "k2", "s2-f", "c")]
     assert read_records(spark, [], "c1").count() == 0
 

@@ -60,21 +60,71 @@ def test_ingest_stream_writes_manifests(spark, tmp_path):
         ("c9", "s1", "/c1/streams_local/s1/2024/01/01/00/01/k1-s1-2024-01-01-00-00_00000.gz")]
 
 
-def test_merge_and_mirror_streams(spark, tmp_path):
-    land, local, led, merged, mirror = (str(tmp_path / x) for x in ("land", "local", "led", "merged", "mirror"))
+def _until(query, runs, n, seconds=150):
+    import time
+    end = time.time() + seconds
+    while len(runs) < n and time.time() < end and query.exception() is None:
+        time.sleep(0.2)
+    query.stop()
+    assert query.exception() is None and len(runs) >= n
+
+
+def test_services_run_every_minute(spark, tmp_path):
+    """Local, merge and mirror services on their own clocks: routing, ledger, gaps, mirror manifests, order."""
+    from minutelake.plans import run as R
+    from minutelake.sinks import writers as W
+    c1, c3 = R.Site("c1", str(tmp_path / "c1")), R.Site("c3", str(tmp_path / "c3"))
+    src = spark.createDataFrame([("s1", "c1", 48), ("s2", "c1", 48)], "stream string, cluster string, retention_hours int")
+    dst = spark.createDataFrame([("s1", "c1", True, 48), ("s1", "c3", False, 48)],
+                                "stream string, cluster string, is_primary boolean, retention_hours int")
+    for s in ("s1", "s2"):
+        d = tmp_path / "c1" / "data" / s / "k1"
+        os.makedirs(d)
+        for i in range(2):
+            (d / f"{s}-2024-01-01-00-0{i}_00000").write_text(f"{s}{i}a\n{s}{i}b\n")
+            os.utime(d / f"{s}-2024-01-01-00-0{i}_00000", (1704067200 + i, 1704067200 + i))
+    minutes = iter(f"2024-01-01 0{m // 60}:{m % 60:02d}:00" for m in range(60, 600, 3))
+    clock = lambda: next(minutes)
+    each = {"processingTime": "1 second"}
+    runs = []
+    _until(stream.local(spark, c1, src, dst, str(tmp_path / "ck1"), each, clock, runs.append, timeout_ms=0), runs, 2)
+    assert [r["new_files"] for r in runs][:2] == [4, 0]
+    merged = []
+    _until(stream.merge(spark, [c1], c1, src, dst, str(tmp_path / "ck2"), each, clock, merged.append), merged, 2)
+    assert merged[0]["merged_files"] == 2 and merged[1]["merged_files"] == 0  # s2 has no primary
+    mirrored = []
+    _until(stream.mirror(spark, c1, c3, str(tmp_path / "ck3"), each, clock, mirrored.append), mirrored, 1)
+    there = read_published(spark, c3.base("streams")).collect()
+    assert sorted(r.value for r in there) == ["s10a", "s10b", "s11a", "s11b"]
+    here = {(r.stream, r.minute_key) for r in read_published(spark, c1.base("streams")).collect()}
+    assert {(r.stream, r.minute_key) for r in there} == here
+    # the merge's idle minutes are in both ledgers
+    idle = lambda s: {r.minute for r in W.read_ledger(spark, s.ledger()).filter("state = 'empty' AND base = 'streams'").collect()}
+    assert idle(c1) and idle(c3) <= idle(c1)
+    # a service with a new checkpoint takes batch ids above those that the site has
+    assert stream._first_batch(spark, c1, "merge", "streams", str(tmp_path / "ck9")) >= 1
+
+
+def test_a_replayed_batch_keeps_its_minute(spark, tmp_path):
+    """A crash after the publish, replayed at a later minute, rewrites the same records."""
+    land, out, led, ck = (str(tmp_path / x) for x in ("land", "out", "ledger", "ck"))
     os.makedirs(land)
-    _landing(land, "s1", "k1", "s1-2024-01-01-00-00_00000", ["a", "b"])
-    stream.ingest(spark, land, "c1", local, led, str(tmp_path / "ck1"), trigger={"availableNow": True},
-                  clock=lambda: "2024-01-01 00:01:00").awaitTermination(120)
-    stream.merge(spark, local, "c1", merged, str(tmp_path / "ck2"), trigger={"availableNow": True},
-                 clock=lambda: "2024-01-01 00:03:00").awaitTermination(120)
-    m = read_published(spark, merged)
-    assert m.count() == 2 and {r.minute_key for r in m.collect()} == {"2024-01-01-00-03"}
-    stream.mirror(spark, merged, "c3", mirror, str(tmp_path / "ck3"),
-                  trigger={"availableNow": True}).awaitTermination(120)
-    r = read_published(spark, mirror)
-    assert r.count() == 2 and {x.minute_key for x in r.collect()} == {"2024-01-01-00-03"}
-    assert {x.cluster for x in r.collect()} == {"c3"}
+    _landing(land, "007", "k 1", "a%b +c", ["x", "y"])
+    minutes = iter(["2024-01-01 00:01:00", "2024-01-01 00:02:00"])
+
+    def crash(*_):
+        raise RuntimeError("after the publish")
+
+    q = stream.ingest(spark, land, "c1", out, led, ck, trigger={"availableNow": True}, clock=lambda: next(minutes), on_batch=crash)
+    try:
+        q.awaitTermination(120)
+    except Exception:  # the crash, as the query reports it
+        pass
+    stream.ingest(spark, land, "c1", out, led, ck, trigger={"availableNow": True},
+                  clock=lambda: next(minutes)).awaitTermination(120)
+    got = read_published(spark, out).collect()
+    assert sorted((r.stream, r.collector, r.src_file, r.value, r.minute_key) for r in got) == [
+        ("007", "k 1", "a%b +c", "x", "2024-01-01-00-01"), ("007", "k 1", "a%b +c", "y", "2024-01-01-00-01")]
 
 
 def test_minute_rollup_stream(spark):
