@@ -1,5 +1,6 @@
 """Structured Streaming: ingest with availableNow, restart from the checkpoint, rollup, dedupe."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -134,12 +135,14 @@ def test_minute_rollup_stream(spark):
     q = (stream.minute_rollup(ev).writeStream.outputMode("append").format("memory").queryName("rollup_t")
          .trigger(availableNow=True).start())
     q.awaitTermination(120)
-    got = spark.sql("SELECT * FROM rollup_t")
-    batch = (spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-             .groupBy("event_type", F.date_trunc("minute", "ts")).count())
-    # the last windows stay open behind the watermark; everything else is emitted
-    assert 0 < got.count() <= batch.count()
-    assert got.agg(F.sum("n_records")).first()[0] <= 1000
+    got = {(r.stream, r.minute, r.n_records, r.n_bytes) for r in spark.sql("SELECT * FROM rollup_t").collect()}
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    batch = (ev.groupBy(F.col("event_type").alias("stream"), F.date_trunc("minute", "ts").alias("minute"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("props")).alias("b")).collect())
+    # exactly the windows that the watermark (two minutes behind the newest event) has passed
+    end = ev.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=2)
+    want = {(r.stream, r.minute.replace(tzinfo=None), r.n, r.b) for r in batch if r.minute.replace(tzinfo=None) + dt.timedelta(minutes=1) <= end}
+    assert got == want and len(want) > 900
 
 
 def test_dedupe_stream(spark, tmp_path):
