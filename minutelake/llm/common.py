@@ -42,11 +42,32 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Spark's setting by which the shuffle files of a finished query go at once
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+#: bytes of a row group of a staged table: what a writing task buffers
+ROW_GROUP_BYTES = 16 << 20
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors, frees shuffle files."""
+    path, before = new_folder(spark, name), spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -93,6 +114,11 @@ def by_group(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.Dat
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
+def small_side(df: DataFrame, most: int) -> DataFrame:
+    """``df``, to be broadcast if it has at most ``most`` rows; else it is joined by a shuffle."""
+    return F.broadcast(df) if count_up_to(df, most) <= most else df
+
+
 def count_up_to(df: DataFrame, most: int) -> int:
     """Rows of ``df``, counted no further than ``most`` + 1: the size check before a broadcast."""
     return df.limit(most + 1).count()

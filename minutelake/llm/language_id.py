@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutelake.llm.common import ascii_lower, count_up_to, small_batches, stage, table, with_text_columns
+from minutelake.llm.common import ascii_lower, small_batches, small_side, stage, table, with_text_columns
 from minutelake.llm.words import slices
 
 #: labelled rows to fit the trigram model on (a bounded sample, the same in each run)
@@ -113,21 +113,20 @@ def suffix_of(host: Column) -> Column:
     return F.when(host.contains("."), F.substring_index(host, ".", -1))
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if count_up_to(df, BROADCAST_ROWS) <= BROADCAST_ROWS else df
-
-
 def language_id(spark: SparkSession, docs: DataFrame, model: TrigramModel, text: str, declared: Column, host: Column) -> DataFrame:
     """``docs`` with language, confidence and kept; ``declared`` and ``host`` are expressions over them."""
     names, n = model.languages, len(model.languages)
     kinds = "__likely array<double>, __share array<double>, __trigrams long"
     rows = docs.withColumns({"__declared": F.when(declared.cast("string") != "", declared.cast("string")), "__host": F.when(host != "", host)})
-    rows = stage(spark, with_text_columns(rows.withColumn("__suffix", suffix_of(F.col("__host"))), text, model.columns, kinds), "scored")
+    # scored twice, as a copy of all texts would weigh more than to read them again
+    rows = with_text_columns(rows.withColumn("__suffix", suffix_of(F.col("__host"))), text, model.columns, kinds)
+    evidence = ["__declared", "__host", "__suffix", "__share", "__trigrams"]
+    scored = stage(spark, rows.select(*evidence), "scored")
 
     def sums(df: DataFrame) -> DataFrame:
         return F.array(*[F.sum(F.col("__share")[i]) for i in range(n)])
 
-    seen = rows.where("__trigrams > 0")
+    seen = scored.where("__trigrams > 0")
     total = seen.agg(sums(seen).alias("c")).first()["c"]
     total = [x or 0.0 for x in total]
     overall = [(x + 1) / (sum(total) + n) for x in total]
@@ -137,7 +136,7 @@ def language_id(spark: SparkSession, docs: DataFrame, model: TrigramModel, text:
     by_suffix, by_host, by_declared = stage(spark, by_suffix, "suffixes"), stage(spark, by_host, "hosts"), stage(spark, by_declared, "declared")
     kinds_declared = max(1, by_declared.count())
     in_language = by_declared.agg(F.array(*[F.coalesce(F.sum(F.col("__by_declared")[i]), F.lit(0.0)) for i in range(n)]).alias("c")).first()["c"]
-    rows = rows.join(small_side(by_suffix), "__suffix", "left").join(small_side(by_host), "__host", "left").join(small_side(by_declared), "__declared", "left")
+    rows = rows.join(small_side(by_suffix, BROADCAST_ROWS), "__suffix", "left").join(small_side(by_host, BROADCAST_ROWS), "__host", "left").join(small_side(by_declared, BROADCAST_ROWS), "__declared", "left")
 
     own = [F.when(F.col("__trigrams") > 0, F.col("__share")[i]).otherwise(0.0) for i in range(n)]
     one = F.when(F.col("__trigrams") > 0, 1.0).otherwise(0.0)
