@@ -159,6 +159,7 @@ def mix_sources(spark: SparkSession, rows: DataFrame, seed: int = 17, block_word
     low = F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0))
     high = F.least((F.col("block") + 1) * block_words - F.col("start"), F.col("__size"))
     used = drawn_blocks(spark, blocks, quotas, seed).groupBy("source_no", "block").agg(F.count("*").cast("int").alias("uses"))
+    used = used.hint("merge")  # its size can't be guessed from the shards that it is drawn for; it grows with the mix
     uses = lying.select("__rid", "source_no", "block", low.alias("low"), high.alias("high")).join(used, ["source_no", "block"]).select("__rid", "low", "high", "uses")
     return sources, uses
 
