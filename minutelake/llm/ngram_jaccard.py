@@ -9,9 +9,14 @@ A size-aware heavy-light join over the distinct shingle sets (equal sets are one
   a list is kept for each (cell, content). A list of a whole cell stays short where many documents share a passage.
 * The boundary between both is the size that costs least by the numbers of sets of each size.
 
+A set that shares fewer lists with others than any linked pair must share is linked with nothing; it leaves the lists
+before they are read. So documents that only have a passage in common don't meet.
+
 No pairs of a list are emitted. Each list elects a pivot (the set with the most copies) and every other member is
 checked against it; only members that the pivot doesn't link are then compared with the members of the pivot's lists,
 block by block, by scanning inverted lists of single shingles and counting. The links found span every component.
+Before texts are gathered for a check, parity sketches (two bits a shingle) rule out pairs: sketches never differ in
+more bits than sets differ in shingles.
 
 Edge cases: a null or empty text, or one without words, has an empty set and is linked with nothing, each row its own
 component. Rows with equal sets are linked. A null id takes part but is never the smallest id of a component; a
@@ -30,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutelake.llm.common import ascii_lower, by_group, count_up_to, small_batches, stage, table, with_text_columns
+from minutelake.llm.common import ascii_lower, by_group, forget, small_batches, small_side, stage, table, with_text_columns
 from minutelake.llm.words import U, Words, mix, slices
 
 #: sets of this many shingles or more are never small: their subsets are too many
@@ -39,8 +44,12 @@ SMALL_BELOW = 32
 LIST_COST = 3
 #: sizes of a band grow by this factor
 BAND = 1.6
-#: members of a block that one task compares
-BLOCK = 256
+#: cells beyond those that a list needs at least, as a share: so many lists more are shared by all linked sets
+EXTRA = 0.12
+#: times that sets which share too few lists leave
+ROUNDS = 2
+#: members of a block whose sketches, and whose texts, one task compares
+SKETCH_BLOCK, BLOCK = 4096, 256
 #: ids below which the texts to compare are found by a broadcast of the ids (8 bytes each)
 BROADCAST_IDS = 500_000
 
@@ -60,14 +69,18 @@ def subsets(s: int, theta: Fraction, below: int) -> list[tuple[int, int, int]]:
 
 
 def bands(theta: Fraction, below: int, largest: int) -> list[tuple[int, int, int, int]]:
-    """(first, last member size, cells, empty cells allowed); a band holds the pairs whose smaller set is in its range."""
+    """(first, last member size, cells, empty cells allowed); a band holds the pairs whose smaller set is in its range.
+
+    Linked sets of a band agree on all cells but those that hold one of the ``apart`` shingles at most by which they
+    differ, so on a cell that isn't empty, unless both have more empty cells than allowed.
+    """
     found, low = [], max(1, math.ceil(theta * below))
     while low <= largest:
         high = max(low + 1, math.ceil(low * BAND))
         larger = math.floor((high - 1) / theta)
         apart = math.floor((1 - theta) * (high - 1 + larger) / (1 + theta))
         spare = math.ceil(0.04 * apart + 3 * math.sqrt(0.04 * apart))
-        found.append((low, larger, apart + 1 + spare, spare))
+        found.append((low, larger, apart + 1 + spare + math.ceil(EXTRA * apart), spare))
         low = high
     return found
 
@@ -89,9 +102,11 @@ class Signatures:
     def __init__(self, theta: Fraction, below: int):
         self.theta, self.below, self.known, self.cut = theta, below, [], {}
 
-    def of(self, found: np.ndarray) -> np.ndarray:
-        out, n = [], len(found)
+    def of(self, found: np.ndarray) -> tuple[np.ndarray, int]:
+        """Signatures of a set, and how many of them at least it shares with any set that it is linked with."""
+        out, n, needs = [], len(found), []
         if n < self.below:
+            needs.append(1)
             mixed = mix(found + U(0x632BE59BD9B4E019))
             for s, t, left in subsets(n, self.theta, self.below):
                 if (n, left) not in self.cut:
@@ -107,23 +122,62 @@ class Signatures:
                 held = np.add.reduceat(mix(found + U(0x8CB92BA72F3D8DD7)), first)
                 place = (U(b + 1) << U(40)) + cell[first]
                 out.append(mix(held + mix(place)))
+                apart = math.floor((1 - self.theta) * (n + min(math.floor(n / self.theta), last)) / (1 + self.theta))
+                needs.append(max(1, len(first) - apart))
                 if cells - len(first) > spare:
                     empty = np.setdiff1d(np.arange(cells, dtype=U), cell[first])
                     out.append(mix(mix((U(b + 1) << U(40)) + empty) + U(0xD6E8FEB86659FD93)))
-        return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+        return (np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)), min(needs, default=1)
+
+
+def sketch(found: np.ndarray) -> bytes:
+    """The parity of the shingles that fall on each bit; at least two bits a shingle, a power of two in all."""
+    bits = max(64, 1 << (2 * len(found) - 1).bit_length())
+    place = mix(found + U(0x2545F4914F6CDD1D)) & U(bits - 1)
+    return np.packbits((np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Rows of sketches brought to fewer words: a shorter sketch is the parity of a longer one's parts."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
+
+
+class Sketches:
+    """Sets by size and sketch, to be held against one of them."""
+
+    def __init__(self, sizes: np.ndarray, sketches: list[bytes], theta: Fraction):
+        self.sizes, self.theta = sizes, theta
+        lengths = np.array([len(x) for x in sketches])
+        self.classes = {n // 8: (at := np.flatnonzero(lengths == n), np.frombuffer(b"".join(sketches[i] for i in at), np.uint64).reshape(len(at), -1)) for n in np.unique(lengths).tolist()}
+
+    def near(self, size: int, one: bytes) -> np.ndarray:
+        """Places of the sets that sizes and sketches don't rule out as linked with a set."""
+        out, own = [], np.frombuffer(one, np.uint64)[None, :]
+        p, q = self.theta.numerator, self.theta.denominator
+        for words, (at, rows) in self.classes.items():
+            sizes = self.sizes[at]
+            fits = (q * np.minimum(sizes, size) >= p * np.maximum(sizes, size)).nonzero()[0]
+            if len(fits):
+                least = min(words, own.shape[1])
+                apart = np.bitwise_count(folded(rows[fits], least) ^ folded(own, least)).sum(axis=1, dtype=np.int64)
+                out.append(at[fits[(q + p) * apart <= (q - p) * (sizes[fits] + size)]])
+        return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
 def read_sets(n: int, theta: Fraction, below: int):
-    """Size, digest and signatures of the set of each text."""
+    """Size, digest, sketch and signatures of the set of each text."""
 
     def run(texts: list[bytes | None]) -> dict:
-        lists, sizes, digests, signs = Signatures(theta, below), [], [], []
+        lists, sizes, digests, sketches, signs, needs = Signatures(theta, below), [], [], [], [], []
         for found in Words(texts).shingles(n):
             sizes.append(len(found))
             digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-            signs.append(lists.of(found) if len(found) else [])
+            sketches.append(sketch(found) if len(found) else b"")
+            signed, need = lists.of(found) if len(found) else ([], 1)
+            signs.append(signed)
+            needs.append(need)
         pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        return {"n_shingles": sizes, "d1": pair[:, 0], "d2": pair[:, 1], "signatures": signs}
+        return {"n_shingles": sizes, "d1": pair[:, 0], "d2": pair[:, 1], "sketch": sketches, "need": needs, "signatures": signs}
 
     return run
 
@@ -137,19 +191,58 @@ def linked(common: np.ndarray, size: int, sizes: np.ndarray, theta: Fraction) ->
     return theta.denominator * common >= theta.numerator * (size + sizes - common)
 
 
+def near_star(theta: Fraction):
+    """A pivot and a block of its members: which of them may be linked with it."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame | None:
+        pivot = group["pivot"].iloc[0]
+        group = group.drop_duplicates("node").reset_index(drop=True)
+        at = np.flatnonzero(group["node"].to_numpy() == pivot)
+        if not len(at) or len(group) < 2:
+            return None
+        held = Sketches(group["n_shingles"].to_numpy(), group["sketch"].tolist(), theta)
+        near = np.zeros(len(group), bool)
+        near[held.near(int(group["n_shingles"][at[0]]), group["sketch"][at[0]])] = True
+        out = pd.DataFrame({"pivot": pivot, "node": group["node"], "near": near})
+        return out[out["node"] != pivot]
+
+    return run
+
+
+def near_members(theta: Fraction):
+    """Members that their pivot doesn't link (side 0) and a block of members (side 1): those that some probe may be
+    linked with, and these probes. Members that the pivot links are one component already."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame | None:
+        probes, members = group[group["side"] == 0], group[group["side"] == 1]
+        if not len(probes) or not len(members):
+            return None
+        held = Sketches(members["n_shingles"].to_numpy(), members["sketch"].tolist(), theta)
+        nodes, met, used = members["node"].to_numpy(), np.zeros(len(members), bool), []
+        for node, size, one in zip(probes["node"], probes["n_shingles"], probes["sketch"], strict=True):
+            found = held.near(size, one)
+            found = found[nodes[found] != node]
+            met[found] = True
+            used.append(len(found) > 0)
+        return pd.concat([probes[np.array(used)], members[met]])[["pivot", "node", "linked", "side"]]
+
+    return run
+
+
 def check_star(n: int, theta: Fraction):
-    """A pivot and a block of its members: which of them it links."""
+    """A pivot and a block of its members: those that it links."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame | None:
-        group = group.sort_values("node", kind="stable")
         pivot = group["pivot"].iloc[0]
+        group = group.drop_duplicates("node")
+        nodes = group["node"].to_numpy()
         sets = sets_of(group["text"], n)
-        at = next((i for i, x in enumerate(group["node"]) if x == pivot), None)
-        if at is None or len(sets) < 2:
+        at = np.flatnonzero(nodes == pivot)
+        if not len(at) or len(sets) < 2:
             return None
         sizes = np.array([len(x) for x in sets])
-        common = np.array([np.isin(x, sets[at], assume_unique=True).sum() for x in sets])
-        out = pd.DataFrame({"pivot": pivot, "node": group["node"].to_numpy(), "linked": linked(common, sizes[at], sizes, theta)})
+        common = np.array([np.isin(x, sets[at[0]], assume_unique=True).sum() for x in sets])
+        out = pd.DataFrame({"pivot": pivot, "node": nodes[linked(common, sizes[at[0]], sizes, theta)]})
         return out[out["node"] != pivot]
 
     return run
@@ -192,6 +285,36 @@ def scan_lists(n: int, theta: Fraction):
     return run
 
 
+def blocks(many: Column, size: int) -> Column:
+    return F.ceil(many / size).cast("int")
+
+
+def block_of(many: str) -> Column:
+    return F.pmod(F.xxhash64("node"), F.col(many)).cast("int")
+
+
+def each_block(many: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+
+
+def with_heads(pairs: DataFrame, size: int) -> DataFrame:
+    """(pivot, block, node): the members of each pivot in blocks, with the pivot itself in every block."""
+    clusters = pairs.groupBy("pivot").agg(blocks(F.count("*"), size).alias("many"))
+    heads = clusters.select("pivot", each_block("many").alias("block"), F.col("pivot").alias("node"))
+    return pairs.join(clusters, "pivot").select("pivot", block_of("many").alias("block"), "node").unionByName(heads)
+
+
+def block_pairs(sides: DataFrame, key: str, size: int, least: int = 1) -> DataFrame:
+    """Rows of side 0 and of side 1 (``least`` or more) under each ``key``, in blocks i and j that all meet each other."""
+    probes = F.sum(F.when(F.col("side") == 0, 1).otherwise(0))
+    members = F.sum(F.when(F.col("side") == 1, 1).otherwise(0))
+    many = sides.groupBy(key).agg(blocks(probes, size).alias("na"), blocks(members, size).alias("nb"), members.alias("members"))
+    held = sides.join(many.where((F.col("na") > 0) & (F.col("members") >= least)).drop("members"), key)
+    left = held.where("side = 0").withColumn("i", block_of("na")).withColumn("j", each_block("nb"))
+    right = held.where("side = 1").withColumn("j", block_of("nb")).withColumn("i", each_block("na"))
+    return left.unionByName(right).drop("na", "nb")
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, root) of each node of ``edges`` (a, b): root is the smallest node of its component.
 
@@ -231,8 +354,9 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, words: int = 5, the
     below = boundary({r["s"]: r["count"] for r in sizes.collect()}, theta)
 
     read = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "tkey", "text")
-    sets = with_text_columns(read, "text", read_sets(words, theta, below), "n_shingles long, d1 long, d2 long, signatures array<long>", keep_text=False)
-    sets = stage(spark, sets, "sets")
+    made = with_text_columns(read, "text", read_sets(words, theta, below), "n_shingles long, d1 long, d2 long, sketch binary, need int, signatures array<long>", keep_text=False)
+    made = stage(spark, made, "signed")
+    sets = stage(spark, made.drop("signatures"), "sets")
     filled = sets.where("n_shingles > 0")
 
     # a node for each distinct set; nodes with more copies come first
@@ -240,38 +364,53 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, words: int = 5, the
     first = F.least(F.lit(62), F.floor(F.log2("class_copies"))).cast("long")
     nodes = stage(spark, nodes.withColumn("node", F.shiftleft(F.lit(62) - first, 57) + F.monotonically_increasing_id()), "nodes")
 
-    listed = filled.select("rid", "signatures").join(nodes.select("rid", "node"), "rid").select(F.explode("signatures").alias("signature"), "node")
-    pivots = listed.groupBy("signature").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
-    star = listed.join(pivots.select("signature", "pivot"), "signature").where("node > pivot").select("pivot", "node").distinct()
+    # lists with more than one node; counting them first keeps what is shuffled small
+    signed = stage(spark, made.select("rid", "signatures").join(nodes.select("rid", "node"), "rid").select("node", "signatures"), "lists")
+    forget(spark, made)
+    listed = signed.select(F.explode("signatures").alias("signature"), "node")
+    shared = listed.groupBy("signature").count().where("count > 1").select("signature")
+    met = listed.join(shared.hint("shuffle_hash"), "signature")  # the few shared ones as a table, nothing is sorted
+    met = stage(spark, met, "met")
+    forget(spark, signed)
+    # sets that share too few lists to be linked leave, and lists that are left with one set
+    needs = nodes.select("node", "rid").join(sets.select("rid", "need"), "rid").select("node", "need")
+    for _ in range(ROUNDS):
+        enough = met.groupBy("node").count().join(needs, "node").where(F.col("count") >= F.col("need")).select("node")
+        left = met.join(enough, "node")
+        left = left.join(left.groupBy("signature").count().where("count > 1").select("signature"), "signature")
+        left = stage(spark, left.select("signature", "node"), "met")
+        forget(spark, met)
+        met = left
+    pivots = met.groupBy("signature").agg(F.min("node").alias("pivot"))
+    star = met.join(pivots, "signature").where("node > pivot").select("pivot", "node").distinct()
     star = stage(spark, star, "star")
 
-    # the texts to compare, once each
-    wanted = star.select(F.col("pivot").alias("node")).union(star.select("node")).distinct().join(nodes.select("node", "tkey"), "node")
-    wanted = stage(spark, wanted, "wanted")
-    side = F.broadcast(wanted) if count_up_to(wanted, BROADCAST_IDS) <= BROADCAST_IDS else wanted
-    texts = rows.select("tkey", "text").join(side, "tkey").groupBy("node").agg(F.first("text").alias("text"))
-    texts = stage(spark, texts, "texts")
-
-    def blocks(many: Column) -> Column:
-        return F.ceil(many / BLOCK).cast("int")
-
-    def block(node: str, of: str) -> Column:
-        return F.pmod(F.xxhash64(node), F.col(of)).cast("int")
-
-    clusters = star.groupBy("pivot").agg(F.count("*").alias("members")).select("pivot", "members", blocks(F.col("members")).alias("nb"))
-    tasks = star.join(clusters, "pivot").select("pivot", "node", block("node", "nb").alias("block"))
-    heads = clusters.select("pivot", F.col("pivot").alias("node"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"))
-    checked = by_group(tasks.unionByName(heads).join(texts, "node"), ["pivot", "block"], check_star(words, theta), "pivot long, node long, linked boolean")
-    checked = stage(spark, checked, "checked")
-
-    # members that the pivot doesn't link, against the other members of its lists
-    open_ = checked.groupBy("pivot").agg(F.count("*").alias("members"), F.sum((~F.col("linked")).cast("long")).alias("alone"))
-    open_ = open_.where("alone > 0 and members > 1").select("pivot", blocks(F.col("members")).alias("nb"), blocks(F.col("alone")).alias("na"))
-    left = checked.where("not linked").join(open_, "pivot").select("pivot", block("node", "na").alias("i"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j"), "node", "linked", F.lit(0).alias("side"))
-    right = checked.join(open_, "pivot").select("pivot", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("i"), block("node", "nb").alias("j"), "node", "linked", F.lit(1).alias("side"))
-    more = by_group(left.unionByName(right).join(texts, "node"), ["pivot", "i", "j"], scan_lists(words, theta), "a long, b long")
-
-    edges = checked.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b")).unionByName(more)
+    sketches = nodes.select("node", "rid").join(sets.select("rid", "n_shingles", "sketch"), "rid").drop("rid")
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """(node, text) of the nodes in ``wanted``, once each."""
+        wanted = stage(spark, nodes.select("node", "tkey").join(wanted.select("node").distinct(), "node"), "wanted")
+        texts = rows.select("tkey", "text").join(small_side(wanted, BROADCAST_IDS), "tkey")
+        return stage(spark, texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
+
+    # members that a pivot may link by their sketches, then those that it does link
+    near = by_group(with_heads(star, SKETCH_BLOCK).join(sketches, "node"), ["pivot", "block"], near_star(theta), "pivot long, node long, near boolean")
+    near = stage(spark, near, "near")
+    pairs = near.where("near").select("pivot", "node")
+    texts = texts_of(pairs.select(F.col("pivot").alias("node")).union(pairs.select("node")))
+    links = stage(spark, by_group(with_heads(pairs, BLOCK).join(texts, "node"), ["pivot", "block"], check_star(words, theta), "pivot long, node long"), "links")
+    checked = near.select("pivot", "node").join(links.withColumn("linked", F.lit(True)), ["pivot", "node"], "left")
+    checked = stage(spark, checked.withColumn("linked", F.coalesce("linked", F.lit(False))), "checked")
+
+    # members that the pivot doesn't link, against the other members of its lists: by sketches, then by texts
+    sides = checked.where("not linked").withColumn("side", F.lit(0)).unionByName(checked.withColumn("side", F.lit(1)))
+    met = block_pairs(sides, "pivot", SKETCH_BLOCK, least=2).join(sketches, "node")
+    met = by_group(met, ["pivot", "i", "j"], near_members(theta), "pivot long, node long, linked boolean, side int")
+    met = stage(spark, met.distinct(), "near_members")
+    more = block_pairs(met, "pivot", BLOCK).join(texts_of(met), "node")
+    more = by_group(more, ["pivot", "i", "j"], scan_lists(words, theta), "a long, b long")
+
+    edges = links.select(F.col("pivot").alias("a"), F.col("node").alias("b")).unionByName(more)
     roots = stage(spark, components(spark, edges), "roots")
     named = nodes.join(roots, "node", "left").select("node", "d1", "d2", "class_id", "class_copies", F.coalesce("root", "node").alias("root"))
     least = roots.join(nodes.select("node", "class_id"), "node").unionByName(roots.select(F.col("root").alias("node"), "root").distinct().join(nodes.select("node", "class_id"), "node"))
@@ -289,17 +428,18 @@ def text_key(text: Column) -> Column:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, words: int = 5, theta: Fraction = Fraction(4, 5)) -> DataFrame:
     """``docs`` with one row of each group of linked documents: the one with the smallest id (null ids last)."""
-    groups = ngram_jaccard_join(spark, docs, words, theta)
+    groups = ngram_jaccard_join(spark, docs, words, theta).where("n_shingles > 0")
     # of a group's rows with the smallest id the smallest text key; documents without words each stand for themselves
-    best = groups.where("n_shingles > 0").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("class_id")).alias("own")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tkey")).alias("first"))
-    best = best.select(F.col("first.doc_id").alias("__id"), F.col("first.tkey").alias("__key")).distinct().withColumn("__kept", F.lit(True))
+    groups = groups.groupBy("component_id", "doc_id", "tkey", F.when(F.col("component_id").isNull(), F.col("class_id")).alias("own")).agg(F.count("*").alias("rows"))
+    best = groups.groupBy("component_id", "own").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tkey", "rows")).alias("first"))
+    best = stage(spark, best.select(F.col("first.doc_id").alias("__id"), F.col("first.tkey").alias("__key"), F.col("first.rows").alias("__rows")).distinct(), "best")
     keyed = docs.withColumns({"__row_id": F.col("doc_id").cast("long"), "__row_key": text_key(F.col("text"))})
     keyed = keyed.withColumn("__words", F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    found = keyed.where("__words").join(best, F.col("__row_id").eqNullSafe(F.col("__id")) & (F.col("__row_key") == F.col("__key")))
+    found = keyed.where("__words").join(small_side(best, BROADCAST_IDS), F.col("__row_id").eqNullSafe(F.col("__id")) & (F.col("__row_key") == F.col("__key")))
     # rows repeated with the same id and text: one of them stays
     values = [F.col(f"`{c}`") for c in docs.columns]
-    found = found.groupBy("__row_id", "__row_key").agg(F.min_by(F.struct(*values), F.xxhash64(*values)).alias("__row")).select("__row.*")
-    return found.unionByName(keyed.where("not __words").select(*values))
+    again = found.where("__rows > 1").groupBy("__row_id", "__row_key").agg(F.min_by(F.struct(*values), F.xxhash64(*values)).alias("__row")).select("__row.*")
+    return found.where("__rows = 1").select(*values).unionByName(again).unionByName(keyed.where("not __words").select(*values))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

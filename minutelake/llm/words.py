@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: bytes of text handled at once; a longer text makes a slice of its own
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 IS_SEP = np.zeros(256, bool)
 IS_SEP[[9, 10, 11, 12, 13, 32]] = True

@@ -26,7 +26,28 @@ def test_linked_sets_always_share_a_signature(theta):
                 continue
             common = len(np.intersect1d(a, b))
             if common >= theta * (len(a) + len(b) - common):
-                assert set(signs.of(a).tolist()) & set(signs.of(b).tolist()), (below, len(a), len(b))
+                (one, need), (other, needed) = signs.of(a), signs.of(b)
+                shared = len(set(one.tolist()) & set(other.tolist()))
+                assert shared >= max(1, need, needed), (below, len(a), len(b), shared, need, needed)
+
+
+def test_sketches_never_rule_out_linked_sets():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 2, 9, 31, 33, 40, 400, 3000)]
+    for a in list(sets):
+        for share in (0.02, 0.1, 0.15, 0.3):
+            more = rng.integers(0, 2**64, int(len(a) * share / 2) + 1, dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([a[rng.random(len(a)) > share / 2], more])))
+    held = nj.Sketches(np.array([len(x) for x in sets]), [nj.sketch(x) for x in sets], THETA)
+    ruled_out = 0
+    for a in sets:
+        near = set(held.near(len(a), nj.sketch(a)).tolist())
+        for i, b in enumerate(sets):
+            common = len(np.intersect1d(a, b))
+            if common >= THETA * (len(a) + len(b) - common):
+                assert i in near
+        ruled_out += len(sets) - len(near)
+    assert ruled_out > len(sets) ** 2 / 2
 
 
 def test_overlap_is_the_least_intersection_of_linked_sets():
@@ -54,6 +75,7 @@ def test_components_are_those_of_all_pairs(spark, words, theta, seed):
 def test_a_large_family_is_compared_in_blocks(spark, monkeypatch):
     """Copies around a base that isn't there: most pairs are no links, so members meet in blocks of other members."""
     monkeypatch.setattr(nj, "BLOCK", 8)
+    monkeypatch.setattr(nj, "SKETCH_BLOCK", 20)
     monkeypatch.setattr(nj, "BROADCAST_IDS", 10)
     rng = random.Random(8)
     base = helpers.sentence(rng, 90, 10**6)
