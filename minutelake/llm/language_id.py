@@ -6,7 +6,9 @@ smoothed hierarchically: counts of a host lean on those of its address suffix, t
 counts are grouped sums of the text's own posteriors over all documents; a document's own share is taken out again
 before it is judged. Besides the languages there is an undetermined one, in which all trigrams are as likely.
 
-The trigram model is fitted on a bounded sample of labelled rows; everything else covers all rows.
+The trigram model is fitted on a bounded sample of the distinct texts of each label: labels are counted over all rows, rare
+ones are taken whole and common ones share what is left. Every label with a trigram is a language, however rare, as counts
+are smoothed. Everything else covers all rows. The model and the evidence of a row grow with the number of labels.
 
 Edge cases: a null or empty text, or one without letters, has no text evidence and is rejected. A null or empty
 declaration or host gives no evidence of its own (a null host leans on all documents). Repeated rows are judged each.
@@ -17,7 +19,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from minutelake.llm.words import slices
 
 #: labelled rows to fit the trigram model on (a bounded sample, the same in each run)
 SAMPLE_ROWS = 20_000
-#: labels with fewer rows in the sample are no languages
-LEAST_ROWS = 20
+#: texts that each label may have in the sample, however many labels there are
+LABEL_ROWS = 20
 BUCKETS = 1 << 14
 #: a trigram counts as so much evidence, and no text as more than so many trigrams
 TEMPER, MOST_TRIGRAMS = 0.25, 400
@@ -79,33 +80,48 @@ class TrigramModel:
         return {"__likely": list(likely), "__share": list(share), "__trigrams": many}
 
 
+def quota(sizes: list[int], most: int) -> int:
+    """Rows of each group so that all together have about ``most``: small groups stay whole, the others share the rest."""
+    for at, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - at) > most:
+            return max(most // (len(sizes) - at), LABEL_ROWS)
+        most -= size
+    return max([*sizes, LABEL_ROWS])
+
+
 def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> TrigramModel:
-    """The trigram model of the labels of up to ``sample_rows`` rows, chosen by a hash of the row."""
-    small_batches(docs.sparkSession)
+    """The trigram model of all labels, on about ``sample_rows`` distinct texts, chosen for each label by a hash of the text."""
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
-    # the hashes that are among the smallest, without sorting texts
     keyed = rows.withColumn("key", F.xxhash64("text"))
-    last = keyed.select("key").orderBy("key").limit(sample_rows).agg(F.max("key")).first()[0]
-    chosen = keyed.where(F.col("key") <= (last if last is not None else 0)).dropDuplicates(["key"]).select("label", "text")
-    labels = [r["label"] for r in chosen.groupBy("label").count().where(F.col("count") >= LEAST_ROWS).orderBy("label").collect()]
+    found = keyed.groupBy("label").agg(F.approx_count_distinct("key", 0.02).alias("n"), F.min("key").alias("least")).orderBy("label").collect()
+    labels, most = [r["label"] for r in found], quota([r["n"] for r in found], sample_rows)
+    # hashes are spread evenly, so those up to a bound are a share of a label's texts, and its first is always one
+    last = [(r["label"], 2**63 - 1 if r["n"] <= most else max(r["least"], int(2**64 * (most / r["n"])) - 2**63)) for r in found]
+    bounds = small_side(spark.createDataFrame(last, "label string, last long"), BROADCAST_ROWS)
+    chosen = keyed.join(bounds, "label").where("key <= last").dropDuplicates(["label", "key"]).select("label", "text")
+    number = {label: i for i, label in enumerate(labels)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(labels), BUCKETS + 1))
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
             of, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
             for a, b in slices(texts):
                 code, start = trigrams(texts[a:b])
                 for label, part in zip(of[a:b], np.split(code, start[1:]), strict=True):
-                    if label in labels:
-                        sums[labels.index(label)] += np.bincount(part, minlength=BUCKETS + 1)
-        at, bucket = np.nonzero(sums[:, :BUCKETS])
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(bucket, pa.int32()), pa.array(sums[at, bucket])], names=["language", "bucket", "n"])
+                    held = sums.setdefault(number[label], np.zeros(BUCKETS + 1))
+                    held += np.bincount(part, minlength=BUCKETS + 1)
+        for at, held in sums.items():
+            bucket = np.flatnonzero(held[:BUCKETS])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), at), pa.int32()), pa.array(bucket, pa.int32()), pa.array(held[bucket])], names=["language", "bucket", "n"])
 
     counts = np.zeros((len(labels), BUCKETS))
     if labels:  # at most a number for each language and bucket
-        found = chosen.mapInArrow(count, "language int, bucket int, n double").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
-        counts[found["language"], found["bucket"]] = found["n"]
-    return TrigramModel(labels, counts)
+        sums = chosen.mapInArrow(count, "language int, bucket int, n double").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        counts[sums["language"], sums["bucket"]] = sums["n"]
+    some = np.flatnonzero(counts.any(axis=1))  # texts without a trigram tell nothing of a language
+    return TrigramModel([labels[i] for i in some], counts[some])
 
 
 def suffix_of(host: Column) -> Column:
@@ -138,12 +154,14 @@ def language_id(spark: SparkSession, docs: DataFrame, model: TrigramModel, text:
     in_language = by_declared.agg(F.array(*[F.coalesce(F.sum(F.col("__by_declared")[i]), F.lit(0.0)) for i in range(n)]).alias("c")).first()["c"]
     rows = rows.join(small_side(by_suffix, BROADCAST_ROWS), "__suffix", "left").join(small_side(by_host, BROADCAST_ROWS), "__host", "left").join(small_side(by_declared, BROADCAST_ROWS), "__declared", "left")
 
+    rows = rows.withColumns({f"{c}_all": F.aggregate(c, F.lit(0.0), lambda a, x: a + x) for c in ("__by_host", "__by_suffix")})
+
     own = [F.when(F.col("__trigrams") > 0, F.col("__share")[i]).otherwise(0.0) for i in range(n)]
     one = F.when(F.col("__trigrams") > 0, 1.0).otherwise(0.0)
 
     def leaning(counts: str, i: int, on: Column) -> Column:
         """The share of language i in ``counts``, without this document, smoothed by ``on``."""
-        whole = reduce(lambda a, b: a + b, [F.col(counts)[j] for j in range(n)]) - one
+        whole = F.col(f"{counts}_all") - one
         held = F.greatest(F.col(counts)[i] - own[i], F.lit(0.0))
         return F.when(F.col(counts).isNull(), on).otherwise((held + LEAN * on) / (F.greatest(whole, F.lit(0.0)) + LEAN))
 

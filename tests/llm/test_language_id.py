@@ -29,6 +29,27 @@ def test_held_out_accuracy(spark):
     assert len(found) == 300 and np.mean([r["language"] == r["lang"] for r in found]) > 0.98
 
 
+def test_rare_languages_stay(spark):
+    """A language of 5 documents and one of 15 among thousands; copies take no place in the sample, and it has a bound for each label."""
+    rng = random.Random(5)
+    many = [(i, text(rng, "en", rng.randint(20, 60)), "en", None, i) for i in range(3000)]
+    few = [(5000 + i, text(rng, "fr", 40), "fr", None, i) for i in range(15)] + [(6000 + i, text(rng, "de", 40), "de", None, i) for i in range(5)]
+    blank = [(7000, "-- !", "signs", None, 1)]
+    docs = spark.createDataFrame(many + few + [many[0]] * 500 + blank, helpers.DOCS)
+    for sample_rows in (20_000, 200):
+        model = li.fit(docs, sample_rows=sample_rows)
+        assert model.languages == ["de", "en", "fr", "und"]
+        found = li.language_id(spark, docs, model, "text", F.col("lang"), F.col("source")).where("kept").groupBy("lang", "language").count().collect()
+        assert {tuple(r) for r in found} == {("en", "en", 3500), ("fr", "fr", 15), ("de", "de", 5)}
+
+
+def test_the_quota_leaves_small_groups_whole():
+    assert li.quota([5, 15, 9000, 70_000], 20_000) == 10_980
+    assert li.quota([5, 15, 30_000, 70_000], 20_000) == 9990
+    assert li.quota([5, 15, 100], 20_000) == 100 and li.quota([], 20_000) == li.LABEL_ROWS
+    assert li.quota([1000] * 5000, 20_000) == li.LABEL_ROWS
+
+
 def test_the_trigrams_are_those_of_each_text_alone():
     texts = [b"abc", None, b"", "é à".encode(), b"ab 12", b"ABC"]
     alone = [li.trigrams([x]) for x in texts]
