@@ -27,8 +27,8 @@ from minutelake.llm.words import Words
 SAMPLE_ROWS = 20_000
 #: precision that a rule needs on rows held back
 PRECISION = 0.97
-#: rows that a rule has to cover while it grows
-LEAST_COVER = 20
+#: bad rows that a rule has to cover while it grows: a share of them, so many at least; and among rows held back
+COVER_SHARE, LEAST_COVER, LEAST_HELD_BACK = 0.0025, 3, 2
 MOST_RULES, MOST_TERMS = 12, 3
 #: thresholds tried for each statistic
 CUTS = 24
@@ -128,6 +128,7 @@ def ratios(counts: pd.DataFrame) -> pd.DataFrame:
 def grow(x: pd.DataFrame, bad: np.ndarray) -> Rule | None:
     """Adds the term with the largest gain of information until the rule covers no good row or nothing gains."""
     inside, terms = np.ones(len(x), bool), []
+    least = max(LEAST_COVER, math.ceil(COVER_SHARE * bad.sum()))
     while len(terms) < MOST_TERMS and (~bad[inside]).any():
         p, n = bad[inside].sum(), (~bad[inside]).sum()
         best, held = 0.0, None
@@ -139,7 +140,7 @@ def grow(x: pd.DataFrame, bad: np.ndarray) -> Rule | None:
                     covers = values >= cut if side == ">=" else values <= cut
                     p1 = int(marks[covers].sum())
                     n1 = int(covers.sum()) - p1
-                    if p1 < LEAST_COVER:
+                    if p1 < least:
                         continue
                     gain = p1 * (math.log2((p1 + 1) / (p1 + n1 + 1)) - math.log2((p + 1) / (p + n + 1)))
                     if gain > best + 1e-9:
@@ -181,7 +182,7 @@ def learn(x: pd.DataFrame, bad: np.ndarray, precision: float = PRECISION) -> lis
         rule = prune(rule, x[testing], bad[testing])
         covers = rule.holds(x)
         seen = covers & testing
-        if not seen.any() or bad[seen].mean() < precision or bad[covers & left].mean() < precision:
+        if bad[seen].sum() < LEAST_HELD_BACK or bad[seen].mean() < precision or bad[covers & left].mean() < precision:
             break
         rules.append(rule)
         left &= ~covers

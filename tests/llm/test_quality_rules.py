@@ -44,6 +44,20 @@ def test_rules_are_grown_pruned_and_ordered():
     assert all(r.holds(x).mean() < 0.05 for r in noise)
 
 
+def test_few_bad_rows_teach_a_rule():
+    """11 bad rows of 200 are enough, as is a kind of 0.1% of the labels; good rows stay."""
+    rng = np.random.default_rng(6)
+    for size, kind in ((200, 11), (10_000, 10)):
+        x = pd.DataFrame({k: rng.random(size) for k in ("a", "b")})
+        bad = np.zeros(size, bool)
+        bad[rng.permutation(size)[:kind]] = True
+        x.loc[bad, "a"] += 2
+        rules = q.learn(x, bad)
+        rejected = np.any([r.holds(x) for r in rules], axis=0)
+        assert rules and rejected[bad].mean() > 0.8 and not rejected[~bad].any()
+    assert q.learn(x, np.arange(len(x)) < 4) == []
+
+
 def labelled(spark, tmp_path):
     rows, marks = [], []
     for i in range(600):
