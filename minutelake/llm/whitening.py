@@ -6,11 +6,11 @@ narrow block Q of directions (Y: centred rows), per task and then by a grouped s
 numbers whatever the number of rows. Each round
 
 * filters the block: a Chebyshev polynomial of the covariance, by its three-term recurrence (one pass a degree), damps
-  the spectrum from 0 to the smallest Ritz value of the block, and lifts what is above it;
+  the spectrum from 0 to the smallest Ritz value of the guards, and lifts what is above it;
 * makes it orthonormal by QR and rotates it to Ritz vectors (Rayleigh-Ritz; its one pass also gives the next round's
   first degree).
 
-The block has guard directions beyond those asked for; the last of them are drawn anew in each round, so that a direction
+The block has guard directions beyond those asked for, and a few that are drawn anew in each round, so that a direction
 the start missed comes in. It ends when the residuals |V q - e q| of all wanted directions are certified: at rounding
 error, or below ``CERTIFIED`` of the largest eigenvalue and no longer falling. Rounds that don't get there are an error.
 
@@ -35,8 +35,8 @@ from minutelake.llm.common import stage, table
 
 #: whole numbers an entry is cut into, and what is added to each
 SCALE, SHIFT = 64, 1_000_000
-#: directions beyond those asked for, and how many of these are drawn anew in each round
-GUARD, FRESH = 16, 2
+#: directions beyond those asked for, and directions drawn anew in each round
+GUARD, FRESH = 20, 2
 #: degrees of a round's polynomial; how far it may lift one direction above another (QR must tell them apart)
 DEGREES, LIFT = 12, 1e10
 #: residuals, as a share of the largest eigenvalue, at which directions count as certified once they fall no more
@@ -140,7 +140,7 @@ def chebyshev(times: Callable[[np.ndarray], np.ndarray], block: np.ndarray, firs
 
 def fit(rows: DataFrame, n: int, dims: int, components: int, trace: float, sums: np.ndarray) -> Fit:
     """The ``components`` largest eigenvalues of the rows' covariance and their eigenvectors."""
-    wanted, width, passes = min(components, dims), min(dims, components + GUARD), 0
+    wanted, width, passes = min(components, dims), min(dims, components + GUARD + FRESH), 0
     middle, rng = centred(n, sums), np.random.default_rng(20)
 
     def times(block: np.ndarray) -> np.ndarray:
@@ -167,7 +167,7 @@ def fit(rows: DataFrame, n: int, dims: int, components: int, trace: float, sums:
         if worst <= 2 * EPS * top or (worst <= CERTIFIED * top and worst > best / 2) or width == dims:
             return Fit(n, sums, trace, values[:held], block[:, :held], residuals, passes)
         best = min(best, worst)
-        bound = max(float(values[-1]), 1e-3 * float(values[held - 1]))  # of the unwanted part of the spectrum
+        bound = max(float(values[-1 - FRESH]), 1e-3 * float(values[held - 1]))  # of the unwanted part of the spectrum
         lifted = chebyshev(times, block, image, degrees(top, bound), bound, top)
         lifted[:, width - FRESH :] = rng.standard_normal((dims, FRESH))
         block = orthonormal(lifted)
