@@ -1,0 +1,190 @@
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from minutelake.llm import audit_dp, conversation_repair
+from minutelake.llm.registry import QUERIES
+
+KINDS = "conv_id long, turn long, role string, text string"
+GOOD = re.compile(r"(s?(ua)+)?")
+WORD = re.compile(r"[^\x20\x09-\x0D]")
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        fault = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if fault == 1:
+            text = ""
+        if fault == 2:
+            text = re.sub("[.!?]", "", text)
+        if fault == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (0 if fault == 0 else 2 if fault == 3 else 1)
+    return out
+
+
+def faults(rows):
+    """(must go, truncated, name) of the rows of a conversation in order."""
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        letters = WORD.findall(text)
+        fault = "blank" if not letters else "duplicate" if (role, text) in seen else "truncated" if letters[-1] not in ".!?" else ""
+        seen.add((role, text))
+        out.append(fault)
+    return out
+
+
+def cheapest(initials, must_go, truncated, names=None):
+    """(cost, audit, roles) by trying every way, shortest first by cost (a plain search over whole strings)."""
+    ways = {("", "")}  # (audit, initials)
+    best = {("", ""): 0}
+    inserts = [""] + ["".join(x) for n in (1, 2) for x in itertools.product("ua", repeat=n)]
+
+    def spread(found):
+        out = {}
+        for (audit, made), cost in found.items():
+            for extra in inserts:
+                way = (audit + "I" * len(extra), made + extra)
+                if plausible(way[1]):
+                    out[way] = min(out.get(way, 10**9), cost + 2 * len(extra))
+        return out
+
+    def plausible(made):
+        return re.fullmatch(r"s?(ua)*u?", made) is not None
+
+    del ways
+    best = spread(best)
+    for initial, gone, cut in zip(initials, must_go, truncated):
+        found = {}
+        for (audit, made), cost in best.items():
+            options = [("D", "", 3)]
+            if not gone:
+                options += [("K", initial, int(cut))] + [("R", x, 2 + int(cut)) for x in "ua"]
+            for letter, more, price in options:
+                if plausible(made + more):
+                    found[audit + letter, made + more] = min(found.get((audit + letter, made + more), 10**9), cost + price)
+        best = spread(found)
+        least = min(best.values())
+        best = {k: v for k, v in best.items() if v <= least + 8}  # any state is 8 at most from any other
+    done = [(cost, audit, made) for (audit, made), cost in best.items() if GOOD.fullmatch(made)]
+    return min(done)
+
+
+def wanted(rows):
+    """The contract, plainly."""
+    out = []
+    for conv in {r[0] for r in rows}:
+        mine = sorted((r for r in damage(rows) if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        found = faults(mine)
+        initials = [r[2][:1] for r in mine]
+        cost, audit, _ = cheapest(initials, [f in ("blank", "duplicate") for f in found], [f == "truncated" for f in found])
+        turns = [r[1] for r in mine if r[1] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        lines, at, made = [], 0, ""
+        for letter in audit:
+            if letter == "I":
+                role = {"": "user", "s": "user", "u": "assistant", "a": "user"}[made[-1:]]
+                lines.append(f"{role}:")
+                made += role[0]
+                continue
+            _, _, role, text = mine[at]
+            at += 1
+            if letter == "R":
+                role = {"": "user", "s": "user", "u": "assistant", "a": "user"}[made[-1:]]
+            if letter != "D":
+                lines.append(f"{role}:{text}")
+                made += role[:1]
+        assert at == len(mine) and GOOD.fullmatch(made)
+        out.append((conv, gaps, found.count("blank"), found.count("duplicate"), found.count("truncated"), illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    columns = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    return sorted((tuple(r) for r in df.select(columns).collect()), key=repr)
+
+
+def rows_of(seed, conversations=60):
+    rng, rows = random.Random(seed), []
+    texts = ["Yes.", "No!", "Well", "Why? ", "so\n", "", " \t", "é.", "a b c", "\x1c", "x" * 20_000 + "."]
+    for conv in range(conversations):
+        turn = 0
+        for _ in range(rng.randrange(1, 9)):
+            turn += rng.choice([1, 1, 1, 0, 3])
+            rows.append((conv, turn, rng.choice(["user", "assistant", "user", "assistant", "system", "tool"]), rng.choice(texts) if rng.random() < 0.5 else f"{rng.random()}."))
+    rows += [(None, 1, "user", "null conversation."), (None, None, "assistant", "null turn."), (700, None, "assistant", "b."), (700, None, "user", None), (700, 4, None, "c."), (700, 4, "", "empty role.")]
+    return rows + [rows[0], rows[0], rows[5]]
+
+
+@pytest.mark.parametrize("prime", [audit_dp.PRIME, 7])
+def test_the_program_against_every_way(monkeypatch, prime):
+    """Also with a hash that collides all the time."""
+    monkeypatch.setattr(audit_dp, "PRIME", prime)
+    rng = random.Random(4)
+    for _ in range(400):
+        n = rng.randrange(0, 7)
+        rows = [(rng.choice(["u", "a", "s", "t", "u", "a", ""]), rng.random() < 0.2, rng.random() < 0.3) for _ in range(n)]
+        cost, audit, _ = cheapest(*([r[i] for r in rows] for i in range(3)))
+        ways = audit_dp.Stretches()
+        ways.add(audit_dp.table_of(rows, True))
+        assert (cost, [audit]) == (ways.end()[0], [x for x, _ in ways.end()[1]])
+        cut, ways = rng.randrange(1, n) if n > 1 else 0, audit_dp.Stretches()
+        ways.add(audit_dp.table_of(rows[:cut], True))
+        ways.add(audit_dp.table_of(rows[cut:], False))
+        assert (cost, audit) == (ways.end()[0], "".join(x for x, _ in ways.end()[1]))
+
+
+def test_prefixes_share_nodes_and_compare():
+    root = audit_dp.Prefix(None, "")
+    node = root
+    for letter in "KRDI" * 300:
+        node = audit_dp.Prefix(node, letter)
+    assert node.letters() == "KRDI" * 300 and node.above(5).letters() == "KRDIK" and len(node.up) == 11
+    a = b = node.above(777)
+    for x, y in zip("KKRD", "KDRD"):
+        a, b = audit_dp.Prefix(a, x), audit_dp.Prefix(b, y)
+    apart = audit_dp.first_difference(a, b)
+    assert [x.depth for x in apart] == [778, 778] or apart[0].letter != apart[1].letter
+    assert audit_dp.lesser(b, a) and not audit_dp.lesser(a, b)
+    assert audit_dp.lesser(node.above(9), node) and not audit_dp.lesser(node, node)
+
+
+@pytest.mark.parametrize("bits", [12, 1])
+def test_the_query_against_every_way(spark, tmp_path, monkeypatch, bits):
+    """With stretches of two rows, conversations go on over stretches and tasks."""
+    monkeypatch.setattr(conversation_repair, "STRETCH_BITS", bits)
+    rows = rows_of(bits)
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], KINDS + ", audit string, conv int").repartition(3)
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    assert result(QUERIES["op11_conversation_repair"](spark, str(tmp_path))) == wanted(rows)
+
+
+def test_a_hot_conversation(spark, tmp_path):
+    """One conversation with most rows, spread over tasks and many stretches of the real size."""
+    rng = random.Random(8)
+    rows = [(1, t, "user" if t % 2 == 0 or rng.random() < 0.01 else "assistant", f"{t}." if rng.random() < 0.95 else "same.") for t in range(15_000)]
+    rows += [(1, 3, "assistant", "again.")] * 3000 + [(2, 0, "user", "a."), (2, 1, "assistant", "b.")]
+    spark.createDataFrame(rows, KINDS).repartition(4).write.parquet(f"{tmp_path}/conversations.parquet")
+    (one,) = [r for r in QUERIES["op11_conversation_repair"](spark, str(tmp_path)).collect() if r["conv_id"] == 1]
+    mine = sorted((r for r in damage(rows) if r[0] == 1), key=lambda r: (r[1], r[2], r[3]))
+    found = faults(mine)
+    assert [one[c] for c in ("blank", "duplicate", "truncated")] == [found.count(c) for c in ("blank", "duplicate", "truncated")]
+    assert len(one["audit"].replace("I", "")) == len(mine)
+    price = {"K": 0, "D": 3, "R": 2, "I": 2}
+    letters = one["audit"].replace("I", "")
+    assert one["cost"] == sum(price[x] for x in one["audit"]) + sum(f == "truncated" and x != "D" for x, f in zip(letters, found))
+
+
+def test_empty_and_whole(spark, tmp_path):
+    spark.createDataFrame([], KINDS).write.parquet(f"{tmp_path}/conversations.parquet")
+    assert QUERIES["op11_conversation_repair"](spark, str(tmp_path)).count() == 0
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert result(QUERIES["op11_conversation_repair"](spark, sf)) == wanted(rows)
