@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from minutelake.llm import chat, conversation_repair, language_id, mixing, ngram_jaccard, packing, quality_rules, token_counts, topk, url_filters, warc, whitening
+from minutelake.llm import chat, conversation_repair, language_id, mixing, ngram_jaccard, packing, quality_rules, suffix_dedup, token_counts, topk, url_filters, warc, whitening
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard.op1_ngram_jaccard_join,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
     "op12_embedding_whitening": whitening.op12_embedding_whitening,
+    "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
     "language_id_pages": language_id.pages_language_id,
 }
 
