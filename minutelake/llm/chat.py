@@ -118,10 +118,20 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
 
 
 def canonical_records(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """(conv_id, turn, role, text) of JSON records, each of a layout of its own."""
+    """(conv_id, turn, role, text) of JSON records, each of a layout of its own.
+
+    Records that give no turn are those of ``unreadable_records``: none is lost between the two.
+    """
     return exploded(df.select(F.col(id_col).alias("conv_id"), record_turns(F.col(json_col)).alias("turns")))
 
 
+def unreadable_records(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """(conv_id, record, reason) of JSON records without turns: ``no layout`` (also null or not JSON), or ``no turns``."""
+    found = df.select(F.col(id_col).alias("conv_id"), F.col(json_col).alias("record"), record_turns(F.col(json_col)).alias("turns"))
+    reason = F.when(F.col("turns").isNull(), F.lit("no layout")).otherwise(F.lit("no turns"))
+    return found.where(F.col("turns").isNull() | (F.size("turns") == 0)).select("conv_id", "record", reason.alias("reason"))
+
+
 def exploded(df: DataFrame) -> DataFrame:
     return df.select("conv_id", F.posexplode("turns").alias("turn", "said")).select("conv_id", F.col("turn").cast("long").alias("turn"), "said.role", "said.text")
 
@@ -131,11 +141,15 @@ def record_turns(record: Column) -> Column:
     none = F.array().cast("array<string>")
     top = F.coalesce(F.json_object_keys(record), none)
 
-    def element_paths(name: str) -> Column:
-        keys = F.json_object_keys(F.get_json_object(record, f"$.{name}[0]"))
-        return F.coalesce(F.transform(keys, lambda k: F.concat(F.lit(f"{name}[]."), k)), none)
+    def element_paths(layout: Layout) -> Column:
+        """Of all elements, as one may lack what others have; an empty list could have all that the layout asks for."""
+        name = layout.listed[0]
+        elements = F.from_json(F.get_json_object(record, f"$.{name}"), "array<string>")
+        keys = F.flatten(F.transform(elements, lambda x: F.coalesce(F.json_object_keys(x), none)))
+        found = F.transform(keys, lambda k: F.concat(F.lit(f"{name}[]."), k))
+        return F.coalesce(F.when(F.size(elements) == 0, F.array(*[F.lit(x) for x in layout.paths()])).otherwise(found), none)
 
-    nested = [element_paths(x.listed[0]) for x in LAYOUTS if x.listed]
+    nested = [element_paths(x) for x in LAYOUTS if x.listed]
     paths = F.array_sort(F.array_distinct(F.concat(top, *nested)))
 
     def mark(layout: Layout) -> Column:

@@ -119,6 +119,15 @@ def small_side(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if count_up_to(df, most) <= most else df
 
 
+def guarded(docs: DataFrame, *uses: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with every column but those in ``uses`` under a name that no operator has, and the way back.
+
+    So the caller's columns never clash with an operator's own ones, whatever their names.
+    """
+    names = {c: f"kept {i}" for i, c in enumerate(docs.columns) if c not in uses}
+    return docs.withColumnsRenamed(names), lambda out: out.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def count_up_to(df: DataFrame, most: int) -> int:
     """Rows of ``df``, counted no further than ``most`` + 1: the size check before a broadcast."""
     return df.limit(most + 1).count()

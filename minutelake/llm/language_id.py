@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutelake.llm.common import ascii_lower, small_batches, small_side, stage, table, with_text_columns
+from minutelake.llm.common import ascii_lower, guarded, small_batches, small_side, stage, table, with_text_columns
 from minutelake.llm.words import slices
 
 #: labelled rows to fit the trigram model on (a bounded sample, the same in each run)
@@ -130,12 +130,16 @@ def suffix_of(host: Column) -> Column:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, model: TrigramModel, text: str, declared: Column, host: Column) -> DataFrame:
-    """``docs`` with language, confidence and kept; ``declared`` and ``host`` are expressions over them."""
+    """``docs`` with language, confidence and kept; ``declared`` and ``host`` are expressions over them.
+
+    Columns of these three names are replaced, others may have any name.
+    """
     names, n = model.languages, len(model.languages)
+    kept_as = {c: f"kept {i}" for i, c in enumerate(docs.columns)}
     kinds = "__likely array<double>, __share array<double>, __trigrams long"
-    rows = docs.withColumns({"__declared": F.when(declared.cast("string") != "", declared.cast("string")), "__host": F.when(host != "", host)})
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in kept_as.items()], F.when(declared.cast("string") != "", declared.cast("string")).alias("__declared"), F.when(host != "", host).alias("__host"))
     # scored twice, as a copy of all texts would weigh more than to read them again
-    rows = with_text_columns(rows.withColumn("__suffix", suffix_of(F.col("__host"))), text, model.columns, kinds)
+    rows = with_text_columns(rows.withColumn("__suffix", suffix_of(F.col("__host"))), kept_as[text], model.columns, kinds)
     evidence = ["__declared", "__host", "__suffix", "__share", "__trigrams"]
     scored = stage(spark, rows.select(*evidence), "scored")
 
@@ -176,7 +180,8 @@ def language_id(spark: SparkSession, docs: DataFrame, model: TrigramModel, text:
     rows = rows.withColumn("language", F.element_at(F.array(*[F.lit(x) for x in names]), F.array_position("__logs", best).cast("int")))
     rows = rows.withColumn("confidence", 1 / F.aggregate("__logs", F.lit(0.0), lambda a, x: a + F.exp(x - best)))
     kept = (F.col("__trigrams") > 0) & (F.col("language") != UNDETERMINED) & (F.col("confidence") >= CONFIDENT)
-    return rows.withColumn("kept", kept).select(*[F.col(f"`{c}`") for c in docs.columns], "language", "confidence", "kept")
+    made = ("language", "confidence", "kept")
+    return rows.withColumn("kept", kept).select(*[F.col(f"`{k}`").alias(c) for c, k in kept_as.items() if c not in made], *made)
 
 
 def identified(spark: SparkSession, docs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -185,10 +190,9 @@ def identified(spark: SparkSession, docs: DataFrame, labelled: DataFrame) -> Dat
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``docs`` without rows whose language can't be told."""
-    names = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c in ("language", "confidence", "kept")}
-    found = identified(spark, docs.withColumnsRenamed(names), labelled).where("kept")
-    return found.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns])
+    """``docs`` without rows whose language can't be told; their other columns may have any name."""
+    docs, back = guarded(docs, "text", "lang", "source")
+    return back(identified(spark, docs, labelled).where("kept"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

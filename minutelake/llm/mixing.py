@@ -7,6 +7,10 @@ many slots went before, from seeded draws along one path, on any executor. A sou
 ``permutation(j mod n)`` of its n blocks, with another pseudorandom permutation for each pass over the source.
 Documents meet the blocks they lie in by (source, block number).
 
+Draws among 10^9 slots or more (the top of the halving tree of a mix of 64 * 10^9 words) take the rounded normal law with
+the exact mean and variance, as the exact sampler ends there; a distribution function is off by less than 1 in its
+standard deviation, some 10^-4. Counts add up to what each source has to reach either way.
+
 Edge cases: a null text has size 0; documents of size 0 are never taken; sources of size 0 have target 0. A null source
 is a source of its own, last in order. Repeated rows count each. An empty table gives an empty result. The driver holds
 one row per source.
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutelake.llm.common import WORD, small_batches, stage, table
+from minutelake.llm.common import WORD, guarded, small_batches, stage, table
 from minutelake.llm.words import U, Words, mix
 
 #: weights of the sources in order, repeated
@@ -61,9 +65,9 @@ def draw(seed: tuple[int, ...], counts: np.ndarray, taken: int) -> np.ndarray:
         rest = total - n
         if total < 1_000_000_000:
             got = int(rng.hypergeometric(n, rest, left)) if n and rest else min(n, left)
-        else:  # numbers of this size follow the normal law
+        else:  # see the module's docstring
             share = n / total
-            got = round(rng.normal(left * share, (left * share * (1 - share) * rest / max(total - 1, 1)) ** 0.5))
+            got = round(rng.normal(left * share, (left * share * (1 - share) * (total - left) / (total - 1)) ** 0.5))
         out[i] = got = min(max(got, left - rest), n, left)
         left, total = left - got, rest
     return out
@@ -181,8 +185,12 @@ def cut_words(text: bytes, parts: list[dict]) -> list[str]:
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The mix as documents: each row of ``docs`` once for each time that words of it are taken, with those words."""
+    """The mix as documents: each row of ``docs`` once for each time that words of it are taken, with those words.
+
+    Its other columns may have any name.
+    """
     small_batches(spark)
+    docs, back = guarded(docs, "doc_id", "source", "text", "n_chars")
     rows = stage(spark, sized(docs, docs.columns), "sized")
     _, uses = mix_sources(spark, rows.select("doc_id", "source", "__rid", "__size", "__key"))
     parts = uses.groupBy("__rid").agg(F.collect_list(F.struct("low", "high", "uses")).alias("__parts"))
@@ -193,7 +201,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     taken = rows.join(parts, "__rid").withColumn("__text", F.explode(cut("text", "__parts")))
     put = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
-    return taken.select(*[put[c].alias(c) if c in put else F.col(f"`{c}`") for c in docs.columns])
+    return back(taken.select(*[put[c].alias(c) if c in put else F.col(f"`{c}`") for c in docs.columns]))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

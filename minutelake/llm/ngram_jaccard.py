@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutelake.llm.common import ascii_lower, by_group, forget, small_batches, small_side, stage, table, with_text_columns
+from minutelake.llm.common import ascii_lower, by_group, forget, guarded, small_batches, small_side, stage, table, with_text_columns
 from minutelake.llm.words import U, Words, mix, slices
 
 #: sets of this many shingles or more are never small: their subsets are too many
@@ -427,7 +427,11 @@ def text_key(text: Column) -> Column:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, words: int = 5, theta: Fraction = Fraction(4, 5)) -> DataFrame:
-    """``docs`` with one row of each group of linked documents: the one with the smallest id (null ids last)."""
+    """``docs`` with one row of each group of linked documents: the one with the smallest id (null ids last).
+
+    Their other columns may have any name.
+    """
+    docs, back = guarded(docs, "doc_id", "text")
     groups = ngram_jaccard_join(spark, docs, words, theta).where("n_shingles > 0")
     # of a group's rows with the smallest id the smallest text key; documents without words each stand for themselves
     groups = groups.groupBy("component_id", "doc_id", "tkey", F.when(F.col("component_id").isNull(), F.col("class_id")).alias("own")).agg(F.count("*").alias("rows"))
@@ -439,7 +443,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, words: int = 5, thet
     # rows repeated with the same id and text: one of them stays
     values = [F.col(f"`{c}`") for c in docs.columns]
     again = found.where("__rows > 1").groupBy("__row_id", "__row_key").agg(F.min_by(F.struct(*values), F.xxhash64(*values)).alias("__row")).select("__row.*")
-    return found.where("__rows = 1").select(*values).unionByName(again).unionByName(keyed.where("not __words").select(*values))
+    return back(found.where("__rows = 1").select(*values).unionByName(again).unionByName(keyed.where("not __words").select(*values)))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

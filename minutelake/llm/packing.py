@@ -2,7 +2,8 @@
 
 Documents are cut only where they are longer than a sequence. Partitions pack their pieces best-fit from the longest
 down; bins that are nearly full are done. The others are items of the next round, over a fraction of the partitions,
-until one is left or a round saves next to nothing, so no task ever gets more items than ``TASK_ITEMS`` or so.
+until one is left or a round saves less than one bin in a hundred, so no task ever gets more items than ``TASK_ITEMS``
+or so. What ending early can cost is at most that share of the bins that are open by then.
 
 Edge cases: a null or empty text is the closing id alone. Repeated rows are packed each. An empty table gives no rows.
 """

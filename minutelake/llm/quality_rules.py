@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutelake.llm.common import table, with_text_columns
+from minutelake.llm.common import guarded, table, with_text_columns
 from minutelake.llm.words import Words
 
 #: labelled rows to learn from (a bounded sample, the same in each run)
@@ -215,8 +215,9 @@ def verdicts(rules: list[Rule]) -> dict[str, Column]:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the rules reject."""
-    return with_counts(docs).where(verdicts(decision_list(docs, labels))["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows that the rules reject; their other columns may have any name."""
+    docs, back = guarded(docs, "doc_id", "text")
+    return back(with_counts(docs).where(verdicts(decision_list(docs, labels))["kept"]))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,10 @@ LOOK_AHEAD = 2
 MADE = ("n_tokens", "n_tokens_after", "n_chars_after", "recounted_chars")
 
 
+def in_blocks(pieces: list[str]) -> list[list[str]]:
+    return [pieces[a : a + BLOCK] for a in range(0, len(pieces), BLOCK)] or [[]]
+
+
 class TokenTree:
     """Pre-tokens of a text in blocks, with the sums of characters and tokens of each subtree."""
 
@@ -39,17 +43,23 @@ class TokenTree:
         self.build([m.group() for m in split(text, 0)])
 
     def build(self, pieces: list[str]) -> None:
-        self.blocks = [pieces[a : a + BLOCK] for a in range(0, len(pieces), BLOCK)] or [[]]
-        self.leaves = 1 << (len(self.blocks) - 1).bit_length()
-        self.chars, self.tokens = [0] * (2 * self.leaves), [0] * (2 * self.leaves)
-        for i in range(len(self.blocks)):
-            self.sum_block(i)
+        self.lay([(b, *self.sums(b)) for b in in_blocks(pieces)])
+
+    def lay(self, blocks: list[tuple[list[str], int, int]]) -> None:
+        """A tree over blocks (pieces, characters, tokens) whose sums are known: nothing is counted."""
+        self.blocks = [b for b, _, _ in blocks]
+        self.leaves = 1 << (len(blocks) - 1).bit_length()
+        spare = [0] * (self.leaves - len(blocks))
+        self.chars = [0] * self.leaves + [c for _, c, _ in blocks] + spare
+        self.tokens = [0] * self.leaves + [t for _, _, t in blocks] + spare
         for at in range(self.leaves - 1, 0, -1):
             self.sum_node(at)
 
+    def sums(self, block: list[str]) -> tuple[int, int]:
+        return sum(map(len, block)), sum(map(self.count, block))
+
     def sum_block(self, i: int) -> None:
-        self.chars[self.leaves + i] = sum(map(len, self.blocks[i]))
-        self.tokens[self.leaves + i] = sum(map(self.count, self.blocks[i]))
+        self.chars[self.leaves + i], self.tokens[self.leaves + i] = self.sums(self.blocks[i])
 
     def sum_node(self, at: int) -> None:
         self.chars[at] = self.chars[2 * at] + self.chars[2 * at + 1]
@@ -115,9 +125,9 @@ class TokenTree:
             last = min(last + 1, len(self.blocks) - 1)
         self.recounted += sum(map(len, found))
         held = pieces[:kept] + found + (pieces[rest:] if done else [])
-        if len(held) > 8 * BLOCK:
-            rest_of = [x for block in self.blocks[last + 1 :] for x in block]
-            self.build([x for block in self.blocks[:first] for x in block] + held + rest_of)
+        if len(held) > 8 * BLOCK:  # split what was edited; the sums of all other blocks stay
+            known = list(zip(self.blocks, self.chars[self.leaves :], self.tokens[self.leaves :]))
+            self.lay([*known[:first], *((b, *self.sums(b)) for b in in_blocks(held)), *known[last + 1 :]])
             return
         self.blocks[first : last + 1] = [held] + [[] for _ in range(last - first)]
         nodes = set()
@@ -155,12 +165,14 @@ def piece_counter(path: str, pattern: str) -> Callable[[str], int]:
 def token_counts(docs: DataFrame, path: str, pattern: str, text_col: str = "text", edits_col: str = "edits") -> DataFrame:
     """``docs`` without text and edits, with n_tokens, n_tokens_after (all edits, in order), n_chars_after, recounted_chars.
 
-    edits: array<struct<place, removed, inserted>>; places count characters of the text as edited so far.
+    edits: array<struct<place, removed, inserted>>; places count characters of the text as edited so far.  Columns of the
+    names that are made are replaced.
     """
     small_batches(docs.sparkSession)
-    names = [c for c in docs.columns if c not in (text_col, edits_col)]
+    names = [c for c in docs.columns if c not in (text_col, edits_col, *MADE)]
     kinds = T.StructType([f for f in docs.schema if f.name in names] + [T.StructField(x, T.LongType()) for x in MADE])
     text_at, edits_at = docs.columns.index(text_col), docs.columns.index(edits_col)
+    kept_at = [i for i, c in enumerate(docs.columns) if c in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -176,7 +188,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, text_col: str = "text
                         tree.edit(e["place"] or 0, e["removed"] or 0, e["inserted"] or "")
                 out.append((before, tree.n_tokens, tree.n_chars, tree.recounted))
             made = [pa.array([x[i] for x in out], pa.int64()) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(batch.num_columns) if i not in (text_at, edits_at)] + made, names=[*names, *MADE])
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in kept_at] + made, names=[*names, *MADE])
 
     return docs.mapInArrow(run, kinds)
 

@@ -8,9 +8,9 @@ the most significant slice downward; every row that the bounds let into the firs
 
 Queries and rows meet in blocks: a group of queries and a block of the index in each task.
 
-Edge cases: rows without a number, and vectors that are null or hold a null or non-finite component (or one beyond
-``LARGEST``, whose products would leave 64 bits), take no part. Vectors of other lengths count as filled up with zeros.
-A repeated row is a candidate for its twins, and as a query answered each time. Fewer rows than k: all of them.
+Edge cases: rows without a number, and vectors that are null or hold a null or non-finite component, take no part; any
+finite one does, whole numbers of any size are added exactly. A score of the answer that leaves 64 bits is an error
+naming its rows. Vectors of other lengths count as filled up with zeros. A repeated row is a candidate for its twins, and as a query answered each time. Fewer rows than k: all of them.
 """
 
 from __future__ import annotations
@@ -26,18 +26,21 @@ from minutelake.llm.common import stage, table
 SLICES = 7
 #: rows of a block and queries of a group, about
 BLOCK_ROWS, GROUP_QUERIES = 16_384, 1024
-#: a component beyond this takes its vector out
-LARGEST = float(1 << 20)
+#: components below this are held in 64 bits, in blocks that have others in Python's whole numbers
+IN_64_BITS = 1 << 62
+#: least and largest score that can be returned
+LEAST_SCORE, MOST_SCORE = -(1 << 63), (1 << 63) - 1
 
 
 class Block:
     """The index of a block of whole-number vectors."""
 
     def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors.astype(np.int64)
+        self.vectors = vectors  # int64, or object where components are larger
         rows, dims = vectors.shape
         self.low = self.vectors.min(axis=0) if rows else np.zeros(dims, np.int64)
         reach = int((self.vectors - self.low).max()) if rows and dims else 0
+        self.largest = int(abs(self.vectors).max()) if rows and dims else 0
         self.shift = max(0, reach.bit_length() - SLICES)
         leading = ((self.vectors - self.low) >> self.shift).astype(np.uint8)
         padded = np.zeros((-(-max(rows, 1) // 64) * 64, dims), np.uint8)
@@ -73,11 +76,18 @@ class Block:
             else:
                 sure, open_ = sure | have, open_ & ~total[at]
         cut = (1 << self.shift) - 1
-        spread = int(np.abs(weights).sum()) * cut  # between the largest and least that cut bits add
+        spread = sum(abs(w) for w in weights.tolist()) * cut  # between the largest and least that cut bits add
         least = max(0, least - -(-spread // (1 << self.shift)))
         return np.flatnonzero(np.unpackbits(at_least(total, least, self.there).view(np.uint8), bitorder="little"))
 
 
+    def scores(self, rows: np.ndarray, weights: np.ndarray) -> list[int]:
+        """Exact scores; in 64 bits where no sum can leave them."""
+        if self.largest * sum(abs(w) for w in weights.tolist()) <= MOST_SCORE:
+            return (self.vectors[rows].astype(np.int64) @ weights.astype(np.int64)).tolist()
+        return [sum(a * b for a, b in zip(x, weights.tolist())) for x in self.vectors[rows].tolist()]
+
+
 def add(total: list[np.ndarray], more: np.ndarray) -> None:
     """``total`` += ``more``, slice by slice with a carry."""
     carry = None
@@ -114,10 +124,13 @@ def at_least(total: list[np.ndarray], least: int, there: np.ndarray) -> np.ndarr
 
 
 def to_matrix(vectors: list, dims: int) -> np.ndarray:
-    out = np.zeros((len(vectors), dims), np.int64)
+    """Whole numbers (given as doubles that are whole), a row for each vector, filled up with zeros."""
+    out = np.zeros((len(vectors), dims))
     for i, x in enumerate(vectors):
         out[i, : len(x)] = x
-    return out
+    if not out.size or np.abs(out).max() < IN_64_BITS:
+        return out.astype(np.int64)
+    return np.array([[int(v) for v in x] for x in out.tolist()], object).reshape(out.shape)
 
 
 def search_block(k: int, dims: int):
@@ -131,20 +144,28 @@ def search_block(k: int, dims: int):
             for query, rid, weights in zip(queries["vec_id"], queries["rid"], to_matrix(queries["q"].tolist(), dims), strict=True):
                 near = block.best(weights, k + 1)  # one more: the query's own row may be among them
                 near = near[rids[near] != rid]
-                scores = block.vectors[near] @ weights
-                first = np.lexsort((ids[near], -scores))[:k]
-                out += [(query, rid, int(ids[near[i]]), int(scores[i])) for i in first]
+                first = sorted(zip([-x for x in block.scores(near, weights)], ids[near].tolist()))[:k]
+                for score, vec in ((-x, i) for x, i in first):
+                    if score > MOST_SCORE:
+                        raise OverflowError(f"the score of rows {query} and {vec} leaves 64 bits")
+                    out.append((query, rid, vec, max(score, LEAST_SCORE)))
         return pd.DataFrame(out, columns=["query_id", "rid", "vec_id", "score"])
 
     return run
 
 
 def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(rid, vec_id, q): floor(scale * x) of each component, for rows that take part."""
+    """(rid, vec_id, q): floor(scale * x) of each component, as whole doubles, for rows that take part."""
     x = F.col("embedding").cast("array<double>")
-    good = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) <= LARGEST))
+    good = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(F.coalesce(good, F.lit(False)))
-    return rows.select(F.monotonically_increasing_id().alias("rid"), F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * scale).cast("int")).alias("q"))
+
+    def whole(v):  # doubles from 2 ** 53 on are whole; a product beyond all doubles isn't a number we can hold
+        scaled = v * F.lit(float(scale))
+        floor = F.when(F.abs(scaled) < float(1 << 53), F.floor(scaled).cast("double")).otherwise(scaled)
+        return F.when(F.abs(scaled) < float("inf"), floor).otherwise(F.raise_error(F.concat(F.lit("a component is too large: "), v.cast("string"))).cast("double"))
+
+    return rows.select(F.monotonically_increasing_id().alias("rid"), F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, whole).alias("q"))
 
 
 def top_k(spark: SparkSession, rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -161,7 +182,10 @@ def top_k(spark: SparkSession, rows: DataFrame, queries: DataFrame, k: int) -> D
     kinds = "query_id long, rid long, vec_id long, score long"
     near = left.groupBy("block", "of").cogroup(right.groupBy("block", "of")).applyInPandas(search_block(k, size["dims"] or 0), kinds)
     ranked = near.withColumn("rank", F.expr("row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)"))
-    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    names = F.concat_ws(" and ", F.col("query_id").cast("string"), F.col("vec_id").cast("string"))
+    too_low = F.raise_error(F.concat(F.lit("the score of rows "), names, F.lit(" leaves 64 bits"))).cast("long")
+    score = F.when(F.col("score") > LEAST_SCORE, F.col("score")).otherwise(too_low)
+    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))
 
 
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,10 +194,10 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
-r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+s AS (SELECT a.rid, a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

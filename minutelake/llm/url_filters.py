@@ -84,7 +84,8 @@ def lexical(url: str, host: str, path: str) -> dict[str, Column]:
 
 
 def url_filter(spark: SparkSession, urls: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``urls`` (any columns, with url) with host, path, rule and verdict."""
+    """``urls`` (any columns, with url) with host, path, rule and verdict; columns of these four names are replaced."""
+    urls, given = urls.withColumnsRenamed({c: f"kept {i}" for i, c in enumerate(urls.columns) if c != "url"}), urls.columns
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
@@ -100,7 +101,7 @@ def url_filter(spark: SparkSession, urls: DataFrame, rules: tuple[Rule, ...] = R
     totals = labelled.agg(F.sum(blocked).alias("b"), F.count("*").alias("n")).first()
     n, b = float(totals["n"]), totals["b"] or 0.0
     if b in (0.0, n):
-        return named(urls, rows, names, F.lit("block" if n and b == n else "allow"))
+        return named(given, rows, names, F.lit("block" if n and b == n else "allow"))
 
     own, label = F.when(F.col("__said").isNotNull(), 1.0).otherwise(0.0), F.coalesce(blocked, F.lit(0.0))
     for key in ("suffix", "segment"):
@@ -116,12 +117,12 @@ def url_filter(spark: SparkSession, urls: DataFrame, rules: tuple[Rule, ...] = R
     trees = GBTClassifier(featuresCol="__features", labelCol="label", predictionCol="__predicted", maxIter=TREES, maxDepth=DEPTH, seed=SEED)
     trees = trees.setRawPredictionCol("__raw").setProbabilityCol("__probability")
     model = trees.fit(gather.transform(stage(spark, sample, "sample")))
-    return named(urls, model.transform(gather.transform(rows)), names, F.when(F.col("__predicted") > 0.5, "block").otherwise("allow"))
+    return named(given, model.transform(gather.transform(rows)), names, F.when(F.col("__predicted") > 0.5, "block").otherwise("allow"))
 
 
-def named(urls: DataFrame, rows: DataFrame, names: dict[str, str], learned: Column) -> DataFrame:
+def named(given: list[str], rows: DataFrame, names: dict[str, str], learned: Column) -> DataFrame:
     made = {"host": F.col("__host"), "path": F.col("__path"), "rule": F.col("__rule"), "verdict": F.coalesce("__said", learned)}
-    return rows.select(*[F.col(f"`{c}`") for c in urls.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+    return rows.select(*[F.col("url" if c == "url" else f"`kept {i}`").alias(c) for i, c in enumerate(given) if c not in made], *[v.alias(k) for k, v in made.items()])
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,3 +78,17 @@ def test_unknown_layouts(spark):
         chat.canonical_turns(spark.createDataFrame([(1, "x")], "conv_id long, body string"))
     records = spark.createDataFrame([(1, None), (2, "no json"), (3, "[1]"), (4, '{"body": 1}')], "id long, record string")
     assert chat.canonical_records(records, "id", "record").count() == 0
+
+
+def test_no_record_is_lost(spark):
+    """Every record gives turns or is listed as unreadable; a list may lack a field in some elements."""
+    given = {
+        1: '{"messages":[{"role":"user"},{"role":"user","content":"b"}]}', 2: '{"messages":[{"role":"assistant","tool_calls":[1]},{"content":"c"}]}',
+        3: '{"foo":1}', 4: "not json", 5: '{"messages":[]}', 6: None, 7: '{"conversations":[{"from":"human","value":"q"}],"id":3}',
+    }
+    df = spark.createDataFrame(list(given.items()), "id long, record string")
+    turns = sorted(tuple(r) for r in chat.canonical_records(df, "id", "record").collect())
+    assert turns == [(1, 0, "user", ""), (1, 1, "user", "b"), (2, 0, "assistant", ""), (2, 1, "", "c"), (7, 0, "user", "q")]
+    lost = {r["conv_id"]: r["reason"] for r in chat.unreadable_records(df, "id", "record").collect()}
+    assert lost == {3: "no layout", 4: "no layout", 5: "no turns", 6: "no layout"}
+    assert len({r[0] for r in turns}) + len(lost) == len(given)

@@ -75,3 +75,20 @@ def test_derived_edits_are_inside(spark):
         assert len(r["edits"]) == 4
         for e in r["edits"]:
             assert 0 <= e["place"] <= len(r["text"]) and e["inserted"] in r["text"] and len(e["inserted"]) < 60
+
+
+def test_a_large_insertion_splits_blocks_and_counts_little(count):
+    """The sums of untouched blocks stay when an edit outgrows its block."""
+    text, counted = "word " * 100_000, []
+
+    def counting(piece):
+        counted.append(piece)
+        return count(piece)
+
+    tree = tc.TokenTree(text, FIND.finditer, counting)
+    counted.clear()
+    tree.edit(250_003, 4, "some new words " * 200)
+    text = text[:250_003] + "some new words " * 200 + text[250_007:]
+    assert len(counted) < 1500 and tree.text() == text and tree.n_tokens == plain(text, count)
+    tree.edit(10, 3, "x")
+    assert tree.text() == text[:10] + "x" + text[13:] and tree.n_tokens == plain(tree.text(), count)
