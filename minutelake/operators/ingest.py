@@ -124,6 +124,35 @@ def late_files(closed: DataFrame, checkpoints: DataFrame, published: DataFrame)
             .join(pub, ["cluster", "stream", "__pub"], "left_anti").drop("__pub"))
 
 
+def idle_empty_files(files: DataFrame, now, timeout_ms: int = LAST_FILE_TIMEOUT_MS, predicate: Column | None = None) -> DataFrame:
+    """empty files whose name is accepted and that are idle for the timeout: a run deletes them."""
+    idle = _micros(now) - _micros("mtime") >= F.lit(timeout_ms * 1000)
+    return collector_filter(files, predicate).filter((F.col("length") == 0) & idle)
+
+
+def _unseen(incoming: DataFrame, key: list[str], published: DataFrame) -> DataFrame:
+    """``incoming`` rows whose ``key`` is not among the published ones.
+
+    The catalog of all published files is large and the incoming files of a run are few: their distinct keys
+    are matched against the catalog first (broadcast behind a size check, so the catalog is scanned and
+    not shuffled), and what was found is taken out.
+    """
+    keys = incoming.select(*key).distinct()
+    known = published.select(*key).join(bounded_broadcast(keys), key, "left_semi").distinct()
+    return incoming.join(bounded_broadcast(known), key, "left_anti")
+
+
+def not_published(files: DataFrame, published: DataFrame) -> DataFrame:
+    """Collector files that no committed batch has delivered (``published``: the local stream's catalog)."""
+    keyed = files.withColumn("__pub", L.published_name("collector", "file_name"))
+    return _unseen(keyed, ["stream", "__pub"], published.withColumnRenamed("file_name", "__pub")).select(*files.columns)
+
+
+def not_merged(files: DataFrame, merged: DataFrame) -> DataFrame:
+    """Published files that the merged stream doesn't have yet."""
+    return _unseen(files, ["stream", "file_name"], merged).select(*files.columns)
+
+
 def records_of(records: DataFrame, files: DataFrame) -> DataFrame:
     """S2 on a record table: records of the selected files (semi join on the file key)."""
     sel = files.select("cluster", "stream", "collector", F.col("file_name").alias("src_file"))

@@ -78,3 +78,15 @@ def mirror_positions(entries: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("stream", L.hour_of("minute")).orderBy("minute", "relpath")
     return entries.withColumn("position", F.row_number().over(w).cast("long"))
+
+
+def commit_parts(entries: DataFrame, minutes: int) -> DataFrame:
+    """O1: ``part`` of each entry: a stream's minutes in order, ``minutes`` of them a part.
+
+    Parts are committed one after the other, so no consumer sees a minute before an earlier one of its
+    stream.  Only the distinct minutes of the backlog are ranked.
+    """
+    each = entries.select("stream", "minute").distinct()
+    w = Window.partitionBy("stream").orderBy("minute")
+    each = each.withColumn("part", F.floor((F.row_number().over(w) - 1) / F.lit(minutes)).cast("int"))
+    return entries.join(each, ["stream", "minute"]).select(*entries.columns, "part")

@@ -77,14 +77,15 @@ def trash_purge_set(trash_dirs: DataFrame, now,
 LEVELS = ("year", "month", "day")
 
 
-def empty_levels(dirs: DataFrame) -> DataFrame:
+def empty_levels(dirs: DataFrame, levels=LEVELS) -> DataFrame:
     """year/month/day directories without any child directory (purged regardless of age).
 
     ``dirs``: ``cluster, base, stream, level, path`` for every directory level
-    (``year, month, day, hour``); a child's path starts with ``<parent>/``.
+    (``year, month, day, hour``; with files, if folders may hold some); a child's path starts with
+    ``<parent>/``.  Only directories of ``levels`` are looked at.
     """
     child = dirs.select("cluster", "base", "stream",
                         F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("parent")).distinct()
-    parents = dirs.filter(F.col("level").isin(*LEVELS))
+    parents = dirs.filter(F.col("level").isin(*levels))
     return parents.join(child.withColumnRenamed("parent", "path"), ["cluster", "base", "stream", "path"],
                         "left_anti").select("cluster", "base", "stream", "level", "path")

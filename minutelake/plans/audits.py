@@ -5,11 +5,9 @@ folder is listed.  Other roots are trees ``<root>/data/<stream>/<collector>/<fil
 ``<root>/system/trash/<y-M-d>/<H>/<file>``,
 ``<root>/streams_local|streams/<stream>/yyyy/MM/dd/HH/mm/<file>``.
 
-Their files are listed with the distributed ``binaryFile`` listing; a file that is in none of
-these places is an error, never a silent match.  Spark file sources cannot see empty
-directories, so minute directories come from ``globStatus`` on the driver, many streams at a
-time -- a list bounded by the number of minutes (retention x 60 per hour), not by files -- and
-empty minutes are the set difference with the file listing, computed on Spark.
+They are listed by the executors (``sources.listing``), files and folders alike, once for each check; names
+that begin with ``_`` or ``.`` are ordinary ones, and a minute folder without files is an empty minute.  A
+file that is in none of these places is an error, never a silent match.
 
 CLI (same arguments as the reference's launcher; ``--output <dir>`` keeps every difference,
 the summary with the verdict is printed)::
@@ -23,7 +21,6 @@ the summary with the verdict is printed)::
 from __future__ import annotations
 
 import sys
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +33,7 @@ from ..sinks import writers as W
 from ..sources import catalog
 from ..session import apply_session_settings
 from ..sources.manifests import trash_entries
+from .run import Site, published_catalog
 
 _STREAM_FILES = ("cluster string, base string, stream string, minute timestamp_ntz, file_name string, "
                  "path string, mtime timestamp_ntz, length bigint")
@@ -49,12 +47,8 @@ def _union(frames: list[DataFrame], spark: SparkSession, schema: str) -> DataFra
 
 
 def _stream_names(spark: SparkSession, base_dir: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base_dir)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    """Stream folders of a tree: one entry for each stream."""
+    return fsops.subfolders(spark, base_dir)
 
 
 class UnknownLayout(ValueError):
@@ -76,51 +70,68 @@ def stream_names(spark: SparkSession, root: str, base: str) -> list[str]:
     return sorted(r[0] for r in names.filter(F.col("base") == base).select("stream").distinct().collect())
 
 
-def published_files(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> DataFrame:
-    """S3 over a base of a root (only the given streams)."""
-    if is_site(spark, root):
-        rows = W.read_table(spark, f"{root.rstrip('/')}/system/catalog", W.CATALOG_SCHEMA).filter(F.col("base") == base)
-        rows = rows if streams is None else rows.filter(F.col("stream").isin(list(streams)))
-        return rows.select(F.lit(cluster).alias("cluster"), *[c for c in W.CATALOG_COLS if c != "cluster"])
+_LISTING = "cluster string, path string, mtime timestamp_ntz, length bigint, is_dir boolean"
+
+
+def tree(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> DataFrame:
+    """Files and folders of a published tree: the one listing that a check takes, written to the checkpoint folder."""
     d = f"{root.rstrip('/')}/{base}"
     names = _stream_names(spark, d) if streams is None else [s for s in streams if fsops.exists(spark, f"{d}/{s}")]
     if not names:
-        return spark.createDataFrame([], _STREAM_FILES)
-    found = catalog.stream_files(spark, root, cluster, base, streams=names)
+        return spark.createDataFrame([], _LISTING)
+    found = catalog.list_files(spark, d, cluster, names, 3).withColumn("is_dir", F.lit(False))
+    folders = catalog.list_folders(spark, d, names, 3).select(
+        F.lit(cluster).alias("cluster"), "path", "mtime", F.lit(None).cast("long").alias("length"), F.lit(True).alias("is_dir"))
+    return found.unionByName(folders).checkpoint(eager=True)
+
+
+def files_of(listed: DataFrame, where: str = "") -> DataFrame:
+    """S3: the published files of a :func:`tree`."""
+    found = catalog.stream_files_from_listing(listed.filter(~F.col("is_dir")))
     odd = found.filter((F.col("stream") == "") | (F.col("file_name") == "") | F.col("minute").isNull()).select("path").limit(5).collect()
     if odd:
-        raise UnknownLayout(f"{d}: not <stream>/yyyy/MM/dd/HH/mm/<file>: {[r[0] for r in odd]}")
+        raise UnknownLayout(f"{where}: not <stream>/yyyy/MM/dd/HH/mm/<file>: {[r[0] for r in odd]}")
     return found
 
 
-def minute_dirs_on_disk(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> DataFrame:
-    """``cluster, base, stream, minute, state, created_at`` for every minute directory, empty ones included."""
+_MINUTE_DIR = r"/([^/]+)/([^/]+)/(\d{4}/\d\d/\d\d/\d\d/\d\d)$"
+
+
+def minutes_of(listed: DataFrame, files: DataFrame) -> DataFrame:
+    """Every minute folder of a :func:`tree`, empty ones included; created when its last entry arrived."""
+    p = F.col("path")
+    dirs = listed.filter(F.col("is_dir") & p.rlike(_MINUTE_DIR)).select(
+        "cluster", F.regexp_extract(p, _MINUTE_DIR, 1).alias("base"), F.regexp_extract(p, _MINUTE_DIR, 2).alias("stream"),
+        L.parse_minute(p).alias("minute"), F.col("mtime").alias("created_at"))
+    data = files.select("cluster", "base", "stream", "minute").distinct().withColumn("state", F.lit("data"))
+    out = dirs.filter(F.col("minute").isNotNull()).join(data, ["cluster", "base", "stream", "minute"], "left")
+    return out.select("cluster", "base", "stream", "minute", F.coalesce(F.col("state"), F.lit("empty")).alias("state"), "created_at")
+
+
+def published_files(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> DataFrame:
+    """S3 over a base of a root (only the given streams): of our own sites, the files of committed batches."""
+    if is_site(spark, root):
+        rows = published_catalog(spark, Site(cluster, root.rstrip("/")), base)
+        rows = rows if streams is None else rows.filter(F.col("stream").isin(list(streams)))
+        return rows.select(F.lit(cluster).alias("cluster"), *[c for c in W.CATALOG_COLS if c != "cluster"])
+    return files_of(tree(spark, root, base, cluster, streams), f"{root}/{base}")
+
+
+def published_tree(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> tuple[DataFrame, DataFrame]:
+    """(files, minutes) of a base of a root, from one listing."""
     if is_site(spark, root):
         led = W.read_ledger(spark, f"{root.rstrip('/')}/system/minutes").filter(F.col("base") == base)
         led = led if streams is None else led.filter(F.col("stream").isin(list(streams)))
-        return led.select(F.lit(cluster).alias("cluster"), "base", "stream", "minute", "state", "created_at")
-    d = f"{root.rstrip('/')}/{base}"
-    names = _stream_names(spark, d) if streams is None else list(streams)
-    jvm = spark.sparkContext._jvm
-
-    def minutes_of(s: str) -> list[tuple[str, str, int]]:
-        pat = jvm.org.apache.hadoop.fs.Path(jvm.org.apache.hadoop.fs.Path(d, s), "[0-9]*/[0-9]*/[0-9]*/[0-9]*/[0-9]*")
-        fs = pat.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return [(s, st.getPath().toString(), st.getModificationTime()) for st in fs.globStatus(pat) or [] if st.isDirectory()]
-
-    with ThreadPoolExecutor(16) as pool:
-        rows = [x for part in pool.map(minutes_of, names) for x in part]
-    dirs = spark.createDataFrame(rows, "stream string, dir string, dir_mtime long")
-    dirs = dirs.select(F.lit(cluster).alias("cluster"), F.lit(base).alias("base"), "stream",
-                       L.parse_minute("dir").alias("minute"),
-                       L.ntz(F.timestamp_millis("dir_mtime")).alias("dir_mtime"))
-    files = published_files(spark, root, base, cluster, names)
-    data = files.select("cluster", "base", "stream", "minute").distinct().withColumn("state", F.lit("data"))
-    # creation time of a minute = its directory's modification time (when its last entry arrived)
-    out = dirs.join(data, ["cluster", "base", "stream", "minute"], "left")
-    return out.select("cluster", "base", "stream", "minute",
-                      F.coalesce(F.col("state"), F.lit("empty")).alias("state"),
-                      F.col("dir_mtime").alias("created_at"))
+        minutes = led.select(F.lit(cluster).alias("cluster"), "base", "stream", "minute", "state", "created_at")
+        return published_files(spark, root, base, cluster, streams), minutes
+    listed = tree(spark, root, base, cluster, streams)
+    files = files_of(listed, f"{root}/{base}")
+    return files, minutes_of(listed, files)
+
+
+def minute_dirs_on_disk(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> DataFrame:
+    """``cluster, base, stream, minute, state, created_at`` for every minute directory, empty ones included."""
+    return published_tree(spark, root, base, cluster, streams)[1]
 
 
 def local_stream_consistency(spark: SparkSession, roots: list[str]) -> DataFrame:
@@ -162,8 +173,7 @@ def mirror_stream_consistency(spark: SparkSession, merged_root: str, mirror_root
         {s for r in (merged_root, *mirror_roots) for s in stream_names(spark, r, MERGED_BASE)})
 
     def entries(root: str) -> DataFrame:
-        files = published_files(spark, root, MERGED_BASE, root, names)
-        return audit.stream_entries(files, minute_dirs_on_disk(spark, root, MERGED_BASE, root, names))
+        return audit.stream_entries(*published_tree(spark, root, MERGED_BASE, root, names))
 
     merged = entries(merged_root)
     mirrors = _union([entries(r) for r in mirror_roots], spark,
@@ -184,20 +194,28 @@ def orderly_created(spark: SparkSession, roots: list[str], bases=None, streams=N
     return audit.out_of_order(m), audit.missing_minutes(m)
 
 
-def verdict(diffs: DataFrame, group: list[str]) -> DataFrame:
-    """One row per group with differences: how many of each kind, and the verdict."""
-    return audit.summary(diffs, diffs.select(*group), group)
+def verdict(diffs: DataFrame, group: list[str], groups: DataFrame | None = None) -> DataFrame:
+    """One row per audited group: how many differences of each kind, and the verdict.
+
+    ``groups`` lists all of them, so that consistent ones get their line too.
+    """
+    every = diffs.select(*group) if groups is None else groups.select(*group).unionByName(diffs.select(*group))
+    return audit.summary(diffs, every.distinct(), group)
 
 
-def _report(name: str, df: DataFrame, group: list[str] | None, output: str | None) -> bool:
-    """Print the summary and the verdict of one check; keep all its rows in ``output``."""
+def _report(name: str, df: DataFrame, group: list[str] | None, output: str | None, groups: list[tuple] | None = None) -> bool:
+    """Print a line and a verdict for each group of one check; keep all its rows in ``output``."""
     if output is not None:
         df.write.mode("overwrite").parquet(f"{output}/{name}")
         df = df.sparkSession.read.schema(df.schema).parquet(f"{output}/{name}")
-    counts = verdict(df, group) if group else df.groupBy("cluster", "base", "stream").agg(F.count(F.lit(1)).alias("n"))
+    if group:
+        every = None if groups is None else df.sparkSession.createDataFrame(groups, ", ".join(f"{g} string" for g in group))
+        counts = verdict(df, group, every)
+    else:
+        counts = df.groupBy("cluster", "base", "stream").agg(F.count(F.lit(1)).alias("n"))
     bad = 0
     for row in counts.toLocalIterator():
-        bad += 1
+        bad += row["verdict"] != "consistent" if group else 1
         print(f"{name}: " + ", ".join(f"{k}={v}" for k, v in row.asDict().items()))
     print(f"{name}: " + ("no inconsistency" if not bad else "inconsistent" + (f"; all rows in {output}/{name}" if output else "")))
     return not bad
@@ -218,18 +236,22 @@ def main(argv: list[str]) -> int:
     streams = lambda i: split(args[i]) if len(args) > i else None
     spark = build_session()
     if cmd == "localstreamdataconsistency":
-        out = [(cmd, local_stream_consistency(spark, split(args[0])), ["cluster"])]
+        roots = split(args[0])
+        out = [(cmd, local_stream_consistency(spark, roots), ["cluster"], [(r,) for r in roots])]
     elif cmd == "mergestreamdataconsistency":
-        out = [(cmd, merge_stream_consistency(spark, split(args[0]), args[1], streams(2)), ["stream"])]
+        names = streams(2) or stream_names(spark, args[1], MERGED_BASE)
+        out = [(cmd, merge_stream_consistency(spark, split(args[0]), args[1], streams(2)), ["stream"], [(s,) for s in names])]
     elif cmd == "mirrorstreamdataconsistency":
-        out = [(cmd, mirror_stream_consistency(spark, args[0], split(args[1]), streams(2)), ["mirror", "stream"])]
+        mirrors = split(args[1])
+        names = streams(2) or sorted({s for r in (args[0], *mirrors) for s in stream_names(spark, r, MERGED_BASE)})
+        out = [(cmd, mirror_stream_consistency(spark, args[0], mirrors, streams(2)), ["mirror", "stream"], [(m, s) for m in mirrors for s in names])]
     elif cmd == "orderlycreated":
         disorder, missing = orderly_created(spark, split(args[0]), streams(1), streams(2))
-        out = [("out_of_order", disorder, None), ("missing_minutes", missing, None)]
+        out = [("out_of_order", disorder, None, None), ("missing_minutes", missing, None, None)]
     else:
         print(__doc__)
         return 1
-    return 0 if all([_report(name, df, group, output) for name, df, group in out]) else 2
+    return 0 if all([_report(name, df, group, output, groups) for name, df, group, groups in out]) else 2
 
 
 if __name__ == "__main__":

@@ -40,13 +40,17 @@ def plan_ingest(files: DataFrame, checkpoints: DataFrame, now, timeout_ms: int =
     if on_late == "deliver" and published is None:
         raise ValueError("on_late='deliver' needs the local stream catalog (published=)")
     closed = ingest.closed_files(files, now, timeout_ms)
-    new = ingest.above_checkpoint(closed, checkpoints)
-    ck = ingest.advance_checkpoint(closed, checkpoints)
-    trash = ingest.trash_rows(ingest.trash_select(closed, keep), now)
+    return plan_closed(closed, ingest.above_checkpoint(closed, checkpoints), checkpoints, now, keep, published, on_late)
+
+
+def plan_closed(closed: DataFrame, fresh: DataFrame, checkpoints: DataFrame, now, keep: int = FILES_TO_KEEP,
+                published: DataFrame | None = None, on_late: str = "drop") -> IngestPlan:
+    """The plan of a run whose closed files and, among them, the fresh ones are known (a listing's or a stream's)."""
     late = ingest.late_files(closed, checkpoints, published) if published is not None else None
     if on_late == "deliver":
-        new = new.unionByName(late)
-    return IngestPlan(closed, new, ck, trash, late)
+        fresh = fresh.unionByName(late)
+    return IngestPlan(closed, fresh, ingest.advance_checkpoint(closed, checkpoints),
+                      ingest.trash_rows(ingest.trash_select(closed, keep), now), late)
 
 
 def ingest_records(plan: IngestPlan, records: DataFrame, now) -> DataFrame:

@@ -10,7 +10,6 @@ schemes they go through the driver's Hadoop client, a bounded list per run
 
 from __future__ import annotations
 
-import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +48,28 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (none if it is absent)."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile()) if fs.exists(p) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename one file; False if ``dst`` is there already."""
+    fs, p = _fs(spark, src)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+    if fs.exists(to):
+        return False
+    if not fs.rename(p, to):
+        raise OSError(f"{src} could not be renamed to {dst}")
+    return True
+
+
 def move_files(spark: SparkSession, moves: DataFrame, root: str, src_col: str = "src", dst_col: str = "dst") -> int:
     """Rename every ``src`` to ``dst`` (creating parents), both below ``root``; missing sources are skipped."""
     m = moves.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
@@ -101,51 +122,8 @@ def delete_if_empty(spark: SparkSession, path: str) -> int:
     return int(bool(fs.exists(p) and not list(fs.listStatus(p)) and fs.delete(p, False)))
 
 
-def unlisted_files(spark: SparkSession, data_dir: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int]]]:
-    """Collector files that Spark's file sources don't list: hidden ones (a level of their path
-    begins with ``_`` or ``.``) as (path, mtime ms, length), and empty ones as (path, mtime ms).
-
-    One listing request per collector folder, many at a time: bounded by the number of
-    collectors.  Only the odd files are kept.
-    """
-    fs, top = _fs(spark, data_dir)
-    if not fs.exists(top):
-        return [], []
-    jvm = spark.sparkContext._jvm
-    collectors = [s.getPath().toString() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(top, "*/*")) or [] if s.isDirectory()]
-
-    def odd(folder: str) -> tuple[list, list]:
-        hidden, empty = [], []
-        levels = folder.rsplit("/", 2)[1:]
-        for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)):
-            if s.isDirectory():
-                continue
-            path, name = s.getPath().toString(), s.getPath().getName()
-            if s.getLen() == 0:
-                empty.append((path, s.getModificationTime()))
-            elif any(x[0] in "_." for x in (*levels, name)):
-                hidden.append((path, s.getModificationTime(), s.getLen()))
-        return hidden, empty
-
-    with ThreadPoolExecutor(_THREADS) as pool:
-        found = list(pool.map(odd, collectors))
-    return [x for h, _ in found for x in h], [x for _, e in found for x in e]
-
-
-def delete_idle_empty_files(spark: SparkSession, empty: list[tuple[str, int]], accept, now_ms: int, timeout_ms: int) -> int:
-    """delete empty files whose name ``accept`` takes and that are idle for ``timeout_ms`` or more.
-
-    A fresh empty file may be in flight and is kept, and so are names that the collector
-    filter leaves alone.
-    """
-    return sum(delete_path(spark, path) for path, mtime in empty
-               if accept(os.path.basename(path)) and now_ms - mtime >= timeout_ms)
-
-
 def copy_file(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs(spark, src)
     to, d = _fs(spark, dst)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, s, to, d, False, True, conf)
-
-

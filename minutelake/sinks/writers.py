@@ -4,9 +4,10 @@ Layout: every table is a parquet directory partitioned by string columns, so
 reads prune by stream / hour / minute and a purge drops whole hour directories.
 
 * published streams  ``<root>/<base>/stream=<s>/hour=<yyyy-MM-dd-HH>/minute_key=<yyyy-MM-dd-HH-mm>/batch_id=<n>``
-* commit catalog     ``<root>/system/catalog/base=<b>/stream=<s>/hour=<h>/batch_id=<n>`` (a row per published file)
+* commit log         ``<root>/system/log/<base>``, snapshot plus deltas (``commitlog``: what readers may see)
+* commit catalog     ``<root>/system/catalog``, snapshot plus deltas (a row per published file)
 * commits            ``<root>/system/commits/<service>/batch_id=<n>`` (what a batch selected, and its commit time)
-* minute ledger      ``<root>/system/minutes/base=<b>/stream=<s>/hour=<h>``
+* minute ledger      ``<root>/system/minutes``, snapshot plus deltas (ranges of minutes, ``operators.ranges``)
 * manifests          ``<root>/system/manifests/kind=<k>/dest_cluster=<c>/batch_id=<n>`` (until acknowledged)
 * acks               ``<root>/system/acks/kind=<k>/dest_cluster=<c>/batch_id=<n>`` (until their manifests are gone)
 * checkpoints        ``<root>/system/checkpoint/batch_id=<n>`` (the last versions; readers take the latest)
@@ -20,17 +21,19 @@ merges small ones, instead of one task per (stream, minute).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
+from ..operators import ranges
 from . import files as fsops
+from .snapshots import SnapshotTable
 
 PUBLISHED_PARTITIONS = ["stream", "hour", "minute_key", "batch_id"]
 CHECKPOINT_VERSIONS = 3
 
-LEDGER_SCHEMA = ("cluster string, minute timestamp_ntz, state string, created_at timestamp_ntz, "
-                 "base string, stream string, hour string")
 LEDGER_COLS = ["cluster", "base", "stream", "minute", "state", "created_at"]
 CATALOG_SCHEMA = ("cluster string, minute timestamp_ntz, file_name string, path string, mtime timestamp_ntz, "
                   "length bigint, base string, stream string, hour string, batch_id bigint")
@@ -43,6 +46,8 @@ CHECKPOINT_SCHEMA = "cluster string, stream string, collector string, file_name
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A system table by its declared schema; empty when its folder is absent.  Any other fault is an error."""
+    if fsops.exists(spark, f"{path}/deltas"):
+        return SnapshotTable(spark, path, schema).read()
     if fsops.exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
@@ -81,22 +86,36 @@ def write_published_text(records: DataFrame, table_dir: str, compression: str =
      .option("lineSep", "\n").partitionBy("stream", "minute_key", "file_name").text(table_dir))
 
 
-def write_catalog(files: DataFrame, catalog_dir: str, batch_id: int) -> None:
-    """A4: the files that a batch published (``CATALOG_COLS``)."""
+def catalog_table(spark: SparkSession, catalog_dir: str) -> SnapshotTable:
+    """A4: the file catalog, sorted by minute, so that a read of some minutes skips the rest of the snapshot."""
+    return SnapshotTable(spark, catalog_dir, CATALOG_SCHEMA, lambda rows: rows.sort("base", "minute", "stream"))
+
+
+def write_catalog(files: DataFrame, catalog_dir: str, batch_id: int, name: str | None = None) -> None:
+    """A4: the files that a batch published (``CATALOG_COLS``), one file of the catalog."""
     out = _hour(files.select(*CATALOG_COLS)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    _overwrite(out, catalog_dir, ["base", "stream", "hour", "batch_id"])
+    catalog_table(files.sparkSession, catalog_dir).append(name or f"batch.{batch_id}", out)
+
+
+def ledger_table(spark: SparkSession, ledger_dir: str) -> SnapshotTable:
+    """A5: the minute ledger; its snapshots join adjoining ranges."""
+    return SnapshotTable(spark, ledger_dir, ranges.RANGES_SCHEMA, ranges.merged)
 
 
-def write_ledger_rows(spark: SparkSession, rows: DataFrame, ledger_dir: str) -> None:
-    """T5/K3: minutes that the ledger doesn't have yet: a replayed batch adds nothing twice."""
-    old = read_ledger(spark, ledger_dir).select("cluster", "base", "stream", "minute")
-    new = rows.select(*LEDGER_COLS).join(old, ["cluster", "base", "stream", "minute"], "left_anti")
-    _hour(new).write.mode("append").partitionBy("base", "stream", "hour").parquet(ledger_dir)
+def write_ledger_rows(spark: SparkSession, rows: DataFrame, ledger_dir: str, name: str | None = None) -> None:
+    """T5/K3: minutes (``LEDGER_COLS``) or ranges of one batch; a batch that is there adds nothing twice."""
+    out = rows if "last_minute" in rows.columns else ranges.of_minutes(rows)
+    ledger_table(spark, ledger_dir).append(name or uuid.uuid4().hex, out)
+
+
+def read_ledger_ranges(spark: SparkSession, ledger_dir: str) -> DataFrame:
+    """The minute ledger as ranges (empty when not written yet)."""
+    return read_table(spark, ledger_dir, ranges.RANGES_SCHEMA)
 
 
 def read_ledger(spark: SparkSession, ledger_dir: str) -> DataFrame:
-    """The minute ledger (empty when not written yet)."""
-    return read_table(spark, ledger_dir, LEDGER_SCHEMA).select(*LEDGER_COLS)
+    """The minutes of the ledger."""
+    return ranges.minutes_of(read_ledger_ranges(spark, ledger_dir)).select(*LEDGER_COLS)
 
 
 def append_manifests(manifests: DataFrame, manifest_dir: str) -> None:
@@ -145,6 +164,10 @@ def append_trash(trash: DataFrame, trash_dir: str, batch_id: int) -> None:
     _overwrite(out, trash_dir, ["trash_hour_key", "batch_id"])
 
 
+def commit_path(commits_dir: str, batch_id: int) -> str:
+    return f"{commits_dir}/batch_id={batch_id}"
+
+
 def commit_of(spark: SparkSession, commits_dir: str, batch_id: int, now: str, selected: DataFrame | None = None) -> tuple[str, DataFrame | None]:
     """The commit time and the selection of a batch, recorded before anything of it is published.
 
@@ -152,7 +175,7 @@ def commit_of(spark: SparkSession, commits_dir: str, batch_id: int, now: str, se
     the same partitions with the same rows.  A record cut off by a crash (no ``_SUCCESS``) is
     written anew: nothing was published under it.
     """
-    path = f"{commits_dir}/batch_id={batch_id}"
+    path = commit_path(commits_dir, batch_id)
     if not fsops.exists(spark, f"{path}/now/_SUCCESS"):
         if selected is not None:
             selected.write.mode("overwrite").parquet(f"{path}/selected")

@@ -1,9 +1,8 @@
 """File catalogs of collector directories and published streams.
 
-A catalog is a listing ``(cluster, path, mtime, length)`` turned into typed
-columns by path convention.  On a real file system the listing comes from the
-``binaryFile`` source with the ``content`` column pruned, so only file-system
-metadata is read and the listing itself is distributed over executors.
+A catalog is a listing ``(cluster, path, mtime, length)`` turned into typed columns by path
+convention.  On a real file system the listing is the ``file_tree`` data source: the executors walk
+the folders, and names that begin with ``_`` or ``.``, empty files and empty folders are seen as well.
 """
 
 from __future__ import annotations
@@ -14,20 +13,28 @@ from pyspark.sql import functions as F
 from ..functions import layout as L
 from ..schemas import DATA_BASE
 from ..sinks import files as fsops
+from .listing import file_tree
 
 
-def list_files(spark: SparkSession, directory: str | list[str], cluster: str, glob: str | None = None) -> DataFrame:
-    """Distributed recursive listing: ``cluster, path, mtime, length`` (no file content read).
+def _tree(spark: SparkSession, directory: str, below: list[str] | None, depth: int) -> DataFrame:
+    return file_tree(spark, fsops.qualified(spark, directory), below, depth)
 
-    ``directory`` may be a list (e.g. only the stream folders an audit is scoped to), so
-    scoping prunes at listing time instead of filtering listed rows.
+
+def list_files(spark: SparkSession, directory: str, cluster: str, below: list[str] | None = None, depth: int = 1) -> DataFrame:
+    """Recursive listing by the executors: ``cluster, path, mtime, length`` (no file content read).
+
+    ``below`` names the folders of ``directory`` to walk (e.g. the streams an audit is scoped to), so
+    scoping prunes at listing time; folders ``depth`` levels down are dealt to tasks.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(directory)
+    df = _tree(spark, directory, below, depth).filter(~F.col("is_dir"))
     return df.select(F.lit(cluster).alias("cluster"), L.one_slash("path").alias("path"),
-                     L.ntz(F.col("modificationTime")).alias("mtime"), F.col("length").cast("long").alias("length"))
+                     L.ntz("mtime").alias("mtime"), "length")
+
+
+def list_folders(spark: SparkSession, directory: str, below: list[str] | None = None, depth: int = 1) -> DataFrame:
+    """The folders of a tree (``path, mtime``), also those without any file."""
+    df = _tree(spark, directory, below, depth).filter(F.col("is_dir"))
+    return df.select(L.one_slash("path").alias("path"), L.ntz("mtime").alias("mtime"))
 
 
 def collector_files_from_listing(listing: DataFrame) -> DataFrame:
@@ -41,29 +48,12 @@ def collector_files_from_listing(listing: DataFrame) -> DataFrame:
         "path", "mtime", "length")
 
 
-def _dirs(root: str, base: str, streams) -> str | list[str]:
-    top = f"{root.rstrip('/')}/{base}"
-    return top if streams is None else [f"{top}/{s}" for s in streams]
-
-
-def collector_files(spark: SparkSession, root: str, cluster: str, streams=None,
-                    hidden: list[tuple[str, int, int]] | None = None) -> DataFrame:
-    """List ``<root>/data`` of one cluster (only the given streams' folders if ``streams``).
-
-    ``hidden`` are the files that Spark's sources skip (``sinks.files.unlisted_files``; found
-    here when not given): names and folders beginning with ``_`` or ``.`` are ordinary ones.
-    """
-    if hidden is None:
-        hidden, _ = fsops.unlisted_files(spark, f"{root.rstrip('/')}/{DATA_BASE}")
-    found = list_files(spark, _dirs(root, DATA_BASE, streams), cluster)
-    if hidden:
-        odd = spark.createDataFrame(hidden, "path string, ms long, length long").select(
-            F.lit(cluster).alias("cluster"), L.one_slash("path").alias("path"),
-            L.ntz(F.timestamp_millis("ms")).alias("mtime"), "length")
-        if streams is not None:
-            odd = odd.filter(L.stream_from_collector_path("path").isin(list(streams)))
-        found = found.unionByName(odd)
-    return collector_files_from_listing(found)
+def collector_files(spark: SparkSession, root: str, cluster: str, streams=None) -> DataFrame:
+    """List ``<root>/data`` of one cluster (only the given streams' folders if ``streams``); a task has some collectors."""
+    names = None if streams is None else list(streams)
+    found = list_files(spark, f"{root.rstrip('/')}/{DATA_BASE}", cluster, names, 2 if names is None else 1)
+    # what lies elsewhere in the folder is no collector's file
+    return collector_files_from_listing(found.filter(F.col("path").rlike(rf"/{DATA_BASE}/[^/]+/[^/]+/[^/]+$")))
 
 
 _PUBLISHED = r"/([^/]+)/([^/]+)/(\d{4}/\d\d/\d\d/\d\d/\d\d)/([^/]+)$"
@@ -88,9 +78,10 @@ def stream_files(spark: SparkSession, root: str, cluster: str, base: str, stream
     """S3: list a published base (``streams_local`` or ``streams``) of one cluster.
 
     gzip part files are read back transparently by ``spark.read.text``; here only
-    the listing is taken (only the given streams' folders if ``streams``).
+    the listing is taken (only the given streams' folders if ``streams``); a task has the days of some streams.
     """
-    return stream_files_from_listing(list_files(spark, _dirs(root, base, streams), cluster))
+    names = None if streams is None else list(streams)
+    return stream_files_from_listing(list_files(spark, f"{root.rstrip('/')}/{base}", cluster, names, 4 if names is None else 3))
 
 
 def collectors(files: DataFrame) -> DataFrame:

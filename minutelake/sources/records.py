@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import layout as L
 from ..functions.skew import bounded_broadcast
+from ..sinks import commitlog
 from ..sinks import files as fsops
 
 RECORDS_SCHEMA = ("cluster string, stream string, collector string, src_file string, value string, "
@@ -49,45 +50,61 @@ def read_records(spark: SparkSession, paths: list[str], cluster: str) -> DataFra
 
 
 def read_published(spark: SparkSession, table_dir: str, streams=None, minutes=None) -> DataFrame:
-    """Records of a published table (``streams_local`` / ``streams``), partition-pruned.
+    """Committed records of a published table (``streams_local`` / ``streams``).
 
-    ``streams`` and ``minutes`` (``yyyy-MM-dd-HH-mm`` strings) become filters on
-    partition columns, so only matching directories are listed and read.
+    The commit log says which partitions there are: rows of a batch without its commit record are
+    not read, and ``streams`` and ``minutes`` (``yyyy-MM-dd-HH-mm`` strings) choose the folders that are
+    listed.  A folder that no service has written (it has no log) is read as it is.
     """
-    df = spark.read.schema(PUBLISHED_SCHEMA).parquet(table_dir)
-    if streams is not None:
-        df = df.filter(F.col("stream").isin(list(streams)))
-    if minutes is not None:
-        df = df.filter(F.col("minute_key").isin(list(minutes)))
+    if commitlog.of(spark, table_dir).exists():
+        df = commitlog.read_partitions(spark, table_dir, commitlog.committed(spark, table_dir, streams, minutes), PUBLISHED_SCHEMA)
+    else:
+        df = spark.read.schema(PUBLISHED_SCHEMA).parquet(table_dir)
+        if streams is not None:
+            df = df.filter(F.col("stream").isin(list(streams)))
+        if minutes is not None:
+            df = df.filter(F.col("minute_key").isin(list(minutes)))
     return df.withColumn("minute", L.ntz(F.try_to_timestamp(F.col("minute_key"), F.lit(L.FILE_TIME_FORMAT))))
 
 
+#: selected files that a run reads by their paths; more are found by a scan of the collector folders
+EXACT_FILES = 10_000
+# names that Spark's sources skip, and those that they would take for patterns
+_ODD_NAME = r"^[_.]|[*?\[\]{}\\]"
+
+
 def read_selected(spark: SparkSession, data_dir: str, selected: DataFrame, cluster: str,
                   staging: str | None = None) -> DataFrame:
     """Lines of the selected collector files, with their lineage.
 
-    No path list goes through the driver.  The collector folder is scanned with a
-    file-metadata pre-filter -- the modification-time range of the selection, two scalars
-    from one small aggregate -- which Spark's file index applies before opening any file,
-    so files kept from earlier runs (older than everything new) are skipped; the exact
-    selection is then a join on the file's path.  A selected file that is gone is an error
-    (the run aborts before its checkpoint).  Hidden files, which Spark's sources skip, are
-    first copied under visible names into ``staging``; they are few.
+    Up to ``EXACT_FILES`` files -- what a minute brings -- are read by their paths, and no folder is
+    listed.  Beyond that no path list goes through the driver: the collector folders are scanned with a
+    file-metadata pre-filter (the modification-time range of the selection) which Spark's file index applies
+    before opening any file, and the exact selection is a join on the file's path.  A selected file that is
+    gone is an error (the run aborts before its commit).  Hidden files, which Spark's sources skip,
+    and names that they would take for patterns are first copied under plain names into ``staging``; they are few.
     """
     sel = selected.select(L.one_slash("path").alias("__path"), "stream", "collector", F.col("file_name").alias("src_file"))
-    hidden = sel.filter(F.col("src_file").rlike("^[_.]") | F.col("stream").rlike("^[_.]") | F.col("collector").rlike("^[_.]"))
+    strange = F.lit(False)
+    for name in ("src_file", "stream", "collector"):
+        strange = strange | F.col(name).rlike(_ODD_NAME)
     moved = []
     if staging is not None:
-        for i, row in enumerate(hidden.toLocalIterator()):
+        for i, row in enumerate(sel.filter(strange).toLocalIterator()):
             copy = f"{staging}/f{i}"
             fsops.copy_file(spark, row["__path"], copy)
             moved.append((fsops.qualified(spark, copy), row["stream"], row["collector"], row["src_file"]))
+        sel = sel.filter(~strange)
     cols = [F.lit(cluster).alias("cluster"), "stream", "collector", "src_file", "value", "block_start", "line_pos"]
     out = spark.createDataFrame([], RECORDS_SCHEMA)
-    lo, hi = selected.agg(F.min("mtime"), F.max("mtime")).first()
-    if lo is not None:
-        mtime = F.col("_metadata.file_modification_time")
-        lines = _lines(spark, data_dir, mtime.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")))
+    paths = [r[0] for r in sel.select("__path").limit(EXACT_FILES + 1).collect()]
+    if paths:
+        if len(paths) <= EXACT_FILES and staging is not None:
+            lines = _lines(spark, paths)
+        else:
+            lo, hi = selected.agg(F.min("mtime"), F.max("mtime")).first()
+            mtime = F.col("_metadata.file_modification_time")
+            lines = _lines(spark, data_dir, mtime.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")))
         out = lines.join(bounded_broadcast(sel), "__path").select(*cols)
     if moved:
         kinds = "__path string, stream string, collector string, src_file string"

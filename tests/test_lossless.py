@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from minutelake.plans import audits
 from minutelake.plans import run as R
 from minutelake.schemas import LOCAL_BASE, MERGED_BASE
+from minutelake.sinks import commitlog
 from minutelake.sinks import files as fsops
 from minutelake.sinks import writers as W
 from minutelake.sources.records import numbered, read_published
@@ -227,7 +228,7 @@ def test_system_tables_stay_small(spark, tmp_path):
     assert W.read_table(spark, site.manifests(), W.MANIFEST_SCHEMA).filter("kind = 'merge'").count() == 0
     ret = spark.createDataFrame([("north", "beacon", 2)], "cluster string, stream string, retention_hours int")
     R.run_purge(spark, site, "2024-03-01 18:00:00", ret, default_hours=2)
-    hours = {r[0] for r in W.read_table(spark, site.ledger(), W.LEDGER_SCHEMA).select("hour").distinct().collect()}
+    hours = {f"{r[0]:%Y-%m-%d-%H}" for r in W.read_ledger(spark, site.ledger()).select("minute").distinct().collect()}
     assert hours and min(hours) > "2024-03-01-16"
     assert {r[0] for r in W.read_table(spark, site.catalog(), W.CATALOG_SCHEMA).select("hour").distinct().collect()} <= hours
     for service in ("local", "merge"):
@@ -252,6 +253,8 @@ def test_audits_of_our_own_sites_find_planted_faults(spark, tmp_path, capsys):
     fsops.delete_path(spark, south.catalog())
     W.write_catalog(kept, south.catalog(), 3)
     W.write_catalog(only, south.catalog(), 9)
+    minutes = only.select("stream", "minute", F.lit("data").alias("state"), F.lit(1).alias("n_files"), F.lit(1).alias("n_records"))
+    commitlog.commit(spark, south.base(MERGED_BASE), "planted", 9, minutes, F.current_timestamp())
     got = audits.mirror_stream_consistency(spark, north.root, [south.root]).groupBy("stream", "kind").count().collect()
     assert sorted((r.stream, r["count"]) for r in got) == [("beacon", 9), ("extra", 1)] or sum(r["count"] for r in got) == 10
     out = str(tmp_path / "differences")

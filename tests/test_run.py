@@ -64,7 +64,7 @@ def test_services_end_to_end(spark, tmp_path):
     assert sorted(r.minute for r in loc1.select("minute").distinct().collect()) == [
         dt.datetime(2024, 1, 1, 10, 3), dt.datetime(2024, 1, 1, 10, 9)]
     # gap minutes between the two local commits are in the ledger as empty
-    led = spark.read.parquet(sites["c1"].ledger()).filter("base = 'streams_local' AND state = 'empty'")
+    led = W.read_ledger(spark, sites["c1"].ledger()).filter("base = 'streams_local' AND state = 'empty'")
     assert led.count() == 5
     # merge both local streams into c1, then mirror to c3
     R.run_merge(spark, [sites["c1"], sites["c2"]], sites["c1"], "2024-01-01 10:10:00", 10, src, dst)
@@ -75,7 +75,7 @@ def test_services_end_to_end(spark, tmp_path):
     assert R.run_merge(spark, [sites["c1"], sites["c2"]], sites["c1"], "2024-01-01 10:15:00", 11, src, dst) \
         == {"merged_files": 0, "gap_minutes": 4}
     R.run_mirror(spark, sites["c1"], sites["c3"], "2024-01-01 10:16:00", 12)
-    mled = spark.read.parquet(sites["c3"].ledger())
+    mled = W.read_ledger(spark, sites["c3"].ledger())
     assert sorted(r.minute.minute for r in mled.filter("state = 'empty'").collect()) == [11, 12, 13, 14]
     mirrored = read_published(spark, sites["c3"].base(MERGED_BASE))
     assert mirrored.count() == merged.count()
@@ -95,7 +95,7 @@ def test_services_end_to_end(spark, tmp_path):
     assert ck == {("k1", _fname("s1", T0 + dt.timedelta(minutes=2))), ("k2", _fname("s1", T0))}
     # purge everything older than 1 hour a day later
     ret = spark.createDataFrame([("c1", "s1", 1)], "cluster string, stream string, retention_hours int")
-    assert spark.read.parquet(sites["c1"].ledger()).count() > 0
+    assert W.read_ledger(spark, sites["c1"].ledger()).count() > 0
     out = R.run_purge(spark, sites["c1"], "2024-01-02 10:00:00", ret)
     assert out["dropped_hours"] == 2
     assert W.read_ledger(spark, sites["c1"].ledger()).count() == 0   # its minutes went with the hours
@@ -172,7 +172,7 @@ def test_rerun_after_crash_is_idempotent(spark, tmp_path):
         _write(site.root, "s1", "k1", _fname("s1", m), [f"r{i}a", f"r{i}b"], m)
     R.run_local(spark, site, "2024-01-01 11:00:00", 1, src, dst)
     counts = lambda: (read_published(spark, site.base(LOCAL_BASE)).count(),
-                      spark.read.parquet(site.ledger()).count(), spark.read.parquet(site.manifests()).count(),
+                      W.read_ledger(spark, site.ledger()).count(), spark.read.parquet(site.manifests()).count(),
                       sorted(p.name for p in (tmp_path / "c1" / "system" / "trash_catalog").rglob("*.parquet")))
     before = counts()
     shutil.rmtree(site.checkpoints())          # the crash lost the checkpoint step
@@ -218,7 +218,7 @@ def test_mirror_gaps_only_and_dangling_file(spark, tmp_path):
              dt.datetime(2024, 1, 1, 0, 6), 1)]
     W.append_manifests(spark.createDataFrame(rows, R._MANIFEST_SCHEMA), m.manifests())
     R.run_mirror(spark, m, r, "2024-01-01 00:10:00", 1)
-    led = spark.read.parquet(r.ledger()).collect()
+    led = W.read_ledger(spark, r.ledger()).collect()
     assert [(x.state, x.minute.minute) for x in led] == [("empty", 5)]
     assert R.run_mirror(spark, m, r, "2024-01-01 00:11:00", 2) == {"mirrored": 0}  # acknowledged
 

@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from minutelake.sinks import writers as W
 from minutelake.sources.records import read_published
 from minutelake.streaming import stream
 
@@ -36,13 +37,13 @@ def test_ingest_stream_restart(spark, tmp_path):
     assert df.count() == 4
     assert sorted(r.value for r in df.collect()) == ["a", "b", "c", "d"]
     assert {r.file_name for r in df.filter("value = 'd'").collect()} == {"k1-s1-2024-01-01-00-01_00000.gz"}
-    ledger = spark.read.parquet(led)
+    ledger = W.read_ledger(spark, led)
     assert ledger.filter("state = 'data'").count() == 3
     # a third batch four minutes later records the idle minute in between as empty
     _landing(land, "s2", "k1", "s2-2024-01-01-00-05_00000", ["e"])
     stream.ingest(spark, land, "c1", out, led, ck, trigger={"availableNow": True},
                   clock=lambda: "2024-01-01 00:04:00").awaitTermination(120)
-    empty = spark.read.parquet(led).filter("state = 'empty'").collect()
+    empty = W.read_ledger(spark, led).filter("state = 'empty'").collect()
     assert sorted((r.stream, r.minute.minute) for r in empty) == [("s1", 3), ("s2", 2), ("s2", 3)]
 
 
