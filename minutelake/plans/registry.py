@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..operators import audit, ingest, publish, retention, route
+from ..operators import audit, ingest, publish, ranges, retention, route
+from ..sinks import commitlog
 from ..sources import catalog, topology
 from . import jobs
 from .fixtures import Scenario, now_col, root_of
@@ -520,3 +521,65 @@ WHERE d.level IN ('year', 'month', 'day')
                                        AND regexp_extract(c.path, '^(.*)/[^/]+$', 1) = d.path)""", "lvl"))
 def q_empty_levels(s: Scenario) -> DataFrame:
     return retention.empty_levels(s.level_dirs)
+
+
+# ---------------------------------------------------------------- ranges of the minute ledger
+@register("idle_ranges", sql("""
+SELECT cluster, base, stream, minute + INTERVAL 1 MINUTE AS minute, nm - INTERVAL 1 MINUTE AS last_minute, 'empty' AS state,
+       minute + INTERVAL 2 MINUTE AS created_at, date_diff('minute', minute, nm) > 0 AS moves
+FROM (SELECT *, lead(minute) OVER (PARTITION BY cluster, base, stream ORDER BY minute) AS nm FROM mdm)
+WHERE nm > minute + INTERVAL 1 MINUTE""", "mdm"))
+def q_idle_ranges(s: Scenario) -> DataFrame:
+    """A5: the merged stream's idle minutes, written minute by minute, as the ledger keeps them: a row for each idle time."""
+    return ranges.merged(ranges.of_minutes(s.merged_ledger.filter(F.col("state") == "empty")))
+
+
+@register("gap_ranges", sql(f"""
+SELECT cluster, base, stream, latest + INTERVAL 1 MINUTE AS minute, {SQL_NOW} - INTERVAL 1 MINUTE AS last_minute, 'empty' AS state,
+       {SQL_NOW} AS created_at, false AS moves
+FROM (SELECT cluster, base, stream, max(minute) AS latest FROM lf GROUP BY 1, 2, 3)
+WHERE latest + INTERVAL 1 MINUTE <= {SQL_NOW} - INTERVAL 1 MINUTE""", "lf"))
+def q_gap_ranges(s: Scenario) -> DataFrame:
+    """T5: what a run adds to the ledger for its idle streams, a row each."""
+    return ranges.gap_ranges(ranges.merged(ranges.of_minutes(audit.minute_dirs(s.local_files))), now_col())
+
+
+@register("ledger_missing", sql("""
+SELECT cluster, base, stream, minute + INTERVAL 1 MINUTE AS gap_start, nm - INTERVAL 1 MINUTE AS gap_end,
+       date_diff('minute', minute, nm) - 1 AS n_minutes
+FROM (SELECT *, lead(minute) OVER (PARTITION BY cluster, base, stream ORDER BY minute) AS nm FROM ldm)
+WHERE nm > minute + INTERVAL 1 MINUTE""", "ldm"))
+def q_ledger_missing(s: Scenario) -> DataFrame:
+    """W4 from the ledger's ranges: data minutes as a minute service leaves them, one range for each stretch of them."""
+    d = audit.minute_dirs(s.local_files).withColumn("created_at", F.col("minute"))
+    return ranges.missing_between(ranges.merged(ranges.of_minutes(d)))
+
+
+# ---------------------------------------------------------------- commits
+def _hhmm(col="minute") -> F.Column:
+    return F.date_format(L.plus_minutes(col, -1), "HHmm").cast("long")
+
+
+@register("published_once", sql("""
+SELECT cluster, stream, file_name, CASE WHEN hhmm % 11 = 0 THEN 10000 + hhmm ELSE hhmm END AS batch_id FROM lf""", "lf"))
+def q_published_once(s: Scenario) -> DataFrame:
+    """Each collector minute of a day is a batch; those at hhmm % 11 = 0 were never committed and their files come
+    again, with files at hhmm % 13 = 0 that were. Every file is visible once, by the batch that was committed."""
+    first = s.local_files.withColumn("batch_id", _hhmm())
+    log = first.filter(F.col("batch_id") % 11 != 0).select("stream", "minute", "batch_id").distinct()
+    seen = commitlog.visible(first, log)
+    again = first.filter((F.col("batch_id") % 11 == 0) | (F.col("batch_id") % 13 == 0))
+    more = ingest.not_merged(again, seen).withColumn("batch_id", F.col("batch_id") + 10_000)
+    return seen.unionByName(more).select("cluster", "stream", "file_name", "batch_id")
+
+
+@register("commit_watermark", sql("""
+SELECT stream, max(minute) AS watermark, count(*) AS n_minutes
+FROM (SELECT stream, minute, row_number() OVER (PARTITION BY stream ORDER BY minute) AS n FROM (SELECT DISTINCT stream, minute FROM ment))
+WHERE n <= 3000 GROUP BY stream""", "ment"))
+def q_commit_watermark(s: Scenario) -> DataFrame:
+    """O1: a mirror commits a backlog in parts of 1000 minutes of each stream and stops after the third: what consumers may read."""
+    parts = publish.commit_parts(s.merged_entries, 1000).filter(F.col("part") < 3)
+    rows = parts.select("stream", "minute").distinct()
+    minutes = rows.groupBy("stream").agg(F.count("*").alias("n_minutes"))
+    return commitlog.watermarks(rows).join(minutes, "stream").select("stream", "watermark", "n_minutes")

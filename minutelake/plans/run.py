@@ -115,8 +115,7 @@ def published_catalog(spark: SparkSession, site: Site, base: str, minute_keys: l
         rows = rows.filter(F.col("hour").isin(sorted({k[:13] for k in minute_keys})) &
                            F.date_format("minute", L.FILE_TIME_FORMAT).isin(list(minute_keys)))
     if commitlog.of(spark, site.base(base)).exists():
-        done = commitlog.committed(spark, site.base(base), minutes=minute_keys).select("stream", "minute", "batch_id")
-        rows = rows.join(done, ["stream", "minute", "batch_id"], "left_semi")
+        rows = commitlog.visible(rows, commitlog.committed(spark, site.base(base), minutes=minute_keys))
     return rows.select(*W.CATALOG_COLS)
 
 

@@ -69,6 +69,11 @@ def committed(spark: SparkSession, table_dir: str, streams=None, minutes=None, u
     return rows
 
 
+def visible(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """K1: of a catalog's files (``stream, minute, batch_id``) those of committed batches."""
+    return files.join(rows.select("stream", "minute", "batch_id"), ["stream", "minute", "batch_id"], "left_semi")
+
+
 def watermarks(rows: DataFrame) -> DataFrame:
     """O1: ``stream, watermark``: the last committed minute of each stream, empty ones included."""
     return rows.groupBy("stream").agg(F.max("minute").alias("watermark"))
