@@ -10,19 +10,12 @@ from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import StringType, StructField, StructType
 
-LATE = "stream string, collector string, file_name string, last_name string, kind string"
+LATE = "stream string, collector string, file_name string, last_name string"
 COLUMNS = [f.split(" ")[0] for f in LATE.split(", ")]
 
 
 class LateFiles(StatefulProcessor):
-    """Per collector the greatest name delivered so far; a name at or below it came late.
-
-    A collector whose timer runs out (nothing came for ``idle_ms``) is reported once as idle; its last name
-    stays, so that what comes later is still judged right.
-    """
-
-    def __init__(self, idle_ms: int):
-        self.idle_ms = idle_ms
+    """Per collector the greatest name delivered so far; a name at or below it came late."""
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -35,18 +28,11 @@ class LateFiles(StatefulProcessor):
         found = sorted(str(n) for part in rows for n in part["file_name"])
         for name in found:
             if last is not None and name <= last:
-                out.append((key[0], key[1], name, last, "late"))
+                out.append((key[0], key[1], name, last))
         if found:
             self.last.update((found[-1] if last is None else max(last, found[-1]),))
-        for expiry in self.handle.listTimers():
-            self.handle.deleteTimer(expiry)
-        self.handle.registerTimer(timer.getCurrentProcessingTimeInMs() + self.idle_ms)
         yield pd.DataFrame(out, columns=COLUMNS)
 
-    def handleExpiredTimer(self, key, timer, expired) -> Iterator[pd.DataFrame]:  # noqa: N802
-        last = self.last.get()[0] if self.last.exists() else None
-        yield pd.DataFrame([(key[0], key[1], None, last, "idle")], columns=COLUMNS)
-
     def close(self) -> None:
         pass
 

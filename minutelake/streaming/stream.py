@@ -210,10 +210,10 @@ def dedupe(records: DataFrame, keys: list[str], event_time: str = "ts", watermar
     return r.dropDuplicatesWithinWatermark(keys)
 
 
-def late_files(files: DataFrame, idle_ms: int = 3_600_000) -> DataFrame:
-    """T6 as keyed state: files of a stream (``stream, collector, file_name``) that came late, and collectors gone idle.
+def late_files(files: DataFrame) -> DataFrame:
+    """T6 as keyed state: files of a stream (``stream, collector, file_name``) that came late, with the last name before them.
 
-    The state of a collector is one name and its timer; it needs the RocksDB state store.
+    The state of a collector is one name; it needs the RocksDB state store.
     """
     return files.groupBy("stream", "collector").transformWithStateInPandas(
-        statefulProcessor=LateFiles(idle_ms), outputStructType=LATE, outputMode="append", timeMode="processingTime")
+        statefulProcessor=LateFiles(), outputStructType=LATE, outputMode="append", timeMode="none")

@@ -156,3 +156,34 @@ def test_dedupe_stream(spark, tmp_path):
          .trigger(availableNow=True).start())
     q.awaitTermination(120)
     assert spark.sql("SELECT * FROM dd_t").count() == 2
+
+
+def test_late_files_as_keyed_state(spark, tmp_path):
+    """A name at or below what its collector delivered before is late, over batches and a restart."""
+    src, ck, got = str(tmp_path / "files"), str(tmp_path / "ck"), []
+    rows = lambda names: spark.createDataFrame([("s", k, n) for k, n in names], "stream string, collector string, file_name string").coalesce(1)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for names in ([("k", "b"), ("k", "a"), ("_k", "z")], [("k", "a"), ("k", "c"), ("_k", "y")], [("k", "b2"), ("_k", "zz")]):
+            rows(names).write.mode("append").parquet(src)
+            files = spark.readStream.schema("stream string, collector string, file_name string").parquet(src)
+            q = stream.late_files(files).writeStream.foreachBatch(lambda df, _: got.extend(tuple(r) for r in df.collect())).option(
+                "checkpointLocation", ck).trigger(availableNow=True).start()
+            assert q.awaitTermination(200) and q.exception() is None
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert sorted(got) == [("s", "_k", "y", "z"), ("s", "k", "a", "b"), ("s", "k", "b2", "c")]
+
+
+def test_landing_names_and_filter(spark, tmp_path):
+    """F1 and hidden names on the landing stream; archived files leave the folder."""
+    land, out, led, ck, done = (str(tmp_path / x) for x in ("land", "out", "ledger", "ck", "done"))
+    os.makedirs(land)
+    for c, n in (("_k1", "f1"), ("k2", "_f2"), ("k2", "f5"), ("k2", "s1_current"), ("k2", "Scribe_Stats")):
+        _landing(land, "s1", c, n, [f"{c}/{n}"])
+    q = stream.ingest(spark, land, "c1", out, led, ck, archive_dir=done, trigger={"availableNow": True}, clock=lambda: "2024-01-01 00:01:00")
+    q.awaitTermination(200)
+    assert q.exception() is None
+    assert sorted(r.value for r in read_published(spark, out).collect()) == ["_k1/f1", "k2/_f2", "k2/f5"]
+    left = sorted(f for _, _, fs in os.walk(land) for f in fs)
+    assert left == ["Scribe_Stats", "s1_current"] and os.path.exists(f"{done}/s1/_k1/f1")
