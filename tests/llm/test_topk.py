@@ -65,7 +65,7 @@ def search(spark, folder, rows):
 
 def test_large_components_take_part(spark, tmp_path):
     """Every score that fits 64 bits is exact, whatever the components."""
-    rows = [(0, [3e6, 1.0]), (1, [1.0, 2.0]), (50, [1.0, 1.0]), (7, [1.5e6, 5.0]), (8, [-3e12, 0.25]), (9, [1e30, -1e30])]
+    rows = [(0, [3e6, 1.0]), (1, [1.0, 2.0]), (50, [1.0, 1.0]), (7, [1.5e6, 5.0]), (8, [-3e7, 0.25]), (9, [1e30, -1e30])]
     whole = [(n, i, [int(256 * x) for x in v]) for n, (i, v) in enumerate(rows[:5])]
     assert sorted(search(spark, tmp_path / "a", rows[:5])) == brute(whole, 5)
     rng = np.random.default_rng(3)
