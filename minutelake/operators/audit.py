@@ -26,12 +26,13 @@ KINDS = ("missing", "replay", "to_be_sent", "extra")
 
 
 def classify(src: DataFrame, dst: DataFrame, group: list[str], key: str = "key",
-             path: str = "path", with_copies: bool = False) -> DataFrame:
+             path: str = "path", with_copies: bool = False, bounds: DataFrame | None = None) -> DataFrame:
     """Differences between two keyed listings, classified by rule C9.
 
     ``src``/``dst`` need the ``group`` columns, ``key`` and ``path``.  Returns
     ``group..., key, kind, path`` (the path on the side that has the key; with
-    duplicates the greatest path, as the last write into the reference's map).
+    duplicates the greatest path, as the last write into the reference's map).  ``bounds``
+    (``group..., src_max, dst_max``): each side's greatest key, where the listings are parts of it.
     """
     sides = (src.select(*group, key, F.col(path).alias("src_path"), F.lit(None).cast("string").alias("dst_path"),
                         F.lit(1).alias("__s"), F.lit(0).alias("__d"))
@@ -44,8 +45,9 @@ def classify(src: DataFrame, dst: DataFrame, group: list[str], key: str = "key",
     # Spark runs the union and its exchange once and reuses it.
     src_in = (F.col("src_copies") > 0) & F.col("src_path").isNotNull()
     dst_in = (F.col("dst_copies") > 0) & F.col("dst_path").isNotNull()
-    bounds = both.groupBy(*group).agg(F.max(F.when(src_in, F.col(key))).alias("src_max"),
-                                      F.max(F.when(dst_in, F.col(key))).alias("dst_max"))
+    if bounds is None:
+        bounds = both.groupBy(*group).agg(F.max(F.when(src_in, F.col(key))).alias("src_max"),
+                                          F.max(F.when(dst_in, F.col(key))).alias("dst_max"))
     diff = both.filter((F.col("src_copies") == 0) | (F.col("dst_copies") == 0))
     # ``bounds`` has one row per group; AQE sees its materialised size and broadcasts it (no
     # shuffle keyed by a hot group).
@@ -74,23 +76,24 @@ def _scope(df: DataFrame, streams=None, clusters=None, bases=None) -> DataFrame:
 
 
 def audit_local(collector_files: DataFrame, trash: DataFrame, local_files: DataFrame,
-                streams=None, clusters=None) -> DataFrame:
+                streams=None, clusters=None, compare=classify) -> DataFrame:
     """(data ∪ trash) vs ``streams_local`` per cluster root, key = file name.
 
     data files become ``<collector>-<file>.gz``, trash files (already
     ``<collector>-<file>``) become ``<file>.gz``, local files keep their name.
-    Roots are audited independently (the reference leaks state between roots).
+    Roots are audited independently (the reference leaks state between roots).  ``compare``:
+    :func:`classify`, or ``digests.compare(...)``, which compares differing hours only (all audits).
     """
     data = _scope(collector_files, streams, clusters).select(
         "cluster", L.published_name("collector", "file_name").alias("key"), "path")
     tr = _scope(trash, streams, clusters).select(
         "cluster", F.concat("file_name", F.lit(L.PUBLISHED_SUFFIX)).alias("key"), "path")
     dst = _scope(local_files, streams, clusters).select("cluster", F.col("file_name").alias("key"), "path")
-    return classify(data.unionByName(tr), dst, ["cluster"])
+    return compare(data.unionByName(tr), dst, ["cluster"])
 
 
 def audit_merge(local_files: DataFrame, merged_files: DataFrame, streams=None,
-                with_copies: bool = False) -> DataFrame:
+                with_copies: bool = False, compare=classify) -> DataFrame:
     """∪ clusters' local streams vs the merged stream, per stream, key = file name.
 
     ``with_copies`` adds ``n_copies``: how many files share the differing name on
@@ -98,7 +101,7 @@ def audit_merge(local_files: DataFrame, merged_files: DataFrame, streams=None,
     """
     src = _scope(local_files, streams).select("stream", F.col("file_name").alias("key"), "path")
     dst = _scope(merged_files, streams).select("stream", F.col("file_name").alias("key"), "path")
-    return classify(src, dst, ["stream"], with_copies=with_copies)
+    return compare(src, dst, ["stream"], with_copies=with_copies)
 
 
 def stream_entries(files: DataFrame, minutes: DataFrame) -> DataFrame:
@@ -120,7 +123,7 @@ def stream_entries(files: DataFrame, minutes: DataFrame) -> DataFrame:
 
 
 def audit_mirror(merged_entries: DataFrame, mirror_entries: DataFrame, mirrors: DataFrame | None = None,
-                 streams=None) -> DataFrame:
+                 streams=None, compare=classify) -> DataFrame:
     """The merged stream vs each mirror, per (mirror cluster, stream), key = relative path.
 
     ``merged_entries``/``mirror_entries`` come from :func:`stream_entries`; the
@@ -138,7 +141,7 @@ def audit_mirror(merged_entries: DataFrame, mirror_entries: DataFrame, mirrors:
     # is given (topology), by AQE's runtime size check when it is derived from the listing.
     ml = mirrors.select("stream", "mirror")
     src = m.join(ml, "stream") if derived else m.join(bounded_broadcast(ml), "stream")
-    return classify(src, r, ["mirror", "stream"])
+    return compare(src, r, ["mirror", "stream"])
 
 
 def minute_dirs(files: DataFrame, minutes: DataFrame | None = None) -> DataFrame:

@@ -128,14 +128,26 @@ class Scenario:
     @cached_property
     def topology_file(self) -> str:
         """A topology file derived from ``events``: every stream with the clusters that produced it as sources,
-        kept 12 hours for each letter of the stream's name (the second cluster: the file's default, 30)."""
+        kept 12 hours for each letter of the stream's name (the second cluster: the file's default, 30).
+
+        A stream's last source is its primary destination (of streams with a name of 8 or 16 letters: it isn't primary, so
+        they have none); its first one, if another, and ``MIRROR_CLUSTER`` are mirrors."""
         from ..session import ensure_checkpoint_dir
         source = F.concat(F.lit("<source><name>"), F.col("cluster"), F.lit("</name>"), F.when(
             F.col("cluster") == "cluster1", F.concat(F.lit("<retentioninhours>"), (12 * F.length("stream")).cast("string"),
                                                      F.lit("</retentioninhours>"))).otherwise(""), F.lit("</source>"))
         streams = self.cat.select("stream", "cluster").distinct().groupBy("stream").agg(
-            F.array_join(F.sort_array(F.collect_list(source)), "").alias("sources"))  # a few clusters each
-        each = F.concat(F.lit('<stream name="'), "stream", F.lit('"><sources>'), "sources", F.lit("</sources></stream>"))
+            F.array_join(F.sort_array(F.collect_list(source)), "").alias("sources"),  # a few clusters each
+            F.min("cluster").alias("first"), F.max("cluster").alias("last"))
+
+        def destination(cluster, primary=F.lit("")):
+            return F.concat(F.lit("<destination><name>"), cluster, F.lit("</name>"), primary, F.lit("</destination>"))
+
+        flag = F.concat(F.lit("<primary>"), (F.length("stream") % 8 != 0).cast("string"), F.lit("</primary>"))
+        dests = F.concat(destination(F.col("last"), flag), destination(F.lit(MIRROR_CLUSTER)),
+                         F.when(F.col("first") != F.col("last"), destination(F.col("first"))).otherwise(""))
+        each = F.concat(F.lit('<stream name="'), "stream", F.lit('"><sources>'), "sources", F.lit("</sources><destinations>"),
+                        dests, F.lit("</destinations></stream>"))
         streams = streams.agg(F.array_join(F.sort_array(F.collect_list(each)), "").alias("streams"))  # a configuration file
         path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/topology-{uuid.uuid4().hex}"
         streams.select(F.concat(

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..operators import audit, ingest, publish, ranges, retention, route
+from ..operators import audit, digests, ingest, publish, ranges, retention, route
 from ..sinks import commitlog
 from ..sources import catalog, topology
 from . import jobs
-from .fixtures import Scenario, now_col, root_of
+from .fixtures import MIRROR_CLUSTER, Scenario, now_col, root_of
 from .oracle import NOW as SQL_NOW
 from .oracle import classify_sql, sql
 
@@ -370,6 +370,31 @@ def q_audit_mirror(s: Scenario) -> DataFrame:
     return audit.audit_mirror(s.merged_entries, s.mirror_entries)
 
 
+@register("audit_by_digest", with_classify("""
+msrc AS (SELECT m.mirror, e.stream, e.relpath AS key, e.path FROM ment e
+         JOIN (SELECT DISTINCT mirror, stream FROM mir) m ON e.stream = m.stream),
+part AS (SELECT mirror, stream, key, path FROM mir WHERE CAST(substr(key, 12, 2) AS INT) % 6 = 0
+         UNION ALL SELECT 'cluster3' AS mirror, stream, relpath AS key, path FROM ment WHERE CAST(substr(relpath, 12, 2) AS INT) % 6 <> 0),
+""", "msrc", "part", ["mirror", "stream"], "ment", "mir"))
+def q_audit_by_digest(s: Scenario) -> DataFrame:
+    """J8 by digests of (stream, hour): the mirror is damaged in every sixth hour, whose keys alone are compared."""
+    hurt = F.substring("relpath", 12, 2).cast("int") % 6 == 0
+    whole = s.merged_entries.withColumn("cluster", F.lit(MIRROR_CLUSTER))
+    mirror = s.mirror_entries.filter(hurt).unionByName(whole.filter(~hurt))
+    return audit.audit_mirror(s.merged_entries, mirror, compare=digests.compare(digests.path_hour))
+
+
+@register("merge_by_digest", sql(
+    "src AS (SELECT stream, file_name AS key, path FROM lf WHERE hhmm % 17 <> 0 OR hhmm // 100 % 6 <> 0), "
+    "dst AS (SELECT stream, file_name AS key, path FROM mf WHERE hhmm % 19 <> 0 OR hhmm // 100 % 6 <> 0), "
+    + classify_sql("src", "dst", ["stream"]).lstrip(), "lf", "mf", local_ctes=True))
+def q_merge_by_digest(s: Scenario) -> DataFrame:
+    """J7 by digests of (stream, hour in the file's name): local and merged minutes of a file differ, its name doesn't."""
+    calm = F.floor(F.col("hhmm") / 100) % 6 != 0
+    return audit.audit_merge(s.local_files_where((F.col("hhmm") % 17 != 0) | calm),
+                             s.merged_files_where((F.col("hhmm") % 19 != 0) | calm), compare=digests.compare(digests.name_hour))
+
+
 @register("audit_scoped", with_classify("""
 src AS (SELECT stream, file_name AS key, path FROM lf WHERE hhmm % 17 <> 0 AND stream IN ('click', 'view')),
 dst AS (SELECT stream, file_name AS key, path FROM mf WHERE hhmm % 19 <> 0 AND stream IN ('click', 'view')),
@@ -411,14 +436,20 @@ def q_audit_summary(s: Scenario) -> DataFrame:
 
 # ---------------------------------------------------------------- topology and routing
 @register("flow_edges", sql("""
+src AS (SELECT DISTINCT stream, cluster FROM cat),
+prim1 AS (SELECT stream, max(cluster) AS prim FROM src WHERE length(stream) % 8 <> 0 GROUP BY 1),
+dest AS (SELECT stream, 'cluster3' AS cluster FROM src
+         UNION SELECT stream, min(cluster) AS cluster FROM src GROUP BY stream HAVING min(cluster) <> max(cluster)),
+edges AS (SELECT 'local' AS kind, stream, cluster AS src_cluster, cluster AS dest_cluster FROM src
+      UNION SELECT 'merge' AS kind, s.stream, s.cluster, p.prim FROM src s JOIN prim1 p ON s.stream = p.stream
+      UNION SELECT 'mirror' AS kind, d.stream, p.prim, d.cluster FROM dest d JOIN prim1 p ON d.stream = p.stream)
 SELECT e.kind, e.stream, e.src_cluster, e.dest_cluster, coalesce(n.n, 0) AS n_files
-FROM (SELECT 'local' AS kind, stream, cluster AS src_cluster, cluster AS dest_cluster FROM sources
-      UNION SELECT 'merge' AS kind, stream, src_cluster, dest_cluster FROM medges
-      UNION SELECT 'mirror' AS kind, stream, src_cluster, dest_cluster FROM redges) e
-LEFT JOIN (SELECT cluster, stream, count(*) AS n FROM cat GROUP BY 1, 2) n
-  ON e.src_cluster = n.cluster AND e.stream = n.stream""", "sources", "medges", "redges", "cat"))
+FROM edges e LEFT JOIN (SELECT cluster, stream, count(*) AS n FROM cat GROUP BY 1, 2) n
+  ON e.src_cluster = n.cluster AND e.stream = n.stream""", "cat", local_ctes=True))
 def q_flow_edges(s: Scenario) -> DataFrame:
-    return route.edge_load(route.flow_edges(s.sources, s.destinations), s.collector_files)
+    """The edges of a topology file, derived from ``events`` and parsed, with the files that each carries."""
+    found = topology.load(s.spark, s.topology_file)
+    return route.edge_load(route.flow_edges(found["sources"], found["destinations"]), s.collector_files)
 
 
 @register("topology_sources", sql("""
