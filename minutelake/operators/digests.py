@@ -53,30 +53,27 @@ def name_hour(key) -> Column:
 
 
 def of_keys(rows: DataFrame, by: list[str], key: str = "key", path: str = "path") -> DataFrame:
-    """Digests of the keys of ``rows``: ``by, n, d0 .. d3, last_key, known``."""
+    """Digests of the keys of ``rows``: ``by, n, d0 .. d3, last_key``."""
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *sums(key),
-                                 F.max(F.when(F.col(path).isNotNull(), F.col(key))).alias("last_key"), F.lit(True).alias("known"))
+                                 F.max(F.when(F.col(path).isNotNull(), F.col(key))).alias("last_key"))
 
 
 def merged(digests: DataFrame, by: list[str]) -> DataFrame:
-    """Digests of the unions: one is known if all its parts are."""
-    return digests.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["n", *PARTS]], F.max("last_key").alias("last_key"),
-                                    F.min("known").alias("known"))
+    """Digests of the unions."""
+    return digests.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["n", *PARTS]], F.max("last_key").alias("last_key"))
 
 
 def held_against(src: DataFrame, dst: DataFrame, group: list[str]) -> DataFrame:
     """A row for each group and bucket: greatest keys of both sides, and whether the bucket has to be compared by key."""
     by = [*group, "bucket"]
     none = F.lit(None).cast("string")
-    sides = src.select(*by, *["n", *PARTS], F.col("last_key").alias("src_max"), none.alias("dst_max"), "known").unionByName(
+    sides = src.select(*by, *["n", *PARTS], F.col("last_key").alias("src_max"), none.alias("dst_max")).unionByName(
         dst.select(*by, *[F.negate(F.col(c)).alias(c) for c in ["n", *PARTS]], none.alias("src_max"),
-                   F.col("last_key").alias("dst_max"), "known"))
+                   F.col("last_key").alias("dst_max")))
     both = sides.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["n", *PARTS]], F.max("src_max").alias("src_max"),
-                                  F.max("dst_max").alias("dst_max"), F.min("known").alias("known"))
-    same = F.col("known")
-    for c in ["n", *PARTS]:
-        same = same & (F.col(c) == 0)
-    return both.select(*by, "src_max", "dst_max", (~F.coalesce(same, F.lit(False))).alias("differs"))
+                                  F.max("dst_max").alias("dst_max"))
+    differs = F.greatest(*[F.col(c) != 0 for c in ["n", *PARTS]])
+    return both.select(*by, "src_max", "dst_max", differs.alias("differs"))
 
 
 class Differing:
@@ -90,6 +87,11 @@ class Differing:
         self.buckets = both.filter("differs").select(*group, "bucket")
         self.n_buckets = self.buckets.count()
 
+    def names(self, most: int) -> list[str] | None:
+        """The names of the differing buckets, if they are at most ``most``."""
+        found = [r[0] for r in self.buckets.select("bucket").distinct().limit(most + 1).collect()]
+        return sorted(found) if len(found) <= most else None
+
     def of(self, rows: DataFrame) -> DataFrame:
         """Those ``rows`` (``group, bucket``) whose bucket differs."""
         few = F.broadcast(self.buckets) if self.n_buckets <= BROADCAST_BUCKETS else self.buckets

@@ -1,7 +1,8 @@
 """The four audit commands, on our own sites and on directory trees in the reference layout.
 
 A site of ours (one with a commit catalog) is audited from its catalog and minute ledger; no
-folder is listed.  Other roots are trees ``<root>/data/<stream>/<collector>/<file>``,
+folder is listed.  A merged stream and its mirrors are held against each other by the digests in their
+commit logs first, and only the hours that differ are read from their catalogs.  Other roots are trees ``<root>/data/<stream>/<collector>/<file>``,
 ``<root>/system/trash/<y-M-d>/<H>/<file>``,
 ``<root>/streams_local|streams/<stream>/yyyy/MM/dd/HH/mm/<file>``.
 
@@ -26,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..operators import audit
+from ..operators import audit, digests
 from ..schemas import LOCAL_BASE, MERGED_BASE
+from ..sinks import commitlog
 from ..sinks import files as fsops
 from ..sinks import writers as W
 from ..sources import catalog
@@ -35,6 +37,8 @@ from ..session import apply_session_settings
 from ..sources.manifests import trash_entries
 from .run import Site, published_catalog
 
+#: differing hours up to which a catalog is read by a list of hours
+MOST_HOURS = 5_000
 _STREAM_FILES = ("cluster string, base string, stream string, minute timestamp_ntz, file_name string, "
                  "path string, mtime timestamp_ntz, length bigint")
 
@@ -108,22 +112,23 @@ def minutes_of(listed: DataFrame, files: DataFrame) -> DataFrame:
     return out.select("cluster", "base", "stream", "minute", F.coalesce(F.col("state"), F.lit("empty")).alias("state"), "created_at")
 
 
-def published_files(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> DataFrame:
-    """S3 over a base of a root (only the given streams): of our own sites, the files of committed batches."""
+def published_files(spark: SparkSession, root: str, base: str, cluster: str, streams=None, hours=None) -> DataFrame:
+    """S3 over a base of a root (only the given streams): of our own sites, the files of committed batches (only in ``hours``)."""
     if is_site(spark, root):
-        rows = published_catalog(spark, Site(cluster, root.rstrip("/")), base)
+        rows = published_catalog(spark, Site(cluster, root.rstrip("/")), base, hours=hours)
         rows = rows if streams is None else rows.filter(F.col("stream").isin(list(streams)))
         return rows.select(F.lit(cluster).alias("cluster"), *[c for c in W.CATALOG_COLS if c != "cluster"])
     return files_of(tree(spark, root, base, cluster, streams), f"{root}/{base}")
 
 
-def published_tree(spark: SparkSession, root: str, base: str, cluster: str, streams=None) -> tuple[DataFrame, DataFrame]:
-    """(files, minutes) of a base of a root, from one listing."""
+def published_tree(spark: SparkSession, root: str, base: str, cluster: str, streams=None, hours=None) -> tuple[DataFrame, DataFrame]:
+    """(files, minutes) of a base of a root, from one listing; of our own sites, only ``hours`` (``yyyy-MM-dd-HH``) if given."""
     if is_site(spark, root):
         led = W.read_ledger(spark, f"{root.rstrip('/')}/system/minutes").filter(F.col("base") == base)
         led = led if streams is None else led.filter(F.col("stream").isin(list(streams)))
+        led = led if hours is None else led.filter(F.date_format("minute", "yyyy-MM-dd-HH").isin(list(hours)))
         minutes = led.select(F.lit(cluster).alias("cluster"), "base", "stream", "minute", "state", "created_at")
-        return published_files(spark, root, base, cluster, streams), minutes
+        return published_files(spark, root, base, cluster, streams, hours), minutes
     listed = tree(spark, root, base, cluster, streams)
     files = files_of(listed, f"{root}/{base}")
     return files, minutes_of(listed, files)
@@ -162,25 +167,52 @@ def merge_stream_consistency(spark: SparkSession, local_roots: list[str], merged
     return audit.audit_merge(local, merged)
 
 
+def kept_digests(spark: SparkSession, root: str, base: str, streams: list[str]) -> DataFrame | None:
+    """``stream, bucket, n, d0 .. d3, last_key`` of a site's files and empty minutes by hour; None where no digests were kept.
+
+    The files' are those of the commit log; the empty minutes' are made from the ledger's ranges.
+    """
+    log = commitlog.of(spark, f"{root.rstrip('/')}/{base}")
+    if not is_site(spark, root) or not log.exists():
+        return None
+    files = commitlog.hour_digests(log.read().filter(F.col("stream").isin(streams)))
+    if files is None:
+        return None
+    idle = W.read_ledger(spark, f"{root.rstrip('/')}/system/minutes").filter(
+        (F.col("base") == base) & (F.col("state") == "empty") & F.col("stream").isin(streams))
+    empty = audit.stream_entries(spark.createDataFrame([], _STREAM_FILES), idle)
+    empty = digests.of_keys(empty.withColumn("bucket", digests.path_hour("relpath")), ["stream", "bucket"], "relpath")
+    return digests.merged(files.unionByName(empty), ["stream", "bucket"])
+
+
 def mirror_stream_consistency(spark: SparkSession, merged_root: str, mirror_roots: list[str],
                               streams=None) -> DataFrame:
     """``mirrorstreamdataconsistency``: merged stream vs each mirror, empty minute directories included.
 
     Default: every stream that the merged root or a mirror has, so one that only a mirror has is reported.
+    Where all roots are sites that keep digests, only the hours that differ are read and compared.
     """
     apply_session_settings(spark)
     names = streams if streams is not None else sorted(
         {s for r in (merged_root, *mirror_roots) for s in stream_names(spark, r, MERGED_BASE)})
 
+    ml = spark.createDataFrame([(s, r) for r in mirror_roots for s in names], "stream string, mirror string")
+    compare, hours = audit.classify, None
+    kept = [kept_digests(spark, r, MERGED_BASE, names) for r in (merged_root, *mirror_roots)]
+    if all(k is not None for k in kept):
+        mirrored = [k.withColumn("mirror", F.lit(r)) for k, r in zip(kept[1:], mirror_roots)]
+        found = digests.Differing(kept[0].join(ml, "stream"), _union(mirrored, spark, ""), ["mirror", "stream"])
+        compare, hours = digests.compare(digests.path_hour, found), found.names(MOST_HOURS)
+        hours = None if hours is None else [h.replace("/", "-") for h in hours]
+
     def entries(root: str) -> DataFrame:
-        return audit.stream_entries(*published_tree(spark, root, MERGED_BASE, root, names))
+        return audit.stream_entries(*published_tree(spark, root, MERGED_BASE, root, names, hours))
 
     merged = entries(merged_root)
     mirrors = _union([entries(r) for r in mirror_roots], spark,
                      "cluster string, base string, stream string, minute timestamp_ntz, relpath string, "
                      "entry string, path string")
-    ml = spark.createDataFrame([(s, r) for r in mirror_roots for s in names], "stream string, mirror string")
-    return audit.audit_mirror(merged, mirrors, ml)
+    return audit.audit_mirror(merged, mirrors, ml, compare=compare)
 
 
 def orderly_created(spark: SparkSession, roots: list[str], bases=None, streams=None) -> tuple[DataFrame, DataFrame]:

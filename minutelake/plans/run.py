@@ -105,12 +105,15 @@ def minute_key(now: str) -> str:
     return _dt.datetime.fromisoformat(now).strftime("%Y-%m-%d-%H-%M")
 
 
-def published_catalog(spark: SparkSession, site: Site, base: str, minute_keys: list[str] | None = None) -> DataFrame:
+def published_catalog(spark: SparkSession, site: Site, base: str, minute_keys: list[str] | None = None,
+                      hours: list[str] | None = None) -> DataFrame:
     """S3 for our own output: one row per published file of a committed batch (``W.CATALOG_COLS``).
 
-    ``minute_keys`` restricts the read to these minutes; records are never read.
+    ``minute_keys`` restricts the read to these minutes, ``hours`` (``yyyy-MM-dd-HH``) to these hours; records are never read.
     """
     rows = W.read_table(spark, site.catalog(), W.CATALOG_SCHEMA).filter(F.col("base") == base)
+    if hours is not None:
+        rows = rows.filter(F.col("hour").isin(list(hours)))
     if minute_keys is not None:
         rows = rows.filter(F.col("hour").isin(sorted({k[:13] for k in minute_keys})) &
                            F.date_format("minute", L.FILE_TIME_FORMAT).isin(list(minute_keys)))
@@ -178,17 +181,19 @@ def _publish(spark: SparkSession, site: Site, base: str, service: str, batch_id:
         found = files.select("stream", "file_name", "minute", key.alias("minute_key")).distinct().join(
             written, ["stream", "file_name", "minute_key"], "left").groupBy("stream", "minute").agg(
             F.count("*").alias("n_files"), F.sum("n_records").alias("n_records"),
-            F.max(F.when(F.col("n_records").isNull(), F.col("file_name"))).alias("lost"))
+            F.max(F.when(F.col("n_records").isNull(), F.col("file_name"))).alias("lost"), *commitlog.file_digest())
         minutes = found.collect()  # a row for each stream and minute of the batch
         lost = [(r["stream"], r["lost"]) for r in minutes if r["lost"] is not None]
         if lost:
             raise IncompletePublish(f"{site.name}, batch {batch_id}: files without records, among them {lost[:5]}")
         W.write_catalog(files, site.catalog(), batch_id, f"{base}.{service}.{batch_id}.{part}")
-    kinds = "stream string, minute timestamp_ntz, state string, n_files bigint, n_records bigint"
-    rows = spark.createDataFrame([(r["stream"], r["minute"], "data", r["n_files"], r["n_records"]) for r in minutes], kinds)
+    kinds = ("stream string, minute timestamp_ntz, state string, n_files bigint, n_records bigint, "
+             "d0 bigint, d1 bigint, d2 bigint, d3 bigint, last_name string")
+    rows = spark.createDataFrame([(r["stream"], r["minute"], "data", r["n_files"], r["n_records"], r["d0"], r["d1"], r["d2"], r["d3"],
+                                   r["last_name"]) for r in minutes], kinds)
     if empty is not None:
         rows = rows.unionByName(empty.select("stream", "minute", F.lit("empty").alias("state"), F.lit(0).cast("long").alias("n_files"),
-                                             F.lit(0).cast("long").alias("n_records")))
+                                             F.lit(0).cast("long").alias("n_records")), allowMissingColumns=True)
     commitlog.commit(spark, table_dir, service, batch_id, rows, _ts(now), part)
     return sum(r["n_files"] for r in minutes)
 
@@ -206,7 +211,7 @@ def _found(spark: SparkSession, site: Site, now: str, delete_empty: bool, timeou
     if not delete_empty:
         return files
     old = ingest.idle_empty_files(files, _ts(now), timeout_ms)
-    fsops.delete_paths(spark, old)
+    fsops.delete_paths(spark, old, site.root)
     return files.join(old.select("path"), "path", "left_anti").select(*files.columns)
 
 
@@ -289,6 +294,7 @@ def run_local(spark: SparkSession, site: Site, now: str, batch_id: int, sources:
     step("ledger")
     edges = route.merge_edges(sources, destinations, include_mirrors)
     W.append_manifests(route.route_merge(committed, edges, batch_id=F.lit(batch_id).cast("long")), site.manifests())
+    W.collapse_manifests(spark, site.manifests())
     step("manifests")
     marks = selected.filter(F.col("kind") == "checkpoint").select(*ingest.COLLECTOR, "file_name")
     W.write_checkpoints(ingest.advance_checkpoint(marks, ckpt), site.checkpoints(), batch_id)
@@ -408,6 +414,7 @@ def _mirror_manifests(spark: SparkSession, dest: Site, committed: DataFrame | No
                                    F.date_format("minute", L.MINUTE_DIR_FORMAT))).otherwise(F.col("path")))
     m = route.route_mirror(entries, route.flow_edges(sources, destinations), batch_id=F.lit(batch_id).cast("long"))
     W.append_manifests(m, dest.manifests())
+    W.collapse_manifests(spark, dest.manifests())
     spark.range(1).select(_ts(now).alias("created_at")).coalesce(1).write.mode("append").parquet(dest.handed_over())
     return gaps.count()
 
@@ -416,7 +423,8 @@ def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id:
     """Copy pending mirror manifests of ``src`` into ``mirror``, minutes preserved, a stream's minutes in order.
 
     A backlog is committed in parts of ``minutes_per_commit`` minutes of each stream, one after the other.
-    A run in which no path of the backlog is there copies and acknowledges nothing (C14).
+    A run in which no path of the backlog is there copies and acknowledges nothing (C14); a file that the mirror
+    has already is not copied again.
     """
     apply_session_settings(spark)
     pending, batches = _pending(spark, [src], "mirror", mirror.name)
@@ -434,11 +442,15 @@ def run_mirror(spark: SparkSession, src: Site, mirror: Site, now: str, batch_id:
     commits = mirror.commits(f"mirror_of_{src.name}")
     if not fsops.exists(spark, W.commit_path(commits, batch_id)) and entries.isEmpty():
         return {"mirrored": 0}
+    # A path that a collapsed backlog lists again
+    there = published_catalog(spark, mirror, MERGED_BASE, _minute_keys(valid)).select("stream", "minute", "file_name")
+    entries = entries.join(there, ["stream", "minute", "file_name"], "left_anti").select(*entries.columns)
     now, entries = W.commit_of(spark, commits, batch_id, now, entries)
     entries = publish.commit_parts(entries, minutes_per_commit).checkpoint(eager=True)
     service, n = f"mirror_of_{src.name}", 0
     # O1: a stream's minutes become visible in order, some at a time; a crash leaves the earlier ones
-    for part in range(int(entries.agg(F.max("part")).first()[0]) + 1):
+    last = entries.agg(F.max("part")).first()[0]
+    for part in range(0 if last is None else int(last) + 1):
         mine = entries.filter(F.col("part") == part).drop("part")
         valid = mine.filter(F.col("entry") == "file")
         committed = valid.select(F.lit(mirror.name).alias("cluster"), "base", "stream", "minute", "file_name",
@@ -501,7 +513,7 @@ def remove_leftovers(spark: SparkSession, site: Site, base: str) -> int:
     last = rows.groupBy(L.partition_folder("stream", "stream").alias("top")).agg(F.max("batch_id").alias("last"))
     there = there.withColumn("top", F.substring_index("folder", "/", 1)).join(last, "top")
     over = there.filter(F.regexp_extract("folder", r"batch_id=(-?\d+)$", 1).cast("long") < F.col("last"))
-    return fsops.delete_paths(spark, over.join(commitlog.folders(rows), "folder", "left_anti").select("path"))
+    return fsops.delete_paths(spark, over.join(commitlog.folders(rows), "folder", "left_anti").select("path"), site.root)
 
 
 def remove_empty_folders(spark: SparkSession, top: str) -> int:
@@ -531,7 +543,7 @@ def run_purge(spark: SparkSession, site: Site, now: str, retention_table: DataFr
     dropped = 0
     for base in (LOCAL_BASE, MERGED_BASE):
         mine = purge.filter(F.col("base") == base)
-        dropped += fsops.delete_paths(spark, mine.select(F.concat_ws("/", F.lit(site.base(base)), below).alias("path")))
+        dropped += fsops.delete_paths(spark, mine.select(F.concat_ws("/", F.lit(site.base(base)), below).alias("path")), site.root)
     if not purge.isEmpty():
         _purge_tables(spark, site, purge)
     for base in (LOCAL_BASE, MERGED_BASE):
@@ -548,16 +560,16 @@ def run_purge(spark: SparkSession, site: Site, now: str, retention_table: DataFr
             continue
         folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(batch_id=-?\d+)/now/", 1)
         old = made.filter(F.col("now").cast("timestamp_ntz") < F.lit(oldest).cast("timestamp_ntz"))
-        fsops.delete_paths(spark, old.select(F.concat_ws("/", F.lit(d), folder).alias("path")))
+        fsops.delete_paths(spark, old.select(F.concat_ws("/", F.lit(d), folder).alias("path")), site.root)
     # R2: trash hour directories past the trash retention (unparseable names are purged too), with their catalog
     trash_root = f"{site.system}/trash"
     dropped_trash = 0
     if fsops.exists(spark, trash_root):
         tp = retention.trash_purge_set(trash_dirs(spark, site.root, site.name), _ts(now), trash_hours).checkpoint(eager=True)
         dropped_trash = fsops.delete_paths(spark, tp.select(
-            F.concat_ws("/", F.lit(trash_root), "day_dir", "hour_dir").alias("path")))
+            F.concat_ws("/", F.lit(trash_root), "day_dir", "hour_dir").alias("path")), site.root)
         fsops.delete_paths(spark, tp.select(F.concat_ws("/", F.lit(site.trash_catalog()), L.partition_folder(
-            "trash_hour_key", F.concat_ws("-", "day_dir", "hour_dir"))).alias("path")))
+            "trash_hour_key", F.concat_ws("-", "day_dir", "hour_dir"))).alias("path")), site.root)
         for row in tp.select(F.concat_ws("/", F.lit(trash_root), "day_dir").alias("path")).distinct().toLocalIterator():
             fsops.delete_if_empty(spark, row["path"])
     return {"dropped_hours": dropped, "dropped_trash_hours": dropped_trash}

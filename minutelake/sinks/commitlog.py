@@ -9,6 +9,9 @@ minutes alone, not the table.
 A record has a row for each stream and minute of the batch, also for its empty minutes.  A service
 commits a stream's minutes in order, so the log's last minute of a stream is its watermark: everything
 before it that was to come is there, and consumers read up to it.
+
+A record also has the digest of its minute's files (``operators.digests``; of a minute that several batches
+wrote, digests add up), so that an audit of two sites reads their logs and only differing hours of their catalogs.
 """
 
 from __future__ import annotations
@@ -17,11 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
+from ..operators import digests
 from . import files as fsops
 from .snapshots import SnapshotTable
 
 SCHEMA = ("stream string, minute timestamp_ntz, state string, n_files bigint, n_records bigint, "
-          "committed_at timestamp_ntz, service string, batch_id bigint")
+          "committed_at timestamp_ntz, service string, batch_id bigint, "
+          "d0 bigint, d1 bigint, d2 bigint, d3 bigint, last_name string")
 #: folders that a read names one by one; a read of more takes the table's root and a join with the log
 EXACT_FOLDERS = 5_000
 
@@ -51,8 +56,10 @@ def is_committed(spark: SparkSession, table_dir: str, service: str, batch_id: in
 
 
 def commit(spark: SparkSession, table_dir: str, service: str, batch_id: int, rows: DataFrame, committed_at, part: int = 0) -> bool:
-    """Make a batch visible: ``rows`` are ``stream, minute, state, n_files, n_records``."""
-    out = rows.select("stream", "minute", "state", "n_files", "n_records", L.ntz(committed_at).alias("committed_at"),
+    """Make a batch visible: ``rows`` are ``stream, minute, state, n_files, n_records`` and the digest of its files."""
+    kept = [F.col(c) if c in rows.columns else F.lit(None).cast("string" if c == "last_name" else "long").alias(c)
+            for c in (*digests.PARTS, "last_name")]
+    out = rows.select("stream", "minute", "state", "n_files", "n_records", *kept, L.ntz(committed_at).alias("committed_at"),
                       F.lit(service).alias("service"), F.lit(batch_id).cast("long").alias("batch_id"))
     return of(spark, table_dir).append(_name(service, batch_id, part), out)
 
@@ -89,6 +96,23 @@ def in_order(rows: DataFrame) -> DataFrame:
     return per.withColumn("watermark_before", before).filter(F.col("first_minute") < F.col("watermark_before"))
 
 
+def file_digest(minute="minute", file_name="file_name") -> list:
+    """Aggregates of a minute's files that its record keeps."""
+    below = F.concat_ws("/", F.date_format(L.c(minute), L.MINUTE_DIR_FORMAT), L.c(file_name))
+    return [*digests.sums(below), F.max(L.c(file_name)).alias("last_name")]
+
+
+def hour_digests(rows: DataFrame) -> DataFrame | None:
+    """``stream, bucket, n, d0 .. d3, last_key`` of the files in ``rows``, by hour; None where a record has no digest."""
+    data = rows.filter(F.col("state") == "data")
+    if not data.filter(F.col("d0").isNull()).isEmpty():
+        return None
+    place = F.date_format("minute", L.MINUTE_DIR_FORMAT)
+    parts = data.select("stream", digests.path_hour(place).alias("bucket"), F.col("n_files").alias("n"), *digests.PARTS,
+                        F.concat_ws("/", place, "last_name").alias("last_key"))
+    return digests.merged(parts, ["stream", "bucket"])
+
+
 def folders(rows: DataFrame) -> DataFrame:
     """``folder``: the partitions of the table that hold committed records."""
     data = rows.filter(F.col("state") == "data")

@@ -1,11 +1,11 @@
 """File-system side effects: moving consumed collector files to trash, dropping purged directories.
 
 Every path is resolved by Hadoop (``Path.getFileSystem``), so a root without a
-scheme means the session's default file system, everywhere.  Renames on a local
-or mounted file system run inside the tasks that hold the rows; for other
-schemes they go through the driver's Hadoop client, a bounded list per run
-(the files of one minute, the hour directories of a purge), streamed with
-``toLocalIterator``.
+scheme means the session's default file system, everywhere.  Moves and deletes of
+many paths run inside tasks, through the executors' ``pyarrow.fs`` client, which knows
+local and mounted file systems, HDFS and object stores; a task that is run again
+finds its paths moved or gone and skips them.  Only for a scheme that this client
+can't open they go through the driver's Hadoop client, streamed with ``toLocalIterator``.
 """
 
 from __future__ import annotations
@@ -31,10 +31,48 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
-def _local(spark: SparkSession, path: str) -> str | None:
-    """The plain path if it is on a local or mounted file system, else None."""
-    q = qualified(spark, path)
-    return q[5:] if q.startswith("file:") else None
+def _known_to_executors(path: str) -> bool:
+    """Whether ``pyarrow.fs`` opens the file system of a qualified path."""
+    from pyarrow import fs
+
+    try:
+        fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+    except Exception:  # noqa: BLE001  an unknown scheme, or its native library is missing
+        return False
+    return True
+
+
+def _in_tasks(spark: SparkSession, rows: DataFrame, act) -> int:
+    """Sum of ``act(open, *row)`` over all rows, run by the executors; ``open(path)`` gives a file system and the path on it.
+
+    Rows are dealt by their first column, and each task takes its own.
+    """
+    root = qualified(spark, "/")
+    host = "" if root.startswith("file:") else root.rstrip("/")
+
+    def run(batches):  # shipped to the executors by value
+        import pandas as pd
+        from pyarrow import fs
+
+        opened = {}
+
+        def open_path(path):
+            path = host + path if path.startswith("/") else path
+            if path.startswith(("/", "file:")):
+                return opened.setdefault("", fs.LocalFileSystem()), "/" + path.removeprefix("file:").lstrip("/")
+            *host_of, below = path.split("/", 3)
+            top = "/".join(host_of)
+            if top not in opened:
+                system, at = fs.FileSystem.from_uri(f"{top}/x")
+                opened[top] = system, at.removesuffix("x")
+            system, at = opened[top]
+            return system, at + below
+
+        for pdf in batches:
+            yield pd.DataFrame({"n": [sum(act(open_path, *r) for r in pdf.itertuples(index=False, name=None))]})
+
+    dealt = rows.distinct().repartition(rows.columns[0])
+    return int(dealt.mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -73,28 +111,17 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
 def move_files(spark: SparkSession, moves: DataFrame, root: str, src_col: str = "src", dst_col: str = "dst") -> int:
     """Rename every ``src`` to ``dst`` (creating parents), both below ``root``; missing sources are skipped."""
     m = moves.select(F.col(src_col).alias("src"), F.col(dst_col).alias("dst"))
-    if _local(spark, root) is not None:
-        def move(batches):  # shipped to the executors by value
-            import os
-
-            import pandas as pd
-
-            def plain(p):
-                return "/" + p[5:].lstrip("/") if p.startswith("file:") else p
-
-            for pdf in batches:
-                n = 0
-                for s, d in zip(pdf["src"], pdf["dst"]):
-                    s, d = plain(s), plain(d)
-                    os.makedirs(os.path.dirname(d), exist_ok=True)
-                    try:
-                        os.rename(s, d)
-                        n += 1
-                    except FileNotFoundError:
-                        pass
-                yield pd.DataFrame({"moved": [n]})
-
-        return int(m.mapInPandas(move, "moved long").agg(F.sum("moved")).first()[0] or 0)
+    if _known_to_executors(qualified(spark, root)):
+        def move(open_path, src, dst):
+            (system, s), (_, d) = open_path(src), open_path(dst)
+            system.create_dir(d.rsplit("/", 1)[0], recursive=True)
+            try:
+                system.move(s, d)
+            except FileNotFoundError:
+                return 0
+            return 1
+
+        return _in_tasks(spark, m, move)
 
     def one(row) -> int:
         fs, src = _fs(spark, row[0])
@@ -106,9 +133,25 @@ def move_files(spark: SparkSession, moves: DataFrame, root: str, src_col: str =
         return sum(pool.map(one, m.toLocalIterator()))
 
 
-def delete_paths(spark: SparkSession, paths: DataFrame, col: str = "path") -> int:
-    """Recursively delete each listed path (K9); absent paths are ignored."""
-    return sum(delete_path(spark, row[0]) for row in paths.select(col).toLocalIterator())
+def delete_paths(spark: SparkSession, paths: DataFrame, root: str, col: str = "path") -> int:
+    """Recursively delete each listed path (K9), all below ``root``; absent paths are ignored."""
+    found = paths.select(col)
+    if not _known_to_executors(qualified(spark, root)):
+        return sum(delete_path(spark, row[0]) for row in found.toLocalIterator())
+
+    def delete(open_path, path):
+        system, p = open_path(path)
+        kind = system.get_file_info(p).type.name
+        try:
+            if kind == "Directory":
+                system.delete_dir(p)
+            elif kind != "NotFound":
+                system.delete_file(p)
+        except FileNotFoundError:  # gone with a folder above it
+            return 0
+        return int(kind != "NotFound")
+
+    return _in_tasks(spark, found, delete)
 
 
 def delete_path(spark: SparkSession, path: str) -> int:

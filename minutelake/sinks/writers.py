@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import layout as L
-from ..operators import ranges
+from ..operators import ranges, route
 from . import files as fsops
 from .snapshots import SnapshotTable
 
 PUBLISHED_PARTITIONS = ["stream", "hour", "minute_key", "batch_id"]
 CHECKPOINT_VERSIONS = 3
+#: manifest batches of a consumer beyond which its backlog is collapsed
+MOST_MANIFEST_BATCHES = 32
 
 LEDGER_COLS = ["cluster", "base", "stream", "minute", "state", "created_at"]
 CATALOG_SCHEMA = ("cluster string, minute timestamp_ntz, file_name string, path string, mtime timestamp_ntz, "
@@ -123,6 +125,30 @@ def append_manifests(manifests: DataFrame, manifest_dir: str) -> None:
     _overwrite(manifests, manifest_dir, ["kind", "dest_cluster", "batch_id"])
 
 
+def collapse_manifests(spark: SparkSession, manifest_dir: str, most: int = MOST_MANIFEST_BATCHES) -> int:
+    """The backlog of a consumer that lags behind as one batch; returns how many folders went.
+
+    All batches below the newest one are collapsed into the latest of them (the newest may be run again, and
+    would then write its folder anew).  The collapsed batch is there before the others go, so a crash, or a
+    consumer that reads or acknowledges in between, sees a path twice at most, never none.  A consumer has at
+    most ``most`` + 1 folders, however long it stays away.
+    """
+    gone = 0
+    for kind in fsops.subfolders(spark, manifest_dir):
+        for dest in fsops.subfolders(spark, f"{manifest_dir}/{kind}"):
+            place = f"{manifest_dir}/{kind}/{dest}"
+            found = sorted((int(b.removeprefix("batch_id=")), b) for b in fsops.subfolders(spark, place) if b.startswith("batch_id="))
+            if len(found) <= most:
+                continue
+            old = found[:-1]
+            rows = spark.read.schema(MANIFEST_SCHEMA).option("basePath", manifest_dir).parquet(*[f"{place}/{b}" for _, b in old])
+            one = route.collapse(rows).checkpoint(eager=True)  # read before its folder is written
+            _overwrite(one, manifest_dir, ["kind", "dest_cluster", "batch_id"])
+            for _, b in old[:-1]:
+                gone += fsops.delete_path(spark, f"{place}/{b}")
+    return gone
+
+
 def append_acks(acks: DataFrame, ack_dir: str) -> None:
     """K8: acknowledge consumed manifest batches (``kind, dest_cluster, batch_id``)."""
     _overwrite(acks.select("kind", "dest_cluster", "batch_id").distinct().withColumn("acked", F.lit(True)), ack_dir,
