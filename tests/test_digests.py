@@ -68,39 +68,37 @@ def test_digests_add_up_over_parts(spark):
 def test_a_mirror_audit_reads_differing_hours_only(spark, tmp_path, monkeypatch):
     north, south = R.Site("north", str(tmp_path / "north")), R.Site("south", str(tmp_path / "south"))
     src, dst = topology(spark, ("beacon", "pulse"))
-    for n in range(3):  # an hour each; a batch of both streams
+    for n in range(2):  # an hour each; a batch of both streams
         for s in ("beacon", "pulse"):
             put(north.root, s, "k", f"f{n}", [f"{s}{n}"], T0 + dt.timedelta(hours=n))
         now = T0 + dt.timedelta(hours=n, minutes=20)
         R.run_local(spark, north, str(now), 2 * n + 1, src, dst)
         R.run_merge(spark, [north], north, str(now), 2 * n + 2, src, dst)
-        if n < 2:
-            R.run_mirror(spark, north, south, str(now), n + 100 * (n > 0) + 1)
-        if n == 0:  # its manifests come again, as from a backlog that was collapsed meanwhile
-            files = R.published_catalog(spark, north, MERGED_BASE).select("stream", "path", "minute")
-            again = files.select(*[F.lit(north.name).alias(c) for c in ("src_cluster", "via_cluster")], "stream", "path", "minute",
-                                 F.lit("mirror").alias("kind"), F.lit(south.name).alias("dest_cluster"), F.lit(90).cast("long").alias("batch_id"))
-            W.append_manifests(again, north.manifests())
-            assert R.run_mirror(spark, north, south, str(now), 50)["mirrored_files"] == 0
-            assert R.published_catalog(spark, south, MERGED_BASE).count() == 2
-            assert W.read_table(spark, north.manifests(), W.MANIFEST_SCHEMA).filter("kind = 'mirror'").isEmpty()
+    R.run_mirror(spark, north, south, str(now), 1, minutes_per_commit=500)
+    # manifests come again, as from a backlog that was collapsed meanwhile
+    files = R.published_catalog(spark, north, MERGED_BASE).select("stream", "path", "minute")
+    W.append_manifests(files.select(*[F.lit(north.name).alias(c) for c in ("src_cluster", "via_cluster")], "stream", "path", "minute",
+                                    F.lit("mirror").alias("kind"), F.lit(south.name).alias("dest_cluster"),
+                                    F.lit(90).cast("long").alias("batch_id")), north.manifests())
+    assert R.run_mirror(spark, north, south, str(now), 2)["mirrored_files"] == 0
+    assert R.published_catalog(spark, south, MERGED_BASE).count() == 4
+    assert W.read_table(spark, north.manifests(), W.MANIFEST_SCHEMA).filter("kind = 'mirror'").isEmpty()
     kept = audits.kept_digests(spark, north.root, MERGED_BASE, ["beacon", "pulse"])
     merged = audit.stream_entries(R.published_catalog(spark, north, MERGED_BASE), W.read_ledger(spark, north.ledger()).filter(F.col("base") == MERGED_BASE))
     again = digests.of_keys(merged.withColumn("bucket", digests.path_hour("relpath")), ["stream", "bucket"], "relpath")
     assert rows(kept) == rows(again)  # what was kept is what the keys give
-    # a file of the second hour is lost from the mirror's catalog and log
-    lost = ((F.col("stream") == "beacon") & (F.hour("minute") == (T0.hour + 1) % 24) & (F.col("file_name") == "k-f1.gz"))
+    # a file of the first hour is lost from the mirror's catalog and log
+    lost = ((F.col("stream") == "beacon") & (F.hour("minute") == T0.hour) & (F.col("file_name") == "k-f0.gz"))
     W.catalog_table(spark, f"{south.root}/system/catalog").compact(lambda r: r.filter(~lost))
-    gone = (F.col("stream") == "beacon") & (F.hour("minute") == (T0.hour + 1) % 24) & (F.col("state") == "data")
+    gone = (F.col("stream") == "beacon") & (F.hour("minute") == T0.hour) & (F.col("state") == "data")
     commitlog.of(spark, south.base(MERGED_BASE)).compact(lambda r: r.filter(~gone))
     plans = []
     real = audit.audit_mirror
     monkeypatch.setattr(audit, "audit_mirror", lambda *a, **k: plans.append(a) or real(*a, **k))
     got = rows(audits.mirror_stream_consistency(spark, north.root, [south.root]), "stream", "key", "kind")
-    assert ("beacon", "missing") in {(s, k) for s, _, k in got} and {k for _, _, k in got} == {"missing", "to_be_sent"}
-    assert {(s, key[:13]) for s, key, _ in got} <= {(s, f"{T0:%Y/%m/%d}/{T0.hour + h:02d}") for s in ("beacon", "pulse") for h in (1, 2)}
+    assert [(s, key[:13], kind) for s, key, kind in got] == [("beacon", f"{T0:%Y/%m/%d/%H}", "missing")]
     plan = plans[0][0]._jdf.queryExecution().executedPlan().toString()
-    assert f"{T0:%Y-%m-%d}-{T0.hour + 1:02d}" in plan and f"{T0:%Y-%m-%d}-{T0.hour:02d}" not in plan
+    assert f"{T0:%Y-%m-%d-%H}" in plan and f"{T0:%Y-%m-%d}-{T0.hour + 1:02d}" not in plan
     # logs without digests are audited by key, with the same result
     for site in (north, south):
         commitlog.of(spark, site.base(MERGED_BASE)).compact(lambda r: r.withColumn("d0", F.lit(None).cast("long")))
