@@ -6,20 +6,27 @@ end the pattern finds by looking at touched characters. From the first of these
 boundary falls on one that was there before; only the new pre-tokens are counted, and the sums above their blocks
 updated.
 
-Edge cases: a null or empty text has no tokens and can be edited like others. Positions beyond the end mean the end; a
-null insertion is empty; null edits are none. Repeated rows are counted each. An empty table gives no rows.
+Trees are kept as a column between rounds of edits: ``token_trees`` encodes each text once, ``edited_trees`` takes its
+table (written and read again as the caller likes), applies edits and gives the next table. A kept tree is the text with
+the length and the token count of each pre-token; the sums over them are added up again when it is read, but nothing is
+split or encoded that no edit touches.
+
+Edge cases: a null or empty text has no tokens and can be edited like others; so is a null tree. Positions beyond the end
+mean the end; a null insertion is empty; null edits are none. Repeated rows are counted each. An empty table gives no
+rows. Texts of any length are counted whole, by a task that holds the text and its pre-tokens.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from minutelake.llm.common import small_batches, table
+from minutelake.llm.common import small_batches, stage, table
 
 #: pre-tokens of a block
 BLOCK = 64
@@ -31,40 +38,58 @@ LOOK_AHEAD = 2
 MADE = ("n_tokens", "n_tokens_after", "n_chars_after", "recounted_chars")
 
 
-def in_blocks(pieces: list[str]) -> list[list[str]]:
-    return [pieces[a : a + BLOCK] for a in range(0, len(pieces), BLOCK)] or [[]]
+#: column of a kept tree, and its type
+TREE = "token_tree"
+KEPT = T.StructType([T.StructField("text", T.StringType()), T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))])
+KEPT_ARROW = pa.struct([("text", pa.string()), ("lengths", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
 
 
-class TokenTree:
-    """Pre-tokens of a text in blocks, with the sums of characters and tokens of each subtree."""
+def in_blocks(pieces: list[str], counts: list[int]) -> list[tuple[list[str], list[int], int, int]]:
+    """Blocks of pre-tokens: (pieces, tokens of each, characters, tokens)."""
+    out = []
+    for a in range(0, max(len(pieces), 1), BLOCK):
+        held, numbers = pieces[a : a + BLOCK], counts[a : a + BLOCK]
+        out.append((held, numbers, sum(map(len, held)), sum(numbers)))
+    return out
 
-    def __init__(self, text: str, split: Callable, count: Callable[[str], int]):
-        self.split, self.count, self.recounted = split, count, 0
-        self.build([m.group() for m in split(text, 0)])
 
-    def build(self, pieces: list[str]) -> None:
-        self.lay([(b, *self.sums(b)) for b in in_blocks(pieces)])
+class TokenTree:
+    """Pre-tokens of a text in blocks, with the sums of characters and tokens of each subtree.
 
-    def lay(self, blocks: list[tuple[list[str], int, int]]) -> None:
-        """A tree over blocks (pieces, characters, tokens) whose sums are known: nothing is counted."""
-        self.blocks = [b for b, _, _ in blocks]
+    ``kept`` are the lengths and token counts of the pre-tokens of a tree that was kept: then nothing is split or counted.
+    """
+
+    def __init__(self, text: str, split: Callable, count: Callable[[str], int], kept: tuple[list[int], list[int]] | None = None):
+        self.split, self.count, self.recounted = split, count, 0
+        if kept is None:
+            pieces = [m.group() for m in split(text, 0)]
+            counts = list(map(count, pieces))
+        else:
+            lengths, counts = kept
+            pieces = [text[end - n : end] for n, end in zip(lengths, accumulate(lengths), strict=True)]
+        self.lay(in_blocks(pieces, counts))
+
+    def lay(self, blocks: list[tuple[list[str], list[int], int, int]]) -> None:
+        """A tree over blocks whose sums are known."""
+        self.blocks, self.counts = [b[0] for b in blocks], [b[1] for b in blocks]
         self.leaves = 1 << (len(blocks) - 1).bit_length()
         spare = [0] * (self.leaves - len(blocks))
-        self.chars = [0] * self.leaves + [c for _, c, _ in blocks] + spare
-        self.tokens = [0] * self.leaves + [t for _, _, t in blocks] + spare
+        self.chars = [0] * self.leaves + [b[2] for b in blocks] + spare
+        self.tokens = [0] * self.leaves + [b[3] for b in blocks] + spare
         for at in range(self.leaves - 1, 0, -1):
             self.sum_node(at)
 
-    def sums(self, block: list[str]) -> tuple[int, int]:
-        return sum(map(len, block)), sum(map(self.count, block))
-
     def sum_block(self, i: int) -> None:
-        self.chars[self.leaves + i], self.tokens[self.leaves + i] = self.sums(self.blocks[i])
+        self.chars[self.leaves + i], self.tokens[self.leaves + i] = sum(map(len, self.blocks[i])), sum(self.counts[i])
 
     def sum_node(self, at: int) -> None:
         self.chars[at] = self.chars[2 * at] + self.chars[2 * at + 1]
         self.tokens[at] = self.tokens[2 * at] + self.tokens[2 * at + 1]
 
+    def kept(self) -> tuple[list[int], list[int]]:
+        """Lengths and token counts of the pre-tokens."""
+        return [len(x) for block in self.blocks for x in block], [n for block in self.counts for n in block]
+
     @property
     def n_chars(self) -> int:
         return self.chars[1]
@@ -124,12 +149,15 @@ class TokenTree:
                 break
             last = min(last + 1, len(self.blocks) - 1)
         self.recounted += sum(map(len, found))
+        numbers = [n for block in self.counts[first : last + 1] for n in block]
         held = pieces[:kept] + found + (pieces[rest:] if done else [])
+        numbers = numbers[:kept] + list(map(self.count, found)) + (numbers[rest:] if done else [])
         if len(held) > 8 * BLOCK:  # split what was edited; the sums of all other blocks stay
-            known = list(zip(self.blocks, self.chars[self.leaves :], self.tokens[self.leaves :]))
-            self.lay([*known[:first], *((b, *self.sums(b)) for b in in_blocks(held)), *known[last + 1 :]])
+            known = list(zip(self.blocks, self.counts, self.chars[self.leaves :], self.tokens[self.leaves :]))
+            self.lay([*known[:first], *in_blocks(held, numbers), *known[last + 1 :]])
             return
         self.blocks[first : last + 1] = [held] + [[] for _ in range(last - first)]
+        self.counts[first : last + 1] = [numbers] + [[] for _ in range(last - first)]
         nodes = set()
         for i in range(first, last + 1):
             self.sum_block(i)
@@ -162,35 +190,74 @@ def piece_counter(path: str, pattern: str) -> Callable[[str], int]:
     return count
 
 
-def token_counts(docs: DataFrame, path: str, pattern: str, text_col: str = "text", edits_col: str = "edits") -> DataFrame:
-    """``docs`` without text and edits, with n_tokens, n_tokens_after (all edits, in order), n_chars_after, recounted_chars.
+def lists(column: pa.ListArray) -> list[list[int]]:
+    """The lists of a column of whole numbers; null lists are empty."""
+    at, values = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b].tolist() for a, b in zip(at, at[1:])]
 
-    edits: array<struct<place, removed, inserted>>; places count characters of the text as edited so far.  Columns of the
-    names that are made are replaced.
+
+def over_trees(rows: DataFrame, path: str, pattern: str, from_col: str, edits_col: str | None, keep: bool) -> DataFrame:
+    """``rows`` with a tree for each, of its text or a kept one, edited and counted; kept again if ``keep``.
+
+    Without the columns of text and edits; columns of the names that are made are replaced.
     """
-    small_batches(docs.sparkSession)
-    names = [c for c in docs.columns if c not in (text_col, edits_col, *MADE)]
-    kinds = T.StructType([f for f in docs.schema if f.name in names] + [T.StructField(x, T.LongType()) for x in MADE])
-    text_at, edits_at = docs.columns.index(text_col), docs.columns.index(edits_col)
-    kept_at = [i for i, c in enumerate(docs.columns) if c in names]
+    small_batches(rows.sparkSession)
+    made = list(MADE if edits_col else MADE[:1])
+    names = [c for c in rows.columns if c not in (from_col, edits_col, TREE, *made)]
+    of_text = isinstance(rows.schema[from_col].dataType, T.StringType)
+    kinds = [f for f in rows.schema if f.name in names] + [T.StructField(x, T.LongType()) for x in made]
+    kinds = T.StructType(kinds + ([T.StructField(TREE, KEPT)] if keep else []))
+    from_at, edits_at = rows.columns.index(from_col), rows.columns.index(edits_col) if edits_col else None
+    kept_at = [i for i, c in enumerate(rows.columns) if c in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         count, split = piece_counter(path, pattern), regex.compile(pattern).finditer
         for batch in batches:
-            out = []
-            for text, edits in zip(batch.column(text_at).to_pylist(), batch.column(edits_at).to_pylist(), strict=True):
-                tree = TokenTree(text or "", split, count)
+            held = batch.column(from_at)
+            texts = (held if of_text else held.field("text")).to_pylist()
+            known = [None] * len(texts) if of_text else list(zip(lists(held.field("lengths")), lists(held.field("counts")), strict=True))
+            edits = batch.column(edits_at).to_pylist() if edits_at is not None else [None] * len(texts)
+            out, trees = [], []
+            for text, tree, changes in zip(texts, known, edits, strict=True):
+                tree = TokenTree(text or "", split, count, tree)
                 before = tree.n_tokens
-                for e in edits or []:
+                for e in changes or []:
                     if e is not None:
                         tree.edit(e["place"] or 0, e["removed"] or 0, e["inserted"] or "")
                 out.append((before, tree.n_tokens, tree.n_chars, tree.recounted))
-            made = [pa.array([x[i] for x in out], pa.int64()) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in kept_at] + made, names=[*names, *MADE])
+                if keep:
+                    trees.append((tree.text(), *tree.kept()))
+            columns = [batch.column(i) for i in kept_at] + [pa.array([x[i] for x in out], pa.int64()) for i in range(len(made))]
+            if keep:
+                parts = [pa.array([x[i] for x in trees], f.type) for i, f in enumerate(KEPT_ARROW)]
+                columns.append(pa.StructArray.from_arrays(parts, fields=list(KEPT_ARROW)))
+            yield pa.RecordBatch.from_arrays(columns, names=kinds.names)
 
-    return docs.mapInArrow(run, kinds)
+    return rows.mapInArrow(run, kinds)
+
+
+def token_trees(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """``docs`` without its text, with n_tokens and token_tree: the trees to keep.  Columns of these names are replaced."""
+    return over_trees(docs, path, pattern, text_col, None, keep=True)
+
+
+def edited_trees(trees: DataFrame, path: str, pattern: str, edits_col: str = "edits", keep: bool = True) -> DataFrame:
+    """The trees after ``edits_col`` (see :func:`token_counts`), with the counts of before and after; other columns pass.
+
+    Path and pattern are those that the trees were made with.  ``keep=False`` leaves the trees out.
+    """
+    return over_trees(trees, path, pattern, TREE, edits_col, keep)
+
+
+def token_counts(docs: DataFrame, path: str, pattern: str, text_col: str = "text", edits_col: str = "edits") -> DataFrame:
+    """``docs`` without text and edits, with n_tokens, n_tokens_after (all edits, in order), n_chars_after, recounted_chars.
+
+    edits: array<struct<place, removed, inserted>>; places count characters of the text as edited so far.  Columns of the
+    names that are made are replaced.  No tree is kept.
+    """
+    return over_trees(docs, path, pattern, text_col, edits_col, keep=False)
 
 
 def derived_edits(text: Column, key: Column, many: int = 4) -> Column:
@@ -209,5 +276,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("edits", derived_edits(F.col("text"), F.col("doc_id")))
-    return token_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    trees = stage(spark, token_trees(docs, path, pattern), "trees")
+    edits = derived_edits(F.col(f"{TREE}.text"), F.col("doc_id"))
+    return edited_trees(trees.withColumn("edits", edits), path, pattern, keep=False)

@@ -92,3 +92,47 @@ def test_a_large_insertion_splits_blocks_and_counts_little(count):
     assert len(counted) < 1500 and tree.text() == text and tree.n_tokens == plain(text, count)
     tree.edit(10, 3, "x")
     assert tree.text() == text[:10] + "x" + text[13:] and tree.n_tokens == plain(tree.text(), count)
+
+
+def test_kept_trees_take_edits_without_a_new_encoding(count):
+    """A tree read again counts and edits as the one that was kept; only touched pre-tokens are encoded."""
+    text, counted = "some words, it's " * 5000, []
+
+    def counting(piece):
+        counted.append(piece)
+        return count(piece)
+
+    kept = tc.TokenTree(text, FIND.finditer, count).kept()
+    tree = tc.TokenTree(text, FIND.finditer, counting, kept)
+    assert not counted and tree.n_tokens == plain(text, count)
+    for place in (0, 40_001, len(text) - 3):
+        tree.edit(place, 2, "new 12")
+        text = text[:place] + "new 12" + text[place + 2 :]
+    assert len(counted) < 40 and tree.text() == text and tree.n_tokens == plain(text, count)
+    again = tc.TokenTree(text, FIND.finditer, counting, tree.kept())
+    assert (again.n_tokens, again.n_chars, len(counted) < 40) == (tree.n_tokens, len(text), True)
+
+
+def test_rounds_of_edits_over_a_kept_table(spark, count, tmp_path):
+    """Two rounds, the trees written between them, against texts edited plainly; nulls, empty texts and clashing columns too."""
+    rows = helpers.documents(3)
+    docs = spark.createDataFrame([(*r, i, "own") for i, r in enumerate(rows)], helpers.DOCS + ", n_tokens_before int, token_tree string")
+    trees, texts = tc.token_trees(docs, PATH, PATTERN), [r[1] or "" for r in rows]
+    assert trees.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens_before", "n_tokens", "token_tree"]
+    for turn in range(2):
+        trees.write.parquet(str(tmp_path / f"trees{turn}"))
+        trees = spark.read.parquet(str(tmp_path / f"trees{turn}"))
+        change = F.expr("CASE WHEN n_tokens_before % 5 = 4 THEN NULL ELSE array(named_struct('place', 3L, 'removed', 2L, 'inserted', ' new é'), NULL, named_struct('place', 1000000L, 'removed', 1L, 'inserted', 'end')) END")
+        trees = tc.edited_trees(trees.withColumn("edits", change), PATH, PATTERN)
+        found = trees.collect()
+        assert len(found) == len(rows)
+        for r in found:
+            i = r["n_tokens_before"]
+            assert r["n_tokens"] == plain(texts[i], count)
+            if i % 5 != 4:
+                texts[i] = texts[i][:3] + " new é" + texts[i][5:] + "end"
+            assert (r["n_tokens_after"], r["n_chars_after"], r["token_tree"]["text"]) == (plain(texts[i], count), len(texts[i]), texts[i])
+            assert sum(r["token_tree"]["counts"]) == r["n_tokens_after"] and sum(r["token_tree"]["lengths"]) == len(texts[i])
+    nothing = trees.select("doc_id", F.lit(None).cast(tc.KEPT).alias("token_tree"), F.lit(None).cast("array<struct<place:long,removed:long,inserted:string>>").alias("edits"))
+    assert {tuple(r[1:5]) for r in tc.edited_trees(nothing, PATH, PATTERN).collect()} == {(0, 0, 0, 0)}
+    assert tc.token_trees(docs.limit(0), PATH, PATTERN).count() == 0
