@@ -8,8 +8,8 @@ updated.
 
 Trees are kept as a column between rounds of edits: ``token_trees`` encodes each text once, ``edited_trees`` takes its
 table (written and read again as the caller likes), applies edits and gives the next table. A kept tree is the text with
-the length and the token count of each pre-token; the sums over them are added up again when it is read, but nothing is
-split or encoded that no edit touches.
+the length and the token count of each pre-token; the sums of blocks are added up again when it is read, but only blocks
+that an edit touches are opened, and nothing else is split or encoded.
 
 Edge cases: a null or empty text has no tokens and can be edited like others; so is a null tree. Positions beyond the end
 mean the end; a null insertion is empty; null edits are none. Repeated rows are counted each. An empty table gives no
@@ -19,8 +19,8 @@ rows. Texts of any length are counted whole, by a task that holds the text and i
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,20 +56,35 @@ def in_blocks(pieces: list[str], counts: list[int]) -> list[tuple[list[str], lis
 class TokenTree:
     """Pre-tokens of a text in blocks, with the sums of characters and tokens of each subtree.
 
-    ``kept`` are the lengths and token counts of the pre-tokens of a tree that was kept: then nothing is split or counted.
+    ``kept`` are the lengths and token counts of the pre-tokens of a tree that was kept: then nothing is split or counted,
+    and a block is its number there until it is opened.
     """
 
-    def __init__(self, text: str, split: Callable, count: Callable[[str], int], kept: tuple[list[int], list[int]] | None = None):
+    def __init__(self, text: str, split: Callable, count: Callable[[str], int], kept: tuple[np.ndarray, np.ndarray] | None = None):
         self.split, self.count, self.recounted = split, count, 0
-        if kept is None:
+        if kept is None or not len(kept[0]):
             pieces = [m.group() for m in split(text, 0)]
-            counts = list(map(count, pieces))
-        else:
-            lengths, counts = kept
-            pieces = [text[end - n : end] for n, end in zip(lengths, accumulate(lengths), strict=True)]
-        self.lay(in_blocks(pieces, counts))
-
-    def lay(self, blocks: list[tuple[list[str], list[int], int, int]]) -> None:
+            self.lay(in_blocks(pieces, list(map(count, pieces))))
+            return
+        lengths, counts = map(np.asarray, kept)
+        first = np.arange(0, len(lengths), BLOCK)
+        chars, tokens = np.add.reduceat(lengths, first), np.add.reduceat(counts, first)
+        #: text, lengths and counts as kept, and the first character of each block
+        self.source = text, lengths, counts, [0, *np.cumsum(chars, dtype=np.int64).tolist()]
+        self.lay(list(zip(range(len(first)), [[]] * len(first), chars.tolist(), tokens.tolist())))
+
+    def open(self, i: int) -> list[str]:
+        """The pre-tokens of block ``i``."""
+        if isinstance(block := self.blocks[i], int):
+            text, lengths, counts, start = self.source
+            at, own = start[block], slice(block * BLOCK, (block + 1) * BLOCK)
+            self.blocks[i], self.counts[i] = [], counts[own].tolist()
+            for n in lengths[own].tolist():
+                self.blocks[i].append(text[at : at + n])
+                at += n
+        return self.blocks[i]
+
+    def lay(self, blocks: list[tuple[list[str] | int, list[int], int, int]]) -> None:
         """A tree over blocks whose sums are known."""
         self.blocks, self.counts = [b[0] for b in blocks], [b[1] for b in blocks]
         self.leaves = 1 << (len(blocks) - 1).bit_length()
@@ -88,7 +103,16 @@ class TokenTree:
 
     def kept(self) -> tuple[list[int], list[int]]:
         """Lengths and token counts of the pre-tokens."""
-        return [len(x) for block in self.blocks for x in block], [n for block in self.counts for n in block]
+        lengths, counts = [], []
+        for block, numbers in zip(self.blocks, self.counts, strict=True):
+            if isinstance(block, int):
+                own = slice(block * BLOCK, (block + 1) * BLOCK)
+                lengths += self.source[1][own].tolist()
+                counts += self.source[2][own].tolist()
+            else:
+                lengths += map(len, block)
+                counts += numbers
+        return lengths, counts
 
     @property
     def n_chars(self) -> int:
@@ -99,7 +123,7 @@ class TokenTree:
         return self.tokens[1]
 
     def text(self) -> str:
-        return "".join(x for block in self.blocks for x in block)
+        return "".join(self.source[0][self.source[3][b] : self.source[3][b + 1]] if isinstance(b, int) else "".join(b) for b in self.blocks)
 
     def locate(self, place: int) -> tuple[int, int]:
         """(block that holds the character at ``place``, characters before the block); the last one for the end."""
@@ -118,16 +142,16 @@ class TokenTree:
         first, before = self.locate(place - LOOK_AHEAD)
         last, _ = self.locate(end)
         # pre-tokens that end so early that the pattern has not seen what is edited
-        kept, start = 0, before
-        while kept < len(self.blocks[first]) and start + len(self.blocks[first][kept]) + LOOK_AHEAD <= place:
-            start += len(self.blocks[first][kept])
+        kept, start, block = 0, before, self.open(first)
+        while kept < len(block) and start + len(block[kept]) + LOOK_AHEAD <= place:
+            start += len(block[kept])
             kept += 1
         while True:
-            pieces = [x for block in self.blocks[first : last + 1] for x in block]
+            pieces = [x for i in range(first, last + 1) for x in self.open(i)]
             more = last + 1 < len(self.blocks)
             ahead, nxt = "", last + 1
             while len(ahead) < LOOK_AHEAD and nxt < len(self.blocks):
-                ahead += "".join(self.blocks[nxt])
+                ahead += "".join(self.open(nxt))
                 nxt += 1
             old = "".join(pieces)
             new = old[: place - before] + inserted + old[end - before :]
@@ -190,10 +214,10 @@ def piece_counter(path: str, pattern: str) -> Callable[[str], int]:
     return count
 
 
-def lists(column: pa.ListArray) -> list[list[int]]:
+def lists(column: pa.ListArray) -> list[np.ndarray]:
     """The lists of a column of whole numbers; null lists are empty."""
     at, values = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
-    return [values[a:b].tolist() for a, b in zip(at, at[1:])]
+    return [values[a:b] for a, b in zip(at, at[1:])]
 
 
 def over_trees(rows: DataFrame, path: str, pattern: str, from_col: str, edits_col: str | None, keep: bool) -> DataFrame:

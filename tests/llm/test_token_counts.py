@@ -30,10 +30,13 @@ def plain(text, count):
 def test_edits_count_as_the_edited_text_does(count, text, edits):
     tree = tc.TokenTree(text, FIND.finditer, count)
     for place, removed, inserted in edits:
+        again = tc.TokenTree(tree.text(), FIND.finditer, count, tree.kept())
         tree.edit(place, removed, inserted)
+        again.edit(place, removed, inserted)
         place = max(0, min(place, len(text)))
         text = text[:place] + inserted + text[place + max(0, removed) :]
-        assert tree.text() == text and tree.n_chars == len(text) and tree.n_tokens == plain(text, count)
+        for t in (tree, again):
+            assert t.text() == text and t.n_chars == len(text) and t.n_tokens == plain(text, count)
 
 
 def test_long_texts_over_many_blocks(count):
@@ -104,11 +107,18 @@ def test_kept_trees_take_edits_without_a_new_encoding(count):
 
     kept = tc.TokenTree(text, FIND.finditer, count).kept()
     tree = tc.TokenTree(text, FIND.finditer, counting, kept)
-    assert not counted and tree.n_tokens == plain(text, count)
+    assert not counted and tree.n_tokens == plain(text, count) and tree.text() == text
     for place in (0, 40_001, len(text) - 3):
         tree.edit(place, 2, "new 12")
         text = text[:place] + "new 12" + text[place + 2 :]
     assert len(counted) < 40 and tree.text() == text and tree.n_tokens == plain(text, count)
+    assert sum(isinstance(b, int) for b in tree.blocks) >= len(tree.blocks) - 8  # all others stay unopened
+    tree.edit(9, 1, "many new words " * 200)
+    text = text[:9] + "many new words " * 200 + text[10:]
+    tree.edit(len(text) // 2, 5, "")
+    text = text[: len(text) // 2] + text[len(text) // 2 + 5 :]
+    assert tree.text() == text and tree.n_tokens == plain(text, count)
+    counted.clear()
     again = tc.TokenTree(text, FIND.finditer, counting, tree.kept())
     assert (again.n_tokens, again.n_chars, len(counted) < 40) == (tree.n_tokens, len(text), True)
 
