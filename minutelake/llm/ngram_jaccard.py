@@ -9,8 +9,10 @@ A size-aware heavy-light join over the distinct shingle sets (equal sets are one
   a list is kept for each (cell, content). A list of a whole cell stays short where many documents share a passage.
 * The boundary between both is the size that costs least by the numbers of sets of each size.
 
-A set that shares fewer lists with others than any linked pair must share is linked with nothing; it leaves the lists
-before they are read. So documents that only have a passage in common don't meet.
+A set that shares fewer lists of a band with others than any linked pair of the band must share is linked with nothing
+there; it leaves these lists before they are read. So documents that only have a passage in common don't meet. A cell
+that is empty is listed only by a set whose other cells may all differ from a linked one's: nearly all unrelated sets
+have some empty cell in common, and their list would grow with the table.
 
 No pairs of a list are emitted. Each list elects a pivot (the set with the most copies) and every other member is
 checked against it; only members that the pivot doesn't link are then compared with the members of the pivot's lists,
@@ -48,6 +50,8 @@ BAND = 1.6
 EXTRA = 0.12
 #: times that sets which share too few lists leave
 ROUNDS = 2
+#: low bits of a signature that hold its kind: 0 for a subset, then the band's number
+KIND_BITS = 6
 #: members of a block whose sketches, and whose texts, one task compares
 SKETCH_BLOCK, BLOCK = 4096, 256
 #: ids below which the texts to compare are found by a broadcast of the ids (8 bytes each)
@@ -69,10 +73,11 @@ def subsets(s: int, theta: Fraction, below: int) -> list[tuple[int, int, int]]:
 
 
 def bands(theta: Fraction, below: int, largest: int) -> list[tuple[int, int, int, int]]:
-    """(first, last member size, cells, empty cells allowed); a band holds the pairs whose smaller set is in its range.
+    """(first, last member size, cells, empty cells allowed for); a band holds the pairs whose smaller set is in its range.
 
     Linked sets of a band agree on all cells but those that hold one of the ``apart`` shingles at most by which they
-    differ, so on a cell that isn't empty, unless both have more empty cells than allowed.
+    differ. Sets of any size of the band are to have more cells filled than that, for which the cells are enough even if
+    that many stay empty.
     """
     found, low = [], max(1, math.ceil(theta * below))
     while low <= largest:
@@ -102,32 +107,47 @@ class Signatures:
     def __init__(self, theta: Fraction, below: int):
         self.theta, self.below, self.known, self.cut = theta, below, [], {}
 
-    def of(self, found: np.ndarray) -> tuple[np.ndarray, int]:
-        """Signatures of a set, and how many of them at least it shares with any set that it is linked with."""
-        out, n, needs = [], len(found), []
+    def by_kind(self, found: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """Signatures of a set by kind, and how many of them at least it shares with a set that it is linked with under
+        this kind. A linked pair has one kind: subsets if both are small, else the band of the smaller."""
+        out, n = [], len(found)
         if n < self.below:
-            needs.append(1)
-            mixed = mix(found + U(0x632BE59BD9B4E019))
+            mixed, held = mix(found + U(0x632BE59BD9B4E019)), []
             for s, t, left in subsets(n, self.theta, self.below):
                 if (n, left) not in self.cut:
                     self.cut[n, left] = np.array(list(combinations(range(n), left)), np.int64).reshape(math.comb(n, left), left)
-                held = mixed.sum(dtype=U) - mixed[self.cut[n, left]].sum(axis=1, dtype=U)
-                out.append(mix(held + U(((s << 20) + t << 20) + 1)))
+                whole = mixed.sum(dtype=U) - mixed[self.cut[n, left]].sum(axis=1, dtype=U)
+                held.append(mix(whole + U(((s << 20) + t << 20) + 1)))
+            out.append((of_kind(np.concatenate(held), 0), 1))
         if not self.known or self.known[-1][0] <= n:
             self.known = bands(self.theta, self.below, 2 * n + 2)
-        for b, (low, last, cells, spare) in enumerate(self.known):
+        for b, (low, last, cells, _) in enumerate(self.known):
             if low <= n <= last:
                 cell = (found >> U(32)) * U(cells) >> U(32)
                 first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
                 held = np.add.reduceat(mix(found + U(0x8CB92BA72F3D8DD7)), first)
                 place = (U(b + 1) << U(40)) + cell[first]
-                out.append(mix(held + mix(place)))
+                held = mix(held + mix(place))
+                # a shingle by which a linked set differs changes one cell; empty ones are needed if all others may change
                 apart = math.floor((1 - self.theta) * (n + min(math.floor(n / self.theta), last)) / (1 + self.theta))
-                needs.append(max(1, len(first) - apart))
-                if cells - len(first) > spare:
+                if len(first) <= apart:
                     empty = np.setdiff1d(np.arange(cells, dtype=U), cell[first])
-                    out.append(mix(mix((U(b + 1) << U(40)) + empty) + U(0xD6E8FEB86659FD93)))
-        return (np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)), min(needs, default=1)
+                    held = np.append(held, mix(mix((U(b + 1) << U(40)) + empty) + U(0xD6E8FEB86659FD93)))
+                out.append((of_kind(held, b + 1), max(1, len(first) - apart)))
+        return out
+
+    def of(self, found: np.ndarray) -> tuple[np.ndarray, int]:
+        """Signatures of a set, and how many of them at least it shares with any set that it is linked with."""
+        out = self.by_kind(found)
+        return (np.concatenate([x for x, _ in out]) if out else np.empty(0, np.int64)), min((need for _, need in out), default=1)
+
+
+def of_kind(held: np.ndarray, kind: int) -> np.ndarray:
+    return (held >> U(KIND_BITS) << U(KIND_BITS) | U(kind)).view(np.int64)
+
+
+def kind_of(col: Column) -> Column:
+    return col.bitwiseAND(F.lit((1 << KIND_BITS) - 1))
 
 
 def sketch(found: np.ndarray) -> bytes:
@@ -165,7 +185,8 @@ class Sketches:
 
 
 def read_sets(n: int, theta: Fraction, below: int):
-    """Size, digest, sketch and signatures of the set of each text."""
+    """Size, digest, sketch and signatures of the set of each text; of each kind of these how many a linked set shares,
+    shifted left by KIND_BITS, with the kind in the low bits."""
 
     def run(texts: list[bytes | None]) -> dict:
         lists, sizes, digests, sketches, signs, needs = Signatures(theta, below), [], [], [], [], []
@@ -173,11 +194,11 @@ def read_sets(n: int, theta: Fraction, below: int):
             sizes.append(len(found))
             digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
             sketches.append(sketch(found) if len(found) else b"")
-            signed, need = lists.of(found) if len(found) else ([], 1)
-            signs.append(signed)
-            needs.append(need)
+            signed = lists.by_kind(found) if len(found) else []
+            signs.append(np.concatenate([x for x, _ in signed]) if signed else [])
+            needs.append([need << KIND_BITS | int(x[0]) & (1 << KIND_BITS) - 1 for x, need in signed])
         pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        return {"n_shingles": sizes, "d1": pair[:, 0], "d2": pair[:, 1], "sketch": sketches, "need": needs, "signatures": signs}
+        return {"n_shingles": sizes, "d1": pair[:, 0], "d2": pair[:, 1], "sketch": sketches, "needs": needs, "signatures": signs}
 
     return run
 
@@ -354,7 +375,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, words: int = 5, the
     below = boundary({r["s"]: r["count"] for r in sizes.collect()}, theta)
 
     read = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "tkey", "text")
-    made = with_text_columns(read, "text", read_sets(words, theta, below), "n_shingles long, d1 long, d2 long, sketch binary, need int, signatures array<long>", keep_text=False)
+    made = with_text_columns(read, "text", read_sets(words, theta, below), "n_shingles long, d1 long, d2 long, sketch binary, needs array<long>, signatures array<long>", keep_text=False)
     made = stage(spark, made, "signed")
     sets = stage(spark, made.drop("signatures"), "sets")
     filled = sets.where("n_shingles > 0")
@@ -372,11 +393,13 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, words: int = 5, the
     met = listed.join(shared.hint("shuffle_hash"), "signature")  # the few shared ones as a table, nothing is sorted
     met = stage(spark, met, "met")
     forget(spark, signed)
-    # sets that share too few lists to be linked leave, and lists that are left with one set
-    needs = nodes.select("node", "rid").join(sets.select("rid", "need"), "rid").select("node", "need")
+    # sets that share too few lists of a kind to be linked leave these, and lists that are left with one set
+    needs = nodes.select("node", "rid").join(sets.select("rid", "needs"), "rid").select("node", F.explode("needs").alias("need"))
+    needs = needs.select("node", kind_of(F.col("need")).alias("kind"), F.shiftright("need", KIND_BITS).alias("need"))
     for _ in range(ROUNDS):
-        enough = met.groupBy("node").count().join(needs, "node").where(F.col("count") >= F.col("need")).select("node")
-        left = met.join(enough, "node")
+        met_kinds = met.withColumn("kind", kind_of(F.col("signature")))
+        enough = met_kinds.groupBy("node", "kind").count().join(needs, ["node", "kind"]).where(F.col("count") >= F.col("need")).select("node", "kind")
+        left = met_kinds.join(enough, ["node", "kind"])
         left = left.join(left.groupBy("signature").count().where("count > 1").select("signature"), "signature")
         left = stage(spark, left.select("signature", "node"), "met")
         forget(spark, met)

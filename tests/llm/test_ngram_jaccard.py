@@ -31,6 +31,72 @@ def test_linked_sets_always_share_a_signature(theta):
                 assert shared >= max(1, need, needed), (below, len(a), len(b), shared, need, needed)
 
 
+def test_linked_sets_share_enough_of_one_kind():
+    """Also sets whose hashes lie close together, so that most cells are empty, or all lists of a band are."""
+    rng, kinds = np.random.default_rng(5), set()
+    for below in (2, 14):
+        signs = nj.Signatures(THETA, below)
+        for _ in range(500):
+            n, narrow = int(rng.choice([3, 9, 13, 14, 20, 40, 200, 900])), np.uint64(rng.choice([0, 0, 3, 9]))
+            a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64) >> narrow)
+            more = rng.integers(0, 2**64, int(rng.integers(0, max(2, n // 8))), dtype=np.uint64) >> narrow
+            b = np.unique(np.concatenate([a[rng.random(n) >= rng.uniform(0, 0.12)], more]))
+            common = len(np.intersect1d(a, b))
+            if not len(b) or common < THETA * (len(a) + len(b) - common):
+                continue
+            small, large = sorted((len(a), len(b)))
+            kind = 0 if large < below else next(i for i, (low, _, _, _) in reversed(list(enumerate(nj.bands(THETA, below, small), 1))) if low <= small)
+            (one, need), (other, needed) = ({int(x[0]) & 63: (set(x.tolist()), need) for x, need in signs.by_kind(s)}[kind] for s in (a, b))
+            assert all(x & 63 == kind for x in one | other) and len(one & other) >= max(1, need, needed), (below, len(a), len(b), narrow)
+            kinds.add((kind, need > 1))
+    assert len(kinds) > 10
+
+
+def test_unrelated_sets_share_no_list():
+    """Nearly all of them have an empty cell in common; that is no list, else it would hold a share of the whole table."""
+    rng, seen = np.random.default_rng(7), {}
+    signs = nj.Signatures(Fraction(4, 5), 14)
+    for i in range(600):
+        for x in signs.of(np.unique(rng.integers(0, 2**64, int(rng.integers(32, 1200)), dtype=np.uint64)))[0].tolist():
+            seen.setdefault(x, set()).add(i)
+    assert max(map(len, seen.values())) == 1
+
+
+@pytest.fixture
+def staged(monkeypatch):
+    """Rows of the tables that the join stages, by name."""
+    rows, stage = {}, nj.stage
+
+    def counted(spark, df, name):
+        out = stage(spark, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(nj, "stage", counted)
+    return rows
+
+
+def test_unrelated_documents_never_meet(spark, staged):
+    """Else pairs to check grow with the square of the table."""
+    rng = random.Random(9)
+    texts = [helpers.sentence(rng, rng.randint(60, 250), 10**6) for _ in range(150)]
+    texts += [helpers.edited(rng, texts[i], 0.01) for i in range(3)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], helpers.DOCS)
+    nj.ngram_jaccard_join(spark, docs, 5, Fraction(4, 5))
+    assert 1 <= staged["star"] <= 3
+
+
+def test_a_band_is_left_by_its_own_count(spark, staged):
+    """Two fifths in common: more lists in both bands together than one of them asks for, but less than each asks for."""
+    signed = nj.Signatures(Fraction(4, 5), 2).by_kind(np.sort(np.random.default_rng(1).integers(0, 2**64, 400, dtype=np.uint64)))
+    assert len(signed) == 2 and 3 * min(need for _, need in signed) < max(need for _, need in signed)
+    passage = " ".join(f"p{i}" for i in range(164))
+    rows = [(i, f"{passage} " + " ".join(f"d{i}x{j}" for j in range(240)), "en", "s", 1) for i in range(12)]
+    found = nj.ngram_jaccard_join(spark, spark.createDataFrame(rows, helpers.DOCS), 5, Fraction(4, 5))
+    assert sorted(tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect()) == [(i, 400, i) for i in range(12)]
+    assert staged["met"] == 0 and staged["star"] == 0
+
+
 def test_sketches_never_rule_out_linked_sets():
     rng = np.random.default_rng(6)
     sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 2, 9, 31, 33, 40, 400, 3000)]
